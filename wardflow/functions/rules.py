@@ -79,11 +79,14 @@ def _num(c: Column) -> Column:
     return c.try_cast("double")
 
 
-def clamp_number(c: ColumnOrName, lo=None, hi=None, fill=SENTINEL_NUMBER) -> Column:
+def clamp_number(c: ColumnOrName, lo=None, hi=None, fill=SENTINEL_NUMBER,
+                 text: bool = False) -> Column:
     """Numeric (or numeric-looking text) outside ``[lo, hi]`` -> ``fill``.
 
     The comparison reads text with ``try_cast(... AS DOUBLE)``; non-numeric text
-    is kept as it is.  The original value (not the parsed one) is returned.
+    is kept as it is.  The original value (not the parsed one) is returned; for
+    a text column pass ``text=True`` so the fill is text too (ANSI would
+    otherwise coerce the whole column to a number).
     """
     c = _c(c)
     v = _num(c)
@@ -92,7 +95,11 @@ def clamp_number(c: ColumnOrName, lo=None, hi=None, fill=SENTINEL_NUMBER) -> Col
         out = out | (v < F.lit(lo))
     if hi is not None:
         out = out | (v > F.lit(hi))
-    return F.when(out, F.lit(fill)).otherwise(c)
+    if fill is None:
+        fill_col = F.lit(None)
+    else:
+        fill_col = F.lit(str(fill)) if text else F.lit(fill)
+    return F.when(out, fill_col).otherwise(c)
 
 
 def cap_to_null(c: ColumnOrName, hi=None, lo=None) -> Column:
