@@ -1,0 +1,307 @@
+"""End-to-end queries: incremental loads run from specs, monthly outcomes, date repair."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from wardflow.functions.rules import parse_mixed_date
+from wardflow.operators.asof import monthly_outcomes
+from wardflow.plans.run import FrameIO, build_load
+from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, rule
+from wardflow.queries import query
+from wardflow.queries._data import AS_OF, table
+from wardflow.sources.sinks import apply_corrections
+
+# =============================================================== orders as visits
+# Mapping: customer = patient (SiteCode = nation), nation = facility,
+# orders = visit extract, orders placed before 1999-07-01 = the existing target.
+VISIT_SPEC = LoadSpec(
+    name="visits_from_orders",
+    source="visit_extract",
+    target="visits",
+    latest=Latest(keys=("PatientPK", "Status"),
+                  maxes=("ID", "cast(DateExtracted as date)")),
+    parents=(Parent("patient", (("PatientPK", "PatientPK"),), columns=(("SiteCode", "SiteCode"), ("Gender", "Gender"))),
+             Parent("facility", (("SiteCode", "Code"),), where="NOT Voided", columns=(("Name", "FacilityName"),))),
+    where=("Gender <> 'Unknown'", "SiteCode > 0"),
+    columns=("PatientPK", "SiteCode", "FacilityName", "ID", "VisitDate", "Priority", "Status", "DateExtracted"),
+    rules=(rule("Priority", "blank"),
+           rule("VisitDate", "date", lo="1996-01-01"),
+           rule("Status", "recode", mapping=(("Final", ("F",)), ("Open", ("O",))))),
+    lookups=(Lookup("Priority", "lkp_priority"),),
+    delta_keys=("PatientPK", "SiteCode", "ID"),
+    hashes=(("PatientPK", "PatientPKHash"), ("ID", "VisitIDHash")),
+)
+
+
+def _visit_io(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    extract = o.select(
+        F.col("o_orderkey").alias("ID"), F.col("o_custkey").alias("PatientPK"),
+        F.to_date("o_orderdate").alias("VisitDate"),
+        F.date_add(F.to_date("o_orderdate"), ((F.col("o_orderkey") * 7) % 30).cast("int")).alias("DateExtracted"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("")).otherwise(F.col("o_orderpriority")).alias("Priority"),
+        F.col("o_orderstatus").alias("Status"))
+    patient = c.select(F.col("c_custkey").alias("PatientPK"), F.col("c_nationkey").alias("SiteCode"),
+                       F.when(F.col("c_custkey") % 10 == 1, F.lit("Unknown"))
+                       .otherwise(F.col("c_mktsegment")).alias("Gender"))
+    facility = n.select(F.col("n_nationkey").alias("Code"), F.col("n_name").alias("Name"),
+                        (F.col("n_regionkey") == 4).alias("Voided"))
+    lkp = (o.select(F.col("o_orderpriority").alias("source_name")).distinct()
+           .filter(F.col("source_name") != "5-LOW")
+           .withColumn("target_name", F.upper(F.substring("source_name", 3, 100))))
+    target = (o.filter(F.col("o_orderdate") < F.lit(dt.datetime(1999, 7, 1)))
+              .join(c, o["o_custkey"] == c["c_custkey"])
+              .select(F.col("o_custkey").alias("PatientPK"), F.col("c_nationkey").alias("SiteCode"),
+                      F.col("o_orderkey").alias("ID")))
+    return FrameIO({"visit_extract": extract, "patient": patient, "facility": facility, "lkp_priority": lkp},
+                   {"visits": target})
+
+
+_UTF16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+
+_VISIT_ORACLE = f"""
+WITH x AS (
+  SELECT o_orderkey AS ID, o_custkey AS PatientPK, CAST(o_orderdate AS DATE) AS VisitDate,
+         CAST(o_orderdate AS DATE) + CAST((o_orderkey * 7) % 30 AS INTEGER) AS DateExtracted,
+         CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderpriority END AS Priority, o_orderstatus AS Status
+  FROM orders),
+latest AS (
+  SELECT x.* FROM x JOIN (SELECT PatientPK, Status, max(ID) AS mid, max(CAST(DateExtracted AS DATE)) AS mday
+                          FROM x GROUP BY PatientPK, Status) t
+  ON x.PatientPK = t.PatientPK AND x.Status = t.Status AND x.ID = t.mid AND CAST(x.DateExtracted AS DATE) = t.mday),
+scan AS (
+  SELECT DISTINCT l.PatientPK, c.c_nationkey AS SiteCode, n.n_name AS FacilityName, l.ID, l.VisitDate, l.Priority,
+         l.Status, l.DateExtracted
+  FROM latest l JOIN customer c ON l.PatientPK = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey AND NOT (n.n_regionkey = 4)
+  WHERE (CASE WHEN c.c_custkey % 10 = 1 THEN 'Unknown' ELSE c.c_mktsegment END) <> 'Unknown'
+    AND c.c_nationkey > 0),
+clean AS (
+  SELECT PatientPK, SiteCode, FacilityName, ID,
+         CASE WHEN VisitDate < DATE '1996-01-01' OR VisitDate > DATE '{AS_OF.isoformat()}' THEN DATE '1900-01-01'
+              ELSE VisitDate END AS VisitDate,
+         CASE WHEN Priority = '' THEN NULL ELSE Priority END AS Priority,
+         CASE Status WHEN 'F' THEN 'Final' WHEN 'O' THEN 'Open' ELSE Status END AS Status, DateExtracted
+  FROM scan),
+lkp AS (SELECT DISTINCT o_orderpriority AS source_name, upper(substring(o_orderpriority, 3, 100)) AS target_name
+        FROM orders WHERE o_orderpriority <> '5-LOW'),
+std AS (SELECT c.PatientPK, c.SiteCode, c.FacilityName, c.ID, c.VisitDate,
+               coalesce(l.target_name, c.Priority) AS Priority, c.Status, c.DateExtracted
+        FROM clean c LEFT JOIN lkp l ON c.Priority = l.source_name),
+tgt AS (SELECT o.o_custkey AS PatientPK, c.c_nationkey AS SiteCode, o.o_orderkey AS ID
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderdate < TIMESTAMP '1999-07-01')
+SELECT s.*, {_UTF16.format(c='s.PatientPK')} AS PatientPKHash, {_UTF16.format(c='s.ID')} AS VisitIDHash
+FROM std s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPK IS NOT DISTINCT FROM s.PatientPK
+  AND t.SiteCode IS NOT DISTINCT FROM s.SiteCode AND t.ID IS NOT DISTINCT FROM s.ID)"""
+
+
+@query("incremental_load_orders", oracle=_VISIT_ORACLE)
+def incremental_load_orders(spark, sf):
+    """Flagship: a full incremental load (latest rule, parents, cleaning, lookup, delta, digests)."""
+    return build_load(VISIT_SPEC, _visit_io(spark, sf), AS_OF)
+
+
+# =============================================================== events
+EVENT_SPEC = LoadSpec(
+    name="events_by_day",
+    source="event_extract",
+    target="events_loaded",
+    columns=("EventID", "UserID", "EventTime", "Kind"),
+    rules=(rule("Kind", "sentinel", tokens=("N/A", "NULL")),
+           rule("Kind", "recode", mapping=(("Engagement", ("click", "view")), ("Revenue", ("purchase",))),
+                default="Not Done")),
+    delta_keys=("UserID", ("cast(EventTime as date)", "LoadedDay")),
+)
+
+
+@query("incremental_load_events", oracle="""
+WITH x AS (SELECT DISTINCT event_id AS EventID, user_id AS UserID, ts AS EventTime,
+                  CASE WHEN event_id % 12 = 0 THEN 'N/A' ELSE event_type END AS Kind FROM events),
+c AS (SELECT EventID, UserID, EventTime,
+             CASE WHEN Kind IN ('click', 'view') THEN 'Engagement' WHEN Kind = 'purchase' THEN 'Revenue'
+                  ELSE 'Not Done' END AS Kind FROM x)
+SELECT * FROM c WHERE NOT EXISTS (
+  SELECT 1 FROM (SELECT user_id, CAST(ts AS DATE) AS d FROM events WHERE ts < TIMESTAMP '2024-01-15') t
+  WHERE t.user_id IS NOT DISTINCT FROM c.UserID AND t.d IS NOT DISTINCT FROM CAST(c.EventTime AS DATE))""")
+def incremental_load_events(spark, sf):
+    """Load keyed by (user, day of a timestamp): cast-key anti join, sentinels, closed recode."""
+    e = table(spark, sf, "events")
+    extract = e.select(F.col("event_id").alias("EventID"), F.col("user_id").alias("UserID"),
+                       F.col("ts").alias("EventTime"),
+                       F.when(F.col("event_id") % 12 == 0, F.lit("N/A")).otherwise(F.col("event_type")).alias("Kind"))
+    loaded = e.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 15))) \
+        .select(F.col("user_id").alias("UserID"), F.to_date("ts").alias("LoadedDay"))
+    return build_load(EVENT_SPEC, FrameIO({"event_extract": extract}, {"events_loaded": loaded}), AS_OF)
+
+
+# =============================================================== lineitem
+LINE_SPEC = LoadSpec(
+    name="lines_double_latest",
+    source="line_extract",
+    target="lines_loaded",
+    latest=Latest(keys=("OrderKey",),
+                  maxes=(("LineNo", "cast(ShipDate as date)"), ("PartKey", "cast(ShipDate as date)"))),
+    columns=("OrderKey", "LineNo", "PartKey", "ShipDate", "Quantity"),
+    rules=(rule("Quantity", "cap", hi=45),),
+    delta_keys=("OrderKey", "LineNo"),
+)
+
+
+@query("incremental_load_lineitem", oracle="""
+WITH l AS (SELECT l_orderkey AS OrderKey, l_linenumber AS LineNo, l_partkey AS PartKey, l_shipdate AS ShipDate,
+                  l_quantity AS Quantity FROM lineitem),
+a AS (SELECT OrderKey, max(LineNo) AS mx1, max(PartKey) AS mx2, max(CAST(ShipDate AS DATE)) AS md FROM l GROUP BY OrderKey),
+s AS (SELECT DISTINCT l.OrderKey, l.LineNo, l.PartKey, l.ShipDate,
+             CASE WHEN l.Quantity > 45 THEN NULL ELSE l.Quantity END AS Quantity
+      FROM l JOIN a ON l.OrderKey = a.OrderKey AND l.LineNo = a.mx1 AND l.PartKey = a.mx2
+                    AND CAST(l.ShipDate AS DATE) = a.md)
+SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM lineitem t WHERE t.l_shipdate < TIMESTAMP '1999-01-01'
+  AND t.l_orderkey IS NOT DISTINCT FROM s.OrderKey AND t.l_linenumber IS NOT DISTINCT FROM s.LineNo)""")
+def incremental_load_lineitem(spark, sf):
+    """Double latest rule (two joint maxima ANDed), cap rule, two-key delta."""
+    li = table(spark, sf, "lineitem")
+    extract = li.select(F.col("l_orderkey").alias("OrderKey"), F.col("l_linenumber").alias("LineNo"),
+                        F.col("l_partkey").alias("PartKey"), F.col("l_shipdate").alias("ShipDate"),
+                        F.col("l_quantity").alias("Quantity"))
+    loaded = li.filter(F.col("l_shipdate") < F.lit(dt.datetime(1999, 1, 1))) \
+        .select(F.col("l_orderkey").alias("OrderKey"), F.col("l_linenumber").alias("LineNo"))
+    return build_load(LINE_SPEC, FrameIO({"line_extract": extract}, {"lines_loaded": loaded}), AS_OF)
+
+
+# =============================================================== monthly outcomes
+# Mapping: patient key = (custkey, 'CCC-'||custkey, nation); visits = orders;
+# dispenses = lineitem via its order; exits = returned lines with quantity >= 48;
+# ART start spread over 1995-06 .. 2000-12; months 1996-01 .. 2001-12.
+OUTCOME_START, OUTCOME_END = dt.date(1996, 1, 1), dt.date(2001, 12, 31)
+
+
+def outcome_inputs(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    li = table(spark, sf, "lineitem")
+    pid = F.concat(F.lit("CCC-"), F.col("o_custkey").cast("string"))
+    keys = [F.col("o_custkey").alias("PatientPK"), pid.alias("PatientID"), F.col("c_nationkey").alias("SiteCode")]
+    oc = o.join(c, o["o_custkey"] == c["c_custkey"])
+    vd = F.to_date("o_orderdate")
+    visits = oc.select(*keys, vd.alias("VisitDate"),
+                       F.when(F.col("o_orderkey") % 11 == 0, F.lit(None))
+                       .when(F.col("o_orderkey") % 13 == 0, F.date_add(vd, 500))
+                       .otherwise(F.date_add(vd, (30 + F.col("o_orderkey") % 90).cast("int")))
+                       .alias("NextAppointmentDate"))
+    lines = li.join(oc.select("o_orderkey", "o_custkey", "c_nationkey"), li["l_orderkey"] == oc["o_orderkey"])
+    sd = F.to_date("l_shipdate")
+    dispenses = lines.select(*keys, sd.alias("DispenseDate"),
+                             F.when(F.col("l_orderkey") % 11 == 0, F.lit(None))
+                             .when(F.col("l_partkey") % 13 == 0, F.date_add(sd, 500))
+                             .otherwise(F.date_add(sd, (20 + F.col("l_partkey") % 60).cast("int")))
+                             .alias("ExpectedReturn"))
+    ex = F.date_add(sd, 10)
+    status = (lines.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48))
+              .select(*keys, ex.alias("ExitDate"),
+                      F.when(F.col("l_linestatus") == "F", F.lit("DIED")).otherwise(F.lit("LOST")).alias("ExitReason"),
+                      F.when(F.col("l_discount") >= 0.05, F.date_add(ex, (40 * F.col("l_linenumber")).cast("int")))
+                      .alias("EffectiveDiscontinuationDate")))
+    art = c.select(F.col("c_custkey").alias("PatientPK"),
+                   F.concat(F.lit("CCC-"), F.col("c_custkey").cast("string")).alias("PatientID"),
+                   F.col("c_nationkey").alias("SiteCode"),
+                   F.date_add(F.lit(dt.date(1995, 6, 1)), ((F.col("c_custkey") * 37) % 2000).cast("int"))
+                   .alias("StartARTDate"))
+    return visits, dispenses, status, art
+
+
+_OUTCOME_ORACLE = """
+WITH months AS (SELECT last_day(CAST(d AS DATE)) AS m FROM range(TIMESTAMP '1996-01-01', TIMESTAMP '2001-12-02', INTERVAL 1 MONTH) t(d)),
+oc AS (SELECT o.*, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+visits AS (SELECT o_custkey AS PatientPK, 'CCC-' || CAST(o_custkey AS VARCHAR) AS PatientID, c_nationkey AS SiteCode,
+                  CAST(o_orderdate AS DATE) AS VisitDate,
+                  CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN CAST(o_orderdate AS DATE) + 500
+                       ELSE CAST(o_orderdate AS DATE) + CAST(30 + o_orderkey % 90 AS INTEGER) END AS NextAppointmentDate
+           FROM oc),
+lines AS (SELECT l.*, oc.o_custkey, oc.c_nationkey FROM lineitem l JOIN oc ON l.l_orderkey = oc.o_orderkey),
+disp AS (SELECT o_custkey AS PatientPK, 'CCC-' || CAST(o_custkey AS VARCHAR) AS PatientID, c_nationkey AS SiteCode,
+                CAST(l_shipdate AS DATE) AS DispenseDate,
+                CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_partkey % 13 = 0 THEN CAST(l_shipdate AS DATE) + 500
+                     ELSE CAST(l_shipdate AS DATE) + CAST(20 + l_partkey % 60 AS INTEGER) END AS ExpectedReturn
+         FROM lines),
+status AS (SELECT o_custkey AS PatientPK, 'CCC-' || CAST(o_custkey AS VARCHAR) AS PatientID, c_nationkey AS SiteCode,
+                  CAST(l_shipdate AS DATE) + 10 AS ExitDate,
+                  CASE WHEN l_linestatus = 'F' THEN 'DIED' ELSE 'LOST' END AS ExitReason,
+                  CASE WHEN l_discount >= 0.05 THEN CAST(l_shipdate AS DATE) + 10 + CAST(40 * l_linenumber AS INTEGER) END
+                    AS EffectiveDiscontinuationDate
+           FROM lines WHERE l_returnflag = 'R' AND l_quantity >= 48),
+art AS (SELECT c_custkey AS PatientPK, 'CCC-' || CAST(c_custkey AS VARCHAR) AS PatientID, c_nationkey AS SiteCode,
+               DATE '1995-06-01' + CAST((c_custkey * 37) % 2000 AS INTEGER) AS StartARTDate FROM customer),
+lv AS (SELECT * FROM (SELECT v.*, months.m, row_number() OVER (PARTITION BY v.PatientPK, v.PatientID, v.SiteCode, months.m
+                       ORDER BY v.VisitDate DESC, v.NextAppointmentDate DESC NULLS LAST) AS rn
+                      FROM visits v JOIN months ON v.VisitDate <= months.m WHERE v.SiteCode > 0) r WHERE rn = 1),
+ld AS (SELECT * FROM (SELECT d.*, months.m, row_number() OVER (PARTITION BY d.PatientPK, d.PatientID, d.SiteCode, months.m
+                       ORDER BY d.DispenseDate DESC, d.ExpectedReturn DESC NULLS LAST) AS rn
+                      FROM disp d JOIN months ON d.DispenseDate <= months.m WHERE d.SiteCode > 0) r WHERE rn = 1),
+disc AS (SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY PatientPK, PatientID, SiteCode
+                         ORDER BY EffectiveDiscontinuationDate DESC, ExitDate DESC, ExitReason DESC) AS rn
+                        FROM status s WHERE ExitDate IS NOT NULL AND EffectiveDiscontinuationDate IS NOT NULL) r WHERE rn = 1),
+lx AS (SELECT * FROM (SELECT s.*, months.m, row_number() OVER (PARTITION BY s.PatientPK, s.PatientID, s.SiteCode, months.m
+                       ORDER BY s.ExitDate DESC, s.ExitReason DESC) AS rn
+                      FROM status s JOIN months ON s.ExitDate <= months.m) r WHERE rn = 1),
+enc AS (SELECT DISTINCT coalesce(v.PatientID, d.PatientID) AS PatientID, coalesce(v.SiteCode, d.SiteCode) AS SiteCode,
+               coalesce(v.PatientPK, d.PatientPK) AS PatientPK, coalesce(v.m, d.m) AS m,
+               CASE WHEN v.VisitDate >= d.DispenseDate THEN v.VisitDate ELSE coalesce(d.DispenseDate, v.VisitDate) END AS LED,
+               CASE WHEN v.NextAppointmentDate >= d.ExpectedReturn THEN v.NextAppointmentDate
+                    ELSE coalesce(d.ExpectedReturn, v.NextAppointmentDate) END AS NAD
+        FROM lv v FULL JOIN ld d ON v.PatientID = d.PatientID AND v.SiteCode = d.SiteCode AND v.PatientPK = d.PatientPK
+                                 AND v.m = d.m),
+le AS (SELECT PatientID, SiteCode, PatientPK, m, LED,
+              CASE WHEN date_diff('day', m, NAD) >= 365 THEN LED + 30 ELSE NAD END AS NAD
+       FROM enc WHERE LED IS NOT NULL)
+SELECT e.PatientID, e.PatientPK, upper(sha256(substring(e.PatientID, 1, 30))) AS PatientIDHash,
+       upper(sha256(CAST(e.PatientPK AS VARCHAR))) AS PatientPKHash, e.SiteCode AS MFLCode,
+       CASE WHEN dc.ExitDate IS NOT NULL AND dc.ExitReason <> 'DIED' AND dc.EffectiveDiscontinuationDate > e.m THEN 'V'
+            WHEN a.StartARTDate > e.m THEN 'NP'
+            WHEN x.ExitDate IS NOT NULL THEN substring(x.ExitReason, 1, 1)
+            WHEN e.m < e.NAD OR date_diff('day', e.NAD, e.m) <= 30 THEN 'V'
+            WHEN date_diff('day', e.NAD, e.m) > 30 THEN 'uL'
+            WHEN e.NAD IS NULL THEN 'NV' END AS ARTOutcome,
+       e.m AS AsOfDate
+FROM le e
+LEFT JOIN disc dc ON dc.PatientID = e.PatientID AND dc.PatientPK = e.PatientPK AND dc.SiteCode = e.SiteCode
+LEFT JOIN lx x ON x.PatientID = e.PatientID AND x.PatientPK = e.PatientPK AND x.SiteCode = e.SiteCode AND x.m = e.m
+LEFT JOIN art a ON a.PatientID = e.PatientID AND a.PatientPK = e.PatientPK AND a.SiteCode = e.SiteCode"""
+
+
+@query("monthly_outcome", oracle=_OUTCOME_ORACLE)
+def monthly_outcome(spark, sf):
+    """Patient x month-end ART outcome over 72 months in one set-based job."""
+    visits, dispenses, status, art = outcome_inputs(spark, sf)
+    return monthly_outcomes(visits, dispenses, status, art, OUTCOME_START, OUTCOME_END)
+
+
+# =============================================================== date repair
+_KIT_RAW_SQL = """CASE WHEN l_linenumber = 1 THEN 'n/a'
+     WHEN l_linenumber % 2 = 0 THEN strftime(l_shipdate, '%Y-%m-%d')
+     ELSE strftime(l_shipdate, '%d/%m/%Y') END"""
+
+
+@query("repair_mixed_dates", oracle=f"""
+WITH k AS (SELECT l_orderkey, l_linenumber, {_KIT_RAW_SQL} AS raw FROM lineitem),
+fix AS (SELECT DISTINCT raw, CAST(coalesce(TRY_CAST(raw AS TIMESTAMP),
+          CASE WHEN length(substring(raw, 7, 4)) = 4 THEN try_strptime(raw, '%d/%m/%Y') END) AS DATE) AS fixed
+        FROM k WHERE raw IS NOT NULL)
+SELECT k.l_orderkey, k.l_linenumber, k.raw, f.fixed AS TestKitExpiry
+FROM k LEFT JOIN fix f ON k.raw = f.raw""")
+def repair_mixed_dates(spark, sf):
+    """Keyed in-place correction of text dates: fixes per distinct raw value, joined back."""
+    li = table(spark, sf, "lineitem")
+    raw = (F.when(F.col("l_linenumber") == 1, F.lit("n/a"))
+           .when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "yyyy-MM-dd"))
+           .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")))
+    kits = li.select("l_orderkey", "l_linenumber", raw.alias("raw"), raw.alias("TestKitExpiry"))
+    fixes = (kits.select("raw").filter(F.col("raw").isNotNull()).distinct()
+             .withColumn("fixed", parse_mixed_date("raw")))
+    out = apply_corrections(kits.withColumn("TestKitExpiry", F.lit(None).cast("date")), fixes, "raw",
+                            {"TestKitExpiry": "fixed"})
+    return out
