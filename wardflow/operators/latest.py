@@ -48,6 +48,8 @@ def latest_joint_max(df: DataFrame, keys, maxes, join_keys=None,
         ms = named([m for group in maxes for m in group], "__m")
     else:
         ms = named(maxes, "__m")
+    seen: set[str] = set()
+    ms = [m for m in ms if not (m[0] in seen or seen.add(m[0]))]   # same measure in two rules: once
     derived = {n: e for n, e, plain in ks + ms if not plain}
     base = df.withColumns(derived) if derived else df
     key_names = [n for n, _, _ in ks]
