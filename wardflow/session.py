@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 # session and only the keys below that are unset get filled in.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
