@@ -41,13 +41,13 @@ def _date_lit(d) -> Column:
 def blank_to_null(c: ColumnOrName) -> Column:
     """'' -> NULL, everything else kept (exact match, no trimming)."""
     c = _c(c)
-    return F.when(c == F.lit(BLANK), F.lit(None)).otherwise(c)
+    return F.when(c.cast("string") == F.lit(BLANK), F.lit(None)).otherwise(c)
 
 
 def sentinel_to_null(c: ColumnOrName, tokens: Iterable[str]) -> Column:
     """Listed sentinel tokens ('NULL', 'N/A', '0001-01-01', ...) -> NULL."""
     c = _c(c)
-    return F.when(c.isin(list(tokens)), F.lit(None)).otherwise(c)
+    return F.when(c.cast("string").isin(list(tokens)), F.lit(None)).otherwise(c)
 
 
 def null_default(c: ColumnOrName, default) -> Column:
@@ -56,19 +56,22 @@ def null_default(c: ColumnOrName, default) -> Column:
 
 
 def clamp_date(c: ColumnOrName, lo=None, hi=None, fill=SENTINEL_DATE,
-               blank_is_null: bool = False) -> Column:
+               blank_is_null: bool = False, text: bool = False) -> Column:
     """Date outside ``[lo, hi]`` -> ``fill`` (a date, or None for NULL).
 
     ``lo``/``hi`` are dates, ISO strings, Columns or None (open end).  ``hi``
     is usually the injected load date, never a clock call inside the rule.
-    NULL stays NULL.  With ``blank_is_null`` a text column's '' is NULL too.
+    NULL stays NULL.  With ``blank_is_null`` a text column's '' is NULL too;
+    with ``text`` the column holds dates as text and is compared through
+    ``try_cast(... AS DATE)`` (unparseable text is kept).
     """
     c = _c(c)
+    v = c.try_cast("date") if text else c
     out = F.lit(False)
     if lo is not None:
-        out = out | (c < _date_lit(lo))
+        out = out | (v < _date_lit(lo))
     if hi is not None:
-        out = out | (c > _date_lit(hi))
+        out = out | (v > _date_lit(hi))
     if blank_is_null:
         out = out | (c.cast("string") == F.lit(BLANK))
     fill_col = F.lit(None) if fill is None else _date_lit(fill)

@@ -90,7 +90,8 @@ def _rule_column(r: Rule, as_of: dt.date) -> Column:
         elif hi == "today+1y":
             hi = F.add_months(F.lit(as_of), 12)
         lo = kw.get("lo")
-        return R.clamp_date(c, lo, hi, kw.get("fill", R.SENTINEL_DATE), kw.get("blank", False))
+        return R.clamp_date(c, lo, hi, kw.get("fill", R.SENTINEL_DATE), kw.get("blank", False),
+                            kw.get("text", False))
     if k == "number":
         return R.clamp_number(c, kw.get("lo"), kw.get("hi"), kw.get("fill", R.SENTINEL_NUMBER), kw.get("text", True))
     if k == "cap":
@@ -105,47 +106,67 @@ def _rule_column(r: Rule, as_of: dt.date) -> Column:
     raise ValueError(f"unknown rule kind {k}")
 
 
-def scan(spec: LoadSpec, io) -> DataFrame:
-    """Form scan: latest rule over the unfiltered form, parents, filters, DISTINCT."""
+def _apply_latest(df: DataFrame, lt) -> DataFrame:
+    keys = [_key(k, i, "__lk") for i, k in enumerate(lt.keys)]
+    groups = lt.maxes if lt.maxes and isinstance(lt.maxes[0], tuple) else (lt.maxes,)
+    maxes = [[_key(m, 10 * g + i, "__lm") for i, m in enumerate(grp)] for g, grp in enumerate(groups)]
+    jk = None
+    if lt.join_keys is not None:
+        jk = [k if isinstance(k, str) else k[0] for k, spec_k in zip(keys, lt.keys) if spec_k in lt.join_keys]
+    return latest_joint_max(df, keys, maxes if len(maxes) > 1 else maxes[0], join_keys=jk)
+
+
+def _join_parent(df: DataFrame, p, io) -> DataFrame:
+    parent = io.table(p.table)
+    if p.where:
+        parent = parent.filter(F.expr(p.where))
+    outs = {out.lower() for _, out in p.columns}
+    # a child join column spelled like a parent output column (PatientId vs
+    # PatientID) is renamed first; names resolve case-insensitively; other child
+    # columns of that name are replaced by the parent's value
+    ren = {cc: f"__fk_{cc}" for cc, _ in p.on if cc.lower() in outs}
+    if ren:
+        df = df.withColumnsRenamed(ren)
+    clash = [c for c in df.columns if c.lower() in outs]
+    if clash:
+        df = df.drop(*clash)
+    keep = [F.col(pc).alias(f"__p_{pc}") for _, pc in p.on] + [F.col(pc).alias(out) for pc, out in p.columns]
+    parent = parent.select(*keep)
+    if p.table.lower() in ("facility", "facilities"):
+        parent = broadcast_if_small(parent)
+    cond = None
+    for cc, pc in p.on:
+        e = df[ren.get(cc, cc)] == parent[f"__p_{pc}"]
+        cond = e if cond is None else cond & e
+    if p.kind == "semi":
+        return df.join(parent.select(*[f"__p_{pc}" for _, pc in p.on]), cond, "left_semi")
+    return df.join(parent, cond, "inner").drop(*[f"__p_{pc}" for _, pc in p.on])
+
+
+def scan(spec: LoadSpec, io, as_of: dt.date | None = None) -> DataFrame:
+    """Form scan: latest rule, parent joins, filters, scan-level GROUP BY."""
     df = io.table(spec.source)
     if spec.derived:
-        df = df.withColumns({n: _expr(e) for n, e in spec.derived})
-    if spec.latest is not None:
-        lt = spec.latest
-        keys = [_key(k, i, "__lk") for i, k in enumerate(lt.keys)]
-        groups = lt.maxes if lt.maxes and isinstance(lt.maxes[0], tuple) else (lt.maxes,)
-        maxes = [[_key(m, 10 * g + i, "__lm") for i, m in enumerate(grp)] for g, grp in enumerate(groups)]
-        jk = None
-        if lt.join_keys is not None:
-            jk = [k for k, spec_k in zip(keys, lt.keys) if spec_k in lt.join_keys]
-            jk = [k if isinstance(k, str) else k[0] for k in jk]
-        df = latest_joint_max(df, keys, maxes if len(maxes) > 1 else maxes[0], join_keys=jk)
+        lit = f"DATE '{(as_of or dt.date.today()).isoformat()}'"
+        df = df.withColumns({n: _expr(e.replace("{as_of}", lit)) for n, e in spec.derived})
+    lt = spec.latest
+    if lt is not None and lt.stage == "form":
+        df = _apply_latest(df, lt)
     for p in spec.parents:
-        parent = io.table(p.table)
-        if p.where:
-            parent = parent.filter(F.expr(p.where))
-        cols = dict(p.columns)
-        keep = [F.col(pc).alias(f"__p_{pc}") for _, pc in p.on] + \
-               [F.col(pc).alias(out) for pc, out in cols.items()]
-        parent = parent.select(*keep)
-        if p.table in ("facility", "facilities"):
-            parent = broadcast_if_small(parent)
-        cond = None
-        for cc, pc in p.on:
-            e = df[cc] == parent[f"__p_{pc}"]
-            cond = e if cond is None else cond & e
-        if p.kind == "semi":
-            df = df.join(parent, cond, "left_semi")
-        else:
-            df = df.join(parent, cond, "inner").drop(*[f"__p_{pc}" for _, pc in p.on])
+        df = _join_parent(df, p, io)
+    if lt is not None and lt.stage == "joined":
+        df = _apply_latest(df, lt)
     for w in spec.where:
         df = df.filter(F.expr(w))
+    if spec.group_by:
+        df = df.groupBy(*[_expr(g) for g in spec.group_by]).agg(
+            *[F.expr(e).alias(n) for n, e in spec.aggregates])
     return df
 
 
 def build_load(spec: LoadSpec, io, as_of: dt.date) -> DataFrame:
     """The rows this load appends (lazy)."""
-    df = scan(spec, io)
+    df = scan(spec, io, as_of)
     # Output contract first: the DISTINCT of the source text is over its select list.
     pre_cols = [c for c in spec.columns if c in df.columns]
     missing = [c for c in spec.columns if c not in df.columns]
@@ -162,7 +183,8 @@ def build_load(spec: LoadSpec, io, as_of: dt.date) -> DataFrame:
             batch = {c: _rule_column(rs[level], as_of) for c, rs in by_col.items() if len(rs) > level}
             df = df.withColumns(batch)
     for lk in spec.lookups:
-        df = standardise(df, lk.column, io.table(lk.table), lk.source, lk.target, lk.case_insensitive)
+        df = standardise(df, lk.column, io.table(lk.table), lk.source, lk.target, lk.case_insensitive,
+                         default=R.KEEP if lk.default is None else lk.default)
     tgt = io.target(spec.target)
     if tgt is not None and (spec.delta_keys or spec.delta_plain_keys):
         def conv(k):

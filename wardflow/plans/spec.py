@@ -26,6 +26,7 @@ class Latest:
     keys: tuple
     maxes: tuple
     join_keys: tuple | None = None
+    stage: str = "form"   # "form": over the form alone; "joined": after the parent joins
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,7 @@ class Lookup:
     source: str = "source_name"
     target: str = "target_name"
     case_insensitive: bool = False
+    default: str | None = None     # None: keep the raw value; else coalesce(target, raw, default)
 
 
 @dataclass(frozen=True)
@@ -80,7 +82,10 @@ class LoadSpec:
     lookups: tuple = ()
     hashes: tuple = ()             # ((id column, digest column), ...)
     write_partitions: int | str | None = None   # int, "config" or None
-    derived: tuple = ()            # ((name, sql expr), ...) computed right after the scan
+    derived: tuple = ()            # ((name, sql expr), ...) computed right after the scan;
+                                   # "{as_of}" in an expression is the injected load date
+    group_by: tuple = ()           # scan-level GROUP BY (names or "expr AS name")
+    aggregates: tuple = ()         # ((name, sql aggregate expr), ...) for group_by
     notes: str = ""
     module: str = field(default="", compare=False)
 
@@ -93,3 +98,8 @@ def rules_of(kind: str, columns, **params) -> tuple:
 
 def rule(column: str, kind: str, **params) -> Rule:
     return Rule(column, kind, tuple(sorted(params.items(), key=lambda kv: kv[0])))
+
+
+def cols(text: str) -> tuple:
+    """'A, B,C' -> ('A', 'B', 'C')."""
+    return tuple(c.strip() for c in text.split(",") if c.strip())
