@@ -82,3 +82,17 @@ def test_lookup_never_changes_row_count(spark):
     assert _rows(ci.fillna("~"), "v") == sorted([("A0",), ("Bee",), ("c",), ("~",)])
     dflt = standardise(df, "v", lk, default="Empty")
     assert _rows(dflt, "v") == sorted([("A0",), ("B",), ("c",), ("Empty",)])
+
+
+def test_row_number_spread_matches_window(spark, sf_small):
+    from pyspark.sql import Window
+
+    from wardflow.operators.latest import row_number_spread
+    o = spark.read.parquet(f"{sf_small}/orders.parquet")
+    # a hot key: every order of the first 300 order keys moved to one customer
+    o = o.withColumn("o_custkey", F.when(F.col("o_orderkey") < 300, F.lit(-1)).otherwise(F.col("o_custkey")))
+    w = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
+    want = _rows(o.withColumn("rank", F.row_number().over(w)), "o_orderkey", "rank")
+    got = _rows(row_number_spread(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], num_ranges=7),
+                "o_orderkey", "rank")
+    assert got == want

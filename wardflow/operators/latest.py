@@ -104,3 +104,30 @@ def last_per_key(df: DataFrame, keys, order, strategy: str = "aggregate") -> Dat
     top = base.groupBy(*key_names).agg(F.max(packed).alias("__top"))
     return top.select(*[F.col(k) for k in key_names if k in cols],
                       *[F.col(f"__top.__row.{c}").alias(c) for c in payload]).select(*cols)
+
+
+def row_number_spread(df: DataFrame, keys, order, out: str = "rank", num_ranges: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY keys ORDER BY order DESC)`` without
+    sending a whole key to one task.
+
+    1. range-partition on (keys, order) – a hot key spans several ranges;
+    2. number rows inside each (key, range) – groups bounded by range size;
+    3. per (key, range) counts -> running offset per key over the ranges
+       (one small row per key and range);
+    4. rank = offset + local number.
+
+    ``order`` must be a total order within a key (add a tie-break), as for
+    any deterministic row_number.
+    """
+    ks = list(keys)
+    ords = [F.col(o).desc() for o in order]
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(k) for k in ks], *ords).withColumn("__rng", F.spark_partition_id())
+    w_local = Window.partitionBy(*ks, "__rng").orderBy(*ords)
+    local = ranged.withColumn("__loc", F.row_number().over(w_local))
+    counts = ranged.groupBy(*ks, "__rng").agg(F.count(F.lit(1)).alias("__n"))
+    w_off = Window.partitionBy(*ks).orderBy("__rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0))).drop("__n")
+    return (local.join(offsets, [*ks, "__rng"])
+            .withColumn(out, (F.col("__off") + F.col("__loc")).cast("int"))
+            .drop("__rng", "__loc", "__off"))

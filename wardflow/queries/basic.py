@@ -38,7 +38,7 @@ def scan_derived_table(spark, sf):
 def scan_key_range(spark, sf):
     """Range-partitioned scan on a key (JDBC partitionColumn/bounds analogue)."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
-    return read_key_range(li, "l_suppkey", 0, 10_000, 8)
+    return read_key_range(li, "l_suppkey", 0, 10_000, 8, spread_by=["l_orderkey"])
 
 
 @query("temp_view_sql", oracle="""

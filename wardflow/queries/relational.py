@@ -264,11 +264,12 @@ def asof_last_event(spark, sf):
 SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey, o_orderstatus
         ORDER BY o_orderdate DESC, o_orderkey DESC) AS rank FROM orders""")
 def window_row_number(spark, sf):
-    """row_number() over (patient keys) ordered by date desc (with a tie-break)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("o_custkey", "o_orderstatus").orderBy(F.col("o_orderdate").desc(),
-                                                                F.col("o_orderkey").desc())
-    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.row_number().over(w).alias("rank"))
+    """row_number() over (patient keys) ordered by date desc (with a tie-break), computed
+    over key ranges so a hot key is numbered by several tasks."""
+    from wardflow.operators.latest import row_number_spread
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    return row_number_spread(o, ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"]) \
+        .select("o_orderkey", "o_custkey", "rank")
 
 
 _LI_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",

@@ -28,13 +28,16 @@ def read_query(spark: SparkSession, text: str, tables: dict | None = None, **arg
     return spark.sql(text, args=args or None)
 
 
-def read_key_range(df: DataFrame, column: str, lower, upper, num_partitions: int) -> DataFrame:
+def read_key_range(df: DataFrame, column: str, lower, upper, num_partitions: int,
+                   spread_by=()) -> DataFrame:
     """Key-range split of a scan (JDBC ``partitionColumn/lowerBound/upperBound``).
 
     Rows outside ``[lower, upper]`` are kept, as with JDBC stride splitting;
     the frame is range-partitioned on the key so each task owns one stride.
+    ``spread_by`` adds secondary range columns so a single hot key value (a
+    site with a third of all rows) is split over several tasks.
     """
-    return df.repartitionByRange(num_partitions, F.col(column))
+    return df.repartitionByRange(num_partitions, F.col(column), *[F.col(c) for c in spread_by])
 
 
 def jdbc_options(url: str, text: str | None = None, table: str | None = None,
