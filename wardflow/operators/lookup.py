@@ -28,18 +28,25 @@ def dedupe_lookup(lookup: DataFrame, source: str = "source_name", target: str =
             .groupBy("__src").agg(F.min("__tgt").alias("__tgt")))
 
 
+def prepare_lookup(lookup: DataFrame, source: str = "source_name", target: str = "target_name",
+                   case_insensitive: bool = False, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """De-duplicated, size-checked lookup ready for ``standardise(..., prepared=True)``;
+    prepare once when one lookup serves several columns."""
+    return broadcast_if_small(dedupe_lookup(lookup, source, target, case_insensitive), broadcast_max_rows)
+
+
 def standardise(df: DataFrame, column: str, lookup: DataFrame, source: str = "source_name",
                 target: str = "target_name", case_insensitive: bool = False,
                 default=KEEP, out: str | None = None,
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                broadcast_max_rows: int = BROADCAST_MAX_ROWS, prepared: bool = False) -> DataFrame:
     """Replace ``column`` by its lookup target; unmatched -> kept / NULL / default.
 
     ``default`` – ``KEEP`` (the value is kept), None, or a constant used when
     neither the lookup nor the value itself has one (``coalesce(target, value,
     default)``).
     """
-    lk = broadcast_if_small(dedupe_lookup(lookup, source, target, case_insensitive),
-                            broadcast_max_rows).alias("__lk")
+    lk = (lookup if prepared else
+          prepare_lookup(lookup, source, target, case_insensitive, broadcast_max_rows)).alias("__lk")
     key = F.upper(df[column]) if case_insensitive else df[column]
     joined = df.alias("__df").join(lk, key == F.col("__lk.__src"), "left")
     value = F.col(f"__df.{column}")

@@ -12,7 +12,7 @@ from wardflow.functions import rules as R
 from wardflow.functions.hashing import hash_columns
 from wardflow.operators.delta import new_records
 from wardflow.operators.latest import latest_joint_max
-from wardflow.operators.lookup import standardise
+from wardflow.operators.lookup import prepare_lookup, standardise
 from wardflow.operators.joins import broadcast_if_small
 from wardflow.plans.spec import LoadSpec, Rule
 from wardflow.sources.audit import audited
@@ -182,9 +182,13 @@ def build_load(spec: LoadSpec, io, as_of: dt.date) -> DataFrame:
         for level in range(depth):
             batch = {c: _rule_column(rs[level], as_of) for c, rs in by_col.items() if len(rs) > level}
             df = df.withColumns(batch)
+    prepared: dict = {}
     for lk in spec.lookups:
-        df = standardise(df, lk.column, io.table(lk.table), lk.source, lk.target, lk.case_insensitive,
-                         default=R.KEEP if lk.default is None else lk.default)
+        ident = (lk.table, lk.source, lk.target, lk.case_insensitive)
+        if ident not in prepared:
+            prepared[ident] = prepare_lookup(io.table(lk.table), lk.source, lk.target, lk.case_insensitive)
+        df = standardise(df, lk.column, prepared[ident], case_insensitive=lk.case_insensitive,
+                         default=R.KEEP if lk.default is None else lk.default, prepared=True)
     tgt = io.target(spec.target)
     if tgt is not None and (spec.delta_keys or spec.delta_plain_keys):
         def conv(k):
