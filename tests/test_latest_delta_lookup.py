@@ -96,3 +96,10 @@ def test_row_number_spread_matches_window(spark, sf_small):
     got = _rows(row_number_spread(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], num_ranges=7),
                 "o_orderkey", "rank")
     assert got == want
+
+
+def test_lookup_conflicts_reported(spark):
+    from wardflow.operators.lookup import lookup_conflicts
+    lk = spark.createDataFrame([("a", "A1"), ("a", "A0"), ("b", "B"), ("b", "B")], "source_name string, target_name string")
+    rows = lookup_conflicts(lk).collect()
+    assert [(r.source, r.n_targets, r.targets) for r in rows] == [("a", 2, ["A0", "A1"])]

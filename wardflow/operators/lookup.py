@@ -59,3 +59,14 @@ def standardise(df: DataFrame, column: str, lookup: DataFrame, source: str = "so
     name = out or column
     cols = [F.col(f"__df.{c}") for c in df.columns if c != name]
     return joined.select(*cols, res.alias(name)).select(*(df.columns if name in df.columns else df.columns + [name]))
+
+
+def lookup_conflicts(lookup: DataFrame, source: str = "source_name", target: str = "target_name",
+                     case_insensitive: bool = False) -> DataFrame:
+    """Spellings mapped to more than one target (the rows ``standardise`` resolves
+    with ``min(target)``), for reporting alongside a load."""
+    src = F.upper(F.col(source)) if case_insensitive else F.col(source)
+    return (lookup.select(src.alias("source"), F.col(target).alias("target")).filter(F.col("source").isNotNull())
+            .groupBy("source").agg(F.countDistinct("target").alias("n_targets"),
+                                   F.sort_array(F.collect_set("target")).alias("targets"))
+            .filter(F.col("n_targets") > 1))

@@ -7,7 +7,7 @@ group by patient and facility columns, so they run after the parent joins.
 """
 
 from wardflow.plans import vocab as V
-from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, cols, rule, rules_of
+from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, cols, rule
 
 PATIENT = Parent("PatientExtract", (("PatientId", "ID"),),
                  columns=(("PatientCccNumber", "PatientID"), ("PatientPID", "PatientPK"), ("Gender", "Gender"),

@@ -5,7 +5,7 @@ FacilityId (an existence check unless the text takes the facility's name or
 code).  The latest rule runs over the form alone.
 """
 
-from wardflow.plans.spec import Latest, LoadSpec, Parent, cols, rule
+from wardflow.plans.spec import Latest, LoadSpec, Parent, cols
 
 FACILITIES = Parent("Facilities", (("FacilityId", "Id"),), kind="semi")
 FACILITIES_NAME = Parent("Facilities", (("FacilityId", "Id"),), columns=(("Name", "FacilityName"),))
