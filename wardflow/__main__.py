@@ -26,6 +26,9 @@ def main(argv=None) -> None:
     ld.add_argument("--target-dir", required=True)
     ld.add_argument("--as-of", default=None)
     ld.add_argument("--partitions", type=int, default=None, help="value for specs whose parallelism is configured")
+    ld.add_argument("--fixed-partitions", action="store_true",
+                    help="honour the specs' fixed writer counts instead of AQE rebalancing")
+    ld.add_argument("--partition-by", default="", help="comma-separated target layout columns, e.g. SiteCode")
     oc = sub.add_parser("outcomes")
     oc.add_argument("--target-dir", required=True)
     oc.add_argument("--out", required=True)
@@ -44,7 +47,9 @@ def main(argv=None) -> None:
     if a.cmd == "load":
         from wardflow.plans.run import ParquetIO, run_load
         as_of = dt.date.fromisoformat(a.as_of) if a.as_of else dt.date.today()
-        io = ParquetIO(spark, a.source_dir, a.target_dir, default_partitions=a.partitions)
+        io = ParquetIO(spark, a.source_dir, a.target_dir, default_partitions=a.partitions,
+                       fixed_partitions=a.fixed_partitions,
+                       partition_by=tuple(c for c in a.partition_by.split(",") if c))
         specs = list(SPECS.values()) if a.spec == "all" else [SPECS.get(a.spec) or by_id(a.spec)]
         for s in specs:
             print(json.dumps(run_load(s, io, as_of)))

@@ -2,14 +2,24 @@
 
 ``LEFT ANTI JOIN target ON s.k1 <=> t.k1 AND ...`` – null-safe keys treat
 NULL = NULL as "already loaded"; plain ``=`` keys make any row with a NULL key
-"always new".  Catalyst plans ``<=>`` keys as ordinary hash keys
-(``coalesce(k, default)``, ``isnull(k)``), so the anti join stays a
-hash-partitioned equi-join.
-
-Only the key columns of the target are read (column pruning reaches the
-Parquet scan) and they are de-duplicated with a map-side combined aggregate
-first, so a business key repeated a million times in the target costs one row
-per map task in the shuffle.
+"always new".
+
+Physical form (``split_nulls=True``, the default).  ``<=>`` keys would be
+planned as hash keys over ``coalesce(k, default), isnull(k)`` expressions,
+which no target layout can match, and which block dynamic partition pruning
+and runtime filters.  So the rows are split:
+
+* source rows whose null-safe keys are all non-NULL: plain ``=`` anti join on
+  the raw key columns against target rows with non-NULL keys – a target
+  bucketed or partitioned on the keys is joined without a full shuffle, and
+  the ``IS NOT NULL`` filters reach the scan;
+* source rows with a NULL key: null-safe anti join against only the target
+  rows that have a NULL key (``IS NULL`` pushed to the scan; Parquet null
+  counts skip most row groups).
+
+Only the key columns of the target are read, de-duplicated with a map-side
+combined aggregate first, so a business key repeated a million times in the
+target costs one row per map task in the shuffle.
 """
 
 from __future__ import annotations
@@ -28,8 +38,16 @@ def _expr(df: DataFrame, k) -> Column:
     return k
 
 
+def _any(cols):
+    return reduce(lambda a, b: a | b, cols)
+
+
+def _all(cols):
+    return reduce(lambda a, b: a & b, cols)
+
+
 def new_records(source: DataFrame, target: DataFrame, keys, plain_keys=(),
-                dedupe_target: bool = True) -> DataFrame:
+                dedupe_target: bool = True, split_nulls: bool = True) -> DataFrame:
     """Rows of ``source`` absent from ``target``.
 
     keys       – null-safe keys: names present on both sides, or
@@ -38,16 +56,27 @@ def new_records(source: DataFrame, target: DataFrame, keys, plain_keys=(),
     plain_keys – keys compared with ``=`` (NULL never matches).
     """
     specs = [(k, True) for k in keys] + [(k, False) for k in plain_keys]
-    tcols, conds_src = [], []
+    tcols, src_cols = [], []
     for i, (k, ns) in enumerate(specs):
         s, t = (k, k) if isinstance(k, str) else k
-        tname = f"__t{i}"
-        tcols.append(_expr(target, t).alias(tname))
-        conds_src.append((_expr(source, s), tname, ns))
+        tcols.append(_expr(target, t).alias(f"__t{i}"))
+        src_cols.append((_expr(source, s), f"__t{i}", ns))
     tk = target.select(*tcols)
-    if dedupe_target:
-        tk = tk.dropDuplicates()
-    tk = tk.alias("__tgt")
-    conds = [(s.eqNullSafe(F.col(f"__tgt.{n}")) if ns else (s == F.col(f"__tgt.{n}")))
-             for s, n, ns in conds_src]
-    return source.join(tk, reduce(lambda a, b: a & b, conds), "left_anti")
+    ns_names = [n for _, n, ns in src_cols if ns]
+
+    def anti(src: DataFrame, tkeys: DataFrame, null_safe: bool) -> DataFrame:
+        if dedupe_target:
+            tkeys = tkeys.dropDuplicates()
+        t = tkeys.alias("__tgt")
+        conds = [(s.eqNullSafe(F.col(f"__tgt.{n}")) if (ns and null_safe) else (s == F.col(f"__tgt.{n}")))
+                 for s, n, ns in src_cols]
+        return src.join(t, _all(conds), "left_anti")
+
+    if not split_nulls or not ns_names:
+        return anti(source, tk, True)
+    src_ns = [s for s, _, ns in src_cols if ns]
+    no_null_src = _all([s.isNotNull() for s in src_ns])
+    no_null_tgt = _all([F.col(n).isNotNull() for n in ns_names])
+    plain = anti(source.filter(no_null_src), tk.filter(no_null_tgt), False)
+    with_null = anti(source.filter(~no_null_src), tk.filter(~no_null_tgt), True)
+    return plain.unionByName(with_null)
