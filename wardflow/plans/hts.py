@@ -76,6 +76,10 @@ SPECS = [
         "pkv,RecordUUID",
         ("PatientPk", "SiteCode"), parents=(), hashes=(("NUPI", "NUPIHash"), ("PatientPk", "PatientPKHash")),
         latest=Latest(("SiteCode", "PatientPk"), ("ID", "cast(DateCreated as date)")),
+        derived=(("Dob", "cast(Dob as date)"), ("Gender", "left(Gender, 1)"),
+                 ("KeyPopulationType", "CAST(NULL AS STRING)"),
+                 ("DisabilityType", "coalesce(PatientDisabled, '')"),
+                 ("PatientDisabled", "coalesce(PatientDisabled, '')")),
         where=(EXTRACTED_CUTOFF,),
         rules=(rule("Dob", "date", lo="1910-01-01", hi="today", fill=None), rc("Gender", V.GENDER_MF),
                rule("PatientDisabled", "present")),
