@@ -38,3 +38,32 @@ def test_spec_runs(spark, name):
 def test_all_51_specs_present():
     ids = sorted(n.split("_")[0] for n in SPECS)
     assert ids == [f"p{i:02d}" for i in range(1, 52)]
+
+
+def test_ct_values_flow_through_rules(spark):
+    """Patient-sourced Emr/Project, in-scan project map, visit cleaning rules."""
+    from pyspark.sql import functions as F
+    spec = SPECS["p23_patient_visits"]
+    io, _ = build_io(spark, spec)
+    io.tables["PatientExtract"] = io.tables["PatientExtract"].withColumns(
+        {"Project": F.lit("HMIS"), "Emr": F.lit("KenyaEMR")})
+    io.tables[spec.source] = io.tables[spec.source].withColumns({
+        "Weight": F.lit("250"), "Height": F.lit(""), "Pregnant": F.lit("LIVE BIRTH"),
+        "DifferentiatedCare": F.lit("FADG"),
+        "NextAppointmentDate": F.lit(dt.date(2025, 6, 1)), "OIDate": F.lit(dt.date(1999, 12, 31))})
+    r = build_load(spec, io, AS_OF).first()
+    assert (r.Project, r.Emr) == ("Kenya HMIS II", "KenyaEMR")
+    assert (r.Weight, r.Height, r.Pregnant) == ("999", None, "Yes")
+    assert r.DifferentiatedCare == "Facility ART distribution Group"
+    assert r.NextAppointmentDate == dt.date(1900, 1, 1)   # beyond as_of + 1 year
+    assert r.OIDate == dt.date(1900, 1, 1)                # before 2000-01-01
+
+
+def test_adverse_event_cause_vocabulary(spark):
+    from pyspark.sql import functions as F
+    spec = SPECS["p02_adverse_events"]
+    io, _ = build_io(spark, spec)
+    io.tables[spec.source] = io.tables[spec.source].withColumns(
+        {"AdverseEventCause": F.lit("isoniazid efavirenz"), "Severity": F.lit("Moderate|Mild")})
+    r = build_load(spec, io, AS_OF).first()
+    assert (r.AdverseEventCause, r.Severity, r.LoadDate.date()) == ("ARV + OTHER DRUGS", "Unknown", AS_OF)

@@ -11,7 +11,7 @@ from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, cols, rule
 
 PATIENT = Parent("PatientExtract", (("PatientId", "ID"),),
                  columns=(("PatientCccNumber", "PatientID"), ("PatientPID", "PatientPK"), ("Gender", "Gender"),
-                          ("FacilityId", "FacilityId")))
+                          ("FacilityId", "FacilityId"), ("Emr", "Emr"), ("Project", "Project")))
 FACILITY = Parent("Facility", (("FacilityId", "Id"),), where="NOT coalesce(CAST(Voided AS BOOLEAN), false)",
                   columns=(("Code", "SiteCode"), ("Name", "FacilityName")))
 FACILITY_ANY = Parent("Facility", (("FacilityId", "Id"),), columns=(("Code", "SiteCode"), ("Name", "FacilityName")))
@@ -33,8 +33,16 @@ def num(col, lo=None, hi=None, fill=999):
     return rule(col, "number", lo=lo, hi=hi, fill=fill)
 
 
+# scan texts that map the patient's project names in the select list
+PROJECT_CASE_IN_SCAN = {"p01", "p02", "p03", "p06", "p09", "p10", "p11", "p14", "p16", "p17", "p18", "p19", "p20",
+                        "p21", "p22", "p23"}
+
+
 def ct(pid, name, source, target, columns, delta, where=(GENDER_OK, CODE_OK), parents=CT_PARENTS, **kw):
     kw.setdefault("hashes", HASH_ID_PK)
+    if pid in PROJECT_CASE_IN_SCAN:
+        kw["rules"] = (rc("Project", V.PROJECT_IN_SCAN),) + tuple(r for r in kw.get("rules", ())
+                                                                   if r != rc("Project", V.PROJECT_IN_SCAN))
     return LoadSpec(name=f"{pid}_{name}", source=source, target=target, columns=cols(columns),
                     delta_keys=tuple(delta), parents=parents, where=tuple(where), module="ct", **kw)
 

@@ -182,9 +182,10 @@ def build_load(spec: LoadSpec, io, as_of: dt.date) -> DataFrame:
     """The rows this load appends (lazy)."""
     df = scan(spec, io, as_of)
     # Output contract first: the DISTINCT of the source text is over its select list.
-    pre_cols = [c for c in spec.columns if c in df.columns]
-    missing = [c for c in spec.columns if c not in df.columns]
-    df = df.select(*pre_cols, *[F.lit(None).cast("string").alias(c) for c in missing])
+    # Names resolve case-insensitively (EMR / Emr); the contract's spelling wins.
+    have = {c.lower(): c for c in df.columns}
+    df = df.select(*[(F.col(f"`{have[c.lower()]}`") if c.lower() in have else F.lit(None).cast("string")).alias(c)
+                     for c in spec.columns])
     if spec.distinct:
         df = df.distinct()
     if spec.rules:
