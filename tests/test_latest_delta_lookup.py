@@ -103,3 +103,15 @@ def test_lookup_conflicts_reported(spark):
     lk = spark.createDataFrame([("a", "A1"), ("a", "A0"), ("b", "B"), ("b", "B")], "source_name string, target_name string")
     rows = lookup_conflicts(lk).collect()
     assert [(r.source, r.n_targets, r.targets) for r in rows] == [("a", 2, ["A0", "A1"])]
+
+
+def test_new_records_split_equals_single(spark, sf_small):
+    o = spark.read.parquet(f"{sf_small}/orders.parquet")
+    src = o.select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.lit(None)).otherwise(F.col("o_custkey"))
+                   .alias("k2"), "o_orderdate")
+    tgt = src.filter(F.col("o_orderdate") < F.lit(dt.datetime(1999, 1, 1)))
+    a = new_records(src, tgt, ["o_orderkey", "k2"], split_nulls=False)
+    b = new_records(src, tgt, ["o_orderkey", "k2"], split_nulls=True)
+    key = lambda r: (r[0], r[1] is None, r[1] or 0)
+    assert sorted(a.select("o_orderkey", "k2").collect(), key=key) == \
+        sorted(b.select("o_orderkey", "k2").collect(), key=key)

@@ -4,10 +4,11 @@
 NULL = NULL as "already loaded"; plain ``=`` keys make any row with a NULL key
 "always new".
 
-Physical form (``split_nulls=True``, the default).  ``<=>`` keys would be
-planned as hash keys over ``coalesce(k, default), isnull(k)`` expressions,
-which no target layout can match, and which block dynamic partition pruning
-and runtime filters.  So the rows are split:
+Physical form.  ``<=>`` keys are planned as hash keys over
+``coalesce(k, default), isnull(k)`` expressions – one hash-partitioned anti
+join, the default.  Those expressions match no target layout and block
+dynamic partition pruning and runtime filters, so with ``split_nulls=True``
+the rows are split instead:
 
 * source rows whose null-safe keys are all non-NULL: plain ``=`` anti join on
   the raw key columns against target rows with non-NULL keys – a target
@@ -17,6 +18,11 @@ and runtime filters.  So the rows are split:
   rows that have a NULL key (``IS NULL`` pushed to the scan; Parquet null
   counts skip most row groups).
 
+The split filters the source twice and Catalyst pushes both filters down, so
+the source plan runs twice: use it when the source is cheap next to a large,
+bucketed or partitioned target (streaming micro-batches), not when the source
+is a full re-scan of the form.
+
 Only the key columns of the target are read, de-duplicated with a map-side
 combined aggregate first, so a business key repeated a million times in the
 target costs one row per map task in the shuffle.
@@ -47,7 +53,7 @@ def _all(cols):
 
 
 def new_records(source: DataFrame, target: DataFrame, keys, plain_keys=(),
-                dedupe_target: bool = True, split_nulls: bool = True) -> DataFrame:
+                dedupe_target: bool = True, split_nulls: bool = False) -> DataFrame:
     """Rows of ``source`` absent from ``target``.
 
     keys       – null-safe keys: names present on both sides, or
