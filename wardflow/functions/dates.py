@@ -43,4 +43,4 @@ def month_diff_boundary(a, b) -> Column:
 
 def end_of_month_instant(c) -> Column:
     """dateadd(s, -1, first instant of next month): last second of the month."""
-    return (F.to_timestamp(F.add_months(month_start(c), 1)) - F.expr("INTERVAL 1 SECOND")).cast("timestamp_ntz")
+    return F.add_months(month_start(c), 1).cast("timestamp_ntz") - F.expr("INTERVAL 1 SECOND")

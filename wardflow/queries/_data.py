@@ -17,3 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def day(c: str):
     return F.to_date(F.col(c))
+
+
+def ntz(d: dt.datetime):
+    """A zone-free TIMESTAMP_NTZ literal (compares with the tables' NTZ columns
+    without going through the session time zone)."""
+    return F.expr(f"TIMESTAMP_NTZ '{d.isoformat(sep=' ')}'")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from wardflow.operators.delta import new_records
 from wardflow.operators.joins import broadcast_if_small, parent_exists
 from wardflow.queries import query
-from wardflow.queries._data import AS_OF, table
+from wardflow.queries._data import AS_OF, ntz, table
 from wardflow.session import scratch_path
 from wardflow.sources.audit import audited
 from wardflow.sources.conform import conform
@@ -113,7 +113,7 @@ SELECT (SELECT count(*) FROM orders s WHERE NOT EXISTS
 def load_audit_counts(spark, sf):
     """New / seen / total counted by observation during the one write action."""
     src = table(spark, sf, "orders")
-    tgt = src.filter(F.col("o_orderdate") < F.lit(dt.datetime(1999, 1, 1)))
+    tgt = src.filter(F.col("o_orderdate") < ntz(dt.datetime(1999, 1, 1)))
     src_o, total = audited(src.select("o_orderkey"), "total")
     new_o, new = audited(new_records(src_o, tgt, ["o_orderkey"]), "new")
     new_o.write.format("noop").mode("overwrite").save()
@@ -174,7 +174,7 @@ SELECT o_orderkey, TIMESTAMP '2000-12-31 00:00:00' AS LoadDate, DATE '2000-12-31
 def audit_stamp(spark, sf):
     """Load-date stamps from an injected as-of date (no clock call)."""
     return table(spark, sf, "orders").select(
-        "o_orderkey", F.lit(dt.datetime.combine(AS_OF, dt.time())).cast("timestamp_ntz").alias("LoadDate"),
+        "o_orderkey", ntz(dt.datetime.combine(AS_OF, dt.time())).alias("LoadDate"),
         F.lit(AS_OF).alias("DateAsOf"))
 
 
@@ -224,7 +224,7 @@ SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '1999-0
 def filter_date_cutoff(spark, sf):
     """Extraction-date cut-off (pushes to the Parquet scan)."""
     return table(spark, sf, "orders").select("o_orderkey", "o_orderdate") \
-        .filter(F.col("o_orderdate") > F.lit(dt.datetime(1999, 9, 8)))
+        .filter(F.col("o_orderdate") > ntz(dt.datetime(1999, 9, 8)))
 
 
 @query("filter_non_empty", oracle="""

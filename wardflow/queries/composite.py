@@ -11,7 +11,7 @@ from wardflow.operators.asof import monthly_outcomes
 from wardflow.plans.run import FrameIO, build_load
 from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, rule
 from wardflow.queries import query
-from wardflow.queries._data import AS_OF, table
+from wardflow.queries._data import AS_OF, ntz, table
 from wardflow.sources.sinks import apply_corrections
 
 # =============================================================== orders as visits
@@ -54,7 +54,7 @@ def _visit_io(spark, sf):
     lkp = (o.select(F.col("o_orderpriority").alias("source_name")).distinct()
            .filter(F.col("source_name") != "5-LOW")
            .withColumn("target_name", F.upper(F.substring("source_name", 3, 100))))
-    target = (o.filter(F.col("o_orderdate") < F.lit(dt.datetime(1999, 7, 1)))
+    target = (o.filter(F.col("o_orderdate") < ntz(dt.datetime(1999, 7, 1)))
               .join(c, o["o_custkey"] == c["c_custkey"])
               .select(F.col("o_custkey").alias("PatientPK"), F.col("c_nationkey").alias("SiteCode"),
                       F.col("o_orderkey").alias("ID")))
@@ -134,7 +134,7 @@ def incremental_load_events(spark, sf):
     extract = e.select(F.col("event_id").alias("EventID"), F.col("user_id").alias("UserID"),
                        F.col("ts").alias("EventTime"),
                        F.when(F.col("event_id") % 12 == 0, F.lit("N/A")).otherwise(F.col("event_type")).alias("Kind"))
-    loaded = e.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 15))) \
+    loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 15))) \
         .select(F.col("user_id").alias("UserID"), F.col("ts").alias("EventTime"))
     return build_load(EVENT_SPEC, FrameIO({"event_extract": extract}, {"events_loaded": loaded}), AS_OF)
 
@@ -168,7 +168,7 @@ def incremental_load_lineitem(spark, sf):
     extract = li.select(F.col("l_orderkey").alias("OrderKey"), F.col("l_linenumber").alias("LineNo"),
                         F.col("l_partkey").alias("PartKey"), F.col("l_shipdate").alias("ShipDate"),
                         F.col("l_quantity").alias("Quantity"))
-    loaded = li.filter(F.col("l_shipdate") < F.lit(dt.datetime(1999, 1, 1))) \
+    loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1999, 1, 1))) \
         .select(F.col("l_orderkey").alias("OrderKey"), F.col("l_linenumber").alias("LineNo"))
     return build_load(LINE_SPEC, FrameIO({"line_extract": extract}, {"lines_loaded": loaded}), AS_OF)
 
@@ -326,7 +326,7 @@ def streaming_incremental_events(spark, sf):
                        F.when(F.col("event_id") % 12 == 0, F.lit("N/A")).otherwise(F.col("event_type")).alias("Kind"))
     src, tgt = scratch_path(spark, "events-src"), scratch_path(spark, "events-tgt")
     ckpt = scratch_path(spark, "events-ckpt")
-    cut = F.lit(dt.datetime(2024, 1, 15))
+    cut = ntz(dt.datetime(2024, 1, 15))
     # first delivery, first run of the stream
     extract.filter(F.col("EventTime") < cut).write.parquet(f"{src}/delivery=1")
     stream_load(spark, EVENT_SPEC, src, tgt, AS_OF, checkpoint=ckpt).awaitTermination()

@@ -12,7 +12,7 @@ from wardflow.operators.delta import new_records
 from wardflow.operators.latest import last_per_key, latest_joint_max
 from wardflow.operators.lookup import prepare_lookup, standardise
 from wardflow.queries import query
-from wardflow.queries._data import table
+from wardflow.queries._data import ntz, table
 
 # ---------------------------------------------------------------- J3-J6 lookups
 
@@ -119,7 +119,7 @@ def delta_anti_nullsafe(spark, sf):
     """New records by null-safe LEFT ANTI join (NULL = NULL counts as loaded)."""
     o = table(spark, sf, "orders")
     src = o.select("o_orderkey", _k2(o, 17).alias("k2"), "o_orderdate")
-    tgt = src.filter(F.col("o_orderdate") < F.lit(dt.datetime(1999, 1, 1)))
+    tgt = src.filter(F.col("o_orderdate") < ntz(dt.datetime(1999, 1, 1)))
     return new_records(src, tgt, ["o_orderkey", "k2"]).select("o_orderkey", "k2")
 
 
@@ -131,7 +131,7 @@ def delta_anti_cast_key(spark, sf):
     """Anti join with a key cast on one side: to_date(ts) <=> date."""
     e = table(spark, sf, "events")
     src = e.select("event_id", "user_id", "ts")
-    tgt = e.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 20))).select("user_id", F.to_date("ts").alias("d"))
+    tgt = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 20))).select("user_id", F.to_date("ts").alias("d"))
     return new_records(src, tgt, ["user_id", (F.to_date(src["ts"]), tgt["d"])])
 
 
@@ -145,7 +145,7 @@ def delta_anti_mixed_eq(spark, sf):
     o = table(spark, sf, "orders")
     src = o.select("o_custkey", F.when(o["o_orderkey"] % 13 == 0, F.lit(None)).otherwise(o["o_orderkey"]).alias("k2"),
                    "o_orderdate")
-    tgt = src.filter(F.col("o_orderdate") < F.lit(dt.datetime(1999, 1, 1)))
+    tgt = src.filter(F.col("o_orderdate") < ntz(dt.datetime(1999, 1, 1)))
     return new_records(src, tgt, ["o_custkey"], plain_keys=["k2"]).select("o_custkey", "k2")
 
 
