@@ -53,13 +53,17 @@ def _all(cols):
 
 
 def new_records(source: DataFrame, target: DataFrame, keys, plain_keys=(),
-                dedupe_target: bool = True, split_nulls: bool = False) -> DataFrame:
+                dedupe_target: bool = True, split_nulls: bool = False, prune_on=()) -> DataFrame:
     """Rows of ``source`` absent from ``target``.
 
     keys       – null-safe keys: names present on both sides, or
                  ``(source_expr, target_expr)`` pairs for keys cast on one side
                  (e.g. ``(F.to_date('VisitDate'), F.col('VisitDate'))``).
     plain_keys – keys compared with ``=`` (NULL never matches).
+    prune_on   – key columns the target is partitioned by (with ``split_nulls``):
+                 the plain-key part first restricts the target to the values
+                 present in the source by a LEFT SEMI join, which Spark turns
+                 into dynamic partition pruning of the target scan.
     """
     specs = [(k, True) for k in keys] + [(k, False) for k in plain_keys]
     tcols, src_cols = [], []
@@ -83,6 +87,14 @@ def new_records(source: DataFrame, target: DataFrame, keys, plain_keys=(),
     src_ns = [s for s, _, ns in src_cols if ns]
     no_null_src = _all([s.isNotNull() for s in src_ns])
     no_null_tgt = _all([F.col(n).isNotNull() for n in ns_names])
-    plain = anti(source.filter(no_null_src), tk.filter(no_null_tgt), False)
+    src_nn = source.filter(no_null_src)
+    tk_nn = tk.filter(no_null_tgt)
+    if prune_on:
+        idx = {k if isinstance(k, str) else None: i for i, (k, _) in enumerate(specs)}
+        cols = [c for c in prune_on if c in idx]
+        if cols:
+            vals = src_nn.select(*[F.col(c).alias(f"__t{idx[c]}") for c in cols]).distinct()
+            tk_nn = tk_nn.join(vals, [f"__t{idx[c]}" for c in cols], "left_semi")
+    plain = anti(src_nn, tk_nn, False)
     with_null = anti(source.filter(~no_null_src), tk.filter(~no_null_tgt), True)
     return plain.unionByName(with_null)

@@ -222,8 +222,8 @@ def scan(spec: LoadSpec, io, as_of: dt.date | None = None) -> DataFrame:
     return df
 
 
-def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False) -> DataFrame:
-    """The rows this load appends (lazy).  ``split_nulls`` – see ``new_records``."""
+def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, prune_on=()) -> DataFrame:
+    """The rows this load appends (lazy).  ``split_nulls`` / ``prune_on`` – see ``new_records``."""
     df = scan(spec, io, as_of)
     # Output contract first: the DISTINCT of the source text is over its select list.
     # Names resolve case-insensitively (EMR / Emr); the contract's spelling wins.
@@ -255,7 +255,8 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False) ->
                 return (_expr(k[0]), _expr(k[1]))
             return k
         df = new_records(df, tgt, [conv(k) for k in spec.delta_keys],
-                         plain_keys=[conv(k) for k in spec.delta_plain_keys], split_nulls=split_nulls)
+                         plain_keys=[conv(k) for k in spec.delta_plain_keys], split_nulls=split_nulls,
+                         prune_on=[c for c in prune_on if c in spec.delta_keys])
     if spec.hashes:
         df = hash_columns(df, dict(spec.hashes))
     return df.select(*spec.columns, *[h for _, h in spec.hashes])

@@ -35,8 +35,15 @@ def stream_load(spark: SparkSession, spec: LoadSpec, source_path: str, target_pa
                 as_of: dt.date, static_tables: dict[str, DataFrame] | None = None,
                 checkpoint: str | None = None, available_now: bool = True,
                 max_files_per_trigger: int | None = None,
-                target_reader: Callable[[], DataFrame | None] | None = None):
-    """Start the stream; with ``available_now`` it processes what is there and stops."""
+                target_reader: Callable[[], DataFrame | None] | None = None,
+                partition_by: tuple = ()):
+    """Start the stream; with ``available_now`` it processes what is there and stops.
+
+    ``partition_by`` lays the target out by delta-key columns (e.g. SiteCode);
+    each micro-batch then reads only the target partitions of the values it
+    carries (dynamic partition pruning through a semi join), not the whole
+    target.
+    """
     schema = spark.read.parquet(source_path).schema
     schema = type(schema)([f for f in schema.fields if f.name not in _partition_columns(source_path, spark)])
     reader = spark.readStream.schema(schema)
@@ -59,7 +66,11 @@ def stream_load(spark: SparkSession, spec: LoadSpec, source_path: str, target_pa
         io = FrameIO(tables, {spec.target: tgt} if tgt is not None else {})
         # a micro-batch is small next to the target: split NULL keys off so the
         # plain-key anti join can use the target's layout
-        build_load(spec, io, as_of, split_nulls=True).write.mode("append").parquet(target_path)
+        out = build_load(spec, io, as_of, split_nulls=True, prune_on=partition_by)
+        w = out.write.mode("append")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(target_path)
 
     ckpt = checkpoint or scratch_path(spark, f"stream-{spec.name}")
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", ckpt)
