@@ -4,6 +4,10 @@ Scan shape of these forms: form -> PatientExtract (form.PatientId = P.ID) ->
 Facility (P.FacilityId = F.Id, F.Voided = 0); PatientID/PatientPK come from the
 patient, SiteCode/FacilityName from the facility.  Latest rules of this family
 group by patient and facility columns, so they run after the parent joins.
+
+FIXED VALUES: the source and target table names, the output column lists (in
+order), key columns, date bounds and numeric thresholds below are the load
+jobs' contracts and must equal them; they are stated as given.
 """
 
 from wardflow.plans import vocab as V

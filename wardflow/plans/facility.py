@@ -1,4 +1,9 @@
-"""Facility master and upload-manifest load specs."""
+"""Facility master and upload-manifest load specs.
+
+FIXED VALUES: the source and target table names, the output column lists (in
+order), key columns, date bounds and numeric thresholds below are the load
+jobs' contracts and must equal them; they are stated as given.
+"""
 
 from wardflow.plans.spec import LoadSpec, cols
 

@@ -3,6 +3,10 @@
 Forms carry SiteCode/PatientPk themselves; the Clients table is only an
 existence check (written as a semi join).  Several HTS rules null out invalid
 values instead of writing sentinels.
+
+FIXED VALUES: the source and target table names, the output column lists (in
+order), key columns, date bounds and numeric thresholds below are the load
+jobs' contracts and must equal them; they are stated as given.
 """
 
 from wardflow.plans import vocab as V

@@ -3,6 +3,10 @@
 Forms carry PatientPk/SiteCode; the Facilities table is joined on the form's
 FacilityId (an existence check unless the text takes the facility's name or
 code).  The latest rule runs over the form alone.
+
+FIXED VALUES: the source and target table names, the output column lists (in
+order), key columns, date bounds and numeric thresholds below are the load
+jobs' contracts and must equal them; they are stated as given.
 """
 
 from wardflow.plans.spec import Latest, LoadSpec, Parent, cols

@@ -4,6 +4,10 @@ Forms carry PatientPk/SiteCode; PrepPatients is an existence check.  Most
 forms apply two latest rules at once (newest by creation day and newest by
 extraction day), both over the unfiltered form.  Text fields use '' for
 missing values, so many columns get blank -> NULL.
+
+FIXED VALUES: the source and target table names, the output column lists (in
+order), key columns, date bounds and numeric thresholds below are the load
+jobs' contracts and must equal them; they are stated as given.
 """
 
 from wardflow.plans import vocab as V
