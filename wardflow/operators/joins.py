@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Largest lookup / dimension broadcast without a shuffle.  The check reads at
 #: most this many rows + 1, so it is cheap whatever the frame's real size.
+#: Only narrow frames are broadcast here (two-column lookups, facility id /
+#: code / name), so 200k rows stay well under ~50 MB per executor.
 BROADCAST_MAX_ROWS = 200_000
 
 
