@@ -24,3 +24,29 @@ def test_cli_load_twice(spark):
     assert first.columns == list(spec.columns) + [h for _, h in spec.hashes]
     main(args)
     assert spark.read.parquet(os.path.join(tgt, spec.target)).count() == n1
+
+
+def test_cli_monthly_outcomes(spark):
+    """The outcome job over ODS-shaped targets, written partitioned by month."""
+    D = dt.date
+    base = tempfile.mkdtemp(prefix="wf-out-")
+    keys = "PatientPK long, PatientID string, SiteCode int"
+    spark.createDataFrame([(1, "P1", 5, D(2020, 1, 10), D(2020, 2, 9)), (2, "P2", 5, D(2020, 3, 1), None)],
+                          f"{keys}, VisitDate date, NextAppointmentDate date") \
+        .write.parquet(os.path.join(base, "ods", "CT_PatientVisits"))
+    spark.createDataFrame([(1, "P1", 5, D(2020, 2, 1), D(2020, 4, 1))],
+                          f"{keys}, DispenseDate date, ExpectedReturn date") \
+        .write.parquet(os.path.join(base, "ods", "CT_PatientPharmacy"))
+    spark.createDataFrame([(2, "P2", 5, D(2020, 5, 5), "DIED", None)],
+                          f"{keys}, ExitDate date, ExitReason string, EffectiveDiscontinuationDate date") \
+        .write.parquet(os.path.join(base, "ods", "CT_PatientStatus"))
+    spark.createDataFrame([(1, "P1", 5, D(2019, 1, 1)), (2, "P2", 5, D(2019, 1, 1))],
+                          f"{keys}, StartARTDate date") \
+        .write.parquet(os.path.join(base, "ods", "CT_ARTPatients"))
+    out = os.path.join(base, "out")
+    main(["outcomes", "--target-dir", os.path.join(base, "ods"), "--out", out,
+          "--start", "2020-01-01", "--end", "2020-06-30"])
+    got = {(r.PatientID, str(r.AsOfDate)[:7]): r.ARTOutcome for r in spark.read.parquet(out).collect()}
+    assert got[("P1", "2020-01")] == "V" and got[("P1", "2020-06")] == "uL"
+    assert got[("P2", "2020-04")] == "NV" and got[("P2", "2020-05")] == "D"
+    assert ("P2", "2020-02") not in got
