@@ -50,3 +50,16 @@ def test_cli_monthly_outcomes(spark):
     assert got[("P1", "2020-01")] == "V" and got[("P1", "2020-06")] == "uL"
     assert got[("P2", "2020-04")] == "NV" and got[("P2", "2020-05")] == "D"
     assert ("P2", "2020-02") not in got
+
+
+def test_cli_repair_dates(spark):
+    base = tempfile.mkdtemp(prefix="wf-rep-")
+    rows = [("k1", "2023-12-25", "25/12/2023"), ("k2", "n/a", None), ("k3", "05/12/2023", "2023-01-31")]
+    spark.createDataFrame(rows, "id string, TestKitExpiry1 string, TestKitExpiry2 string") \
+        .write.parquet(os.path.join(base, "HTS_TestKits"))
+    out = os.path.join(base, "repaired")
+    main(["repair-dates", "--table", os.path.join(base, "HTS_TestKits"), "--out", out])
+    got = {r.id: (r.TestKitExpiry1, r.TestKitExpiry2) for r in spark.read.parquet(out).collect()}
+    D = dt.date
+    assert got == {"k1": (D(2023, 12, 25), D(2023, 12, 25)), "k2": (None, None),
+                   "k3": (D(2023, 12, 5), D(2023, 1, 31))}

@@ -4,6 +4,7 @@
   python -m wardflow load p23 --source-dir S --target-dir T [--as-of 2024-01-31] [--partitions 50]
   python -m wardflow load all --source-dir S --target-dir T
   python -m wardflow outcomes --target-dir T --out O --start 2017-01-01 --end 2023-03-31
+  python -m wardflow repair-dates --table T/HTS_TestKits --out T/HTS_TestKits_repaired
 
 Sources are folders ``S/<table>`` (forms, parents, lookups); targets live in
 ``T/<target table>``.  Runs under whatever master spark-submit provides.
@@ -29,6 +30,10 @@ def main(argv=None) -> None:
     ld.add_argument("--fixed-partitions", action="store_true",
                     help="honour the specs' fixed writer counts instead of AQE rebalancing")
     ld.add_argument("--partition-by", default="", help="comma-separated target layout columns, e.g. SiteCode")
+    rp = sub.add_parser("repair-dates")
+    rp.add_argument("--table", required=True, help="input Parquet folder (e.g. T/HTS_TestKits)")
+    rp.add_argument("--out", required=True, help="new folder for the repaired table")
+    rp.add_argument("--columns", default="TestKitExpiry1,TestKitExpiry2")
     oc = sub.add_parser("outcomes")
     oc.add_argument("--target-dir", required=True)
     oc.add_argument("--out", required=True)
@@ -53,6 +58,10 @@ def main(argv=None) -> None:
         specs = list(SPECS.values()) if a.spec == "all" else [SPECS.get(a.spec) or by_id(a.spec)]
         for s in specs:
             print(json.dumps(run_load(s, io, as_of)))
+    elif a.cmd == "repair-dates":
+        from wardflow.operators.repair import repair_dates
+        df = spark.read.parquet(a.table)
+        repair_dates(df, [c for c in a.columns.split(",") if c]).write.mode("errorifexists").parquet(a.out)
     elif a.cmd == "outcomes":
         from wardflow.operators.asof import monthly_outcomes
         from wardflow.sources.sinks import overwrite_partitions

@@ -6,13 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from wardflow.functions.rules import parse_mixed_date
 from wardflow.operators.asof import monthly_outcomes
 from wardflow.plans.run import FrameIO, build_load
 from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, rule
 from wardflow.queries import query
 from wardflow.queries._data import AS_OF, ntz, table
-from wardflow.sources.sinks import apply_corrections
+from wardflow.operators.repair import repair_dates
 
 # =============================================================== orders as visits
 # Mapping: customer = patient (SiteCode = nation), nation = facility,
@@ -300,11 +299,7 @@ def repair_mixed_dates(spark, sf):
            .when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "yyyy-MM-dd"))
            .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")))
     kits = li.select("l_orderkey", "l_linenumber", raw.alias("raw"), raw.alias("TestKitExpiry"))
-    fixes = (kits.select("raw").filter(F.col("raw").isNotNull()).distinct()
-             .withColumn("fixed", parse_mixed_date("raw")))
-    out = apply_corrections(kits.withColumn("TestKitExpiry", F.lit(None).cast("date")), fixes, "raw",
-                            {"TestKitExpiry": "fixed"})
-    return out
+    return repair_dates(kits, ["TestKitExpiry"])
 
 
 # =============================================================== streaming
