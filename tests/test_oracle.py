@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as se
-from wardflow.queries.oracle import compare, duckdb_views
+from wardflow.queries.oracle import compare, duckdb_views, type_differences
 
 QUERIES = se.queries()
 ORACLES = se.oracle_sql()
@@ -23,6 +23,7 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
         return
     why = compare(pdf, duck.execute(ORACLES[name]).df())
     assert why is None, why
+    assert type_differences(df.schema, duck.sql(ORACLES[name])) == {}
 
 
 def test_entry_smoke(spark):

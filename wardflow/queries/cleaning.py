@@ -64,7 +64,7 @@ def scalar_strings(spark, sf):
     """LEFT, SUBSTRING, LEN, UPPER."""
     c = table(spark, sf, "customer")
     return c.select("c_custkey", F.left("c_name", F.lit(1)).alias("initial"),
-                    F.substring("c_name", 10, 9).alias("digits"), F.length("c_name").alias("len"),
+                    F.substring("c_name", 10, 9).alias("digits"), F.length("c_name").cast("long").alias("len"),
                     F.upper(F.lower("c_mktsegment")).alias("segment"))
 
 
@@ -88,7 +88,8 @@ SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m,
 def date_month_end(spark, sf):
     """year, month, datefromparts, eomonth."""
     o = table(spark, sf, "orders")
-    return o.select("o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"),
+    return o.select("o_orderkey", F.year("o_orderdate").cast("long").alias("y"),
+                    F.month("o_orderdate").cast("long").alias("m"),
                     D.month_start("o_orderdate").alias("month_start"), D.month_end("o_orderdate").alias("month_end"))
 
 
@@ -115,9 +116,9 @@ def date_diff_boundary(spark, sf):
     """datediff day; year and month as boundary counts."""
     o = table(spark, sf, "orders")
     ref = F.lit(dt.date(2000, 1, 1))
-    return o.select("o_orderkey", D.day_diff("o_orderdate", ref).alias("days"),
-                    D.year_diff_boundary(F.to_date("o_orderdate"), ref).alias("years"),
-                    D.month_diff_boundary(F.to_date("o_orderdate"), ref).alias("months"))
+    return o.select("o_orderkey", D.day_diff("o_orderdate", ref).cast("long").alias("days"),
+                    D.year_diff_boundary(F.to_date("o_orderdate"), ref).cast("long").alias("years"),
+                    D.month_diff_boundary(F.to_date("o_orderdate"), ref).cast("long").alias("months"))
 
 
 _MIXED_TEXT_SQL = """CASE WHEN o_orderkey % 5 = 0 THEN 'n/a'

@@ -85,3 +85,20 @@ def compare(spark_pdf, duck_pdf) -> str | None:
         diff = [(x, y) for x, y in zip(sr, dr) if x != y][:3]
         return f"values differ, e.g. {diff}"
     return None
+
+
+def duckdb_type_name(t) -> str:
+    """Spark DataType -> the DuckDB type name the oracle should produce."""
+    from pyspark.sql import types as T
+    m = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE", T.StringType: "VARCHAR",
+         T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP", T.TimestampType: "TIMESTAMP WITH TIME ZONE",
+         T.BooleanType: "BOOLEAN", T.FloatType: "FLOAT", T.ShortType: "SMALLINT", T.ByteType: "TINYINT"}
+    if isinstance(t, T.DecimalType):
+        return f"DECIMAL({t.precision},{t.scale})"
+    return m.get(type(t), t.simpleString())
+
+
+def type_differences(spark_schema, duck_relation) -> dict:
+    st = {f.name: duckdb_type_name(f.dataType) for f in spark_schema.fields}
+    dt_ = {c: str(t) for c, t in zip(duck_relation.columns, duck_relation.types)}
+    return {c: (st.get(c), dt_.get(c)) for c in set(st) | set(dt_) if st.get(c) != dt_.get(c)}

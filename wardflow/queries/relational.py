@@ -270,7 +270,7 @@ def window_row_number(spark, sf):
     from wardflow.operators.latest import row_number_spread
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     return row_number_spread(o, ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"]) \
-        .select("o_orderkey", "o_custkey", "rank")
+        .select("o_orderkey", "o_custkey", F.col("rank").cast("long").alias("rank"))
 
 
 _LI_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
