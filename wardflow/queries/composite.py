@@ -329,3 +329,143 @@ def streaming_incremental_events(spark, sf):
     extract.filter(F.col("EventTime") >= cut).write.parquet(f"{src}/delivery=2")
     stream_load(spark, EVENT_SPEC, src, tgt, AS_OF, checkpoint=ckpt).awaitTermination()
     return spark.read.parquet(tgt)
+
+
+# =============================================================== the visits job itself
+# The real P23 spec on the test tables mapped into its source shape:
+# PatientVisitExtract <- orders, PatientExtract <- customer, Facility <- nation,
+# the existing CT_PatientVisits <- visits ordered before 1999.
+def _p23_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p23_patient_visits"]
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    k = F.col("o_orderkey")
+    vd = F.to_date("o_orderdate")
+    form = o.select(
+        k.alias("ID"), F.col("o_custkey").alias("PatientId"),
+        F.concat(F.lit("V"), (k % 7).cast("string")).alias("VisitID"), vd.alias("VisitDate"),
+        (k % 97 == 0).alias("voided"),
+        (F.col("o_orderdate") + F.make_interval(hours=(k % 5).cast("int"))).alias("Created"),
+        F.floor(F.col("o_totalprice") / 1000).cast("string").alias("Weight"),
+        F.when(k % 9 == 0, F.lit("")).otherwise((k % 300).cast("string")).alias("Height"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("True")).when(F.col("o_orderstatus") == "O", F.lit("UNKNOWN"))
+         .otherwise(F.lit("No")).alias("Pregnant"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Express"))
+         .when(F.col("o_orderpriority") == "2-HIGH", F.lit("FADG"))
+         .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("")).otherwise(F.col("o_orderpriority"))
+         .alias("DifferentiatedCare"),
+        F.when(k % 2 == 0, F.lit("Stable1")).otherwise(F.lit("Not Stable")).alias("StabilityAssessment"),
+        F.date_sub(vd, 300).alias("OIDate"),
+        F.date_add(vd, (k % 900).cast("int")).alias("NextAppointmentDate"),
+        F.col("o_orderpriority").alias("FamilyPlanningMethod"), F.col("o_orderstatus").alias("PwP"))
+    patient = c.select(
+        F.col("c_custkey").alias("ID"), F.concat(F.lit("CCC"), F.col("c_custkey").cast("string")).alias("PatientCccNumber"),
+        F.col("c_custkey").alias("PatientPID"),
+        F.when(F.col("c_custkey") % 10 == 1, F.lit("Unknown")).otherwise(F.col("c_mktsegment")).alias("Gender"),
+        F.col("c_nationkey").alias("FacilityId"), F.lit("KenyaEMR").alias("Emr"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lit("HMIS")).when(F.col("c_custkey") % 3 == 1, F.lit("I-TECH"))
+         .otherwise(F.lit("Other")).alias("Project"))
+    facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
+                        F.col("n_name").alias("Name"), (F.col("n_regionkey") == 4).cast("int").alias("Voided"))
+    fpm = (o.select(F.col("o_orderpriority").alias("source_name")).distinct()
+           .filter(F.col("source_name") != "5-LOW").withColumn("target_name", F.lower("source_name")))
+    pwp = (o.select(F.col("o_orderstatus").alias("source_name")).distinct()
+           .withColumn("target_name", F.concat(F.lit("pwp-"), F.col("source_name"))))
+    loaded = (o.filter(F.col("o_orderdate") < ntz(dt.datetime(1999, 1, 1)))
+              .join(c, o["o_custkey"] == c["c_custkey"])
+              .select(F.col("o_custkey").alias("PatientPK"), (F.col("c_nationkey") * 100).alias("SiteCode"),
+                      F.concat(F.lit("V"), (F.col("o_orderkey") % 7).cast("string")).alias("VisitID")))
+    io = FrameIO({"PatientVisitExtract": form, "PatientExtract": patient, "Facility": facility,
+                  "lkp_family_planning_method": fpm, "lkp_pwp": pwp}, {spec.target: loaded})
+    return spec, io
+
+
+def _p23_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p23_patient_visits"]
+    have = {"PatientID", "FacilityName", "SiteCode", "PatientPK", "VisitID", "VisitDate", "Pregnant", "Height",
+            "Weight", "OIDate", "FamilyPlanningMethod", "PwP", "NextAppointmentDate", "Emr", "Project",
+            "DifferentiatedCare", "StabilityAssessment", "voided"}
+    final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
+    utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+    return f"""
+WITH form AS (
+  SELECT o_orderkey AS ID, o_custkey AS PatientRef, 'V' || CAST(o_orderkey % 7 AS VARCHAR) AS VisitID,
+         CAST(o_orderdate AS DATE) AS VisitDate, (o_orderkey % 97 = 0) AS voided,
+         o_orderdate + to_hours(CAST(o_orderkey % 5 AS INTEGER)) AS Created,
+         CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) AS Weight,
+         CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE CAST(o_orderkey % 300 AS VARCHAR) END AS Height,
+         CASE o_orderstatus WHEN 'F' THEN 'True' WHEN 'O' THEN 'UNKNOWN' ELSE 'No' END AS Pregnant,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'Express' WHEN '2-HIGH' THEN 'FADG' WHEN '3-MEDIUM' THEN ''
+              ELSE o_orderpriority END AS DifferentiatedCare,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'Stable1' ELSE 'Not Stable' END AS StabilityAssessment,
+         CAST(o_orderdate AS DATE) - 300 AS OIDate,
+         CAST(o_orderdate AS DATE) + CAST(o_orderkey % 900 AS INTEGER) AS NextAppointmentDate,
+         o_orderpriority AS FamilyPlanningMethod, o_orderstatus AS PwP
+  FROM orders),
+joined AS (
+  SELECT f.*, 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK,
+         CASE WHEN c.c_custkey % 10 = 1 THEN 'Unknown' ELSE c.c_mktsegment END AS Gender,
+         'KenyaEMR' AS Emr,
+         CASE c.c_custkey % 3 WHEN 0 THEN 'HMIS' WHEN 1 THEN 'I-TECH' ELSE 'Other' END AS Project,
+         n.n_nationkey * 100 AS SiteCode, n.n_name AS FacilityName
+  FROM form f JOIN customer c ON f.PatientRef = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey AND NOT (n.n_regionkey = 4)),
+latest AS (
+  SELECT j.* FROM joined j JOIN (
+    SELECT SiteCode, PatientPK, VisitID, VisitDate, voided, max(ID) AS mid, max(Created) AS mcr
+    FROM joined GROUP BY SiteCode, PatientPK, VisitID, VisitDate, voided) t
+  ON j.SiteCode = t.SiteCode AND j.PatientPK = t.PatientPK AND j.VisitID = t.VisitID
+     AND j.VisitDate = t.VisitDate AND j.voided = t.voided AND j.ID = t.mid AND j.Created = t.mcr),
+scan AS (
+  SELECT DISTINCT PatientID, FacilityName, SiteCode, PatientPK, VisitID, VisitDate, Pregnant, Height, Weight, OIDate,
+         FamilyPlanningMethod, PwP, NextAppointmentDate, Emr, Project, DifferentiatedCare, StabilityAssessment, voided
+  FROM latest WHERE Gender <> 'Unknown' AND SiteCode > 0),
+clean AS (
+  SELECT PatientID, FacilityName, SiteCode, PatientPK, VisitID,
+         CASE WHEN VisitDate < DATE '1980-01-01' OR VisitDate > DATE '2000-12-31' THEN DATE '1900-01-01' ELSE VisitDate END AS VisitDate,
+         CASE WHEN Pregnant IN ('True', 'LIVE BIRTH') THEN 'Yes'
+              WHEN Pregnant IN ('No - Miscarriage (mc)', 'No - Induced Abortion (ab)', 'RECENTLY MISCARRIAGED') THEN 'No'
+              WHEN Pregnant IN ('UNKNOWN', '') THEN NULL ELSE Pregnant END AS Pregnant,
+         CASE WHEN h = '' THEN NULL ELSE h END AS Height,
+         CASE WHEN w = '' THEN NULL ELSE w END AS Weight,
+         CASE WHEN OIDate < DATE '2000-01-01' OR OIDate > DATE '2000-12-31' THEN DATE '1900-01-01' ELSE OIDate END AS OIDate,
+         FamilyPlanningMethod, PwP,
+         CASE WHEN NextAppointmentDate < DATE '1980-01-01' OR NextAppointmentDate > DATE '2001-12-31'
+              THEN DATE '1900-01-01' ELSE NextAppointmentDate END AS NextAppointmentDate,
+         Emr,
+         CASE WHEN Project IN ('I-TECH', 'HMIS') THEN 'Kenya HMIS II' ELSE Project END AS Project,
+         CASE WHEN DifferentiatedCare = 'Express' THEN 'Fast Track'
+              WHEN DifferentiatedCare = 'FADG' THEN 'Facility ART distribution Group'
+              WHEN DifferentiatedCare = '' THEN NULL ELSE DifferentiatedCare END AS DifferentiatedCare,
+         CASE WHEN StabilityAssessment = 'Stable1' THEN 'Stable' WHEN StabilityAssessment = 'Not Stable' THEN 'Unstable'
+              WHEN StabilityAssessment = '' THEN NULL ELSE StabilityAssessment END AS StabilityAssessment,
+         voided
+  FROM (SELECT *,
+          CASE WHEN TRY_CAST(Weight AS DOUBLE) < 0 OR TRY_CAST(Weight AS DOUBLE) > 200 THEN '999' ELSE Weight END AS w,
+          CASE WHEN TRY_CAST(Height AS DOUBLE) < 0 OR TRY_CAST(Height AS DOUBLE) > 259 THEN '999' ELSE Height END AS h
+        FROM scan) s),
+std AS (
+  SELECT c.* REPLACE (coalesce(a.t, c.FamilyPlanningMethod) AS FamilyPlanningMethod, coalesce(b.t, c.PwP) AS PwP)
+  FROM clean c
+  LEFT JOIN (SELECT source_name AS s, min(target_name) AS t FROM (SELECT DISTINCT o_orderpriority AS source_name,
+             lower(o_orderpriority) AS target_name FROM orders WHERE o_orderpriority <> '5-LOW') GROUP BY source_name) a
+    ON c.FamilyPlanningMethod = a.s
+  LEFT JOIN (SELECT DISTINCT o_orderstatus AS s, 'pwp-' || o_orderstatus AS t FROM orders) b ON c.PwP = b.s),
+tgt AS (
+  SELECT o.o_custkey AS PatientPK, c.c_nationkey * 100 AS SiteCode, 'V' || CAST(o.o_orderkey % 7 AS VARCHAR) AS VisitID
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderdate < TIMESTAMP '1999-01-01')
+SELECT {final}, {utf16.format(c='PatientID')} AS PatientIDHash, {utf16.format(c='PatientPK')} AS PatientPKHash
+FROM std s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPK IS NOT DISTINCT FROM s.PatientPK
+  AND t.SiteCode IS NOT DISTINCT FROM s.SiteCode AND t.VisitID IS NOT DISTINCT FROM s.VisitID)"""
+
+
+@query("load_patient_visits", oracle=_p23_oracle())
+def load_patient_visits(spark, sf):
+    """The patient-visits load spec (P23) end to end on the test tables: latest rule over the
+    patient/facility join, gender and facility-code filters, DISTINCT, the visit cleaning rules,
+    two lookups, delta against the loaded visits, digests."""
+    spec, io = _p23_io(spark, sf)
+    return build_load(spec, io, AS_OF)
