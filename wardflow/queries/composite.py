@@ -469,3 +469,116 @@ def load_patient_visits(spark, sf):
     two lookups, delta against the loaded visits, digests."""
     spec, io = _p23_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== the HTS client-tests job
+# HtsClientTests <- lineitem (patient = order % 500, site = supplier % 10 + 1),
+# Clients <- orders, the existing HTS_ClientTests <- lines shipped before 1998.
+def _p26_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p26_client_tests"]
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders")
+    ln = F.col("l_linenumber")
+    form = li.select(
+        (F.col("l_orderkey") * 10 + ln).alias("ID"), (F.col("l_suppkey") % 10 + 1).cast("int").alias("SiteCode"),
+        (F.col("l_orderkey") % 500).alias("PatientPk"),
+        F.when(ln == 1, F.lit(None)).otherwise(ln).alias("EncounterId"),
+        F.to_date("l_shipdate").alias("TestDate"),
+        F.when(F.col("l_returnflag") == "R", F.lit("Positive")).when(F.col("l_returnflag") == "A", F.lit("Negative"))
+         .alias("FinalTestResult"),
+        F.date_add(F.to_date("l_shipdate"), (F.col("l_partkey") % 3).cast("int")).alias("DateExtracted"),
+        F.col("l_linestatus").alias("EntryPoint"),
+        F.when(F.col("l_tax") > 0.05, F.lit("HP")).alias("TestStrategy"),
+        F.when(F.col("l_discount") > 0.05, F.lit("Positive")).alias("TestResult1"),
+        F.lit(None).cast("string").alias("TestResult2"),
+        F.when(ln % 3 == 0, F.lit("Couple")).when(ln % 3 == 1, F.lit("I: Individual")).otherwise(F.lit("x"))
+         .alias("ClientTestedAs"),
+        F.when(F.col("l_partkey") % 4 == 0, F.lit("TB Rx")).when(F.col("l_partkey") % 4 == 1, F.lit("Yes"))
+         .otherwise(F.lit("zzz")).alias("TbScreening"),
+        (F.col("l_quantity") * 40).cast("int").cast("string").alias("MonthsSinceLastTest"))
+    clients = o.select((F.col("o_orderkey") % 500).alias("PatientPk"),
+                       (F.col("o_custkey") % 10 + 1).cast("int").alias("SiteCode"))
+    src_lkp = li.filter(F.col("l_linestatus") == "F").select(
+        F.col("l_linestatus").alias("source_name"), F.lit("OPD").alias("target_name")).distinct()
+    strat = li.filter(F.col("l_tax") > 0.05).select(
+        F.lit("HP").alias("Source_htsStrategy"), F.lit("Home Based").alias("Target_htsStrategy")).distinct()
+    loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1998, 1, 1))).select(
+        (F.col("l_orderkey") % 500).alias("PatientPk"), (F.col("l_suppkey") % 10 + 1).cast("int").alias("SiteCode"),
+        F.coalesce(F.when(ln == 1, F.lit(None)).otherwise(ln), F.lit(-1)).alias("EncounterId"))
+    io = FrameIO({"HtsClientTests": form, "Clients": clients, "lkp_patient_source": src_lkp,
+                  "lkp_hts_strategy": strat}, {spec.target: loaded})
+    return spec, io
+
+
+def _p26_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p26_client_tests"]
+    have = {"SiteCode", "PatientPk", "EncounterId", "TestDate", "MonthsSinceLastTest", "ClientTestedAs",
+            "EntryPoint", "TestStrategy", "TestResult1", "TestResult2", "FinalTestResult", "TbScreening",
+            "ClientSelfTested", "CoupleDiscordant", "TestType", "Consent", "Setting", "Approach"}
+    final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
+    utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+    return f"""
+WITH a AS (
+  SELECT l_orderkey * 10 + l_linenumber AS ID, CAST(l_suppkey % 10 + 1 AS INTEGER) AS SiteCode,
+         l_orderkey % 500 AS PatientPk, CASE WHEN l_linenumber = 1 THEN NULL ELSE l_linenumber END AS EncounterId,
+         CAST(l_shipdate AS DATE) AS TestDate,
+         CASE l_returnflag WHEN 'R' THEN 'Positive' WHEN 'A' THEN 'Negative' END AS FinalTestResult,
+         CAST(l_shipdate AS DATE) + CAST(l_partkey % 3 AS INTEGER) AS DateExtracted,
+         l_linestatus AS EntryPoint, CASE WHEN l_tax > 0.05 THEN 'HP' END AS TestStrategy,
+         CASE WHEN l_discount > 0.05 THEN 'Positive' END AS TestResult1, CAST(NULL AS VARCHAR) AS TestResult2,
+         CASE l_linenumber % 3 WHEN 0 THEN 'Couple' WHEN 1 THEN 'I: Individual' ELSE 'x' END AS ClientTestedAs,
+         CASE l_partkey % 4 WHEN 0 THEN 'TB Rx' WHEN 1 THEN 'Yes' ELSE 'zzz' END AS TbScreening,
+         CAST(CAST(l_quantity * 40 AS INTEGER) AS VARCHAR) AS MonthsSinceLastTest
+  FROM lineitem),
+tn AS (SELECT SiteCode, PatientPk, FinalTestResult, TestDate, EncounterId, max(ID) AS MaxID,
+              max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+       FROM a GROUP BY SiteCode, PatientPk, FinalTestResult, TestDate, EncounterId),
+scan AS (
+  SELECT DISTINCT a.SiteCode, a.PatientPk, coalesce(a.EncounterId, -1) AS EncounterId, a.TestDate,
+         a.MonthsSinceLastTest, a.ClientTestedAs, a.EntryPoint, a.TestStrategy,
+         coalesce(a.TestResult1, 'empty') AS TestResult1, coalesce(a.TestResult2, 'empty') AS TestResult2,
+         a.FinalTestResult, a.TbScreening
+  FROM a JOIN tn ON a.SiteCode = tn.SiteCode AND a.PatientPk = tn.PatientPk
+    AND CAST(a.DateExtracted AS DATE) = tn.MaxDateExtracted AND a.FinalTestResult = tn.FinalTestResult
+    AND a.TestDate = tn.TestDate AND coalesce(a.EncounterId, -1) = coalesce(tn.EncounterId, -1) AND a.ID = tn.MaxID
+  WHERE a.FinalTestResult IS NOT NULL
+    AND EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey % 500 = a.PatientPk
+                AND CAST(o.o_custkey % 10 + 1 AS INTEGER) = a.SiteCode)),
+clean AS (
+  SELECT SiteCode, PatientPk, EncounterId, TestDate,
+         CASE WHEN TRY_CAST(MonthsSinceLastTest AS DOUBLE) > 1540 THEN NULL ELSE MonthsSinceLastTest END
+           AS MonthsSinceLastTest,
+         CASE WHEN ClientTestedAs IN ('C: Couple (includes polygamous)', 'Couple') THEN 'Couple'
+              WHEN ClientTestedAs IN ('I: Individual', 'Individual') THEN 'Individual' END AS ClientTestedAs,
+         coalesce(l.target_name, s.EntryPoint, 'Empty') AS EntryPoint,
+         coalesce(h.Target_htsStrategy, s.TestStrategy, 'Empty') AS TestStrategy,
+         TestResult1, TestResult2, FinalTestResult,
+         CASE WHEN TbScreening IN ('No Signs', 'No TB', 'No TB signs', 'Yes') THEN 'No Signs'
+              WHEN TbScreening IN ('On TB Treatment', 'INH', 'TB Rx', 'TBRx') THEN 'On TB Treatment'
+              WHEN TbScreening IN ('Presumed TB', 'PrTB') THEN 'Presumed TB'
+              WHEN TbScreening = 'TB Confirmed' THEN 'TB Confirmed' ELSE 'Not Done' END AS TbScreening,
+         CAST(NULL AS VARCHAR) AS ClientSelfTested, CAST(NULL AS VARCHAR) AS CoupleDiscordant,
+         CAST(NULL AS VARCHAR) AS TestType, CAST(NULL AS VARCHAR) AS Consent,
+         CAST(NULL AS VARCHAR) AS Setting, CAST(NULL AS VARCHAR) AS Approach
+  FROM scan s
+  LEFT JOIN (SELECT DISTINCT l_linestatus AS source_name, 'OPD' AS target_name FROM lineitem
+             WHERE l_linestatus = 'F') l ON s.EntryPoint = l.source_name
+  LEFT JOIN (SELECT DISTINCT 'HP' AS Source_htsStrategy, 'Home Based' AS Target_htsStrategy FROM lineitem
+             WHERE l_tax > 0.05) h ON s.TestStrategy = h.Source_htsStrategy),
+tgt AS (SELECT l_orderkey % 500 AS PatientPk, CAST(l_suppkey % 10 + 1 AS INTEGER) AS SiteCode,
+               coalesce(CASE WHEN l_linenumber = 1 THEN NULL ELSE l_linenumber END, -1) AS EncounterId
+        FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')
+SELECT {final}, {utf16.format(c='PatientPk')} AS PatientPKHash
+FROM clean c WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPk IS NOT DISTINCT FROM c.PatientPk
+  AND t.SiteCode IS NOT DISTINCT FROM c.SiteCode AND t.EncounterId IS NOT DISTINCT FROM c.EncounterId)"""
+
+
+@query("load_hts_client_tests", oracle=_p26_oracle())
+def load_hts_client_tests(spark, sf):
+    """The HTS client-tests load spec (P26) end to end on the test tables: latest rule with a
+    NULL-sentinel encounter key, client existence, closed-vocabulary recodes, lookups with an
+    'Empty' default, months cap, delta on (patient, site, encounter), digest."""
+    spec, io = _p26_io(spark, sf)
+    return build_load(spec, io, AS_OF)
