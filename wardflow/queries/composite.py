@@ -582,3 +582,90 @@ def load_hts_client_tests(spark, sf):
     'Empty' default, months cap, delta on (patient, site, encounter), digest."""
     spec, io = _p26_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== the PrEP visits job
+# PrepVisits <- events (patient = user, site = event % 3 + 1); the existing
+# PrEP_Visits <- events before 2024-01-10.
+def _p51_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p51_visits"]
+    e = table(spark, sf, "events")
+    eid = F.col("event_id")
+    site = (eid % 3 + 1).cast("int")
+    form = e.select(
+        eid.alias("ID"), F.col("user_id").alias("PatientPk"), site.alias("SiteCode"),
+        F.col("ts").alias("Created"),
+        F.date_add(F.to_date("ts"), (eid % 4).cast("int")).alias("DateExtracted"),
+        F.concat(F.lit("PV"), (eid % 13).cast("string")).alias("VisitID"),
+        F.when(eid % 10 == 0, F.lit("")).when(eid % 10 == 1, F.lit("1975-06-01"))
+         .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("VisitDate"),
+        F.when(eid % 7 == 0, F.lit("")).otherwise(F.date_format(F.date_add(F.to_date("ts"), 30), "yyyy-MM-dd"))
+         .alias("NextAppointment"),
+        (eid % 20).cast("string").alias("MonthsPrescribed"),
+        F.when(eid % 5 == 0, F.lit("")).otherwise((eid % 40).cast("string")).alias("BMI"),
+        F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type")).alias("ClinicalNotes"),
+        F.concat(F.lit("PREP-"), F.col("user_id").cast("string")).alias("PrepNumber"),
+        F.lit("KenyaEMR").alias("Emr"), F.concat(F.lit("Site "), site.cast("string")).alias("FacilityName"))
+    loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 10))).select(
+        F.col("user_id").alias("PatientPk"), site.alias("SiteCode"),
+        F.concat(F.lit("PV"), (eid % 13).cast("string")).alias("VisitID"))
+    return spec, FrameIO({"PrepVisits": form}, {spec.target: loaded})
+
+
+def _p51_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p51_visits"]
+    have = {"Created", "PatientPk", "SiteCode", "Emr", "DateExtracted", "FacilityName", "PrepNumber", "VisitDate",
+            "VisitID", "BMI", "MonthsPrescribed", "NextAppointment", "ClinicalNotes"}
+    final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
+    utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+    return f"""
+WITH a AS (
+  SELECT event_id AS ID, user_id AS PatientPk, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode, ts AS Created,
+         CAST(ts AS DATE) + CAST(event_id % 4 AS INTEGER) AS DateExtracted,
+         'PV' || CAST(event_id % 13 AS VARCHAR) AS VisitID,
+         CASE event_id % 10 WHEN 0 THEN '' WHEN 1 THEN '1975-06-01' ELSE strftime(ts, '%Y-%m-%d') END AS VisitDate,
+         CASE WHEN event_id % 7 = 0 THEN '' ELSE strftime(CAST(ts AS DATE) + 30, '%Y-%m-%d') END AS NextAppointment,
+         CAST(event_id % 20 AS VARCHAR) AS MonthsPrescribed,
+         CASE WHEN event_id % 5 = 0 THEN '' ELSE CAST(event_id % 40 AS VARCHAR) END AS BMI,
+         CASE WHEN event_type = 'error' THEN '' ELSE event_type END AS ClinicalNotes,
+         'PREP-' || CAST(user_id AS VARCHAR) AS PrepNumber, 'KenyaEMR' AS Emr,
+         'Site ' || CAST(event_id % 3 + 1 AS VARCHAR) AS FacilityName
+  FROM events),
+tn AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated FROM a
+       GROUP BY PatientPk, SiteCode),
+tm AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxExtracted FROM a
+       GROUP BY PatientPk, SiteCode),
+scan AS (
+  SELECT DISTINCT a.Created, a.PatientPk, a.SiteCode, a.Emr, a.DateExtracted, a.FacilityName, a.PrepNumber,
+         a.VisitDate, a.VisitID, a.BMI, a.MonthsPrescribed, a.NextAppointment, a.ClinicalNotes
+  FROM a JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCode
+                AND CAST(a.Created AS DATE) = tn.MaxCreated AND a.ID = tn.MaxID
+         JOIN tm ON a.PatientPk = tm.PatientPk AND a.SiteCode = tm.SiteCode
+                AND CAST(a.DateExtracted AS DATE) = tm.MaxExtracted AND a.ID = tm.MaxID),
+clean AS (
+  SELECT Created, PatientPk, SiteCode, Emr, DateExtracted, FacilityName, PrepNumber,
+         CASE WHEN VisitDate = '' OR TRY_CAST(VisitDate AS DATE) < DATE '1980-01-01' THEN NULL ELSE VisitDate END
+           AS VisitDate,
+         VisitID,
+         CASE WHEN BMI = '' THEN NULL ELSE BMI END AS BMI,
+         CASE WHEN TRY_CAST(MonthsPrescribed AS DOUBLE) > 12 THEN NULL ELSE MonthsPrescribed END AS MonthsPrescribed,
+         CASE WHEN NextAppointment = '' OR TRY_CAST(NextAppointment AS DATE) < DATE '1980-01-01' THEN NULL
+              ELSE NextAppointment END AS NextAppointment,
+         CASE WHEN ClinicalNotes = '' THEN NULL ELSE ClinicalNotes END AS ClinicalNotes
+  FROM scan),
+tgt AS (SELECT user_id AS PatientPk, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode,
+               'PV' || CAST(event_id % 13 AS VARCHAR) AS VisitID FROM events WHERE ts < TIMESTAMP '2024-01-10')
+SELECT {final}, {utf16.format(c='PrepNumber')} AS PrepNumberHash, {utf16.format(c='PatientPk')} AS PatientPKHash
+FROM clean c WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPk IS NOT DISTINCT FROM c.PatientPk
+  AND t.SiteCode IS NOT DISTINCT FROM c.SiteCode AND t.VisitID IS NOT DISTINCT FROM c.VisitID)"""
+
+
+@query("load_prep_visits", oracle=_p51_oracle())
+def load_prep_visits(spark, sf):
+    """The PrEP visits load spec (P51) end to end on the test tables: two latest rules ANDed
+    (creation day and extraction day), blank -> NULL, text dates before 1980 -> NULL, months cap,
+    delta on (patient, site, visit), digests."""
+    spec, io = _p51_io(spark, sf)
+    return build_load(spec, io, AS_OF)
