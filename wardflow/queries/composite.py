@@ -669,3 +669,100 @@ def load_prep_visits(spark, sf):
     delta on (patient, site, visit), digests."""
     spec, io = _p51_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== the patient-status job
+# patientstatusextract <- lineitem (patient = part % 1500, exit ten years after shipping),
+# PatientExtract <- customer, Facility <- nation, existing CT_PatientStatus <- lines shipped
+# before 1998.  Load date 2008-12-31, so exits after it are cleaned to 1900-01-01.
+P22_AS_OF = dt.date(2008, 12, 31)
+
+
+def _p22_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p22_patient_status"]
+    li = table(spark, sf, "lineitem")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    exit_day = F.date_add(F.to_date("l_shipdate"), 3650)
+    form = li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ID"), (F.col("l_partkey") % 1500).alias("PatientId"),
+        exit_day.alias("ExitDate"),
+        F.when(F.col("l_linestatus") == "F", F.lit("DIED")).otherwise(F.lit("LTFU")).alias("ExitReason"),
+        (F.col("l_linenumber") == 7).alias("voided"),
+        (F.col("l_shipdate") + F.make_interval(days=(F.col("l_orderkey") % 3).cast("int"))).alias("Created"),
+        F.date_add(exit_day, 30).alias("EffectiveDiscontinuationDate"))
+    patient = c.select(
+        F.col("c_custkey").alias("ID"), F.concat(F.lit("CCC"), F.col("c_custkey").cast("string")).alias("PatientCccNumber"),
+        F.col("c_custkey").alias("PatientPID"), F.col("c_mktsegment").alias("Gender"),
+        F.col("c_nationkey").alias("FacilityId"),
+        F.when(F.col("c_custkey") % 4 == 0, F.lit("Ampath AMRS")).otherwise(F.lit("KenyaEMR")).alias("Emr"),
+        F.when(F.col("c_custkey") % 5 == 0, F.lit("HMIS")).when(F.col("c_custkey") % 5 == 1, F.lit("Ampathplus"))
+         .when(F.col("c_custkey") % 5 == 2, F.lit("IRDO")).otherwise(F.lit("Other")).alias("Project"))
+    facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
+                        F.col("n_name").alias("Name"), F.lit(0).alias("Voided"))
+    loaded = (li.filter(F.col("l_shipdate") < ntz(dt.datetime(1998, 1, 1)))
+              .join(c, (F.col("l_partkey") % 1500) == F.col("c_custkey"))
+              .select((F.col("c_nationkey") * 100).alias("SiteCode"), F.col("c_custkey").alias("PatientPK"),
+                      F.date_add(F.to_date("l_shipdate"), 3650).alias("ExitDate")))
+    io = FrameIO({"PatientStatusExtract": form, "PatientExtract": patient, "Facility": facility},
+                 {spec.target: loaded})
+    return spec, io
+
+
+def _p22_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p22_patient_status"]
+    have = {"PatientID", "SiteCode", "FacilityName", "ExitDate", "ExitReason", "PatientPK", "Emr", "Project",
+            "EffectiveDiscontinuationDate", "voided"}
+    final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
+    utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+    return f"""
+WITH ps AS (
+  SELECT l_orderkey * 10 + l_linenumber AS ID, l_partkey % 1500 AS PatientRef,
+         CAST(l_shipdate AS DATE) + 3650 AS ExitDate,
+         CASE WHEN l_linestatus = 'F' THEN 'DIED' ELSE 'LTFU' END AS ExitReason,
+         (l_linenumber = 7) AS voided, l_shipdate + to_days(CAST(l_orderkey % 3 AS INTEGER)) AS Created,
+         CAST(l_shipdate AS DATE) + 3680 AS EffectiveDiscontinuationDate
+  FROM lineitem),
+j AS (
+  SELECT ps.*, 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK,
+         c.c_mktsegment AS Gender,
+         CASE WHEN c.c_custkey % 4 = 0 THEN 'Ampath AMRS' ELSE 'KenyaEMR' END AS Emr,
+         CASE c.c_custkey % 5 WHEN 0 THEN 'HMIS' WHEN 1 THEN 'Ampathplus' WHEN 2 THEN 'IRDO' ELSE 'Other' END AS Project,
+         n.n_nationkey * 100 AS SiteCode, n.n_name AS FacilityName
+  FROM ps JOIN customer c ON ps.PatientRef = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+tn AS (SELECT PatientPK, SiteCode, ExitDate, voided, max(ID) AS Max_ID, max(CAST(Created AS DATE)) AS MaxCreated
+       FROM j GROUP BY PatientPK, SiteCode, ExitDate, voided),
+scan AS (
+  SELECT DISTINCT j.PatientID, j.SiteCode, j.FacilityName, j.ExitDate, j.ExitReason, j.PatientPK, j.Emr, j.Project,
+         j.EffectiveDiscontinuationDate, j.voided
+  FROM j JOIN tn ON j.PatientPK = tn.PatientPK AND j.SiteCode = tn.SiteCode AND j.ExitDate = tn.ExitDate
+                AND CAST(j.Created AS DATE) = tn.MaxCreated AND j.ID = tn.Max_ID
+  WHERE j.Gender <> 'Unknown' AND j.SiteCode > 0),
+clean AS (
+  SELECT PatientID, SiteCode, FacilityName,
+         CASE WHEN ExitDate < DATE '2004-01-01' OR ExitDate > DATE '2008-12-31' THEN DATE '1900-01-01' ELSE ExitDate END
+           AS ExitDate,
+         ExitReason, PatientPK,
+         CASE WHEN Emr = 'Ampath AMRS' THEN 'AMRS' ELSE Emr END AS Emr,
+         CASE WHEN p0 = 'Ampathplus' THEN 'Ampath Plus'
+              WHEN p0 IN ('UCSF Clinical Kisumu', 'CHAP Uzima', 'DREAM Kenya Trusts', 'IRDO') THEN 'Kenya HMIS II'
+              ELSE p0 END AS Project,
+         EffectiveDiscontinuationDate, voided
+  FROM (SELECT *, CASE WHEN Project IN ('I-TECH', 'HMIS') THEN 'Kenya HMIS II' ELSE Project END AS p0 FROM scan) s),
+tgt AS (SELECT c.c_nationkey * 100 AS SiteCode, c.c_custkey AS PatientPK, CAST(l.l_shipdate AS DATE) + 3650 AS ExitDate
+        FROM lineitem l JOIN customer c ON l.l_partkey % 1500 = c.c_custkey
+        WHERE l.l_shipdate < TIMESTAMP '1998-01-01')
+SELECT {final}, {utf16.format(c='PatientID')} AS PatientIDHash, {utf16.format(c='PatientPK')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
+  AND t.PatientPK IS NOT DISTINCT FROM x.PatientPK AND t.ExitDate IS NOT DISTINCT FROM CAST(x.ExitDate AS DATE))"""
+
+
+@query("load_patient_status", oracle=_p22_oracle())
+def load_patient_status(spark, sf):
+    """The patient-status load spec (P22) end to end on the test tables: latest rule grouped with
+    the voided flag but joined without it, exit-date window, EMR / project recodes, delta keyed
+    on the exit day."""
+    spec, io = _p22_io(spark, sf)
+    return build_load(spec, io, P22_AS_OF)
