@@ -766,3 +766,65 @@ def load_patient_status(spark, sf):
     on the exit day."""
     spec, io = _p22_io(spark, sf)
     return build_load(spec, io, P22_AS_OF)
+
+
+# =============================================================== the mother-baby pairs job
+# MotherBabyPairs <- orders (mother = customer, baby = order, site = customer % 10 + 1,
+# facility = nation), Facilities <- nation, existing MNCH_MotherBabyPairs <- orders before 1995-04.
+def _p42_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p42_mother_baby_pairs"]
+    o = table(spark, sf, "orders")
+    n = table(spark, sf, "nation")
+    ck = F.col("o_custkey")
+    form = o.select(
+        F.col("o_orderkey").alias("ID"), ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"),
+        (ck % 25).cast("int").alias("FacilityId"),
+        F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 11).cast("int")).alias("DateExtracted"),
+        F.concat(F.lit("CCC"), ck.cast("string")).alias("PatientIDCCC"), F.col("o_orderkey").alias("BabyPatientPK"),
+        ck.alias("MotherPatientPK"), F.concat(F.lit("HEI"), F.col("o_orderkey").cast("string")).alias("BabyPatientMncHeiID"),
+        F.concat(F.lit("M"), ck.cast("string")).alias("MotherPatientMncHeiID"), F.lit("KenyaEMR").alias("EMR"),
+        F.col("o_orderpriority").alias("Project"), F.col("o_orderdate").alias("Date_Last_Modified"),
+        F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("RecordUUID"))
+    facilities = n.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Name"))
+    loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1995, 4, 1))).select(
+        ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"))
+    return spec, FrameIO({"MotherBabyPairs": form, "Facilities": facilities}, {spec.target: loaded})
+
+
+def _p42_oracle() -> str:
+    utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+    return f"""
+WITH p AS (
+  SELECT o_orderkey AS ID, o_custkey AS PatientPk, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode,
+         CAST(o_custkey % 25 AS INTEGER) AS FacilityId,
+         CAST(o_orderdate AS DATE) + CAST(o_orderkey % 11 AS INTEGER) AS DateExtracted,
+         'CCC' || CAST(o_custkey AS VARCHAR) AS PatientIDCCC, o_orderkey AS BabyPatientPK, o_custkey AS MotherPatientPK,
+         'HEI' || CAST(o_orderkey AS VARCHAR) AS BabyPatientMncHeiID, 'M' || CAST(o_custkey AS VARCHAR) AS MotherPatientMncHeiID,
+         'KenyaEMR' AS EMR, o_orderpriority AS Project, o_orderdate AS Date_Last_Modified,
+         'u' || CAST(o_orderkey AS VARCHAR) AS RecordUUID
+  FROM orders),
+tm AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+       FROM p GROUP BY PatientPk, SiteCode),
+scan AS (
+  SELECT DISTINCT p.PatientIDCCC, p.PatientPk, p.BabyPatientPK, p.MotherPatientPK, p.BabyPatientMncHeiID,
+         p.MotherPatientMncHeiID, p.SiteCode, f.n_name AS FacilityName, p.EMR, p.Project, p.Date_Last_Modified,
+         p.RecordUUID
+  FROM p JOIN tm ON p.PatientPk = tm.PatientPk AND p.SiteCode = tm.SiteCode
+                AND CAST(p.DateExtracted AS DATE) = tm.MaxDateExtracted AND p.ID = tm.MaxID
+  JOIN nation f ON p.FacilityId = f.n_nationkey),
+tgt AS (SELECT o_custkey AS PatientPk, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode FROM orders
+        WHERE o_orderdate < TIMESTAMP '1995-04-01')
+SELECT s.*, {utf16.format(c='MotherPatientMncHeiID')} AS MotherPatientMncHeiIDHash,
+       {utf16.format(c='PatientPk')} AS PatientPKHash, {utf16.format(c='MotherPatientPK')} AS MotherPatientPKHash,
+       {utf16.format(c='BabyPatientPK')} AS BabyPatientPKHash
+FROM scan s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPk IS NOT DISTINCT FROM s.PatientPk
+  AND t.SiteCode IS NOT DISTINCT FROM s.SiteCode)"""
+
+
+@query("load_mother_baby_pairs", oracle=_p42_oracle())
+def load_mother_baby_pairs(spark, sf):
+    """The mother-baby pairs load spec (P42) end to end on the test tables: latest rule over the
+    form alone, facility name from the facility table, delta on (patient, site), four digests."""
+    spec, io = _p42_io(spark, sf)
+    return build_load(spec, io, AS_OF)
