@@ -828,3 +828,96 @@ def load_mother_baby_pairs(spark, sf):
     form alone, facility name from the facility table, delta on (patient, site), four digests."""
     spec, io = _p42_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== the HTS linkages job (P25)
+# ClientLinkages <- orders (extraction 8 800 days after the order, so the 2019-09-08
+# cut-off splits it), Clients <- customers with a positive balance, existing
+# HTS_ClientLinkages <- orders before 1995-04.
+def _p25_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p25_client_linkages"]
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    od = F.to_date("o_orderdate")
+    form = o.select(
+        k.alias("ID"), (ck % 10 + 1).cast("int").alias("SiteCode"), ck.alias("PatientPk"),
+        F.concat(F.lit("H"), ck.cast("string")).alias("HtsNumber"), F.lit("IQCare").alias("Emr"),
+        F.col("o_orderstatus").alias("Project"), F.concat(F.lit("F"), (ck % 10 + 1).cast("string")).alias("FacilityName"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 8800 DAYS")).alias("DateExtracted"),
+        F.col("o_orderpriority").alias("EnrolledFacilityName"),
+        F.when(k % 17 == 0, F.lit(dt.date(1975, 1, 1))).otherwise(F.date_sub(od, (k % 400).cast("int")))
+         .alias("ReferralDate"),
+        (F.col("o_orderdate") + F.make_interval(days=(k % 30).cast("int"))).alias("DateEnrolled"),
+        F.date_add(od, 7).alias("DatePrefferedToBeEnrolled"),
+        F.when(k % 4 == 0, F.lit("Other Facility")).otherwise(F.lit("KNH")).alias("FacilityReferredTo"),
+        F.lit("Nurse").alias("HandedOverTo"), F.lit("Clinician").alias("HandedOverToCadre"),
+        F.concat(F.lit("C"), ck.cast("string")).alias("ReportedCCCNumber"),
+        F.when(k % 9 == 0, F.expr("DATE '0001-01-01'")).otherwise(od).alias("ReportedStartARTDate"),
+        F.concat(F.lit("r"), ck.cast("string")).alias("RecordUUID"))
+    clients = c.filter(F.col("c_acctbal") > 0).select(
+        F.col("c_custkey").alias("PatientPk"), (F.col("c_custkey") % 10 + 1).cast("int").alias("SiteCode"))
+    loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1995, 4, 1))).select(
+        ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"))
+    return spec, FrameIO({"ClientLinkages": form, "Clients": clients}, {spec.target: loaded})
+
+
+def _p25_oracle() -> str:
+    utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+    return f"""
+WITH a AS (
+  SELECT o_orderkey AS ID, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode, o_custkey AS PatientPk,
+         'H' || CAST(o_custkey AS VARCHAR) AS HtsNumber, 'IQCare' AS Emr, o_orderstatus AS Project,
+         'F' || CAST(o_custkey % 10 + 1 AS VARCHAR) AS FacilityName,
+         o_orderdate + INTERVAL 8800 DAY AS DateExtracted, o_orderpriority AS EnrolledFacilityName,
+         CASE WHEN o_orderkey % 17 = 0 THEN DATE '1975-01-01'
+              ELSE CAST(o_orderdate AS DATE) - CAST(o_orderkey % 400 AS INTEGER) END AS ReferralDate,
+         o_orderdate + to_days(CAST(o_orderkey % 30 AS INTEGER)) AS DateEnrolled,
+         CAST(o_orderdate AS DATE) + 7 AS DatePrefferedToBeEnrolled,
+         CASE WHEN o_orderkey % 4 = 0 THEN 'Other Facility' ELSE 'KNH' END AS FacilityReferredTo,
+         'Nurse' AS HandedOverTo, 'Clinician' AS HandedOverToCadre, 'C' || CAST(o_custkey AS VARCHAR) AS ReportedCCCNumber,
+         CASE WHEN o_orderkey % 9 = 0 THEN DATE '0001-01-01' ELSE CAST(o_orderdate AS DATE) END AS ReportedStartARTDate,
+         'r' || CAST(o_custkey AS VARCHAR) AS RecordUUID
+  FROM orders),
+tm AS (SELECT SiteCode, PatientPk, max(ID) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+       FROM a GROUP BY SiteCode, PatientPk),
+g AS (
+  SELECT a.FacilityName, a.SiteCode, a.PatientPk, a.HtsNumber, a.Emr, a.Project, a.EnrolledFacilityName,
+         CAST(max(a.ReferralDate) AS DATE) AS ReferralDate, CAST(a.DateEnrolled AS DATE) AS DateEnrolled,
+         CAST(max(a.DatePrefferedToBeEnrolled) AS DATE) AS DatePrefferedToBeEnrolled,
+         CASE WHEN a.FacilityReferredTo = 'Other Facility' THEN NULL ELSE a.FacilityReferredTo END AS FacilityReferredTo,
+         a.HandedOverTo, a.HandedOverToCadre, a.ReportedCCCNumber,
+         CASE WHEN CAST(a.ReportedStartARTDate AS DATE) = DATE '0001-01-01' THEN NULL
+              ELSE CAST(a.ReportedStartARTDate AS DATE) END AS ReportedStartARTDate,
+         a.RecordUUID
+  FROM a JOIN tm ON a.SiteCode = tm.SiteCode AND a.PatientPk = tm.PatientPk
+              AND CAST(a.DateExtracted AS DATE) = tm.MaxDateExtracted AND a.ID = tm.MaxID
+  WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal > 0 AND c.c_custkey = a.PatientPk
+                AND CAST(c.c_custkey % 10 + 1 AS INTEGER) = a.SiteCode)
+    AND a.DateExtracted > DATE '2019-09-08'
+  GROUP BY a.FacilityName, a.SiteCode, a.PatientPk, a.HtsNumber, a.Emr, a.Project, a.EnrolledFacilityName,
+           CAST(a.DateEnrolled AS DATE), a.FacilityReferredTo, a.HandedOverTo, a.HandedOverToCadre, a.DateExtracted,
+           a.ReportedCCCNumber, CAST(a.ReportedStartARTDate AS DATE), a.RecordUUID),
+clean AS (
+  SELECT DISTINCT FacilityName, SiteCode, PatientPk, HtsNumber, Emr, Project, EnrolledFacilityName,
+         CASE WHEN ReferralDate < DATE '1980-01-01' THEN NULL ELSE ReferralDate END AS ReferralDate,
+         CASE WHEN DateEnrolled < DATE '1980-01-01' THEN NULL ELSE DateEnrolled END AS DateEnrolled,
+         CASE WHEN DatePrefferedToBeEnrolled < DATE '1980-01-01' THEN NULL ELSE DatePrefferedToBeEnrolled END
+           AS DatePrefferedToBeEnrolled,
+         FacilityReferredTo, HandedOverTo, HandedOverToCadre, ReportedCCCNumber, ReportedStartARTDate, RecordUUID
+  FROM g),
+tgt AS (SELECT o_custkey AS PatientPk, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode FROM orders
+        WHERE o_orderdate < TIMESTAMP '1995-04-01')
+SELECT x.*, {utf16.format(c='HtsNumber')} AS HtsNumberHash, {utf16.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPk IS NOT DISTINCT FROM x.PatientPk
+  AND t.SiteCode IS NOT DISTINCT FROM x.SiteCode)"""
+
+
+@query("load_hts_client_linkages", oracle=_p25_oracle())
+def load_hts_client_linkages(spark, sf):
+    """The HTS linkages load spec (P25) end to end on the test tables: latest rule, client
+    existence, extraction cut-off, scan-level GROUP BY with max() of referral dates, in-scan
+    CASEs (facility referred to, 0001-01-01 sentinel), dates before 1980 -> NULL, delta, digests."""
+    spec, io = _p25_io(spark, sf)
+    return build_load(spec, io, AS_OF)
