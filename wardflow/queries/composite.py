@@ -921,3 +921,113 @@ def load_hts_client_linkages(spark, sf):
     CASEs (facility referred to, 0001-01-01 sentinel), dates before 1980 -> NULL, delta, digests."""
     spec, io = _p25_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== the CT patients job
+# PatientExtract <- customer (patient id = customer % 700, so patients have several
+# versions), Facility <- nation, lookups derived from customer, existing CT_Patient <-
+# customers below 300.
+def _p24_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p24_patients"]
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    ck = F.col("c_custkey")
+    pat = c.select(
+        ck.alias("ID"), F.concat(F.lit("CCC"), (ck % 700).cast("string")).alias("PatientCccNumber"),
+        (ck % 700).alias("PatientPID"), F.col("c_nationkey").alias("FacilityId"),
+        F.when(ck % 10 == 0, F.lit(None)).when(ck % 10 == 1, F.lit("Unknown")).otherwise(F.col("c_mktsegment"))
+         .alias("Gender"),
+        F.date_add(F.lit(dt.date(1999, 1, 1)), (ck % 50).cast("int")).alias("Created"),
+        F.date_sub(F.lit(dt.date(1990, 1, 1)), ((ck * 37) % 40000).cast("int")).alias("DOB"),
+        F.date_add(F.lit(dt.date(1975, 1, 1)), ((ck * 3) % 12000).cast("int")).alias("RegistrationDate"),
+        F.when(ck % 4 == 0, F.lit("M")).when(ck % 4 == 1, F.lit("S")).otherwise(F.lit("X")).alias("MaritalStatus"),
+        F.when(ck % 2 == 0, F.lit("Primary")).otherwise(F.lit("Secondary")).alias("EducationLevel"),
+        F.col("c_mktsegment").alias("PreviousARTExposure"),
+        F.when(ck % 3 == 0, F.lit("VCT")).otherwise(F.lit("OPD")).alias("PatientSource"),
+        F.concat(F.lit("NUPI"), ck.cast("string")).alias("NUPI"), F.lit("KenyaEMR").alias("Emr"),
+        F.lit("Other").alias("Project"))
+    facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
+                        F.col("n_name").alias("Name"), F.lit(0).alias("Voided"))
+    marital = c.select(F.when(ck % 4 == 0, F.lit("M")).when(ck % 4 == 1, F.lit("S")).alias("Source_MaritalStatus"),
+                       F.when(ck % 4 == 0, F.lit("Married")).when(ck % 4 == 1, F.lit("Single"))
+                       .alias("Target_MaritalStatus")).filter(F.col("Source_MaritalStatus").isNotNull()).distinct()
+    edu = c.filter(ck % 2 == 0).select(F.lit("Primary").alias("SourceEducationLevel"),
+                                       F.lit("PRIMARY").alias("TargetEducationLevel")).distinct()
+    regimen = c.filter(F.col("c_mktsegment") == "BUILDING").select(
+        F.col("c_mktsegment").alias("Source_Regimen"), F.lit("First line").alias("Target_Regimen")).distinct()
+    source = c.filter(ck % 3 == 0).select(F.lit("VCT").alias("source_name"),
+                                          F.lit("VCT Centre").alias("target_name")).distinct()
+    loaded = (c.filter(ck < 300).select((F.col("c_nationkey") * 100).alias("SiteCode"),
+                                        (ck % 700).alias("PatientPK")))
+    io = FrameIO({"PatientExtract": pat, "Facility": facility, "lkp_marital_status": marital,
+                  "lkp_education_level": edu, "lkp_regimen_line_map": regimen, "lkp_patient_source": source},
+                 {spec.target: loaded})
+    return spec, io
+
+
+def _p24_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p24_patients"]
+    have = {"ID", "PatientID", "PatientPK", "SiteCode", "FacilityName", "Gender", "DOB", "RegistrationDate",
+            "PatientSource", "MaritalStatus", "EducationLevel", "PreviousARTExposure", "Emr", "Project", "NUPI"}
+    final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
+    utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+    return f"""
+WITH p AS (
+  SELECT c_custkey AS ID, 'CCC' || CAST(c_custkey % 700 AS VARCHAR) AS PatientID, c_custkey % 700 AS PatientPK,
+         c_nationkey AS FacilityRef,
+         CASE c_custkey % 10 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown' ELSE c_mktsegment END AS Gender,
+         DATE '1999-01-01' + CAST(c_custkey % 50 AS INTEGER) AS Created,
+         DATE '1990-01-01' - CAST((c_custkey * 37) % 40000 AS INTEGER) AS DOB,
+         DATE '1975-01-01' + CAST((c_custkey * 3) % 12000 AS INTEGER) AS RegistrationDate,
+         CASE c_custkey % 4 WHEN 0 THEN 'M' WHEN 1 THEN 'S' ELSE 'X' END AS MaritalStatus,
+         CASE WHEN c_custkey % 2 = 0 THEN 'Primary' ELSE 'Secondary' END AS EducationLevel,
+         c_mktsegment AS PreviousARTExposure,
+         CASE WHEN c_custkey % 3 = 0 THEN 'VCT' ELSE 'OPD' END AS PatientSource,
+         'NUPI' || CAST(c_custkey AS VARCHAR) AS NUPI, 'KenyaEMR' AS Emr, 'Other' AS Project
+  FROM customer),
+j AS (SELECT p.*, n.n_nationkey * 100 AS SiteCode, n.n_name AS FacilityName
+      FROM p JOIN nation n ON p.FacilityRef = n.n_nationkey),
+tn AS (SELECT PatientPK, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated FROM j
+       GROUP BY PatientPK, SiteCode),
+scan AS (
+  SELECT DISTINCT j.ID, j.PatientID, j.PatientPK, j.SiteCode, j.FacilityName, j.Gender, j.DOB, j.RegistrationDate,
+         j.PatientSource, j.MaritalStatus, j.EducationLevel, j.PreviousARTExposure, j.Emr, j.Project, j.NUPI
+  FROM j JOIN tn ON j.PatientPK = tn.PatientPK AND j.SiteCode = tn.SiteCode
+                AND CAST(j.Created AS DATE) = tn.MaxCreated AND j.ID = tn.MaxID
+  WHERE j.Gender IS NOT NULL AND j.Gender <> 'Unknown' AND j.SiteCode > 0),
+clean AS (
+  SELECT ID, PatientID, PatientPK, SiteCode, FacilityName, Gender,
+         CASE WHEN DOB < DATE '1910-01-01' OR DOB > DATE '2000-12-31' THEN DATE '1900-01-01' ELSE DOB END AS DOB,
+         CASE WHEN RegistrationDate < DATE '1980-01-01' OR RegistrationDate > DATE '2000-12-31'
+              THEN DATE '1900-01-01' ELSE RegistrationDate END AS RegistrationDate,
+         coalesce(ls.t, s.PatientSource) AS PatientSource,
+         coalesce(lm.t, s.MaritalStatus) AS MaritalStatus,
+         coalesce(le.t, s.EducationLevel) AS EducationLevel,
+         coalesce(lr.t, s.PreviousARTExposure) AS PreviousARTExposure,
+         Emr, Project, NUPI
+  FROM scan s
+  LEFT JOIN (SELECT DISTINCT CASE c_custkey % 4 WHEN 0 THEN 'M' ELSE 'S' END AS k,
+                    CASE c_custkey % 4 WHEN 0 THEN 'Married' ELSE 'Single' END AS t
+             FROM customer WHERE c_custkey % 4 IN (0, 1)) lm ON s.MaritalStatus = lm.k
+  LEFT JOIN (SELECT DISTINCT 'Primary' AS k, 'PRIMARY' AS t FROM customer WHERE c_custkey % 2 = 0) le
+    ON s.EducationLevel = le.k
+  LEFT JOIN (SELECT DISTINCT c_mktsegment AS k, 'First line' AS t FROM customer WHERE c_mktsegment = 'BUILDING') lr
+    ON s.PreviousARTExposure = lr.k
+  LEFT JOIN (SELECT DISTINCT 'VCT' AS k, 'VCT Centre' AS t FROM customer WHERE c_custkey % 3 = 0) ls
+    ON s.PatientSource = ls.k),
+tgt AS (SELECT c_nationkey * 100 AS SiteCode, c_custkey % 700 AS PatientPK FROM customer WHERE c_custkey < 300)
+SELECT {final}, {utf16.format(c='PatientID')} AS PatientIDHash, {utf16.format(c='PatientPK')} AS PatientPKHash,
+       {utf16.format(c='NUPI')} AS NUPIHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
+  AND t.PatientPK IS NOT DISTINCT FROM x.PatientPK)"""
+
+
+@query("load_ct_patients", oracle=_p24_oracle())
+def load_ct_patients(spark, sf):
+    """The CT patients load spec (P24) end to end on the test tables: latest rule on the
+    patient table joined to its facility, gender filters, DOB / registration windows, four
+    lookups with job-specific column names, delta on (site, patient), three digests."""
+    spec, io = _p24_io(spark, sf)
+    return build_load(spec, io, AS_OF)
