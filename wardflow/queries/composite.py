@@ -971,7 +971,10 @@ def _p24_oracle() -> str:
     spec = SPECS["p24_patients"]
     have = {"ID", "PatientID", "PatientPK", "SiteCode", "FacilityName", "Gender", "DOB", "RegistrationDate",
             "PatientSource", "MaritalStatus", "EducationLevel", "PreviousARTExposure", "Emr", "Project", "NUPI"}
-    final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
+    # columns the source lacks are NULL; the date window rules type them as dates
+    dated = {r.column for r in spec.rules if r.kind == "date"}
+    final = ", ".join(c if c in have else f"CAST(NULL AS {'DATE' if c in dated else 'VARCHAR'}) AS {c}"
+                      for c in spec.columns)
     utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
     return f"""
 WITH p AS (
