@@ -1034,3 +1034,146 @@ def load_ct_patients(spark, sf):
     lookups with job-specific column names, delta on (site, patient), three digests."""
     spec, io = _p24_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== the ART patients job
+# PatientArtExtract <- orders (patient = customer), PatientExtract <- customer,
+# Facility <- nation, lookups derived from orders, existing CT_ARTPatients <- customers
+# below 500.  The latest rule keeps every order of a patient's last order day.
+def _p01_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p01_art_patients"]
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    k = F.col("o_orderkey")
+    od = F.to_date("o_orderdate")
+    start = F.date_sub(od, (k % 9000).cast("int"))
+    regimen = F.col("o_orderpriority")
+    form = o.select(
+        k.alias("ID"), F.col("o_custkey").alias("PatientId"), F.col("o_orderdate").alias("Created"),
+        F.date_sub(F.lit(dt.date(1985, 1, 1)), ((k * 7) % 40000).cast("int")).alias("DOB"),
+        start.alias("StartARTDate"), F.date_add(start, 10).alias("StartARTAtThisFacility"),
+        od.alias("LastARTDate"), F.date_sub(start, 5).alias("RegistrationDate"),
+        F.date_sub(start, 400).alias("PreviousARTStartDate"), F.date_add(od, 30).alias("ExpectedReturn"),
+        od.alias("LastVisit"), F.when(F.col("o_orderstatus") == "F", F.date_add(od, 100)).alias("ExitDate"),
+        (k % 200 - 20).cast("string").alias("Duration"), (k % 150 - 10).cast("string").alias("AgeARTStart"),
+        (k % 140).cast("string").alias("AgeLastVisit"), (k % 130 - 5).cast("string").alias("AgeEnrollment"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("dead")).when(F.col("o_orderstatus") == "O", F.lit("ltfu"))
+         .alias("ExitReason"),
+        regimen.alias("PreviousARTRegimen"), regimen.alias("StartRegimen"), regimen.alias("LastRegimen"),
+        F.when(k % 2 == 0, F.lit("VCT")).otherwise(F.lit("OPD")).alias("PatientSource"))
+    patient = c.select(
+        F.col("c_custkey").alias("ID"), F.concat(F.lit("CCC"), F.col("c_custkey").cast("string")).alias("PatientCccNumber"),
+        F.col("c_custkey").alias("PatientPID"), F.col("c_mktsegment").alias("Gender"),
+        F.col("c_nationkey").alias("FacilityId"),
+        F.when(F.col("c_custkey") % 2 == 0, F.lit("Open Medical Records System - OpenMRS")).otherwise(F.lit("IQCare"))
+         .alias("Emr"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lit("AMPATH")).when(F.col("c_custkey") % 3 == 1, F.lit("HMIS"))
+         .otherwise(F.lit("Other")).alias("Project"))
+    facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
+                        F.col("n_name").alias("Name"), F.lit(0).alias("Voided"))
+    exit_lkp = o.filter(F.col("o_orderstatus") == "F").select(
+        F.lit("dead").alias("source_name"), F.lit("DIED").alias("target_name")).distinct()
+    reg_lkp = (o.select(F.col("o_orderpriority").alias("source_name")).distinct()
+               .filter(F.col("source_name").isin("1-URGENT", "2-HIGH", "3-MEDIUM"))
+               .withColumn("target_name", F.concat(F.lit("REG-"), F.substring("source_name", 1, 1))))
+    src_lkp = o.filter(F.col("o_orderkey") % 2 == 0).select(
+        F.lit("VCT").alias("source_name"), F.lit("VCT Centre").alias("target_name")).distinct()
+    loaded = c.filter(F.col("c_custkey") < 500).select(
+        F.col("c_custkey").alias("PatientPK"), (F.col("c_nationkey") * 100).alias("SiteCode"))
+    io = FrameIO({"PatientArtExtract": form, "PatientExtract": patient, "Facility": facility,
+                  "lkp_exit_reason": exit_lkp, "lkp_regimen": reg_lkp, "lkp_patient_source": src_lkp},
+                 {spec.target: loaded})
+    return spec, io
+
+
+def _p01_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p01_art_patients"]
+    have = {"ID", "PatientID", "PatientPK", "SiteCode", "FacilityName", "AgeEnrollment", "AgeARTStart", "AgeLastVisit",
+            "RegistrationDate", "PatientSource", "Gender", "StartARTDate", "PreviousARTStartDate", "PreviousARTRegimen",
+            "StartARTAtThisFacility", "StartRegimen", "LastARTDate", "LastRegimen", "Duration", "ExpectedReturn",
+            "LastVisit", "ExitReason", "ExitDate", "Emr", "Project", "DOB", "DateAsOf"}
+    dated = {r.column for r in spec.rules if r.kind == "date"}
+    final = ", ".join(c if c in have else f"CAST(NULL AS {'DATE' if c in dated else 'VARCHAR'}) AS {c}"
+                      for c in spec.columns)
+    utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+
+    def window(col, lo):
+        return (f"CASE WHEN {col} < DATE '{lo}' OR {col} > DATE '2000-12-31' THEN DATE '1900-01-01' "
+                f"ELSE {col} END AS {col}")
+
+    def age(col, lo, hi):
+        cond = f"TRY_CAST({col} AS DOUBLE) < {lo}" + (f" OR TRY_CAST({col} AS DOUBLE) > {hi}" if hi else "")
+        return f"CASE WHEN {cond} THEN '999' ELSE {col} END AS {col}"
+    dates80 = ["StartARTDate", "StartARTAtThisFacility", "LastARTDate", "RegistrationDate", "PreviousARTStartDate",
+               "ExpectedReturn", "LastVisit", "ExitDate"]
+    return f"""
+WITH a AS (
+  SELECT o_orderkey AS ID, o_custkey AS PatientRef, o_orderdate AS Created,
+         DATE '1985-01-01' - CAST((o_orderkey * 7) % 40000 AS INTEGER) AS DOB,
+         CAST(o_orderdate AS DATE) - CAST(o_orderkey % 9000 AS INTEGER) AS StartARTDate,
+         CAST(o_orderdate AS DATE) - CAST(o_orderkey % 9000 AS INTEGER) + 10 AS StartARTAtThisFacility,
+         CAST(o_orderdate AS DATE) AS LastARTDate,
+         CAST(o_orderdate AS DATE) - CAST(o_orderkey % 9000 AS INTEGER) - 5 AS RegistrationDate,
+         CAST(o_orderdate AS DATE) - CAST(o_orderkey % 9000 AS INTEGER) - 400 AS PreviousARTStartDate,
+         CAST(o_orderdate AS DATE) + 30 AS ExpectedReturn, CAST(o_orderdate AS DATE) AS LastVisit,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 100 END AS ExitDate,
+         CAST(o_orderkey % 200 - 20 AS VARCHAR) AS Duration, CAST(o_orderkey % 150 - 10 AS VARCHAR) AS AgeARTStart,
+         CAST(o_orderkey % 140 AS VARCHAR) AS AgeLastVisit, CAST(o_orderkey % 130 - 5 AS VARCHAR) AS AgeEnrollment,
+         CASE o_orderstatus WHEN 'F' THEN 'dead' WHEN 'O' THEN 'ltfu' END AS ExitReason,
+         o_orderpriority AS PreviousARTRegimen, o_orderpriority AS StartRegimen, o_orderpriority AS LastRegimen,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'VCT' ELSE 'OPD' END AS PatientSource
+  FROM orders),
+j AS (
+  SELECT a.*, 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK, c.c_mktsegment AS Gender,
+         CASE WHEN c.c_custkey % 2 = 0 THEN 'Open Medical Records System - OpenMRS' ELSE 'IQCare' END AS Emr,
+         CASE c.c_custkey % 3 WHEN 0 THEN 'AMPATH' WHEN 1 THEN 'HMIS' ELSE 'Other' END AS Project,
+         n.n_nationkey * 100 AS SiteCode, n.n_name AS FacilityName
+  FROM a JOIN customer c ON a.PatientRef = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+tn AS (SELECT PatientPK, SiteCode, max(CAST(Created AS DATE)) AS MaxCreated FROM j GROUP BY PatientPK, SiteCode),
+scan AS (
+  SELECT DISTINCT j.ID, j.PatientID, j.PatientPK, j.SiteCode, j.FacilityName, j.AgeEnrollment, j.AgeARTStart,
+         j.AgeLastVisit, j.RegistrationDate, j.PatientSource, j.Gender, j.StartARTDate, j.PreviousARTStartDate,
+         j.PreviousARTRegimen, j.StartARTAtThisFacility, j.StartRegimen, j.LastARTDate, j.LastRegimen, j.Duration,
+         j.ExpectedReturn, j.LastVisit, j.ExitReason, j.ExitDate, j.Emr, j.Project, j.DOB
+  FROM j JOIN tn ON j.PatientPK = tn.PatientPK AND j.SiteCode = tn.SiteCode AND CAST(j.Created AS DATE) = tn.MaxCreated
+  WHERE j.Gender <> 'Unknown' AND j.SiteCode > 0),
+clean AS (
+  SELECT ID, PatientID, PatientPK, SiteCode, FacilityName, {age('AgeEnrollment', 0, 120)}, {age('AgeARTStart', 0, 120)},
+         {age('AgeLastVisit', 0, 120)}, {', '.join(window(c, '1980-01-01') for c in dates80)},
+         {window('DOB', '1900-01-01')}, {age('Duration', 0, None)},
+         PatientSource, Gender, PreviousARTRegimen, StartRegimen, LastRegimen, ExitReason,
+         CASE WHEN Emr = 'Open Medical Records System - OpenMRS' THEN 'OpenMRS' WHEN Emr = 'Ampath AMRS' THEN 'AMRS'
+              ELSE Emr END AS Emr,
+         CASE WHEN p0 IN ('Ampathplus', 'AMPATH') THEN 'Ampath Plus'
+              WHEN p0 IN ('UCSF Clinical Kisumu', 'CHAP Uzima', 'DREAM', 'IRDO') THEN 'Kenya HMIS II' ELSE p0 END AS Project,
+         DATE '2000-12-31' AS DateAsOf
+  FROM (SELECT *, CASE WHEN Project IN ('I-TECH', 'HMIS') THEN 'Kenya HMIS II' ELSE Project END AS p0 FROM scan) s),
+reg AS (SELECT DISTINCT o_orderpriority AS s, 'REG-' || substring(o_orderpriority, 1, 1) AS t FROM orders
+        WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')),
+std AS (
+  SELECT x.* REPLACE (coalesce(e.t, x.ExitReason) AS ExitReason, coalesce(r1.t, x.PreviousARTRegimen) AS PreviousARTRegimen,
+                      coalesce(r2.t, x.StartRegimen) AS StartRegimen, coalesce(r3.t, x.LastRegimen) AS LastRegimen,
+                      coalesce(ps.t, x.PatientSource) AS PatientSource)
+  FROM clean x
+  LEFT JOIN (SELECT DISTINCT 'dead' AS s, 'DIED' AS t FROM orders WHERE o_orderstatus = 'F') e ON x.ExitReason = e.s
+  LEFT JOIN reg r1 ON x.PreviousARTRegimen = r1.s LEFT JOIN reg r2 ON x.StartRegimen = r2.s
+  LEFT JOIN reg r3 ON x.LastRegimen = r3.s
+  LEFT JOIN (SELECT DISTINCT 'VCT' AS s, 'VCT Centre' AS t FROM orders WHERE o_orderkey % 2 = 0) ps
+    ON x.PatientSource = ps.s),
+tgt AS (SELECT c_custkey AS PatientPK, c_nationkey * 100 AS SiteCode FROM customer WHERE c_custkey < 500)
+SELECT {final}, {utf16.format(c='PatientID')} AS PatientIDHash, {utf16.format(c='PatientPK')} AS PatientPKHash
+FROM std x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPK IS NOT DISTINCT FROM x.PatientPK
+  AND t.SiteCode IS NOT DISTINCT FROM x.SiteCode)"""
+
+
+@query("load_art_patients", oracle=_p01_oracle())
+def load_art_patients(spark, sf):
+    """The ART patients load spec (P01) end to end on the test tables: latest rule by day only
+    (ties survive), nine date windows, age / duration clamps to 999, EMR and project recodes,
+    one regimen lookup used for three columns, exit-reason and patient-source lookups,
+    injected as-of stamp, delta on (patient, site), digests."""
+    spec, io = _p01_io(spark, sf)
+    return build_load(spec, io, AS_OF)
