@@ -1177,3 +1177,221 @@ def load_art_patients(spark, sf):
     injected as-of stamp, delta on (patient, site), digests."""
     spec, io = _p01_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== pharmacy (P21), PNS (P30), EMR sites
+_UTF16_SQL = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
+
+
+def _null_cols(spec, have):
+    dated = {r.column for r in spec.rules if r.kind == "date"}
+    return ", ".join(c if c in have else f"CAST(NULL AS {'DATE' if c in dated else 'VARCHAR'}) AS {c}"
+                     for c in spec.columns)
+
+
+def _p21_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p21_patient_pharmacy"]
+    li = table(spark, sf, "lineitem")
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    sd = F.to_date("l_shipdate")
+    form = li.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ID"), (F.col("l_partkey") % 1500).alias("PatientId"),
+        F.concat(F.lit("V"), F.col("l_orderkey").cast("string")).alias("VisitID"),
+        F.col("l_returnflag").alias("Drug"), sd.alias("DispenseDate"),
+        (F.col("l_quantity") - 10).cast("int").cast("string").alias("Duration"),
+        F.when(F.col("l_linenumber") == 3, F.lit(dt.date(1899, 5, 1))).otherwise(F.date_add(sd, 30))
+         .alias("ExpectedReturn"),
+        F.col("l_linestatus").alias("TreatmentType"),
+        (F.col("l_linenumber") - 2).cast("string").alias("PeriodTaken"),
+        F.when(F.col("l_discount") > 0.05, F.lit("CTX")).alias("ProphylaxisType"))
+    patient = c.select(
+        F.col("c_custkey").alias("ID"), F.concat(F.lit("CCC"), F.col("c_custkey").cast("string")).alias("PatientCccNumber"),
+        F.col("c_custkey").alias("PatientPID"), F.col("c_mktsegment").alias("Gender"),
+        F.col("c_nationkey").alias("FacilityId"),
+        F.when(F.col("c_custkey") % 2 == 0, F.lit("Ampath AMRS")).otherwise(F.lit("KenyaEMR")).alias("Emr"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lit("I-TECH")).when(F.col("c_custkey") % 3 == 1, F.lit("DREAM"))
+         .otherwise(F.lit("Other")).alias("Project"))
+    facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
+                        F.col("n_name").alias("Name"), F.lit(0).alias("Voided"))
+    drugs = li.select(F.col("l_returnflag").alias("source_name")).distinct().filter(F.col("source_name") != "N") \
+        .withColumn("target_name", F.concat(F.lit("DRUG-"), F.col("source_name")))
+    ttype = li.filter(F.col("l_linestatus") == "F").select(F.lit("F").alias("source_name"),
+                                                           F.lit("ART").alias("target_name")).distinct()
+    proph = li.filter(F.col("l_discount") > 0.05).select(F.lit("CTX").alias("source_name"),
+                                                         F.lit("Cotrimoxazole").alias("target_name")).distinct()
+    loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1997, 1, 1))).join(
+        c, (F.col("l_partkey") % 1500) == F.col("c_custkey")).select(
+        (F.col("c_nationkey") * 100).alias("SiteCode"), F.col("c_custkey").alias("PatientPK"),
+        F.concat(F.lit("V"), F.col("l_orderkey").cast("string")).alias("VisitID"))
+    io = FrameIO({"PatientPharmacyExtract": form, "PatientExtract": patient, "Facility": facility,
+                  "lkp_regimen": drugs, "lkp_treatment_type": ttype, "lkp_prophylaxis_type": proph},
+                 {spec.target: loaded})
+    return spec, io
+
+
+def _p21_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p21_patient_pharmacy"]
+    have = {"ID", "PatientID", "SiteCode", "FacilityName", "PatientPK", "VisitID", "Drug", "DispenseDate", "Duration",
+            "ExpectedReturn", "TreatmentType", "PeriodTaken", "ProphylaxisType", "Emr", "Project"}
+    return f"""
+WITH a AS (
+  SELECT l_orderkey * 10 + l_linenumber AS ID, l_partkey % 1500 AS PatientRef, 'V' || CAST(l_orderkey AS VARCHAR) AS VisitID, l_returnflag AS Drug,
+         CAST(l_shipdate AS DATE) AS DispenseDate, CAST(CAST(l_quantity - 10 AS INTEGER) AS VARCHAR) AS Duration,
+         CASE WHEN l_linenumber = 3 THEN DATE '1899-05-01' ELSE CAST(l_shipdate AS DATE) + 30 END AS ExpectedReturn,
+         l_linestatus AS TreatmentType, CAST(l_linenumber - 2 AS VARCHAR) AS PeriodTaken,
+         CASE WHEN l_discount > 0.05 THEN 'CTX' END AS ProphylaxisType
+  FROM lineitem),
+scan AS (
+  SELECT DISTINCT a.ID, 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, n.n_nationkey * 100 AS SiteCode,
+         n.n_name AS FacilityName, c.c_custkey AS PatientPK, a.VisitID, a.Drug, a.DispenseDate, a.Duration,
+         a.ExpectedReturn, a.TreatmentType, a.PeriodTaken, a.ProphylaxisType,
+         CASE WHEN c.c_custkey % 2 = 0 THEN 'Ampath AMRS' ELSE 'KenyaEMR' END AS Emr,
+         CASE c.c_custkey % 3 WHEN 0 THEN 'I-TECH' WHEN 1 THEN 'DREAM' ELSE 'Other' END AS Project
+  FROM a JOIN customer c ON a.PatientRef = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE c.c_mktsegment <> 'Unknown' AND n.n_nationkey * 100 > 0),
+clean AS (
+  SELECT ID, PatientID, SiteCode, FacilityName, PatientPK, VisitID, coalesce(d.t, s.Drug) AS Drug, DispenseDate,
+         CASE WHEN TRY_CAST(Duration AS DOUBLE) < 0 THEN '999' ELSE Duration END AS Duration,
+         CASE WHEN ExpectedReturn < DATE '1900-01-01' THEN DATE '1900-01-01' ELSE ExpectedReturn END AS ExpectedReturn,
+         coalesce(tt.t, s.TreatmentType) AS TreatmentType,
+         CASE WHEN TRY_CAST(PeriodTaken AS DOUBLE) < 0.0000001 THEN '999' ELSE PeriodTaken END AS PeriodTaken,
+         coalesce(pr.t, s.ProphylaxisType) AS ProphylaxisType,
+         CASE WHEN Emr = 'Open Medical Records System - OpenMRS' THEN 'OpenMRS' WHEN Emr = 'Ampath AMRS' THEN 'AMRS'
+              ELSE Emr END AS Emr,
+         CASE WHEN p0 IN ('Ampathplus', 'AMPATH') THEN 'Ampath Plus'
+              WHEN p0 IN ('UCSF Clinical Kisumu', 'CHAP Uzima', 'DREAM', 'IRDO') THEN 'Kenya HMIS II' ELSE p0 END AS Project
+  FROM (SELECT *, CASE WHEN Project IN ('I-TECH', 'HMIS') THEN 'Kenya HMIS II' ELSE Project END AS p0 FROM scan) s
+  LEFT JOIN (SELECT DISTINCT l_returnflag AS k, 'DRUG-' || l_returnflag AS t FROM lineitem WHERE l_returnflag <> 'N') d
+    ON s.Drug = d.k
+  LEFT JOIN (SELECT DISTINCT 'F' AS k, 'ART' AS t FROM lineitem WHERE l_linestatus = 'F') tt ON s.TreatmentType = tt.k
+  LEFT JOIN (SELECT DISTINCT 'CTX' AS k, 'Cotrimoxazole' AS t FROM lineitem WHERE l_discount > 0.05) pr
+    ON s.ProphylaxisType = pr.k),
+tgt AS (SELECT c.c_nationkey * 100 AS SiteCode, c.c_custkey AS PatientPK, 'V' || CAST(l.l_orderkey AS VARCHAR) AS VisitID
+        FROM lineitem l JOIN customer c ON l.l_partkey % 1500 = c.c_custkey WHERE l.l_shipdate < TIMESTAMP '1997-01-01')
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
+       {_UTF16_SQL.format(c='PatientPK')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
+  AND t.PatientPK IS NOT DISTINCT FROM x.PatientPK AND t.VisitID IS NOT DISTINCT FROM x.VisitID)"""
+
+
+@query("load_patient_pharmacy", oracle=_p21_oracle())
+def load_patient_pharmacy(spark, sf):
+    """The pharmacy load spec (P21) end to end on the test tables: no latest rule, duration and
+    period clamps (valid values kept), open-ended expected-return window, three lookups, EMR /
+    project recodes, delta on (site, patient, visit)."""
+    spec, io = _p21_io(spark, sf)
+    return build_load(spec, io, AS_OF)
+
+
+def _p30_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p30_partner_notification_services"]
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    form = o.select(
+        k.alias("ID"), (ck % 10 + 1).cast("int").alias("SiteCode"), ck.alias("PatientPk"),
+        F.concat(F.lit("H"), ck.cast("string")).alias("HtsNumber"), (k % 3000).alias("PartnerPatientPk"),
+        F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("C"), k.cast("string"))).alias("CccNumber"),
+        F.when(k % 4 == 0, F.lit("N/A")).otherwise(F.lit("Yes")).alias("ScreenedForIpv"),
+        F.when(k % 3 == 0, F.lit("0")).otherwise(F.lit("1")).alias("PnsConsent"),
+        F.when(k % 2 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("LinkedToCare"),
+        F.when(k % 6 == 0, F.lit("Pr: Provider Referral")).when(k % 6 == 1, F.lit("Cr: Passive Referral"))
+         .otherwise(F.lit("Other")).alias("PnsApproach"),
+        F.when(k % 7 == 0, F.lit("")).otherwise(F.col("o_orderpriority")).alias("FacilityLinkedTo"),
+        (k % 130 - 10).cast("string").alias("Age"))
+    clients = c.filter(F.col("c_acctbal") > 0).select(
+        F.col("c_custkey").alias("PatientPk"), (F.col("c_custkey") % 10 + 1).cast("int").alias("SiteCode"))
+    loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1997, 1, 1))).select(
+        ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"), (k % 3000).alias("PartnerPatientPk"))
+    return spec, FrameIO({"HtsPartnerNotificationServices": form, "Clients": clients}, {spec.target: loaded})
+
+
+def _p30_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p30_partner_notification_services"]
+    have = {"ID", "SiteCode", "PatientPk", "HtsNumber", "PartnerPatientPk", "CccNumber", "ScreenedForIpv", "PnsConsent",
+            "LinkedToCare", "PnsApproach", "FacilityLinkedTo", "Age"}
+    return f"""
+WITH a AS (
+  SELECT o_orderkey AS ID, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode, o_custkey AS PatientPk,
+         'H' || CAST(o_custkey AS VARCHAR) AS HtsNumber, o_orderkey % 3000 AS PartnerPatientPk,
+         CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'C' || CAST(o_orderkey AS VARCHAR) END AS CccNumber,
+         CASE WHEN o_orderkey % 4 = 0 THEN 'N/A' ELSE 'Yes' END AS ScreenedForIpv,
+         CASE WHEN o_orderkey % 3 = 0 THEN '0' ELSE '1' END AS PnsConsent,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'Y' ELSE 'N' END AS LinkedToCare,
+         CASE o_orderkey % 6 WHEN 0 THEN 'Pr: Provider Referral' WHEN 1 THEN 'Cr: Passive Referral' ELSE 'Other' END
+           AS PnsApproach,
+         CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE o_orderpriority END AS FacilityLinkedTo,
+         CAST(o_orderkey % 130 - 10 AS VARCHAR) AS Age
+  FROM orders),
+scan AS (
+  SELECT DISTINCT * FROM a WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal > 0 AND c.c_custkey = a.PatientPk
+                                         AND CAST(c.c_custkey % 10 + 1 AS INTEGER) = a.SiteCode)),
+clean AS (
+  SELECT ID, SiteCode, PatientPk, HtsNumber, PartnerPatientPk,
+         CASE WHEN CccNumber = '' THEN NULL ELSE CccNumber END AS CccNumber,
+         CASE WHEN ScreenedForIpv = 'N/A' THEN NULL ELSE ScreenedForIpv END AS ScreenedForIpv,
+         CASE WHEN PnsConsent = '0' THEN 'No' ELSE PnsConsent END AS PnsConsent,
+         CASE LinkedToCare WHEN 'Y' THEN 'Yes' WHEN 'N' THEN 'No' ELSE LinkedToCare END AS LinkedToCare,
+         CASE WHEN PnsApproach IN ('Pr: Provider Referral', 'D: Dual Referral') THEN 'Provider Referral'
+              WHEN PnsApproach = 'Cr: Passive Referral' THEN 'Passive Referral' ELSE PnsApproach END AS PnsApproach,
+         CASE WHEN FacilityLinkedTo = '' THEN NULL ELSE FacilityLinkedTo END AS FacilityLinkedTo,
+         CASE WHEN TRY_CAST(Age AS DOUBLE) < 0 OR TRY_CAST(Age AS DOUBLE) > 100 THEN NULL ELSE Age END AS Age
+  FROM scan),
+tgt AS (SELECT o_custkey AS PatientPk, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode, o_orderkey % 3000 AS PartnerPatientPk
+        FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01')
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='HtsNumber')} AS HtsNumberHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPk IS NOT DISTINCT FROM x.PatientPk
+  AND t.SiteCode IS NOT DISTINCT FROM x.SiteCode AND t.PartnerPatientPk IS NOT DISTINCT FROM x.PartnerPatientPk)"""
+
+
+@query("load_partner_notification", oracle=_p30_oracle())
+def load_partner_notification(spark, sf):
+    """The partner-notification load spec (P30) end to end on the test tables: client existence,
+    blank -> NULL, N/A sentinel, consent / linkage / approach recodes, age outside 0-100 -> NULL,
+    delta on (patient, site, partner)."""
+    spec, io = _p30_io(spark, sf)
+    return build_load(spec, io, AS_OF)
+
+
+def _p12_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p12_emr_sites"]
+    s = table(spark, sf, "supplier")
+    sites = s.select(
+        F.when(F.col("s_suppkey") % 9 == 0, F.lit("")).otherwise((F.col("s_suppkey") + 10000).cast("string"))
+         .alias("MFL_Code"),
+        F.col("s_name").alias("Facility_Name"), F.concat(F.lit("County "), F.col("s_nationkey").cast("string"))
+         .alias("County"), F.lit(None).cast("string").alias("SubCounty"),
+        F.when(F.col("s_acctbal") > 5000, F.lit("KenyaEMR")).otherwise(F.lit("IQCare")).alias("EMR"),
+        F.lit("Yes").alias("_3PM"))
+    loaded = s.filter(F.col("s_suppkey") < 40).select((F.col("s_suppkey") + 10000).cast("string").alias("MFL_Code"))
+    return spec, FrameIO({"ALL_EMRSites": sites}, {spec.target: loaded})
+
+
+def _p12_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p12_emr_sites"]
+    have = {"MFL_Code", "Facility_Name", "County", "SubCounty", "EMR", "_3PM"}
+    return f"""
+WITH s AS (
+  SELECT DISTINCT CASE WHEN s_suppkey % 9 = 0 THEN '' ELSE CAST(s_suppkey + 10000 AS VARCHAR) END AS MFL_Code,
+         s_name AS Facility_Name, 'County ' || CAST(s_nationkey AS VARCHAR) AS County, CAST(NULL AS VARCHAR) AS SubCounty,
+         CASE WHEN s_acctbal > 5000 THEN 'KenyaEMR' ELSE 'IQCare' END AS EMR, 'Yes' AS "_3PM"
+  FROM supplier)
+SELECT {_null_cols(spec, have)} FROM s
+WHERE MFL_Code <> '' AND NOT EXISTS (SELECT 1 FROM supplier t WHERE t.s_suppkey < 40
+  AND CAST(t.s_suppkey + 10000 AS VARCHAR) IS NOT DISTINCT FROM s.MFL_Code)"""
+
+
+@query("load_emr_sites", oracle=_p12_oracle())
+def load_emr_sites(spark, sf):
+    """The facility-master load spec (P12) on the test tables: blank facility codes dropped,
+    NULL placeholder columns, a quoted column name, delta on the facility code."""
+    spec, io = _p12_io(spark, sf)
+    return build_load(spec, io, AS_OF)
