@@ -1395,3 +1395,149 @@ def load_emr_sites(spark, sf):
     NULL placeholder columns, a quoted column name, delta on the facility code."""
     spec, io = _p12_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== PrEP patient (P49), test kits (P32), contacts
+def _p49_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p49_patient"]
+    c = table(spark, sf, "customer")
+    ck = F.col("c_custkey")
+    form = c.select(
+        ck.alias("ID"), (ck % 800).alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), (ck % 40).cast("int")).alias("Created"),
+        F.concat(F.lit("PREP-"), (ck % 800).cast("string")).alias("PrepNumber"),
+        F.when(ck % 5 == 0, F.lit("")).otherwise(F.lit("F")).alias("Sex"),
+        F.when(ck % 6 == 0, F.lit("160579")).when(ck % 6 == 1, F.lit("105")).otherwise(F.lit("GP"))
+         .alias("KeyPopulationType"),
+        F.when(ck % 3 == 0, F.lit("1")).when(ck % 3 == 1, F.lit("2")).otherwise(F.lit("9")).alias("Inschool"),
+        F.when(ck % 4 == 0, F.lit("Never married")).when(ck % 4 == 1, F.lit("Separated"))
+         .otherwise(F.lit("Widowed")).alias("MaritalStatus"),
+        F.when(ck % 7 == 0, F.lit("Ugunja")).when(ck % 7 == 1, F.lit("...")).when(ck % 7 == 2, F.lit(""))
+         .when(ck % 7 == 3, F.lit("KIAMBU'")).otherwise(F.col("c_mktsegment")).alias("County"),
+        F.when(ck % 8 == 0, F.lit("")).otherwise(F.lit("Kisumu")).alias("SubCounty"),
+        F.lit("KenyaEMR").alias("Emr"))
+    loaded = c.filter(ck < 200).select((ck % 800).alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"))
+    return spec, FrameIO({"PrepPatients": form}, {spec.target: loaded})
+
+
+def _p49_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p49_patient"]
+    have = {"ID", "PatientPk", "SiteCode", "Created", "PrepNumber", "Sex", "KeyPopulationType", "Inschool",
+            "MaritalStatus", "County", "SubCounty", "Emr"}
+    return f"""
+WITH a AS (
+  SELECT c_custkey AS ID, c_custkey % 800 AS PatientPk, c_nationkey + 1 AS SiteCode,
+         DATE '2020-01-01' + CAST(c_custkey % 40 AS INTEGER) AS Created,
+         'PREP-' || CAST(c_custkey % 800 AS VARCHAR) AS PrepNumber,
+         CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'F' END AS Sex,
+         CASE c_custkey % 6 WHEN 0 THEN '160579' WHEN 1 THEN '105' ELSE 'GP' END AS KeyPopulationType,
+         CASE c_custkey % 3 WHEN 0 THEN '1' WHEN 1 THEN '2' ELSE '9' END AS Inschool,
+         CASE c_custkey % 4 WHEN 0 THEN 'Never married' WHEN 1 THEN 'Separated' ELSE 'Widowed' END AS MaritalStatus,
+         CASE c_custkey % 7 WHEN 0 THEN 'Ugunja' WHEN 1 THEN '...' WHEN 2 THEN '' WHEN 3 THEN 'KIAMBU''' ELSE c_mktsegment END
+           AS County,
+         CASE WHEN c_custkey % 8 = 0 THEN '' ELSE 'Kisumu' END AS SubCounty, 'KenyaEMR' AS Emr
+  FROM customer),
+tn AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated FROM a
+       GROUP BY PatientPk, SiteCode),
+scan AS (SELECT a.* FROM a JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCode
+                                   AND CAST(a.Created AS DATE) = tn.MaxCreated AND a.ID = tn.MaxID),
+clean AS (
+  SELECT ID, PatientPk, SiteCode, Created, PrepNumber, Emr,
+         CASE WHEN Sex = '' THEN NULL ELSE Sex END AS Sex,
+         CASE WHEN SubCounty = '' THEN NULL ELSE SubCounty END AS SubCounty,
+         CASE KeyPopulationType WHEN '160579' THEN 'FSW' WHEN '160578' THEN 'MSM' WHEN '165084' THEN 'MSW'
+              WHEN '105' THEN 'PWID' ELSE KeyPopulationType END AS KeyPopulationType,
+         CASE Inschool WHEN '1' THEN 'Yes' WHEN '2' THEN 'No' ELSE Inschool END AS Inschool,
+         CASE MaritalStatus WHEN 'Married' THEN 'Married Monogamous' WHEN 'Never married' THEN 'Single'
+              WHEN 'Living with partner' THEN 'Cohabiting' WHEN 'Polygamous' THEN 'Married Polygamous'
+              WHEN 'OTHER NON-CODED' THEN 'Unknown' WHEN 'Separated' THEN 'Divorced' ELSE MaritalStatus END
+           AS MaritalStatus,
+         CASE WHEN County IN ('North Alego', 'West Sakwa', 'Ugunja', 'North Ugenya', 'Ugenya West', 'Ukwala', 'West Alego')
+                THEN 'Siaya'
+              WHEN County = 'KIAMBU''' THEN 'Kiambu'
+              WHEN County IN ('Kagen', '...') THEN 'NOT DOCUMENTED'
+              WHEN County = '' THEN NULL ELSE County END AS County
+  FROM scan)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PrepNumber')} AS PrepNumberHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM customer t WHERE t.c_custkey < 200
+  AND t.c_custkey % 800 IS NOT DISTINCT FROM x.PatientPk AND t.c_nationkey + 1 IS NOT DISTINCT FROM x.SiteCode)"""
+
+
+@query("load_prep_patient", oracle=_p49_oracle())
+def load_prep_patient(spark, sf):
+    """The PrEP patient load spec (P49) on the test tables: latest rule, no DISTINCT, blank ->
+    NULL, key-population / school / marital / county recodes, delta, digests."""
+    spec, io = _p49_io(spark, sf)
+    return build_load(spec, io, AS_OF)
+
+
+def _p32_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p32_test_kits"]
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders")
+    ln = F.col("l_linenumber")
+    form = li.select(
+        (F.col("l_orderkey") * 10 + ln).alias("ID"), (F.col("l_orderkey") % 600).alias("PatientPk"),
+        (F.col("l_suppkey") % 5 + 1).cast("int").alias("SiteCode"),
+        F.concat(F.lit("H"), (F.col("l_orderkey") % 600).cast("string")).alias("HtsNumber"),
+        (ln % 3).alias("EncounterId"),
+        F.when(ln == 2, F.lit("")).otherwise(F.col("l_returnflag")).alias("TestKitName1"),
+        F.col("l_linestatus").alias("TestKitLotNumber1"),
+        F.when(F.col("l_tax") > 0.04, F.lit("N/A")).otherwise(F.lit("Negative")).alias("TestResult2"),
+        F.when(ln == 4, F.lit("")).otherwise(F.lit("Unigold")).alias("TestKitName2"),
+        F.date_add(F.to_date("l_shipdate"), (F.col("l_partkey") % 2).cast("int")).alias("DateExtracted"))
+    clients = o.select((F.col("o_orderkey") % 600).alias("PatientPk"),
+                       (F.col("o_custkey") % 5 + 1).cast("int").alias("SiteCode"))
+    loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1996, 1, 1))).select(
+        (F.col("l_orderkey") % 600).alias("PatientPk"), (F.col("l_suppkey") % 5 + 1).cast("int").alias("SiteCode"))
+    return spec, FrameIO({"HtsTestKits": form, "Clients": clients}, {spec.target: loaded})
+
+
+def _p32_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p32_test_kits"]
+    have = {"SiteCode", "PatientPk", "HtsNumber", "EncounterId", "TestKitName1", "TestKitLotNumber1", "TestResult2",
+            "TestKitName2"}
+    return f"""
+WITH a AS (
+  SELECT l_orderkey * 10 + l_linenumber AS ID, l_orderkey % 600 AS PatientPk,
+         CAST(l_suppkey % 5 + 1 AS INTEGER) AS SiteCode, 'H' || CAST(l_orderkey % 600 AS VARCHAR) AS HtsNumber,
+         l_linenumber % 3 AS EncounterId, CASE WHEN l_linenumber = 2 THEN '' ELSE l_returnflag END AS TestKitName1,
+         l_linestatus AS TestKitLotNumber1, CASE WHEN l_tax > 0.04 THEN 'N/A' ELSE 'Negative' END AS TestResult2,
+         CASE WHEN l_linenumber = 4 THEN '' ELSE 'Unigold' END AS TestKitName2,
+         CAST(l_shipdate AS DATE) + CAST(l_partkey % 2 AS INTEGER) AS DateExtracted
+  FROM lineitem),
+tm AS (SELECT SiteCode, PatientPk, EncounterId, TestKitName1, TestResult2, TestKitLotNumber1, max(ID) AS MaxID,
+              max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+       FROM a GROUP BY SiteCode, PatientPk, EncounterId, TestKitName1, TestResult2, TestKitLotNumber1),
+scan AS (
+  SELECT DISTINCT a.SiteCode, a.PatientPk, a.HtsNumber, a.EncounterId, a.TestKitName1, a.TestKitLotNumber1,
+         a.TestResult2, a.TestKitName2
+  FROM a JOIN tm ON a.SiteCode = tm.SiteCode AND a.PatientPk = tm.PatientPk AND a.EncounterId = tm.EncounterId
+    AND a.TestKitName1 = tm.TestKitName1 AND a.TestResult2 = tm.TestResult2 AND a.TestKitLotNumber1 = tm.TestKitLotNumber1
+    AND CAST(a.DateExtracted AS DATE) = tm.MaxDateExtracted AND a.ID = tm.MaxID
+  WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey % 600 = a.PatientPk
+                AND CAST(o.o_custkey % 5 + 1 AS INTEGER) = a.SiteCode)),
+clean AS (
+  SELECT SiteCode, PatientPk, HtsNumber, EncounterId,
+         CASE WHEN TestKitName1 = '' THEN NULL ELSE TestKitName1 END AS TestKitName1, TestKitLotNumber1,
+         CASE WHEN TestResult2 = 'N/A' THEN NULL ELSE TestResult2 END AS TestResult2,
+         CASE WHEN TestKitName2 = '' THEN NULL ELSE TestKitName2 END AS TestKitName2
+  FROM scan)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='HtsNumber')} AS HtsNumberHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM lineitem t WHERE t.l_shipdate < TIMESTAMP '1996-01-01'
+  AND t.l_orderkey % 600 IS NOT DISTINCT FROM x.PatientPk
+  AND CAST(t.l_suppkey % 5 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode)"""
+
+
+@query("load_hts_test_kits", oracle=_p32_oracle())
+def load_hts_test_kits(spark, sf):
+    """The HTS test-kits load spec (P32) on the test tables: latest rule over six keys, client
+    existence, N/A sentinel and blank kit names -> NULL, delta, digests."""
+    spec, io = _p32_io(spark, sf)
+    return build_load(spec, io, AS_OF)
