@@ -1541,3 +1541,206 @@ def load_hts_test_kits(spark, sf):
     existence, N/A sentinel and blank kit names -> NULL, delta, digests."""
     spec, io = _p32_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== contacts (P06), MNCH ARTs (P34), manifest (P13), OTZ
+def _ct_parents(spark, sf, project=True):
+    """PatientExtract <- customer, Facility <- nation (shared by the CT mappings below)."""
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    patient = c.select(
+        F.col("c_custkey").alias("ID"), F.concat(F.lit("CCC"), F.col("c_custkey").cast("string")).alias("PatientCccNumber"),
+        F.col("c_custkey").alias("PatientPID"),
+        F.when(F.col("c_custkey") % 10 == 1, F.lit("Unknown")).otherwise(F.col("c_mktsegment")).alias("Gender"),
+        F.col("c_nationkey").alias("FacilityId"), F.lit("KenyaEMR").alias("Emr"),
+        F.when(F.col("c_custkey") % 3 == 0, F.lit("HMIS")).otherwise(F.lit("Other")).alias("Project"))
+    facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
+                        F.col("n_name").alias("Name"), F.lit(0).alias("Voided"))
+    return patient, facility
+
+
+_CT_PARENTS_SQL = """
+  JOIN customer c ON a.PatientRef = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+_CT_COLS_SQL = """'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK,
+         CASE WHEN c.c_custkey % 10 = 1 THEN 'Unknown' ELSE c.c_mktsegment END AS Gender, 'KenyaEMR' AS Emr,
+         CASE WHEN c.c_custkey % 3 = 0 THEN 'Kenya HMIS II' ELSE 'Other' END AS Project,
+         n.n_nationkey * 100 AS SiteCode, n.n_name AS FacilityName"""
+
+
+def _p06_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p06_contact_listing"]
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    form = o.select(
+        k.alias("ID"), F.col("o_custkey").alias("PatientId"), (k % 140 - 5).cast("string").alias("ContactAge"),
+        F.col("o_orderdate").alias("Created"),
+        F.when(k % 3 == 0, F.lit("U")).when(k % 3 == 1, F.lit("M")).otherwise(F.lit("F")).alias("ContactSex"),
+        F.when(k % 5 == 0, F.lit("Son")).when(k % 5 == 1, F.lit("Co-wife")).when(k % 5 == 2, F.lit("Select"))
+         .when(k % 5 == 3, F.lit("None")).otherwise(F.lit("Aunt")).alias("RelationshipWithPatient"),
+        F.when(k % 4 == 0, F.lit("0")).when(k % 4 == 1, F.lit("Yes")).when(k % 4 == 2, F.lit("1065"))
+         .otherwise(F.lit("x")).alias("IPVScreeningOutcome"),
+        F.when(k % 4 == 0, F.lit("Positive")).when(k % 4 == 1, F.lit("1067")).when(k % 4 == 2, F.lit("Unknown"))
+         .otherwise(F.lit("maybe")).alias("KnowledgeOfHivStatus"),
+        (k + 100000).alias("ContactPatientPK"))
+    patient, facility = _ct_parents(spark, sf)
+    c = table(spark, sf, "customer")
+    loaded = c.filter(F.col("c_custkey") < 500).select((F.col("c_nationkey") * 100).alias("SiteCode"),
+                                                        F.col("c_custkey").alias("PatientPK"))
+    return spec, FrameIO({"ContactListingExtract": form, "PatientExtract": patient, "Facility": facility},
+                         {spec.target: loaded})
+
+
+def _p06_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p06_contact_listing"]
+    have = {"ID", "PatientID", "PatientPK", "SiteCode", "FacilityName", "Emr", "Project", "ContactAge", "ContactSex",
+            "RelationshipWithPatient", "IPVScreeningOutcome", "KnowledgeOfHivStatus", "ContactPatientPK"}
+    return f"""
+WITH a AS (
+  SELECT o_orderkey AS ID, o_custkey AS PatientRef, CAST(o_orderkey % 140 - 5 AS VARCHAR) AS ContactAge,
+         o_orderdate AS Created,
+         CASE o_orderkey % 3 WHEN 0 THEN 'U' WHEN 1 THEN 'M' ELSE 'F' END AS ContactSex,
+         CASE o_orderkey % 5 WHEN 0 THEN 'Son' WHEN 1 THEN 'Co-wife' WHEN 2 THEN 'Select' WHEN 3 THEN 'None' ELSE 'Aunt' END
+           AS RelationshipWithPatient,
+         CASE o_orderkey % 4 WHEN 0 THEN '0' WHEN 1 THEN 'Yes' WHEN 2 THEN '1065' ELSE 'x' END AS IPVScreeningOutcome,
+         CASE o_orderkey % 4 WHEN 0 THEN 'Positive' WHEN 1 THEN '1067' WHEN 2 THEN 'Unknown' ELSE 'maybe' END
+           AS KnowledgeOfHivStatus,
+         o_orderkey + 100000 AS ContactPatientPK
+  FROM orders),
+j AS (SELECT a.*, {_CT_COLS_SQL} FROM a {_CT_PARENTS_SQL}),
+tn AS (SELECT PatientPK, SiteCode, ContactAge, max(CAST(Created AS DATE)) AS MaxCreated FROM j
+       GROUP BY PatientPK, SiteCode, ContactAge),
+scan AS (
+  SELECT DISTINCT j.ID, j.PatientID, j.PatientPK, j.SiteCode, j.FacilityName, j.Emr, j.Project, j.ContactAge,
+         j.ContactSex, j.RelationshipWithPatient, j.IPVScreeningOutcome, j.KnowledgeOfHivStatus, j.ContactPatientPK
+  FROM j JOIN tn ON j.PatientPK = tn.PatientPK AND j.SiteCode = tn.SiteCode AND j.ContactAge = tn.ContactAge
+                AND CAST(j.Created AS DATE) = tn.MaxCreated
+  WHERE j.Gender <> 'Unknown' AND j.SiteCode > 0),
+clean AS (
+  SELECT ID, PatientID, PatientPK, SiteCode, FacilityName, Emr, Project,
+         CASE WHEN TRY_CAST(ContactAge AS DOUBLE) < 0 OR TRY_CAST(ContactAge AS DOUBLE) > 120 THEN '999'
+              ELSE ContactAge END AS ContactAge,
+         CASE ContactSex WHEN 'U' THEN 'Undefined' WHEN 'M' THEN 'Male' WHEN 'F' THEN 'Female' ELSE ContactSex END
+           AS ContactSex,
+         CASE WHEN RelationshipWithPatient IN ('Daughter', 'Son') THEN 'Child'
+              WHEN RelationshipWithPatient = 'Co-wife' THEN 'Sexual Partner'
+              WHEN RelationshipWithPatient = 'Select' THEN 'OTHER'
+              WHEN RelationshipWithPatient IN ('undefined', 'None') THEN 'Undefined'
+              WHEN RelationshipWithPatient = 'Nice' THEN 'Niece' ELSE RelationshipWithPatient END
+           AS RelationshipWithPatient,
+         CASE WHEN IPVScreeningOutcome IN ('0', 'No') THEN 'False' WHEN IPVScreeningOutcome = 'Yes' THEN 'True'
+              WHEN IPVScreeningOutcome IN ('1065', '1066') THEN 'OTHER' ELSE IPVScreeningOutcome END
+           AS IPVScreeningOutcome,
+         CASE WHEN KnowledgeOfHivStatus IN ('Negative', 'Yes', 'Positive', 'Exposed Infant', 'Exposed', '664', '703')
+                THEN 'Yes'
+              WHEN KnowledgeOfHivStatus IN ('No', 'Unknown', '1067', '0') THEN 'No' ELSE KnowledgeOfHivStatus END
+           AS KnowledgeOfHivStatus,
+         ContactPatientPK
+  FROM scan)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
+       {_UTF16_SQL.format(c='PatientPK')} AS PatientPKHash,
+       {_UTF16_SQL.format(c='ContactPatientPK')} AS ContactPatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM customer t WHERE t.c_custkey < 500
+  AND t.c_nationkey * 100 IS NOT DISTINCT FROM x.SiteCode AND t.c_custkey IS NOT DISTINCT FROM x.PatientPK)"""
+
+
+@query("load_contact_listing", oracle=_p06_oracle())
+def load_contact_listing(spark, sf):
+    """The contact-listing load spec (P06) on the test tables: latest rule by day with the
+    contact's age as a key (ties survive), age clamp, sex / relationship / IPV / HIV-knowledge
+    recodes, three digests."""
+    spec, io = _p06_io(spark, sf)
+    return build_load(spec, io, AS_OF)
+
+
+def _p34_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p34_arts"]
+    o = table(spark, sf, "orders")
+    n = table(spark, sf, "nation")
+    ck = F.col("o_custkey")
+    form = o.select(
+        F.col("o_orderkey").alias("ID"), ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"),
+        (ck % 25).cast("int").alias("FacilityId"),
+        F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 5).cast("int")).alias("DateExtracted"),
+        F.concat(F.lit("MN"), ck.cast("string")).alias("PatientMnchID"), F.to_date("o_orderdate").alias("StartARTDate"),
+        F.col("o_orderpriority").alias("StartRegimen"), F.col("o_orderstatus").alias("Status"),
+        F.lit("KenyaEMR").alias("Emr"))
+    facilities = n.filter(F.col("n_regionkey") != 4).select(F.col("n_nationkey").alias("Id"),
+                                                            F.col("n_name").alias("Name"))
+    loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1995, 4, 1))).select(
+        ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"))
+    return spec, FrameIO({"MnchArts": form, "Facilities": facilities}, {spec.target: loaded})
+
+
+def _p34_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p34_arts"]
+    have = {"PatientPk", "SiteCode", "Emr", "Status", "DateExtracted", "PatientMnchID", "StartARTDate", "StartRegimen"}
+    return f"""
+WITH p AS (
+  SELECT o_orderkey AS ID, o_custkey AS PatientPk, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode,
+         CAST(o_custkey % 25 AS INTEGER) AS FacilityId,
+         CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 AS INTEGER) AS DateExtracted,
+         'MN' || CAST(o_custkey AS VARCHAR) AS PatientMnchID, CAST(o_orderdate AS DATE) AS StartARTDate,
+         o_orderpriority AS StartRegimen, o_orderstatus AS Status, 'KenyaEMR' AS Emr
+  FROM orders),
+tm AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+       FROM p GROUP BY PatientPk, SiteCode),
+scan AS (
+  SELECT DISTINCT p.PatientPk, p.SiteCode, p.Emr, p.Status, p.DateExtracted, p.PatientMnchID, p.StartARTDate,
+         p.StartRegimen
+  FROM p JOIN tm ON p.PatientPk = tm.PatientPk AND p.SiteCode = tm.SiteCode
+                AND CAST(p.DateExtracted AS DATE) = tm.MaxDateExtracted AND p.ID = tm.MaxID
+  WHERE EXISTS (SELECT 1 FROM nation f WHERE f.n_regionkey <> 4 AND f.n_nationkey = p.FacilityId))
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientMnchID')} AS PatientMnchIDHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM scan x WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderdate < TIMESTAMP '1995-04-01'
+  AND t.o_custkey IS NOT DISTINCT FROM x.PatientPk
+  AND CAST(t.o_custkey % 10 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode)"""
+
+
+@query("load_mnch_arts", oracle=_p34_oracle())
+def load_mnch_arts(spark, sf):
+    """The MNCH ART load spec (P34) on the test tables: latest rule over the form, facility
+    existence (semi join), delta on (patient, site), digests."""
+    spec, io = _p34_io(spark, sf)
+    return build_load(spec, io, AS_OF)
+
+
+def _p13_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p13_facility_manifest"]
+    s = table(spark, sf, "supplier")
+    sk = F.col("s_suppkey")
+    form = s.select(
+        sk.alias("ID"), (sk % 11 == 0).alias("Voided"), F.col("s_nationkey").alias("SiteCode"),
+        F.floor(F.col("s_acctbal")).alias("PatientCount"), F.col("s_name").alias("Name"),
+        F.lit("KenyaEMR").alias("EmrName"), F.date_add(F.lit(dt.date(2020, 1, 1)), sk.cast("int")).alias("Start"),
+        F.date_add(F.lit(dt.date(2020, 1, 2)), sk.cast("int")).alias("End"))
+    loaded = s.filter(sk < 50).select(sk.alias("ID"))
+    return spec, FrameIO({"FacilityManifest": form}, {spec.target: loaded})
+
+
+def _p13_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p13_facility_manifest"]
+    have = {"ID", "Voided", "SiteCode", "PatientCount", "Name", "EmrName", "Start", "End"}
+    cols = ", ".join(f'"{c}"' if c in have else f"CAST(NULL AS VARCHAR) AS \"{c}\"" for c in spec.columns)
+    return f"""
+WITH s AS (
+  SELECT DISTINCT s_suppkey AS ID, (s_suppkey % 11 = 0) AS Voided, s_nationkey AS SiteCode,
+         CAST(floor(s_acctbal) AS BIGINT) AS PatientCount, s_name AS Name, 'KenyaEMR' AS EmrName,
+         DATE '2020-01-01' + CAST(s_suppkey AS INTEGER) AS "Start", DATE '2020-01-02' + CAST(s_suppkey AS INTEGER) AS "End"
+  FROM supplier)
+SELECT {cols} FROM s WHERE NOT EXISTS (SELECT 1 FROM supplier t WHERE t.s_suppkey < 50
+  AND t.s_suppkey IS NOT DISTINCT FROM s.ID)"""
+
+
+@query("load_facility_manifest", oracle=_p13_oracle())
+def load_facility_manifest(spark, sf):
+    """The facility-manifest load spec (P13) on the test tables: reserved column names, delta on
+    the manifest id."""
+    spec, io = _p13_io(spark, sf)
+    return build_load(spec, io, AS_OF)
