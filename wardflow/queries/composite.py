@@ -1744,3 +1744,205 @@ def load_facility_manifest(spark, sf):
     the manifest id."""
     spec, io = _p13_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== eligibility (P29), behaviour risk (P46), CWC visits
+def _p29_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p29_eligibility"]
+    e = table(spark, sf, "events")
+    eid = F.col("event_id")
+    site = (eid % 3 + 1).cast("int")
+    day = F.to_date("ts")
+    form = e.select(
+        eid.alias("ID"), site.alias("SiteCode"), F.col("user_id").alias("PatientPk"),
+        F.concat(F.lit("H"), F.col("user_id").cast("string")).alias("HtsNumber"), (eid % 5).alias("EncounterId"),
+        F.concat(F.lit("EV"), (eid % 7).cast("string")).alias("VisitID"), F.col("ts").alias("DateCreated"),
+        F.date_add(day, (eid % 3).cast("int")).alias("DateExtracted"),
+        F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type")).alias("TypeGBV"),
+        (eid % 3).cast("string").alias("WeightLoss"),
+        F.when(eid % 2 == 0, F.lit("HP:Hospital Patient")).otherwise(F.lit("NP:Non-Hospital Patient")).alias("PatientType"),
+        F.when(eid % 9 == 0, F.lit(dt.date(1975, 1, 1))).otherwise(day).alias("DateTestedProvider"),
+        F.date_sub(day, (eid % 2000).cast("int")).alias("VisitDate"))
+    clients = e.filter(F.col("event_type") != "signup").select(
+        F.col("user_id").alias("PatientPk"), site.alias("SiteCode")).distinct()
+    loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 8))).select(
+        F.col("user_id").alias("PatientPk"), site.alias("SiteCode"))
+    return spec, FrameIO({"HtsEligibilityExtract": form, "Clients": clients}, {spec.target: loaded})
+
+
+def _p29_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p29_eligibility"]
+    have = {"ID", "SiteCode", "PatientPk", "HtsNumber", "EncounterId", "VisitID", "TypeGBV", "WeightLoss",
+            "PatientType", "DateTestedProvider", "VisitDate"}
+    return f"""
+WITH a AS (
+  SELECT event_id AS ID, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode, user_id AS PatientPk,
+         'H' || CAST(user_id AS VARCHAR) AS HtsNumber, event_id % 5 AS EncounterId,
+         'EV' || CAST(event_id % 7 AS VARCHAR) AS VisitID, ts AS DateCreated,
+         CAST(ts AS DATE) + CAST(event_id % 3 AS INTEGER) AS DateExtracted,
+         CASE WHEN event_type = 'error' THEN '' ELSE event_type END AS TypeGBV,
+         CAST(event_id % 3 AS VARCHAR) AS WeightLoss,
+         CASE WHEN event_id % 2 = 0 THEN 'HP:Hospital Patient' ELSE 'NP:Non-Hospital Patient' END AS PatientType,
+         CASE WHEN event_id % 9 = 0 THEN DATE '1975-01-01' ELSE CAST(ts AS DATE) END AS DateTestedProvider,
+         CAST(ts AS DATE) - CAST(event_id % 2000 AS INTEGER) AS VisitDate
+  FROM events),
+tn AS (SELECT SiteCode, PatientPk, EncounterId, VisitID, max(ID) AS MaxID, max(DateCreated) AS MaxDateCreated
+       FROM a GROUP BY SiteCode, PatientPk, EncounterId, VisitID),
+tn1 AS (SELECT SiteCode, PatientPk, EncounterId, VisitID, max(ID) AS MaxID,
+               max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+        FROM a GROUP BY SiteCode, PatientPk, EncounterId, VisitID),
+scan AS (
+  SELECT DISTINCT a.ID, a.SiteCode, a.PatientPk, a.HtsNumber, a.EncounterId, a.VisitID, a.TypeGBV, a.WeightLoss,
+         a.PatientType, a.DateTestedProvider, a.VisitDate
+  FROM a JOIN tn ON a.SiteCode = tn.SiteCode AND a.PatientPk = tn.PatientPk AND a.DateCreated = tn.MaxDateCreated
+                AND a.EncounterId = tn.EncounterId AND a.VisitID = tn.VisitID AND a.ID = tn.MaxID
+         JOIN tn1 ON a.SiteCode = tn1.SiteCode AND a.PatientPk = tn1.PatientPk
+                AND CAST(a.DateExtracted AS DATE) = tn1.MaxDateExtracted AND a.EncounterId = tn1.EncounterId
+                AND a.VisitID = tn1.VisitID AND a.ID = tn1.MaxID
+  WHERE EXISTS (SELECT 1 FROM events c WHERE c.event_type <> 'signup' AND c.user_id = a.PatientPk
+                AND CAST(c.event_id % 3 + 1 AS INTEGER) = a.SiteCode)),
+clean AS (
+  SELECT ID, SiteCode, PatientPk, HtsNumber, EncounterId, VisitID,
+         CASE WHEN TypeGBV = '' THEN NULL ELSE TypeGBV END AS TypeGBV,
+         CASE WeightLoss WHEN '0' THEN 'No' WHEN '1' THEN 'Yes' ELSE WeightLoss END AS WeightLoss,
+         CASE PatientType WHEN 'HP:Hospital Patient' THEN 'Hospital Patient'
+              WHEN 'NP:Non-Hospital Patient' THEN 'Non-Hospital Patient' ELSE PatientType END AS PatientType,
+         CASE WHEN DateTestedProvider < DATE '1980-01-01' THEN NULL ELSE DateTestedProvider END AS DateTestedProvider,
+         CASE WHEN VisitDate < DATE '2019-01-01' THEN NULL ELSE VisitDate END AS VisitDate
+  FROM scan)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='HtsNumber')} AS HtsNumberHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '2024-01-08'
+  AND t.user_id IS NOT DISTINCT FROM x.PatientPk AND CAST(t.event_id % 3 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode)"""
+
+
+@query("load_hts_eligibility", oracle=_p29_oracle())
+def load_hts_eligibility(spark, sf):
+    """The HTS eligibility load spec (P29) on the test tables: two latest rules ANDed (newest
+    creation timestamp, newest extraction day), client existence, blank / 0-1 / patient-type
+    recodes, dates before 1980 and visits before 2019 -> NULL, delta, digests."""
+    spec, io = _p29_io(spark, sf)
+    return build_load(spec, io, AS_OF)
+
+
+def _p46_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p46_behaviour_risk"]
+    e = table(spark, sf, "events")
+    eid = F.col("event_id")
+    site = (eid % 3 + 1).cast("int")
+    form = e.select(
+        eid.alias("ID"), F.col("user_id").alias("PatientPk"), site.alias("SiteCode"), F.col("ts").alias("Created"),
+        F.date_add(F.to_date("ts"), (eid % 3).cast("int")).alias("DateExtracted"),
+        F.concat(F.lit("BR"), (eid % 5).cast("string")).alias("VisitID"),
+        F.concat(F.lit("PREP-"), F.col("user_id").cast("string")).alias("PrepNumber"),
+        F.when(eid % 4 == 0, F.lit("")).otherwise(F.lit("High")).alias("ClientRisk"),
+        F.when(eid % 6 == 0, F.lit("")).otherwise(F.lit("Positive")).alias("SexPartnerHIVStatus"))
+    patients = e.filter(F.col("event_type") != "error").select(
+        F.col("user_id").alias("PatientPk"), site.alias("SiteCode")).distinct()
+    loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 8))).select(
+        F.col("user_id").alias("PatientPk"), site.alias("SiteCode"),
+        F.concat(F.lit("BR"), (eid % 5).cast("string")).alias("VisitID"))
+    return spec, FrameIO({"PrepBehaviourRisks": form, "PrepPatients": patients}, {spec.target: loaded})
+
+
+def _p46_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p46_behaviour_risk"]
+    have = {"Created", "PatientPk", "SiteCode", "DateExtracted", "VisitID", "PrepNumber", "ClientRisk",
+            "SexPartnerHIVStatus"}
+    return f"""
+WITH a AS (
+  SELECT event_id AS ID, user_id AS PatientPk, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode, ts AS Created,
+         CAST(ts AS DATE) + CAST(event_id % 3 AS INTEGER) AS DateExtracted,
+         'BR' || CAST(event_id % 5 AS VARCHAR) AS VisitID, 'PREP-' || CAST(user_id AS VARCHAR) AS PrepNumber,
+         CASE WHEN event_id % 4 = 0 THEN '' ELSE 'High' END AS ClientRisk,
+         CASE WHEN event_id % 6 = 0 THEN '' ELSE 'Positive' END AS SexPartnerHIVStatus
+  FROM events),
+tn AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS maxCreated FROM a
+       GROUP BY PatientPk, SiteCode),
+tm AS (SELECT PatientPk, SiteCode, max(CAST(DateExtracted AS DATE)) AS maxDateExtracted FROM a
+       GROUP BY PatientPk, SiteCode),
+scan AS (
+  SELECT DISTINCT a.Created, a.PatientPk, a.SiteCode, a.DateExtracted, a.VisitID, a.PrepNumber, a.ClientRisk,
+         a.SexPartnerHIVStatus
+  FROM a JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCode
+                AND CAST(a.Created AS DATE) = tn.maxCreated AND a.ID = tn.MaxID
+         JOIN tm ON a.PatientPk = tm.PatientPk AND a.SiteCode = tm.SiteCode
+                AND CAST(a.DateExtracted AS DATE) = tm.maxDateExtracted
+  WHERE EXISTS (SELECT 1 FROM events b WHERE b.event_type <> 'error' AND b.user_id = a.PatientPk
+                AND CAST(b.event_id % 3 + 1 AS INTEGER) = a.SiteCode)),
+clean AS (
+  SELECT Created, PatientPk, SiteCode, DateExtracted, VisitID, PrepNumber,
+         CASE WHEN ClientRisk = '' THEN NULL ELSE ClientRisk END AS ClientRisk,
+         CASE WHEN SexPartnerHIVStatus = '' THEN NULL ELSE SexPartnerHIVStatus END AS SexPartnerHIVStatus
+  FROM scan)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PrepNumber')} AS PrepNumberHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '2024-01-08'
+  AND t.user_id IS NOT DISTINCT FROM x.PatientPk AND CAST(t.event_id % 3 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode
+  AND 'BR' || CAST(t.event_id % 5 AS VARCHAR) IS NOT DISTINCT FROM x.VisitID)"""
+
+
+@query("load_prep_behaviour_risk", oracle=_p46_oracle())
+def load_prep_behaviour_risk(spark, sf):
+    """The PrEP behaviour-risk load spec (P46) on the test tables: newest (id, creation day) AND
+    newest extraction day (no id in the second rule), patient existence, blank -> NULL, delta on
+    (patient, site, visit), digests."""
+    spec, io = _p46_io(spark, sf)
+    return build_load(spec, io, AS_OF)
+
+
+def _p36_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p36_cwc_visits"]
+    o = table(spark, sf, "orders")
+    n = table(spark, sf, "nation")
+    ck, k = F.col("o_custkey"), F.col("o_orderkey")
+    form = o.select(
+        k.alias("ID"), ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"),
+        F.to_date("o_orderdate").alias("VisitDate"),
+        F.date_add(F.to_date("o_orderdate"), (k % 4).cast("int")).alias("DateExtracted"),
+        (ck % 25).cast("int").alias("FacilityId"), F.concat(F.lit("MN"), ck.cast("string")).alias("PatientMnchID"),
+        F.concat(F.lit("CV"), (k % 9).cast("string")).alias("VisitID"),
+        F.floor(F.col("o_totalprice") / 1000).cast("string").alias("Weight"))
+    facilities = n.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Name"))
+    loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1995, 4, 1))).select(
+        ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"))
+    return spec, FrameIO({"CwcVisits": form, "Facilities": facilities}, {spec.target: loaded})
+
+
+def _p36_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p36_cwc_visits"]
+    have = {"PatientMnchID", "PatientPk", "SiteCode", "DateExtracted", "VisitDate", "VisitID", "Weight"}
+    return f"""
+WITH p AS (
+  SELECT o_orderkey AS ID, o_custkey AS PatientPk, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode,
+         CAST(o_orderdate AS DATE) AS VisitDate, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 AS INTEGER) AS DateExtracted,
+         CAST(o_custkey % 25 AS INTEGER) AS FacilityId, 'MN' || CAST(o_custkey AS VARCHAR) AS PatientMnchID,
+         'CV' || CAST(o_orderkey % 9 AS VARCHAR) AS VisitID, CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) AS Weight
+  FROM orders),
+tm AS (SELECT PatientPk, SiteCode, VisitDate, max(ID) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+       FROM p GROUP BY PatientPk, SiteCode, VisitDate),
+scan AS (
+  SELECT DISTINCT p.PatientMnchID, p.PatientPk, p.SiteCode, p.DateExtracted, p.VisitDate, p.VisitID, p.Weight
+  FROM p JOIN tm ON p.PatientPk = tm.PatientPk AND p.SiteCode = tm.SiteCode
+                AND CAST(p.DateExtracted AS DATE) = tm.MaxDateExtracted AND p.ID = tm.MaxID
+  WHERE EXISTS (SELECT 1 FROM nation f WHERE f.n_nationkey = p.FacilityId))
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientMnchID')} AS PatientMnchIDHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM scan x WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderdate < TIMESTAMP '1995-04-01'
+  AND t.o_custkey IS NOT DISTINCT FROM x.PatientPk
+  AND CAST(t.o_custkey % 10 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode)"""
+
+
+@query("load_cwc_visits", oracle=_p36_oracle())
+def load_cwc_visits(spark, sf):
+    """The CWC visits load spec (P36) on the test tables: latest rule grouped by visit date but
+    joined on (patient, site) only – any row holding some visit date's maxima survives –,
+    facility existence, delta, digests."""
+    spec, io = _p36_io(spark, sf)
+    return build_load(spec, io, AS_OF)
