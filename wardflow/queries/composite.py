@@ -1946,3 +1946,168 @@ def load_cwc_visits(spark, sf):
     facility existence, delta, digests."""
     spec, io = _p36_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== IPT (P16), drug & alcohol (P10), PrEP pharmacy (P50)
+def _ct_visit_form(o, extra: dict):
+    k = F.col("o_orderkey")
+    return o.select(k.alias("ID"), F.col("o_custkey").alias("PatientId"),
+                    F.concat(F.lit("V"), (k % 11).cast("string")).alias("VisitID"),
+                    F.to_date("o_orderdate").alias("VisitDate"), *[e.alias(n) for n, e in extra.items()])
+
+
+_CT_VISIT_SQL = """o_orderkey AS ID, o_custkey AS PatientRef, 'V' || CAST(o_orderkey % 11 AS VARCHAR) AS VisitID,
+         CAST(o_orderdate AS DATE) AS VisitDate"""
+
+
+def _ct_visit_job(spark, sf, spec_name, source, extra):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS[spec_name]
+    o = table(spark, sf, "orders")
+    patient, facility = _ct_parents(spark, sf)
+    c = table(spark, sf, "customer")
+    loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1998, 1, 1))).join(c, F.col("o_custkey") == F.col("c_custkey")) \
+        .select((F.col("c_nationkey") * 100).alias("SiteCode"), F.col("o_custkey").alias("PatientPK"),
+                F.concat(F.lit("V"), (F.col("o_orderkey") % 11).cast("string")).alias("VisitID"))
+    return spec, FrameIO({source: _ct_visit_form(o, extra), "PatientExtract": patient, "Facility": facility},
+                         {spec.target: loaded})
+
+
+def _ct_visit_oracle(spec_name, extra_sql: str, extra_cols: list, clean_sql: str) -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS[spec_name]
+    have = {"ID", "PatientID", "PatientPK", "SiteCode", "FacilityName", "VisitID", "VisitDate", "Emr", "Project",
+            *extra_cols}
+    cols = ", ".join(extra_cols)
+    return f"""
+WITH a AS (SELECT {_CT_VISIT_SQL}, {extra_sql} FROM orders),
+j AS (SELECT a.*, {_CT_COLS_SQL} FROM a {_CT_PARENTS_SQL}),
+scan AS (SELECT DISTINCT ID, PatientID, PatientPK, SiteCode, FacilityName, VisitID, VisitDate, Emr, Project, {cols}
+         FROM j WHERE Gender <> 'Unknown' AND SiteCode > 0),
+clean AS (SELECT ID, PatientID, PatientPK, SiteCode, FacilityName, VisitID, VisitDate, Emr, Project, {clean_sql}
+          FROM scan),
+tgt AS (SELECT c.c_nationkey * 100 AS SiteCode, o.o_custkey AS PatientPK, 'V' || CAST(o.o_orderkey % 11 AS VARCHAR) AS VisitID
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderdate < TIMESTAMP '1998-01-01')
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
+       {_UTF16_SQL.format(c='PatientPK')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
+  AND t.PatientPK IS NOT DISTINCT FROM x.PatientPK AND t.VisitID IS NOT DISTINCT FROM x.VisitID)"""
+
+
+_P16_EXTRA = {
+    "TBScreening": F.when(F.col("o_orderkey") % 4 == 0, F.lit("1")).when(F.col("o_orderkey") % 4 == 1,
+                                                                         F.lit("TB Screening not done"))
+    .otherwise(F.lit("Done")),
+    "IndicationForIPT": F.when(F.col("o_orderkey") % 5 == 0, F.lit("Poor adherence"))
+    .when(F.col("o_orderkey") % 5 == 1, F.lit("Pregnancy")).when(F.col("o_orderkey") % 5 == 2, F.lit("Client Traced back a"))
+    .otherwise(F.col("o_orderpriority")),
+    "OnIPT": F.col("o_orderstatus"),
+}
+_P16_SQL = """CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN 'TB Screening not done' ELSE 'Done' END AS TBScreening,
+         CASE o_orderkey % 5 WHEN 0 THEN 'Poor adherence' WHEN 1 THEN 'Pregnancy' WHEN 2 THEN 'Client Traced back a'
+              ELSE o_orderpriority END AS IndicationForIPT, o_orderstatus AS OnIPT"""
+_P16_CLEAN = """CASE WHEN TBScreening = '1' THEN 'Screened' WHEN TBScreening IN ('TB Screening not done', '0')
+              THEN 'Not Screened' ELSE TBScreening END AS TBScreening,
+         CASE WHEN IndicationForIPT IN ('Adherence Issues', 'Poor adherence') THEN 'Adherence Issues'
+              WHEN IndicationForIPT = 'Client Traced back a' THEN 'Client Traced back'
+              WHEN IndicationForIPT IN ('No more drug Interru', 'Toxicity Resolved', 'Other patient decisi', 'Pregnancy',
+                                        'Patient declined', 'Other', 'High CD4', 'Education', 'Client Discharged fr')
+              THEN 'OTHER' ELSE IndicationForIPT END AS IndicationForIPT, OnIPT"""
+
+
+@query("load_ipt", oracle=_ct_visit_oracle("p16_ipt", _P16_SQL, ["TBScreening", "IndicationForIPT", "OnIPT"],
+                                           _P16_CLEAN))
+def load_ipt(spark, sf):
+    """The IPT load spec (P16) on the test tables: patient / facility joins with filters, in-scan
+    project map, TB-screening and IPT-indication recodes, delta on (site, patient, visit)."""
+    spec, io = _ct_visit_job(spark, sf, "p16_ipt", "IptExtract", _P16_EXTRA)
+    return build_load(spec, io, AS_OF)
+
+
+_P10_EXTRA = {
+    "DrinkingAlcohol": F.when(F.col("o_orderkey") % 3 == 0, F.lit("No")).when(F.col("o_orderkey") % 3 == 1, F.lit("Yes"))
+    .otherwise(F.lit("Sometimes")),
+    "Smoking": F.when(F.col("o_orderkey") % 2 == 0, F.lit("No")).otherwise(F.lit("Yes")),
+    "DrugUse": F.col("o_orderstatus"),
+}
+_P10_SQL = """CASE o_orderkey % 3 WHEN 0 THEN 'No' WHEN 1 THEN 'Yes' ELSE 'Sometimes' END AS DrinkingAlcohol,
+         CASE WHEN o_orderkey % 2 = 0 THEN 'No' ELSE 'Yes' END AS Smoking, o_orderstatus AS DrugUse"""
+_P10_CLEAN = """CASE DrinkingAlcohol WHEN 'No' THEN 'Never' WHEN 'Yes' THEN 'OTHER' ELSE DrinkingAlcohol END AS DrinkingAlcohol,
+         CASE Smoking WHEN 'No' THEN 'Never' WHEN 'Yes' THEN 'OTHER' ELSE Smoking END AS Smoking, DrugUse"""
+
+
+@query("load_drug_alcohol_screening", oracle=_ct_visit_oracle("p10_drug_alcohol_screening", _P10_SQL,
+                                                               ["DrinkingAlcohol", "Smoking", "DrugUse"], _P10_CLEAN))
+def load_drug_alcohol_screening(spark, sf):
+    """The drug & alcohol screening load spec (P10) on the test tables: patient / facility joins,
+    Never / OTHER recodes, delta on (site, patient, visit)."""
+    spec, io = _ct_visit_job(spark, sf, "p10_drug_alcohol_screening", "DrugAlcoholScreeningExtract", _P10_EXTRA)
+    return build_load(spec, io, AS_OF)
+
+
+def _p50_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p50_pharmacy"]
+    e = table(spark, sf, "events")
+    eid = F.col("event_id")
+    site = (eid % 3 + 1).cast("int")
+    form = e.select(
+        eid.alias("ID"), F.col("user_id").alias("PatientPk"), site.alias("SiteCode"), F.col("ts").alias("Created"),
+        F.date_add(F.to_date("ts"), (eid % 2).cast("int")).alias("DateExtracted"),
+        F.concat(F.lit("PH"), (eid % 6).cast("string")).alias("VisitID"),
+        F.concat(F.lit("PREP-"), F.col("user_id").cast("string")).alias("PrepNumber"),
+        F.when(eid % 5 == 0, F.lit("")).otherwise(F.lit("TDF/FTC")).alias("RegimenPrescribed"),
+        F.when(eid % 8 == 0, F.lit("")).when(eid % 8 == 1, F.lit("1979-12-31"))
+         .otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("DispenseDate"),
+        (eid % 16).cast("string").alias("Duration"))
+    loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 8))).select(
+        F.col("user_id").alias("PatientPk"), site.alias("SiteCode"),
+        F.concat(F.lit("PH"), (eid % 6).cast("string")).alias("VisitID"))
+    return spec, FrameIO({"PrepPharmacys": form}, {spec.target: loaded})
+
+
+def _p50_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p50_pharmacy"]
+    have = {"ID", "Created", "PatientPk", "SiteCode", "DateExtracted", "PrepNumber", "VisitID", "RegimenPrescribed",
+            "DispenseDate", "Duration"}
+    return f"""
+WITH a AS (
+  SELECT event_id AS ID, user_id AS PatientPk, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode, ts AS Created,
+         CAST(ts AS DATE) + CAST(event_id % 2 AS INTEGER) AS DateExtracted,
+         'PH' || CAST(event_id % 6 AS VARCHAR) AS VisitID, 'PREP-' || CAST(user_id AS VARCHAR) AS PrepNumber,
+         CASE WHEN event_id % 5 = 0 THEN '' ELSE 'TDF/FTC' END AS RegimenPrescribed,
+         CASE event_id % 8 WHEN 0 THEN '' WHEN 1 THEN '1979-12-31' ELSE strftime(ts, '%Y-%m-%d') END AS DispenseDate,
+         CAST(event_id % 16 AS VARCHAR) AS Duration
+  FROM events),
+tn AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated FROM a
+       GROUP BY PatientPk, SiteCode),
+tm AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxExtracted FROM a
+       GROUP BY PatientPk, SiteCode),
+scan AS (
+  SELECT DISTINCT a.ID, a.Created, a.PatientPk, a.SiteCode, a.DateExtracted, a.PrepNumber, a.VisitID,
+         a.RegimenPrescribed, a.DispenseDate, a.Duration
+  FROM a JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCode
+                AND CAST(a.Created AS DATE) = tn.MaxCreated AND a.ID = tn.MaxID
+         JOIN tm ON a.PatientPk = tm.PatientPk AND a.SiteCode = tm.SiteCode
+                AND CAST(a.DateExtracted AS DATE) = tm.MaxExtracted AND a.ID = tm.MaxID),
+clean AS (
+  SELECT ID, Created, PatientPk, SiteCode, DateExtracted, PrepNumber, VisitID,
+         CASE WHEN RegimenPrescribed = '' THEN NULL ELSE RegimenPrescribed END AS RegimenPrescribed,
+         CASE WHEN DispenseDate = '' OR TRY_CAST(DispenseDate AS DATE) < DATE '1980-01-01' THEN NULL ELSE DispenseDate END
+           AS DispenseDate,
+         CASE WHEN TRY_CAST(Duration AS DOUBLE) > 12 THEN NULL ELSE Duration END AS Duration
+  FROM scan)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PrepNumber')} AS PrepNumberHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '2024-01-08'
+  AND t.user_id IS NOT DISTINCT FROM x.PatientPk AND CAST(t.event_id % 3 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode
+  AND 'PH' || CAST(t.event_id % 6 AS VARCHAR) IS NOT DISTINCT FROM x.VisitID)"""
+
+
+@query("load_prep_pharmacy", oracle=_p50_oracle())
+def load_prep_pharmacy(spark, sf):
+    """The PrEP pharmacy load spec (P50) on the test tables: two latest rules ANDed, duration cap,
+    text dispense dates before 1980 / blank -> NULL, blank regimen -> NULL, delta, digests."""
+    spec, io = _p50_io(spark, sf)
+    return build_load(spec, io, AS_OF)
