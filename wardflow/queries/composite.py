@@ -1994,15 +1994,16 @@ FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTI
   AND t.PatientPK IS NOT DISTINCT FROM x.PatientPK AND t.VisitID IS NOT DISTINCT FROM x.VisitID)"""
 
 
-_P16_EXTRA = {
-    "TBScreening": F.when(F.col("o_orderkey") % 4 == 0, F.lit("1")).when(F.col("o_orderkey") % 4 == 1,
-                                                                         F.lit("TB Screening not done"))
-    .otherwise(F.lit("Done")),
-    "IndicationForIPT": F.when(F.col("o_orderkey") % 5 == 0, F.lit("Poor adherence"))
-    .when(F.col("o_orderkey") % 5 == 1, F.lit("Pregnancy")).when(F.col("o_orderkey") % 5 == 2, F.lit("Client Traced back a"))
-    .otherwise(F.col("o_orderpriority")),
-    "OnIPT": F.col("o_orderstatus"),
-}
+def _p16_extra():
+    return {
+        "TBScreening": F.when(F.col("o_orderkey") % 4 == 0, F.lit("1")).when(F.col("o_orderkey") % 4 == 1,
+                                                                             F.lit("TB Screening not done"))
+        .otherwise(F.lit("Done")),
+        "IndicationForIPT": F.when(F.col("o_orderkey") % 5 == 0, F.lit("Poor adherence"))
+        .when(F.col("o_orderkey") % 5 == 1, F.lit("Pregnancy")).when(F.col("o_orderkey") % 5 == 2, F.lit("Client Traced back a"))
+        .otherwise(F.col("o_orderpriority")),
+        "OnIPT": F.col("o_orderstatus"),
+    }
 _P16_SQL = """CASE o_orderkey % 4 WHEN 0 THEN '1' WHEN 1 THEN 'TB Screening not done' ELSE 'Done' END AS TBScreening,
          CASE o_orderkey % 5 WHEN 0 THEN 'Poor adherence' WHEN 1 THEN 'Pregnancy' WHEN 2 THEN 'Client Traced back a'
               ELSE o_orderpriority END AS IndicationForIPT, o_orderstatus AS OnIPT"""
@@ -2020,16 +2021,17 @@ _P16_CLEAN = """CASE WHEN TBScreening = '1' THEN 'Screened' WHEN TBScreening IN
 def load_ipt(spark, sf):
     """The IPT load spec (P16) on the test tables: patient / facility joins with filters, in-scan
     project map, TB-screening and IPT-indication recodes, delta on (site, patient, visit)."""
-    spec, io = _ct_visit_job(spark, sf, "p16_ipt", "IptExtract", _P16_EXTRA)
+    spec, io = _ct_visit_job(spark, sf, "p16_ipt", "IptExtract", _p16_extra())
     return build_load(spec, io, AS_OF)
 
 
-_P10_EXTRA = {
-    "DrinkingAlcohol": F.when(F.col("o_orderkey") % 3 == 0, F.lit("No")).when(F.col("o_orderkey") % 3 == 1, F.lit("Yes"))
-    .otherwise(F.lit("Sometimes")),
-    "Smoking": F.when(F.col("o_orderkey") % 2 == 0, F.lit("No")).otherwise(F.lit("Yes")),
-    "DrugUse": F.col("o_orderstatus"),
-}
+def _p10_extra():
+    return {
+        "DrinkingAlcohol": F.when(F.col("o_orderkey") % 3 == 0, F.lit("No")).when(F.col("o_orderkey") % 3 == 1, F.lit("Yes"))
+        .otherwise(F.lit("Sometimes")),
+        "Smoking": F.when(F.col("o_orderkey") % 2 == 0, F.lit("No")).otherwise(F.lit("Yes")),
+        "DrugUse": F.col("o_orderstatus"),
+    }
 _P10_SQL = """CASE o_orderkey % 3 WHEN 0 THEN 'No' WHEN 1 THEN 'Yes' ELSE 'Sometimes' END AS DrinkingAlcohol,
          CASE WHEN o_orderkey % 2 = 0 THEN 'No' ELSE 'Yes' END AS Smoking, o_orderstatus AS DrugUse"""
 _P10_CLEAN = """CASE DrinkingAlcohol WHEN 'No' THEN 'Never' WHEN 'Yes' THEN 'OTHER' ELSE DrinkingAlcohol END AS DrinkingAlcohol,
@@ -2041,7 +2043,7 @@ _P10_CLEAN = """CASE DrinkingAlcohol WHEN 'No' THEN 'Never' WHEN 'Yes' THEN 'OTH
 def load_drug_alcohol_screening(spark, sf):
     """The drug & alcohol screening load spec (P10) on the test tables: patient / facility joins,
     Never / OTHER recodes, delta on (site, patient, visit)."""
-    spec, io = _ct_visit_job(spark, sf, "p10_drug_alcohol_screening", "DrugAlcoholScreeningExtract", _P10_EXTRA)
+    spec, io = _ct_visit_job(spark, sf, "p10_drug_alcohol_screening", "DrugAlcoholScreeningExtract", _p10_extra())
     return build_load(spec, io, AS_OF)
 
 
