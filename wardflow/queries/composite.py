@@ -2113,3 +2113,120 @@ def load_prep_pharmacy(spark, sf):
     text dispense dates before 1980 / blank -> NULL, blank regimen -> NULL, delta, digests."""
     spec, io = _p50_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== adverse events
+def _p02_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p02_adverse_events"]
+    li = table(spark, sf, "lineitem")
+    c = table(spark, sf, "customer")
+    ln, pk = F.col("l_linenumber"), F.col("l_partkey")
+    sd = F.to_date("l_shipdate")
+    start = F.date_sub(sd, (F.col("l_orderkey") % 12000).cast("int"))
+    form = li.select(
+        (pk % 1500).alias("PatientId"), sd.alias("VisitDate"), start.alias("AdverseEventStartDate"),
+        F.date_add(start, 10).alias("AdverseEventEndDate"),
+        F.when(ln % 4 == 0, F.lit("Mild|Mild|Mild")).when(ln % 4 == 1, F.lit("Fatal"))
+         .when(ln % 4 == 2, F.lit("Moderate|Mild")).otherwise(F.lit("")).alias("Severity"),
+        F.when(pk % 5 == 0, F.lit("efavirenz")).when(pk % 5 == 1, F.lit("isoniazid efavirenz"))
+         .when(pk % 5 == 2, F.lit("INH")).when(pk % 5 == 3, F.lit("")).otherwise(F.lit("rash")).alias("AdverseEventCause"),
+        F.when(ln % 4 == 0, F.lit("STOP|STOP")).when(ln % 4 == 1, F.lit("Dose reduced"))
+         .when(ln % 4 == 2, F.lit("Select")).otherwise(F.lit("")).alias("AdverseEventActionTaken"),
+        F.when(pk % 2 == 0, F.lit("Recovered/Resolved")).otherwise(F.lit("x")).alias("AdverseEventClinicalOutcome"),
+        F.col("l_returnflag").alias("AdverseEventRegimen"), F.col("l_linestatus").alias("AdverseEvent"))
+    patient, facility = _ct_parents(spark, sf)
+    regimen = li.filter(F.col("l_returnflag") == "A").select(F.lit("A").alias("source_name"),
+                                                             F.lit("AF2B").alias("target_name")).distinct()
+    events = li.filter(F.col("l_linestatus") == "F").select(F.lit("F").alias("source_name"),
+                                                            F.lit("Rash").alias("target_name")).distinct()
+    loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1997, 1, 1))).join(c, (pk % 1500) == F.col("c_custkey")) \
+        .select((F.col("c_nationkey") * 100).alias("SiteCode"), F.col("c_custkey").alias("PatientPK"), sd.alias("VisitDate"))
+    return spec, FrameIO({"PatientAdverseEventExtract": form, "PatientExtract": patient, "Facility": facility,
+                          "lkp_regimen": regimen, "lkp_adverse_events": events}, {spec.target: loaded})
+
+
+def _p02_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    from wardflow.plans import vocab as V
+    spec = SPECS["p02_adverse_events"]
+
+    def lst(xs):
+        return ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
+    cause = V.AE_CAUSE
+    have = {"PatientID", "PatientPK", "SiteCode", "AdverseEvent", "AdverseEventStartDate", "AdverseEventEndDate",
+            "Severity", "VisitDate", "EMR", "Project", "AdverseEventCause", "AdverseEventRegimen",
+            "AdverseEventActionTaken", "AdverseEventClinicalOutcome", "LoadDate"}
+    return f"""
+WITH a AS (
+  SELECT l_partkey % 1500 AS PatientRef, CAST(l_shipdate AS DATE) AS VisitDate,
+         CAST(l_shipdate AS DATE) - CAST(l_orderkey % 12000 AS INTEGER) AS AdverseEventStartDate,
+         CAST(l_shipdate AS DATE) - CAST(l_orderkey % 12000 AS INTEGER) + 10 AS AdverseEventEndDate,
+         CASE l_linenumber % 4 WHEN 0 THEN 'Mild|Mild|Mild' WHEN 1 THEN 'Fatal' WHEN 2 THEN 'Moderate|Mild' ELSE '' END
+           AS Severity,
+         CASE l_partkey % 5 WHEN 0 THEN 'efavirenz' WHEN 1 THEN 'isoniazid efavirenz' WHEN 2 THEN 'INH' WHEN 3 THEN ''
+              ELSE 'rash' END AS AdverseEventCause,
+         CASE l_linenumber % 4 WHEN 0 THEN 'STOP|STOP' WHEN 1 THEN 'Dose reduced' WHEN 2 THEN 'Select' ELSE '' END
+           AS AdverseEventActionTaken,
+         CASE WHEN l_partkey % 2 = 0 THEN 'Recovered/Resolved' ELSE 'x' END AS AdverseEventClinicalOutcome,
+         l_returnflag AS AdverseEventRegimen, l_linestatus AS AdverseEvent
+  FROM lineitem),
+scan AS (
+  SELECT DISTINCT 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK,
+         n.n_nationkey * 100 AS SiteCode, a.AdverseEvent, a.AdverseEventStartDate, a.AdverseEventEndDate, a.Severity,
+         a.VisitDate, 'KenyaEMR' AS EMR, CASE WHEN c.c_custkey % 3 = 0 THEN 'Kenya HMIS II' ELSE 'Other' END AS Project,
+         a.AdverseEventCause, a.AdverseEventRegimen, a.AdverseEventActionTaken, a.AdverseEventClinicalOutcome
+  FROM a JOIN customer c ON a.PatientRef = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE n.n_nationkey * 100 > 0),
+clean AS (
+  SELECT PatientID, PatientPK, SiteCode,
+         CASE WHEN AdverseEventStartDate < DATE '1980-01-01' OR AdverseEventStartDate > DATE '2000-12-31'
+              THEN DATE '1900-01-01' ELSE AdverseEventStartDate END AS AdverseEventStartDate,
+         CASE WHEN AdverseEventEndDate < DATE '1980-01-01' OR AdverseEventEndDate > DATE '2000-12-31'
+              THEN DATE '1900-01-01' ELSE AdverseEventEndDate END AS AdverseEventEndDate,
+         CASE WHEN Severity IN ({lst(V.AE_SEVERITY['Mild'])}) THEN 'Mild'
+              WHEN Severity IN ({lst(V.AE_SEVERITY['Moderate'])}) THEN 'Moderate'
+              WHEN Severity IN ({lst(V.AE_SEVERITY['Severe'])}) THEN 'Severe'
+              WHEN Severity IN ({lst(V.AE_SEVERITY['Unknown'])}) THEN 'Unknown'
+              WHEN Severity = '' THEN NULL ELSE Severity END AS Severity,
+         VisitDate, EMR, Project,
+         CASE WHEN AdverseEventCause IN ({lst(cause['ARV'])}) THEN 'ARV'
+              WHEN AdverseEventCause IN ({lst(cause['ARV + OTHER DRUGS'])}) THEN 'ARV + OTHER DRUGS'
+              WHEN AdverseEventCause IN ({lst(cause['NON-ARVS'])}) THEN 'NON-ARVS'
+              WHEN AdverseEventCause = '' THEN NULL ELSE AdverseEventCause END AS AdverseEventCause,
+         AdverseEventRegimen, AdverseEvent,
+         CASE WHEN AdverseEventActionTaken IN ({lst(V.AE_ACTION['Drug not Changed'])}) THEN 'Drug not Changed'
+              WHEN AdverseEventActionTaken IN ({lst(V.AE_ACTION['Drug Reduced'])}) THEN 'Drug Reduced'
+              WHEN AdverseEventActionTaken IN ({lst(V.AE_ACTION['Drug Substituted'])}) THEN 'Drug Substituted'
+              WHEN AdverseEventActionTaken IN ({lst(V.AE_ACTION['Drug Withdrawn'])}) THEN 'Drug Withdrawn'
+              WHEN AdverseEventActionTaken IN ({lst(V.AE_ACTION['OTHER'])}) THEN 'OTHER'
+              WHEN AdverseEventActionTaken IN ({lst(V.AE_ACTION['Regimen Switched'])}) THEN 'Regimen Switched'
+              WHEN AdverseEventActionTaken = '' THEN NULL ELSE AdverseEventActionTaken END AS AdverseEventActionTaken,
+         CASE WHEN AdverseEventClinicalOutcome = 'Recovered/Resolved' THEN 'Recovered'
+              WHEN AdverseEventClinicalOutcome = 'Recovering/Resolving' THEN 'Recovering'
+              WHEN AdverseEventClinicalOutcome = 'Requires intervention to prevent permanent damage' THEN 'OTHER'
+              WHEN AdverseEventClinicalOutcome = '' THEN NULL ELSE AdverseEventClinicalOutcome END
+           AS AdverseEventClinicalOutcome,
+         CAST(DATE '2000-12-31' AS TIMESTAMP) AS LoadDate
+  FROM scan),
+std AS (
+  SELECT x.* REPLACE (coalesce(r.t, x.AdverseEventRegimen) AS AdverseEventRegimen, coalesce(e.t, x.AdverseEvent) AS AdverseEvent)
+  FROM clean x
+  LEFT JOIN (SELECT DISTINCT 'A' AS k, 'AF2B' AS t FROM lineitem WHERE l_returnflag = 'A') r ON x.AdverseEventRegimen = r.k
+  LEFT JOIN (SELECT DISTINCT 'F' AS k, 'Rash' AS t FROM lineitem WHERE l_linestatus = 'F') e ON x.AdverseEvent = e.k),
+tgt AS (SELECT c.c_nationkey * 100 AS SiteCode, c.c_custkey AS PatientPK, CAST(l.l_shipdate AS DATE) AS VisitDate
+        FROM lineitem l JOIN customer c ON l.l_partkey % 1500 = c.c_custkey WHERE l.l_shipdate < TIMESTAMP '1997-01-01')
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
+       {_UTF16_SQL.format(c='PatientPK')} AS PatientPKHash
+FROM std x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
+  AND t.PatientPK IS NOT DISTINCT FROM x.PatientPK AND t.VisitDate IS NOT DISTINCT FROM CAST(x.VisitDate AS DATE))"""
+
+
+@query("load_adverse_events", oracle=_p02_oracle())
+def load_adverse_events(spark, sf):
+    """The adverse-events load spec (P02) on the test tables: no gender filter, facility-code
+    filter, date windows, severity / action / cause / outcome recodes (the 150-spelling cause
+    vocabulary as one map literal), regimen and event lookups, load-date stamp, delta keyed on
+    the visit day."""
+    spec, io = _p02_io(spark, sf)
+    return build_load(spec, io, AS_OF)
