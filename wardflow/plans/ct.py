@@ -77,7 +77,7 @@ SPECS = [
        "Project,AdverseEventCause,AdverseEventRegimen,AdverseEventActionTaken,AdverseEventClinicalOutcome,"
        "AdverseEventIsPregnant,Date_Created,Date_Last_Modified,recorduuid,voided,LoadDate",
        ("SiteCode", "PatientPK", VISIT_DAY), where=(CODE_OK,), write_partitions=50,
-       derived=(("LoadDate", "CAST({as_of} AS TIMESTAMP)"),),
+       derived=(("LoadDate", "CAST({as_of} AS TIMESTAMP_NTZ)"),),
        rules=(d("AdverseEventStartDate", "1980-01-01"), d("AdverseEventEndDate", "1980-01-01"),
               rc("Severity", V.AE_SEVERITY), rc("AdverseEventActionTaken", V.AE_ACTION),
               rc("AdverseEventCause", V.AE_CAUSE), rc("AdverseEventClinicalOutcome", V.AE_OUTCOME),
