@@ -2230,3 +2230,67 @@ def load_adverse_events(spark, sf):
     the visit day."""
     spec, io = _p02_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== GBV (P14), immunization
+def _p14_extra():
+    k = F.col("o_orderkey")
+    return {"IPV": F.when(k % 2 == 0, F.lit("Yes")).otherwise(F.lit("No")),
+            "PhysicalIPV": F.col("o_orderstatus"), "IPVRelationship": F.col("o_orderpriority")}
+
+
+@query("load_gbv_screening", oracle=_ct_visit_oracle(
+    "p14_gbv_screening",
+    "CASE WHEN o_orderkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS IPV, o_orderstatus AS PhysicalIPV, "
+    "o_orderpriority AS IPVRelationship",
+    ["IPV", "PhysicalIPV", "IPVRelationship"], "IPV, PhysicalIPV, IPVRelationship"))
+def load_gbv_screening(spark, sf):
+    """The GBV screening load spec (P14) on the test tables: delta mixing null-safe keys with a
+    plain '=' site key, in-scan project map."""
+    spec, io = _ct_visit_job(spark, sf, "p14_gbv_screening", "GbvScreeningExtract", _p14_extra())
+    return build_load(spec, io, AS_OF)
+
+
+def _p39_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p39_immunization"]
+    o = table(spark, sf, "orders")
+    ck, k = F.col("o_custkey"), F.col("o_orderkey")
+    form = o.select(
+        k.alias("ID"), ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"),
+        F.concat(F.lit("MN"), ck.cast("string")).alias("PatientMnchID"),
+        F.date_add(F.to_date("o_orderdate"), (k % 3).cast("int")).alias("DateExtracted"),
+        F.col("o_orderstatus").alias("BCG"), F.col("o_orderpriority").alias("OPV1"))
+    loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1995, 4, 1))).select(
+        (ck % 10 + 1).cast("int").alias("SiteCode"), ck.alias("PatientPk"),
+        F.concat(F.lit("MN"), ck.cast("string")).alias("PatientMnchID"), k.alias("Id"))
+    return spec, FrameIO({"MnchImmunization": form}, {spec.target: loaded})
+
+
+def _p39_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p39_immunization"]
+    have = {"Id", "PatientPk", "SiteCode", "PatientMnchID", "DateExtracted", "BCG", "OPV1"}
+    return f"""
+WITH p AS (
+  SELECT o_orderkey AS Id, o_custkey AS PatientPk, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode,
+         'MN' || CAST(o_custkey AS VARCHAR) AS PatientMnchID,
+         CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS DateExtracted,
+         o_orderstatus AS BCG, o_orderpriority AS OPV1
+  FROM orders),
+tm AS (SELECT PatientPk, SiteCode, max(Id) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+       FROM p GROUP BY PatientPk, SiteCode),
+scan AS (SELECT DISTINCT p.* FROM p JOIN tm ON p.PatientPk = tm.PatientPk AND p.SiteCode = tm.SiteCode
+           AND CAST(p.DateExtracted AS DATE) = tm.MaxDateExtracted AND p.Id = tm.MaxID)
+SELECT {_null_cols(spec, have)}
+FROM scan x WHERE NOT EXISTS (SELECT 1 FROM orders t WHERE t.o_orderdate < TIMESTAMP '1995-04-01'
+  AND CAST(t.o_custkey % 10 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode AND t.o_custkey IS NOT DISTINCT FROM x.PatientPk
+  AND 'MN' || CAST(t.o_custkey AS VARCHAR) IS NOT DISTINCT FROM x.PatientMnchID AND t.o_orderkey = x.Id)"""
+
+
+@query("load_mnch_immunization", oracle=_p39_oracle())
+def load_mnch_immunization(spark, sf):
+    """The MNCH immunization load spec (P39) on the test tables: no parent, latest rule, delta
+    mixing null-safe keys with a plain '=' id, no digests."""
+    spec, io = _p39_io(spark, sf)
+    return build_load(spec, io, AS_OF)
