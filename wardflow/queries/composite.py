@@ -2294,3 +2294,144 @@ def load_mnch_immunization(spark, sf):
     mixing null-safe keys with a plain '=' id, no digests."""
     spec, io = _p39_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== labs (P20), partner tracing
+def _p20_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p20_patient_labs"]
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer")
+    k = F.col("o_orderkey")
+    od = F.to_date("o_orderdate")
+    form = o.select(
+        k.alias("ID"), F.col("o_custkey").alias("PatientId"), F.concat(F.lit("L"), (k % 5).cast("string")).alias("VisitID"),
+        od.alias("OrderedbyDate"), F.date_add(od, 5).alias("ReportedbyDate"),
+        F.when(k % 3 == 0, F.lit("cd4")).when(k % 3 == 1, F.lit("VIRAL LOAD")).otherwise(F.lit("Hb")).alias("TestName"),
+        F.when(k % 4 == 0, F.lit("-1")).otherwise((k % 900).cast("string")).alias("TestResult"),
+        F.col("o_orderdate").alias("Created"), F.lit(False).alias("voided"))
+    patient, facility = _ct_parents(spark, sf)
+    names = o.filter(k % 3 == 1).select(F.lit("viral load").alias("source_name"),
+                                        F.lit("Viral Load Test").alias("target_name")).distinct()
+    loaded = c.filter(F.col("c_custkey") < 300).select((F.col("c_nationkey") * 100).alias("SiteCode"),
+                                                        F.col("c_custkey").alias("PatientPK"), F.lit("L0").alias("VisitID"))
+    return spec, FrameIO({"PatientLaboratoryExtract": form, "PatientExtract": patient, "Facility": facility,
+                          "lkp_test_name": names}, {spec.target: loaded})
+
+
+def _p20_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p20_patient_labs"]
+    have = {"ID", "PatientID", "PatientPk", "SiteCode", "FacilityName", "VisitID", "OrderedbyDate", "ReportedbyDate",
+            "TestName", "TestResult", "Emr", "Project", "voided"}
+    return f"""
+WITH a AS (
+  SELECT o_orderkey AS ID, o_custkey AS PatientRef, 'L' || CAST(o_orderkey % 5 AS VARCHAR) AS VisitID,
+         CAST(o_orderdate AS DATE) AS OrderedbyDate, CAST(o_orderdate AS DATE) + 5 AS ReportedbyDate,
+         CASE o_orderkey % 3 WHEN 0 THEN 'cd4' WHEN 1 THEN 'VIRAL LOAD' ELSE 'Hb' END AS TestName,
+         CASE WHEN o_orderkey % 4 = 0 THEN '-1' ELSE CAST(o_orderkey % 900 AS VARCHAR) END AS TestResult,
+         o_orderdate AS Created, false AS voided
+  FROM orders),
+j AS (SELECT a.*, {_CT_COLS_SQL} FROM a {_CT_PARENTS_SQL}),
+tn AS (SELECT SiteCode, PatientPK, TestResult, TestName, OrderedbyDate, voided, max(ID) AS MaxID,
+              max(CAST(Created AS DATE)) AS MaxCreated
+       FROM j GROUP BY SiteCode, PatientPK, TestResult, TestName, OrderedbyDate, voided),
+scan AS (
+  SELECT DISTINCT j.ID, j.PatientID, j.PatientPK AS PatientPk, j.SiteCode, j.FacilityName, j.VisitID, j.OrderedbyDate,
+         j.ReportedbyDate, j.TestName, j.TestResult, j.Emr, j.Project, j.voided
+  FROM j JOIN tn ON j.SiteCode = tn.SiteCode AND j.PatientPK = tn.PatientPK AND j.TestResult = tn.TestResult
+                AND j.TestName = tn.TestName AND j.OrderedbyDate = tn.OrderedbyDate AND j.voided = tn.voided
+                AND j.ID = tn.MaxID AND CAST(j.Created AS DATE) = tn.MaxCreated
+  WHERE j.Gender <> 'Unknown'),
+clean AS (
+  SELECT ID, PatientID, PatientPk, SiteCode, FacilityName, VisitID,
+         CASE WHEN OrderedbyDate < DATE '1900-01-01' OR OrderedbyDate > DATE '2000-12-31' THEN DATE '1900-01-01'
+              ELSE OrderedbyDate END AS OrderedbyDate,
+         CASE WHEN ReportedbyDate < DATE '1900-01-01' OR ReportedbyDate > DATE '2000-12-31' THEN DATE '1900-01-01'
+              ELSE ReportedbyDate END AS ReportedbyDate,
+         coalesce(l.t, s.TestName) AS TestName,
+         CASE WHEN TRY_CAST(TestResult AS DOUBLE) < 0 THEN 'Viral Load' ELSE TestResult END AS TestResult,
+         CASE WHEN Emr = 'Open Medical Records System - OpenMRS' THEN 'OpenMRS' WHEN Emr = 'Ampath AMRS' THEN 'AMRS'
+              ELSE Emr END AS Emr,
+         Project, voided
+  FROM scan s LEFT JOIN (SELECT DISTINCT upper('viral load') AS k, 'Viral Load Test' AS t FROM orders
+                         WHERE o_orderkey % 3 = 1) l ON upper(s.TestName) = l.k),
+tgt AS (SELECT c_nationkey * 100 AS SiteCode, c_custkey AS PatientPK, 'L0' AS VisitID FROM customer WHERE c_custkey < 300)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
+  AND t.PatientPK IS NOT DISTINCT FROM x.PatientPk AND t.VisitID IS NOT DISTINCT FROM x.VisitID)"""
+
+
+@query("load_patient_labs", oracle=_p20_oracle())
+def load_patient_labs(spark, sf):
+    """The patient-labs load spec (P20) on the test tables: latest rule over six keys after the
+    patient / facility joins, gender filter only (facility code 0 kept), date windows, negative
+    results labelled, case-insensitive test-name lookup, delta on (site, patient, visit)."""
+    spec, io = _p20_io(spark, sf)
+    return build_load(spec, io, AS_OF)
+
+
+def _p31_io(spark, sf):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p31_partner_tracing"]
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders")
+    ln = F.col("l_linenumber")
+    form = li.select(
+        (F.col("l_orderkey") * 10 + ln).alias("ID"), (F.col("l_orderkey") % 400).alias("PatientPk"),
+        (F.col("l_suppkey") % 4 + 1).cast("int").alias("SiteCode"),
+        F.concat(F.lit("H"), (F.col("l_orderkey") % 400).cast("string")).alias("HtsNumber"),
+        F.col("l_linestatus").alias("TraceType"), F.to_date("l_shipdate").alias("TraceDate"),
+        F.date_trunc("month", F.col("l_shipdate")).cast("date").alias("BookingDate"),
+        F.when(ln % 3 == 0, F.lit("NULL")).when(ln % 3 == 1, F.lit("null")).otherwise(F.col("l_returnflag"))
+         .alias("TraceOutcome"),
+        F.date_add(F.to_date("l_shipdate"), (F.col("l_partkey") % 3).cast("int")).alias("DateExtracted"))
+    clients = o.select((F.col("o_orderkey") % 400).alias("PatientPk"),
+                       (F.col("o_custkey") % 4 + 1).cast("int").alias("SiteCode"))
+    loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1995, 6, 1))).select(
+        (F.col("l_orderkey") % 400).alias("PatientPk"), (F.col("l_suppkey") % 4 + 1).cast("int").alias("SiteCode"),
+        F.concat(F.lit("H"), (F.col("l_orderkey") % 400).cast("string")).alias("HtsNumber"))
+    return spec, FrameIO({"HtsPartnerTracings": form, "Clients": clients}, {spec.target: loaded})
+
+
+def _p31_oracle() -> str:
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS["p31_partner_tracing"]
+    have = {"SiteCode", "PatientPk", "HtsNumber", "TraceType", "TraceDate", "TraceOutcome", "BookingDate"}
+    return f"""
+WITH a AS (
+  SELECT l_orderkey * 10 + l_linenumber AS ID, l_orderkey % 400 AS PatientPk, CAST(l_suppkey % 4 + 1 AS INTEGER) AS SiteCode,
+         'H' || CAST(l_orderkey % 400 AS VARCHAR) AS HtsNumber, l_linestatus AS TraceType,
+         CAST(l_shipdate AS DATE) AS TraceDate, CAST(date_trunc('month', l_shipdate) AS DATE) AS BookingDate,
+         CASE l_linenumber % 3 WHEN 0 THEN 'NULL' WHEN 1 THEN 'null' ELSE l_returnflag END AS TraceOutcome,
+         CAST(l_shipdate AS DATE) + CAST(l_partkey % 3 AS INTEGER) AS DateExtracted
+  FROM lineitem),
+tm AS (SELECT SiteCode, PatientPk, HtsNumber, TraceType, TraceDate, BookingDate, TraceOutcome, max(ID) AS MaxID,
+              max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
+       FROM a GROUP BY SiteCode, PatientPk, HtsNumber, TraceType, BookingDate, TraceDate, TraceOutcome),
+scan AS (
+  SELECT DISTINCT a.SiteCode, a.PatientPk, a.HtsNumber, a.TraceType, a.TraceDate, a.TraceOutcome, a.BookingDate
+  FROM a JOIN tm ON a.SiteCode = tm.SiteCode AND a.PatientPk = tm.PatientPk AND a.TraceType = tm.TraceType
+                AND a.BookingDate = tm.BookingDate AND CAST(a.DateExtracted AS DATE) = tm.MaxDateExtracted
+                AND a.ID = tm.MaxID
+  WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey % 400 = a.PatientPk
+                AND CAST(o.o_custkey % 4 + 1 AS INTEGER) = a.SiteCode)),
+clean AS (
+  SELECT SiteCode, PatientPk, HtsNumber, TraceType, TraceDate,
+         CASE WHEN TraceOutcome IN ('null', 'NULL') THEN NULL ELSE TraceOutcome END AS TraceOutcome, BookingDate
+  FROM scan)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='HtsNumber')} AS HtsNumberHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM lineitem t WHERE t.l_shipdate < TIMESTAMP '1995-06-01'
+  AND t.l_orderkey % 400 IS NOT DISTINCT FROM x.PatientPk
+  AND CAST(t.l_suppkey % 4 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode
+  AND 'H' || CAST(t.l_orderkey % 400 AS VARCHAR) IS NOT DISTINCT FROM x.HtsNumber)"""
+
+
+@query("load_hts_partner_tracing", oracle=_p31_oracle())
+def load_hts_partner_tracing(spark, sf):
+    """The HTS partner-tracing load spec (P31) on the test tables: latest rule grouped by seven
+    columns but joined on four, client existence, 'null' / 'NULL' sentinels, delta, digests."""
+    spec, io = _p31_io(spark, sf)
+    return build_load(spec, io, AS_OF)
