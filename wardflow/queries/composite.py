@@ -1184,9 +1184,18 @@ _UTF16_SQL = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHA
 
 
 def _null_cols(spec, have):
+    """Contract columns: present ones by name (case-insensitive, as both engines resolve
+    them), missing ones as typed NULLs (dates where a date rule types them)."""
     dated = {r.column for r in spec.rules if r.kind == "date"}
-    return ", ".join(c if c in have else f"CAST(NULL AS {'DATE' if c in dated else 'VARCHAR'}) AS {c}"
-                     for c in spec.columns)
+    low = {h.lower() for h in have}
+
+    def one(c):
+        if c in have:
+            return c
+        if c.lower() in low:
+            return f"{c} AS {c}"
+        return f"CAST(NULL AS {'DATE' if c in dated else 'VARCHAR'}) AS {c}"
+    return ", ".join(one(c) for c in spec.columns)
 
 
 def _p21_io(spark, sf):
@@ -2435,3 +2444,145 @@ def load_hts_partner_tracing(spark, sf):
     columns but joined on four, client existence, 'null' / 'NULL' sentinels, delta, digests."""
     spec, io = _p31_io(spark, sf)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== PrEP lab (P48), adverse events (P45), care termination
+def _prep_events_form(e, extra: dict):
+    eid = F.col("event_id")
+    return e.select(
+        eid.alias("ID"), F.col("user_id").alias("PatientPk"), (eid % 3 + 1).cast("int").alias("SiteCode"),
+        F.col("ts").alias("Created"), F.date_add(F.to_date("ts"), (eid % 2).cast("int")).alias("DateExtracted"),
+        F.concat(F.lit("PREP-"), (eid % 2).cast("string"), F.lit("-"), F.col("user_id").cast("string")).alias("PrepNumber"),
+        *[v.alias(k) for k, v in extra.items()])
+
+
+_PREP_FORM_SQL = """event_id AS ID, user_id AS PatientPk, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode, ts AS Created,
+         CAST(ts AS DATE) + CAST(event_id % 2 AS INTEGER) AS DateExtracted,
+         'PREP-' || CAST(event_id % 2 AS VARCHAR) || '-' || CAST(user_id AS VARCHAR) AS PrepNumber"""
+
+
+def _prep_patients(e, with_number: bool):
+    eid = F.col("event_id")
+    cols = [F.col("user_id").alias("PatientPk"), (eid % 3 + 1).cast("int").alias("SiteCode")]
+    if with_number:
+        cols.append(F.concat(F.lit("PREP-"), (eid % 2).cast("string"), F.lit("-"), F.col("user_id").cast("string"))
+                    .alias("PrepNumber"))
+    return e.filter(F.col("event_type") != "error").select(*cols).distinct()
+
+
+def _prep_loaded(e, keys):
+    eid = F.col("event_id")
+    m = {"PatientPk": F.col("user_id"), "SiteCode": (eid % 3 + 1).cast("int"),
+         "PrepNumber": F.concat(F.lit("PREP-"), (eid % 2).cast("string"), F.lit("-"), F.col("user_id").cast("string"))}
+    return e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 2))).select(*[m[k].alias(k) for k in keys])
+
+
+def _prep_job(spark, sf, spec_name, source, extra, with_number=False):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS[spec_name]
+    e = table(spark, sf, "events")
+    tables = {source: _prep_events_form(e, extra)}
+    if spec.parents:
+        tables["PrepPatients"] = _prep_patients(e, with_number)
+    loaded = _prep_loaded(e, [k for k in spec.delta_keys])
+    return spec, FrameIO(tables, {spec.target: loaded})
+
+
+def _prep_oracle(spec_name, extra_sql, extra_cols, latest_sql, clean_sql, with_number=False, number_key=False):
+    from wardflow.plans.catalog import SPECS
+    spec = SPECS[spec_name]
+    have = {"ID", "Created", "PatientPk", "SiteCode", "DateExtracted", "PrepNumber", *extra_cols}
+    exist = ("AND 'PREP-' || CAST(b.event_id % 2 AS VARCHAR) || '-' || CAST(b.user_id AS VARCHAR) = a.PrepNumber"
+             if with_number else "")
+    keyn = ("AND 'PREP-' || CAST(t.event_id % 2 AS VARCHAR) || '-' || CAST(t.user_id AS VARCHAR) "
+            "IS NOT DISTINCT FROM x.PrepNumber" if number_key else "")
+    parent = (f"""WHERE EXISTS (SELECT 1 FROM events b WHERE b.event_type <> 'error' AND b.user_id = a.PatientPk
+                AND CAST(b.event_id % 3 + 1 AS INTEGER) = a.SiteCode {exist})""" if spec.parents else "")
+    sel = ", ".join(["a.ID", "a.Created", "a.PatientPk", "a.SiteCode", "a.DateExtracted", "a.PrepNumber"]
+                    + [f"a.{c}" for c in extra_cols])
+    return f"""
+WITH a AS (SELECT {_PREP_FORM_SQL}, {extra_sql} FROM events),
+{latest_sql},
+scan AS (SELECT DISTINCT {sel} FROM a {{joins}} {parent}),
+clean AS (SELECT ID, Created, PatientPk, SiteCode, DateExtracted, PrepNumber, {clean_sql} FROM scan)
+SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PrepNumber')} AS PrepNumberHash,
+       {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '2024-01-02'
+  AND t.user_id IS NOT DISTINCT FROM x.PatientPk AND CAST(t.event_id % 3 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode
+  {keyn})"""
+
+
+_TN_CREATED = """tn AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated FROM a
+       GROUP BY PatientPk, SiteCode)"""
+_JOIN_CREATED = ("JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCode "
+                 "AND CAST(a.Created AS DATE) = tn.MaxCreated AND a.ID = tn.MaxID")
+
+
+def _p45_extra():
+    eid = F.col("event_id")
+    return {"Severity": F.when(eid % 4 == 0, F.lit("")).otherwise(F.lit("Mild")),
+            "AdverseEvent": F.when(eid % 5 == 0, F.lit("")).otherwise(F.col("event_type"))}
+
+
+@query("load_prep_adverse_events", oracle=_prep_oracle(
+    "p45_adverse_events",
+    "CASE WHEN event_id % 4 = 0 THEN '' ELSE 'Mild' END AS Severity, "
+    "CASE WHEN event_id % 5 = 0 THEN '' ELSE event_type END AS AdverseEvent",
+    ["Severity", "AdverseEvent"], _TN_CREATED,
+    "CASE WHEN Severity = '' THEN NULL ELSE Severity END AS Severity, "
+    "CASE WHEN AdverseEvent = '' THEN NULL ELSE AdverseEvent END AS AdverseEvent").replace("{joins}", _JOIN_CREATED))
+def load_prep_adverse_events(spark, sf):
+    """The PrEP adverse-events load spec (P45) on the test tables: latest rule, patient existence,
+    blank -> NULL, delta, digests."""
+    spec, io = _prep_job(spark, sf, "p45_adverse_events", "PrepAdverseEvents", _p45_extra())
+    return build_load(spec, io, AS_OF)
+
+
+def _p47_extra():
+    eid = F.col("event_id")
+    return {"ExitReason": F.when(eid % 3 == 0, F.lit("")).otherwise(F.col("event_type")),
+            "ExitDate": F.to_date("ts")}
+
+
+_P47_LATEST = _TN_CREATED + """,
+tm AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxExtracted FROM a
+       GROUP BY PatientPk, SiteCode)"""
+_P47_JOINS = _JOIN_CREATED + (" JOIN tm ON a.PatientPk = tm.PatientPk AND a.SiteCode = tm.SiteCode "
+                              "AND CAST(a.DateExtracted AS DATE) = tm.MaxExtracted AND a.ID = tm.MaxID")
+
+
+@query("load_prep_care_termination", oracle=_prep_oracle(
+    "p47_care_termination",
+    "CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END AS ExitReason, CAST(ts AS DATE) AS ExitDate",
+    ["ExitReason", "ExitDate"], _P47_LATEST,
+    "CASE WHEN ExitReason = '' THEN NULL ELSE ExitReason END AS ExitReason, ExitDate").replace("{joins}", _P47_JOINS))
+def load_prep_care_termination(spark, sf):
+    """The PrEP care-termination load spec (P47) on the test tables: two latest rules ANDed,
+    patient existence, blank -> NULL, delta, digests."""
+    spec, io = _prep_job(spark, sf, "p47_care_termination", "PrepCareTerminations", _p47_extra())
+    return build_load(spec, io, AS_OF)
+
+
+def _p48_extra():
+    eid = F.col("event_id")
+    return {"Reason": F.when(eid % 4 == 0, F.lit("")).otherwise(F.lit("Routine")), "TestName": F.col("event_type")}
+
+
+_P48_LATEST = """tn AS (SELECT PatientPk, SiteCode, PrepNumber, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated
+       FROM a GROUP BY PatientPk, SiteCode, PrepNumber)"""
+_P48_JOINS = ("JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCode "
+              "AND CAST(a.Created AS DATE) = tn.MaxCreated AND a.ID = tn.MaxID")
+
+
+@query("load_prep_lab", oracle=_prep_oracle(
+    "p48_lab",
+    "CASE WHEN event_id % 4 = 0 THEN '' ELSE 'Routine' END AS Reason, event_type AS TestName",
+    ["Reason", "TestName"], _P48_LATEST,
+    "CASE WHEN Reason = '' THEN NULL ELSE Reason END AS Reason, TestName",
+    with_number=True, number_key=True).replace("{joins}", _P48_JOINS))
+def load_prep_lab(spark, sf):
+    """The PrEP lab load spec (P48) on the test tables: latest rule grouped with the PrEP number
+    but joined on (patient, site), existence in PrEP patients by (site, patient, number), blank ->
+    NULL, delta on (patient, site, number), digests."""
+    spec, io = _prep_job(spark, sf, "p48_lab", "PrepLabs", _p48_extra(), with_number=True)
+    return build_load(spec, io, AS_OF)
