@@ -2586,3 +2586,68 @@ def load_prep_lab(spark, sf):
     NULL, delta on (patient, site, number), digests."""
     spec, io = _prep_job(spark, sf, "p48_lab", "PrepLabs", _p48_extra(), with_number=True)
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== depression (P09), allergies
+def _p09_extra():
+    k = F.col("o_orderkey")
+    return {"PHQ9_1": (k % 4).cast("string"), "PHQ_9_rating": F.col("o_orderpriority")}
+
+
+@query("load_depression_screening", oracle=_ct_visit_oracle(
+    "p09_depression_screening",
+    "CAST(o_orderkey % 4 AS VARCHAR) AS PHQ9_1, o_orderpriority AS PHQ_9_rating",
+    ["PHQ9_1", "PHQ_9_rating"], "PHQ9_1, PHQ_9_rating"))
+def load_depression_screening(spark, sf):
+    """The depression-screening load spec (P09) on the test tables: patient / facility joins and
+    filters, in-scan project map, delta on (site, patient, visit), digests."""
+    spec, io = _ct_visit_job(spark, sf, "p09_depression_screening", "DepressionScreeningExtract", _p09_extra())
+    return build_load(spec, io, AS_OF)
+
+
+def _p03_extra():
+    k = F.col("o_orderkey")
+    return {"ChronicIllness": F.col("o_orderstatus"),
+            "ChronicOnsetDate": F.date_sub(F.to_date("o_orderdate"), (k % 9000).cast("int")),
+            "AllergyCausativeAgent": F.col("o_orderpriority"),
+            "AllergicReaction": F.when(k % 2 == 0, F.lit("rash")).otherwise(F.lit("itch")),
+            "AllergySeverity": F.when(k % 4 == 0, F.lit("Mild|Mild")).when(k % 4 == 1, F.lit("Moderate|Mild"))
+            .when(k % 4 == 2, F.lit("Fatal")).otherwise(F.lit("Odd"))}
+
+
+def _p03_job(spark, sf):
+    spec, io = _ct_visit_job(spark, sf, "p03_allergies_chronic_illness", "AllergiesChronicIllnessExtract", _p03_extra())
+    o = table(spark, sf, "orders")
+    io.tables["lkp_chronic_illness"] = o.filter(F.col("o_orderstatus") == "F").select(
+        F.lit("F").alias("source_name"), F.lit("Hypertension").alias("target_name")).distinct()
+    io.tables["lkp_allergy_causative_agent"] = o.filter(F.col("o_orderpriority") == "1-URGENT").select(
+        F.lit("1-URGENT").alias("source_name"), F.lit("Penicillin").alias("target_name")).distinct()
+    io.tables["lkp_allergic_reaction"] = o.filter(F.col("o_orderkey") % 2 == 0).select(
+        F.lit("rash").alias("source_name"), F.lit("Rash").alias("target_name")).distinct()
+    return spec, io
+
+
+_P03_SQL = """o_orderstatus AS ChronicIllness, CAST(o_orderdate AS DATE) - CAST(o_orderkey % 9000 AS INTEGER) AS ChronicOnsetDate,
+         o_orderpriority AS AllergyCausativeAgent, CASE WHEN o_orderkey % 2 = 0 THEN 'rash' ELSE 'itch' END AS AllergicReaction,
+         CASE o_orderkey % 4 WHEN 0 THEN 'Mild|Mild' WHEN 1 THEN 'Moderate|Mild' WHEN 2 THEN 'Fatal' ELSE 'Odd' END
+           AS AllergySeverity"""
+_P03_CLEAN = """CASE WHEN ChronicIllness = 'F' THEN 'Hypertension' ELSE ChronicIllness END AS ChronicIllness,
+         CASE WHEN ChronicOnsetDate < DATE '1900-01-01' OR ChronicOnsetDate > DATE '2000-12-31' THEN DATE '1900-01-01'
+              ELSE ChronicOnsetDate END AS ChronicOnsetDate,
+         CASE WHEN AllergyCausativeAgent = '1-URGENT' THEN 'Penicillin' ELSE AllergyCausativeAgent END AS AllergyCausativeAgent,
+         CASE WHEN AllergicReaction = 'rash' THEN 'Rash' ELSE AllergicReaction END AS AllergicReaction,
+         CASE WHEN AllergySeverity = 'Fatal' THEN 'Fatal'
+              WHEN AllergySeverity IN ('Mild|Mild|Mild', 'Mild|Mild', 'Mild') THEN 'Mild'
+              WHEN AllergySeverity IN ('Moderate|Moderate', 'Moderate') THEN 'Moderate'
+              WHEN AllergySeverity = 'Severe' THEN 'Severe'
+              WHEN AllergySeverity IN ('Unknown', 'Moderate|Mild') THEN 'Unknown' ELSE AllergySeverity END AS AllergySeverity"""
+
+
+@query("load_allergies_chronic_illness", oracle=_ct_visit_oracle(
+    "p03_allergies_chronic_illness", _P03_SQL,
+    ["ChronicIllness", "ChronicOnsetDate", "AllergyCausativeAgent", "AllergicReaction", "AllergySeverity"], _P03_CLEAN))
+def load_allergies_chronic_illness(spark, sf):
+    """The allergies / chronic-illness load spec (P03) on the test tables: onset-date window,
+    severity recode, three lookups, delta on (site, patient, visit), digests."""
+    spec, io = _p03_job(spark, sf)
+    return build_load(spec, io, AS_OF)
