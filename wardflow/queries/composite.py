@@ -2712,3 +2712,35 @@ def load_defaulter_tracing(spark, sf):
     filters (no in-scan project map in this text), delta on (site, patient, visit), digests."""
     spec, io = _ct_visit_job(spark, sf, "p08_defaulter_tracing", "DefaulterTracingExtract", _p08_extra())
     return build_load(spec, io, AS_OF)
+
+
+# =============================================================== Covid
+def _p07_extra():
+    k = F.col("o_orderkey")
+    od = F.to_date("o_orderdate")
+    return {"Covid19AssessmentDate": F.date_sub(od, (k % 12000).cast("int")),
+            "DateGivenFirstDose": F.date_add(od, (k % 800).cast("int")),
+            "DateGivenSecondDose": F.date_add(od, (k % 800 + 30).cast("int")),
+            "VaccinationStatus": F.when(k % 3 == 0, F.lit("Partial")).when(k % 3 == 1, F.lit("Fully - Details not Available"))
+            .otherwise(F.lit("Not Vaccinated"))}
+
+
+@query("load_covid", oracle=_ct_visit_oracle(
+    "p07_covid",
+    "CAST(o_orderdate AS DATE) - CAST(o_orderkey % 12000 AS INTEGER) AS Covid19AssessmentDate, "
+    "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 800 AS INTEGER) AS DateGivenFirstDose, "
+    "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 800 + 30 AS INTEGER) AS DateGivenSecondDose, "
+    "CASE o_orderkey % 3 WHEN 0 THEN 'Partial' WHEN 1 THEN 'Fully - Details not Available' ELSE 'Not Vaccinated' END "
+    "AS VaccinationStatus",
+    ["Covid19AssessmentDate", "DateGivenFirstDose", "DateGivenSecondDose", "VaccinationStatus"],
+    ", ".join(f"CASE WHEN {c} < DATE '1980-01-01' OR {c} > DATE '2000-12-31' THEN DATE '1900-01-01' ELSE {c} END AS {c}"
+              for c in ("Covid19AssessmentDate", "DateGivenFirstDose", "DateGivenSecondDose"))
+    + ", CASE VaccinationStatus WHEN 'Fully - Details not Available' THEN 'Fully Vaccinated' "
+      "WHEN 'Partial' THEN 'Partially Vaccinated' WHEN 'Partial - Details not Available' THEN 'Partially Vaccinated' "
+      "ELSE VaccinationStatus END AS VaccinationStatus",
+    project_map=False))
+def load_covid(spark, sf):
+    """The Covid load spec (P07) on the test tables: three date windows, vaccination-status
+    recode, delta on (site, patient, visit), digests."""
+    spec, io = _ct_visit_job(spark, sf, "p07_covid", "CovidExtract", _p07_extra())
+    return build_load(spec, io, AS_OF)
