@@ -15,8 +15,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from wardflow.llm import simhash
-    return (simhash,)
+    from wardflow.llm import contamination, simhash
+    return (simhash, contamination)
 
 
 def queries() -> dict[str, QueryFn]:
