@@ -15,8 +15,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from wardflow.llm import contamination, packing, simhash
-    return (packing, simhash, contamination)
+    from wardflow.llm import contamination, packing, simhash, toxicity
+    return (packing, toxicity, simhash, contamination)
 
 
 def queries() -> dict[str, QueryFn]:
