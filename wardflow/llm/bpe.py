@@ -17,7 +17,7 @@ import regex
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_UNITS = 300_000
+CACHE_UNITS = 600_000
 # fixed values: the pre-tokenizer's pattern, \s spelled out
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PATTERN = regex.compile(
