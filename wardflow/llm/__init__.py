@@ -15,8 +15,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from wardflow.llm import contamination, packing, secrets, simhash, toxicity
-    return (packing, secrets, toxicity, simhash, contamination)
+    from wardflow.llm import contamination, htmltext, packing, secrets, simhash, tokencount, toxicity
+    return (packing, secrets, toxicity, htmltext, tokencount, simhash, contamination)
 
 
 def queries() -> dict[str, QueryFn]:
