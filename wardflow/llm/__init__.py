@@ -15,8 +15,8 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from wardflow.llm import chat, contamination, htmltext, packing, secrets, simhash, tokencount, toxicity
-    return (packing, secrets, toxicity, htmltext, tokencount, simhash, chat, contamination)
+    from wardflow.llm import chat, contamination, htmltext, packing, secrets, simhash, tokencount, toxicity, weighted
+    return (packing, secrets, toxicity, htmltext, tokencount, simhash, chat, contamination, weighted)
 
 
 def queries() -> dict[str, QueryFn]:
