@@ -94,7 +94,11 @@ def fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str], sample
     else:
         raise ValueError("one or two texts a row")
     none = F.array(F.struct(F.lit(None).cast("long").alias("x"), F.lit(0).alias("in")))  # keeps rows without a word
-    marked = [F.transform(s, lambda x, m=m: F.struct(x.alias("x"), F.lit(m).alias("in"))) for m, s in sets.items()]
+
+    def mark(terms: Column, sides: int) -> Column:
+        return F.transform(terms, lambda x: F.struct(x.alias("x"), F.lit(sides).alias("in")))
+
+    marked = [mark(terms, sides) for sides, terms in sets.items()]
     flat = bags.select(*keys, F.explode(F.concat(none, *marked)).alias("e")).select(
         *keys, F.col("e.in").alias("_in"), F.shiftright("e.x", _WEIGHT_BITS).alias("_term"),
         F.ln(F.col("e.x").bitwiseAND(F.lit((1 << _WEIGHT_BITS) - 1)).cast("double")).alias("_lw"))
