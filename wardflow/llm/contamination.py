@@ -108,7 +108,7 @@ def find_items(docs: DataFrame, items: DataFrame, id_cols: tuple[str, ...] = ("d
                              zero.alias("need"), zero.alias("n_item"), zero.alias("n_shared"))]
     pairs = reduce(DataFrame.unionByName, found).where("n_shared >= need")
     return pairs.select("doc.*", "item_id", "n_item", "n_shared",
-                        (F.col("n_shared") / F.col("n_item")).alias("containment")).distinct()
+                        F.try_divide("n_shared", "n_item").alias("containment")).distinct()
 
 
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
