@@ -64,7 +64,7 @@ def main(argv=None) -> None:
         repair_dates(df, [c for c in a.columns.split(",") if c]).write.mode("errorifexists").parquet(a.out)
     elif a.cmd == "outcomes":
         from wardflow.operators.asof import monthly_outcomes
-        from wardflow.sources.sinks import overwrite_partitions
+        from wardflow.sources.sinks import rebuild
         t = lambda n: spark.read.parquet(f"{a.target_dir}/{n}")
         visits = t("CT_PatientVisits").select("PatientPK", "PatientID", "SiteCode", "VisitDate", "NextAppointmentDate")
         pharm = t("CT_PatientPharmacy").select("PatientPK", "PatientID", "SiteCode", "DispenseDate", "ExpectedReturn")
@@ -73,7 +73,7 @@ def main(argv=None) -> None:
         art = t("CT_ARTPatients").select("PatientPK", "PatientID", "SiteCode", "StartARTDate")
         out = monthly_outcomes(visits, pharm, status, art, dt.date.fromisoformat(a.start),
                                dt.date.fromisoformat(a.end))
-        overwrite_partitions(out, a.out, ["AsOfDate"])
+        rebuild(out, a.out, ["AsOfDate"])
 
 
 if __name__ == "__main__":

@@ -83,8 +83,8 @@ def _num(c: Column) -> Column:
 
 
 def clamp_number(c: ColumnOrName, lo=None, hi=None, fill=SENTINEL_NUMBER,
-                 text: bool = False) -> Column:
-    """Numeric (or numeric-looking text) outside ``[lo, hi]`` -> ``fill``.
+                 text: bool = False, lo_open: bool = False) -> Column:
+    """Numeric (or numeric-looking text) outside ``[lo, hi]`` (``lo_open``: ``(lo, hi]``) -> ``fill``.
 
     The comparison reads text with ``try_cast(... AS DOUBLE)``; non-numeric text
     is kept as it is.  The original value (not the parsed one) is returned; for
@@ -95,7 +95,7 @@ def clamp_number(c: ColumnOrName, lo=None, hi=None, fill=SENTINEL_NUMBER,
     v = _num(c)
     out = F.lit(False)
     if lo is not None:
-        out = out | (v < F.lit(lo))
+        out = out | ((v <= F.lit(lo)) if lo_open else (v < F.lit(lo)))
     if hi is not None:
         out = out | (v > F.lit(hi))
     if fill is None:

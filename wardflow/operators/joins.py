@@ -1,4 +1,4 @@
-"""Parent joins and size-checked broadcast."""
+"""Parent joins.  Which side is broadcast is left to the planner, which knows sizes in bytes."""
 
 from __future__ import annotations
 
@@ -7,24 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest lookup / dimension broadcast without a shuffle.  The check reads at
-#: most this many rows + 1, so it is cheap whatever the frame's real size.
-#: Only narrow frames are broadcast here (two-column lookups, facility id /
-#: code / name), so 200k rows stay well under ~50 MB per executor.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when it provably holds <= max_rows rows, else ``df``.
-
-    Frames above the bound fall back to a shuffled join (AQE may still pick a
-    broadcast at run time from real statistics).
-    """
-    if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def parent_exists(child: DataFrame, parent: DataFrame, on, parent_filter=None) -> DataFrame:
     """Child rows having a parent row (inner join whose right side is unused).

@@ -30,7 +30,7 @@ from wardflow.operators._keys import named
 
 
 def latest_joint_max(df: DataFrame, keys, maxes, join_keys=None,
-                     null_safe_keys=(), strategy: str = "aggregate") -> DataFrame:
+                     null_safe_keys=(), strategy: str = "aggregate", over: DataFrame | None = None) -> DataFrame:
     """Rows holding every per-key maximum.
 
     keys      – grouping keys: names or ``(alias, Column)`` (e.g. a
@@ -41,6 +41,8 @@ def latest_joint_max(df: DataFrame, keys, maxes, join_keys=None,
     join_keys – subset of ``keys`` to join back on (the "coarser join" forms
                 that group by more columns than they join on).
     null_safe_keys – key names compared with ``<=>`` instead of ``=``.
+    over      – frame the maxima are computed over (default: ``df`` itself), for
+                rules that look at more rows than they keep.
     """
     cols = df.columns
     ks = named(keys, "__k")
@@ -58,6 +60,8 @@ def latest_joint_max(df: DataFrame, keys, maxes, join_keys=None,
     mnames = [n for n, _, _ in ms]
 
     if strategy == "window":
+        if over is not None:
+            raise ValueError("window strategy computes the maxima over the rows it filters")
         if jk != key_names:
             raise ValueError("window strategy needs join_keys == keys")
         w = Window.partitionBy(*key_names)
@@ -66,7 +70,8 @@ def latest_joint_max(df: DataFrame, keys, maxes, join_keys=None,
         conds += [F.col(k).isNotNull() for k in key_names if k not in null_safe_keys]
         return out.filter(reduce(lambda a, b: a & b, conds)).select(*cols)
 
-    agg = base.groupBy(*key_names).agg(*[F.max(m).alias(f"__x_{m}") for m in mnames])
+    wide = base if over is None else over.withColumns(derived) if derived else over
+    agg = wide.groupBy(*key_names).agg(*[F.max(m).alias(f"__x_{m}") for m in mnames])
     agg = agg.select(*jk, *[f"__x_{m}" for m in mnames])
     a, b = base.alias("__l"), agg.alias("__r")
     conds = []
@@ -106,28 +111,12 @@ def last_per_key(df: DataFrame, keys, order, strategy: str = "aggregate") -> Dat
                       *[F.col(f"__top.__row.{c}").alias(c) for c in payload]).select(*cols)
 
 
-def row_number_spread(df: DataFrame, keys, order, out: str = "rank", num_ranges: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY keys ORDER BY order DESC)`` without
-    sending a whole key to one task.
+def row_number(df: DataFrame, keys, order, out: str = "rank") -> DataFrame:
+    """``row_number() OVER (PARTITION BY keys ORDER BY order DESC)``; NULL keys are one group, NULLs rank last.
 
-    1. range-partition on (keys, order) – a hot key spans several ranges;
-    2. number rows inside each (key, range) – groups bounded by range size;
-    3. per (key, range) counts -> running offset per key over the ranges
-       (one small row per key and range);
-    4. rank = offset + local number.
-
-    ``order`` must be a total order within a key (add a tie-break), as for
-    any deterministic row_number.
+    ``order`` must be a total order within a key (add a tie-break).  The rows of a key are sorted,
+    with spilling, in one task, as any numbering without gaps needs; to keep only the first
+    rows of a key use ``last_per_key``, which is combined before the shuffle.
     """
-    ks = list(keys)
-    ords = [F.col(o).desc() for o in order]
-    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in ks], *ords).withColumn("__rng", F.spark_partition_id())
-    w_local = Window.partitionBy(*ks, "__rng").orderBy(*ords)
-    local = ranged.withColumn("__loc", F.row_number().over(w_local))
-    counts = ranged.groupBy(*ks, "__rng").agg(F.count(F.lit(1)).alias("__n"))
-    w_off = Window.partitionBy(*ks).orderBy("__rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w_off), F.lit(0))).drop("__n")
-    return (local.join(offsets, [*ks, "__rng"])
-            .withColumn(out, (F.col("__off") + F.col("__loc")).cast("int"))
-            .drop("__rng", "__loc", "__off"))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc_nulls_last() for o in order])
+    return df.withColumn(out, F.row_number().over(w))

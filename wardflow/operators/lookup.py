@@ -5,8 +5,8 @@
 
 * the lookup is de-duplicated first (``min(target)`` per source spelling), so a
   duplicated spelling can never multiply rows;
-* it is broadcast only after a bounded row count proves it small, otherwise a
-  shuffled join is used – correct at any size;
+* whether it is broadcast is the planner's choice, by its size in bytes, and
+  revised at run time (AQE) – correct at any size;
 * the right-hand columns are dropped inside the operator, so several lookups
   on one frame never collide on ``source_name``/``target_name``.
 """
@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.rules import KEEP
-from wardflow.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
 
 
 def dedupe_lookup(lookup: DataFrame, source: str = "source_name", target: str = "target_name",
@@ -29,16 +28,16 @@ def dedupe_lookup(lookup: DataFrame, source: str = "source_name", target: str =
 
 
 def prepare_lookup(lookup: DataFrame, source: str = "source_name", target: str = "target_name",
-                   case_insensitive: bool = False, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """De-duplicated, size-checked lookup ready for ``standardise(..., prepared=True)``;
+                   case_insensitive: bool = False) -> DataFrame:
+    """De-duplicated lookup ready for ``standardise(..., prepared=True)``;
     prepare once when one lookup serves several columns."""
-    return broadcast_if_small(dedupe_lookup(lookup, source, target, case_insensitive), broadcast_max_rows)
+    return dedupe_lookup(lookup, source, target, case_insensitive)
 
 
 def standardise(df: DataFrame, column: str, lookup: DataFrame, source: str = "source_name",
                 target: str = "target_name", case_insensitive: bool = False,
                 default=KEEP, out: str | None = None,
-                broadcast_max_rows: int = BROADCAST_MAX_ROWS, prepared: bool = False) -> DataFrame:
+                prepared: bool = False) -> DataFrame:
     """Replace ``column`` by its lookup target; unmatched -> kept / NULL / default.
 
     ``default`` – ``KEEP`` (the value is kept), None, or a constant used when
@@ -46,7 +45,7 @@ def standardise(df: DataFrame, column: str, lookup: DataFrame, source: str = "so
     default)``).
     """
     lk = (lookup if prepared else
-          prepare_lookup(lookup, source, target, case_insensitive, broadcast_max_rows)).alias("__lk")
+          prepare_lookup(lookup, source, target, case_insensitive)).alias("__lk")
     key = F.upper(df[column]) if case_insensitive else df[column]
     joined = df.alias("__df").join(lk, key == F.col("__lk.__src"), "left")
     value = F.col(f"__df.{column}")

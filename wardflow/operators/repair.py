@@ -1,12 +1,11 @@
 """Mixed-format date repair of a loaded table (test-kit expiry dates).
 
-The source script updates each text date column in place: every distinct raw
-value gets one repaired date (ISO first, else day-first ``dd/mm/yyyy`` when the
-year slot holds four characters) and rows are updated by joining on the raw
-value.  Here the fixes are computed per distinct raw value – a map-side
-combined aggregate, so a value repeated across a third of the table is parsed
-once per map task – and applied with a left join; the result is written to a
-new path (never over the path being read).
+The source script updates each text date column in place: a raw value gets one
+repaired date (ISO first, else day-first ``dd/mm/yyyy`` when the year slot
+holds four characters).  The repaired date depends on the raw value alone, so
+it is one expression per column: no shuffle, and a value that fills a third of
+the table costs nothing extra.  Write the result to a new path, never over the
+path being read.
 """
 
 from __future__ import annotations
@@ -15,15 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.rules import parse_mixed_date
-from wardflow.sources.sinks import apply_corrections
 
 
 def repair_dates(df: DataFrame, columns, fallback_formats=("dd/MM/yyyy",)) -> DataFrame:
-    """Replace text date columns by repaired DATE values (unparseable -> NULL)."""
-    out = df
-    for c in columns:
-        fixes = (out.select(F.col(c).alias("__raw")).filter(F.col("__raw").isNotNull()).distinct()
-                 .withColumn("__fixed", parse_mixed_date("__raw", fallback_formats)))
-        keyed = out.withColumn("__raw", F.col(c).cast("string")).withColumn(c, F.lit(None).cast("date"))
-        out = apply_corrections(keyed, fixes, "__raw", {c: "__fixed"}).drop("__raw")
-    return out
+    """Replace text date columns by repaired DATE values (NULL and unparseable -> NULL)."""
+    return df.withColumns({c: parse_mixed_date(F.col(c).cast("string"), fallback_formats) for c in columns})

@@ -11,17 +11,28 @@ jobs' contracts and must equal them; they are stated as given.
 """
 
 from wardflow.plans import vocab as V
-from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, cols, rule
+from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, cols, date_casts, rule
 
 PATIENT = Parent("PatientExtract", (("PatientId", "ID"),),
                  columns=(("PatientCccNumber", "PatientID"), ("PatientPID", "PatientPK"), ("Gender", "Gender"),
                           ("FacilityId", "FacilityId"), ("Emr", "Emr"), ("Project", "Project")))
-FACILITY = Parent("Facility", (("FacilityId", "Id"),), where="NOT coalesce(CAST(Voided AS BOOLEAN), false)",
+# parents of texts that take the form's own Emr, Project, Gender or FacilityName, or the patient's ID
+PATIENT_KEYS = Parent("PatientExtract", (("PatientId", "ID"),),
+                      columns=(("PatientCccNumber", "PatientID"), ("PatientPID", "PatientPK"),
+                               ("Gender", "PatientGender"), ("FacilityId", "FacilityId")))
+PATIENT_KEYS_EMR = Parent("PatientExtract", (("PatientId", "ID"),),
+                          columns=PATIENT_KEYS.columns + (("Emr", "Emr"), ("Project", "Project")))
+PATIENT_WITH_ID = Parent("PatientExtract", (("PatientId", "ID"),), columns=PATIENT.columns + (("ID", "ID"),))
+FACILITY = Parent("Facility", (("FacilityId", "Id"),), where="CAST(Voided AS INT) = 0",
                   columns=(("Code", "SiteCode"), ("Name", "FacilityName")))
+FACILITY_CODE = Parent("Facility", (("FacilityId", "Id"),), where="CAST(Voided AS INT) = 0",
+                       columns=(("Code", "SiteCode"),))
 FACILITY_ANY = Parent("Facility", (("FacilityId", "Id"),), columns=(("Code", "SiteCode"), ("Name", "FacilityName")))
 GENDER_OK = "Gender <> 'Unknown'"
+PATIENT_GENDER_OK = "PatientGender <> 'Unknown'"
 CODE_OK = "try_cast(SiteCode AS INT) > 0"
 CT_PARENTS = (PATIENT, FACILITY)
+CT_PARENTS_ID = (PATIENT_WITH_ID, FACILITY)
 HASH_ID_PK = (("PatientID", "PatientIDHash"), ("PatientPK", "PatientPKHash"))
 
 
@@ -38,15 +49,14 @@ def num(col, lo=None, hi=None, fill=999):
 
 
 # scan texts that map the patient's project names in the select list
-PROJECT_CASE_IN_SCAN = {"p01", "p02", "p03", "p06", "p09", "p10", "p11", "p14", "p16", "p17", "p18", "p19", "p20",
+PROJECT_CASE_IN_SCAN = {"p01", "p03", "p06", "p09", "p10", "p11", "p14", "p16", "p17", "p18", "p19", "p20",
                         "p21", "p22", "p23"}
 
 
 def ct(pid, name, source, target, columns, delta, where=(GENDER_OK, CODE_OK), parents=CT_PARENTS, **kw):
     kw.setdefault("hashes", HASH_ID_PK)
     if pid in PROJECT_CASE_IN_SCAN:
-        kw["rules"] = (rc("Project", V.PROJECT_IN_SCAN),) + tuple(r for r in kw.get("rules", ())
-                                                                   if r != rc("Project", V.PROJECT_IN_SCAN))
+        kw["select_rules"] = (rc("Project", V.PROJECT_IN_SCAN),)
     return LoadSpec(name=f"{pid}_{name}", source=source, target=target, columns=cols(columns),
                     delta_keys=tuple(delta), parents=parents, where=tuple(where), module="ct", **kw)
 
@@ -60,7 +70,7 @@ SPECS = [
        "StartRegimenLine,LastARTDate,LastRegimen,LastRegimenLine,Duration,ExpectedReturn,Provider,LastVisit,ExitReason,"
        "ExitDate,Emr,Project,DOB,PreviousARTUse,PreviousARTPurpose,DateLastUsed,DateAsOf,Date_Created,"
        "Date_Last_Modified,recorduuid,voided",
-       ("PatientPK", "SiteCode"),
+       ("PatientPK", "SiteCode"), where=(PATIENT_GENDER_OK, CODE_OK), parents=(PATIENT_KEYS_EMR, FACILITY),
        latest=Latest(("PatientPK", "SiteCode"), ("cast(Created as date)",), stage="joined"),
        rules=(d("DOB", "1900-01-01"),
               *[d(c, "1980-01-01") for c in ("StartARTDate", "StartARTAtThisFacility", "LastARTDate", "RegistrationDate",
@@ -76,7 +86,7 @@ SPECS = [
        "PatientID,PatientPK,SiteCode,AdverseEvent,AdverseEventStartDate,AdverseEventEndDate,Severity,VisitDate,EMR,"
        "Project,AdverseEventCause,AdverseEventRegimen,AdverseEventActionTaken,AdverseEventClinicalOutcome,"
        "AdverseEventIsPregnant,Date_Created,Date_Last_Modified,recorduuid,voided,LoadDate",
-       ("SiteCode", "PatientPK", VISIT_DAY), where=(CODE_OK,), write_partitions=50,
+       ("SiteCode", "PatientPK", VISIT_DAY), where=(CODE_OK,), parents=(PATIENT_KEYS, FACILITY), write_partitions=50,
        derived=(("LoadDate", "CAST({as_of} AS TIMESTAMP_NTZ)"),),
        rules=(d("AdverseEventStartDate", "1980-01-01"), d("AdverseEventEndDate", "1980-01-01"),
               rc("Severity", V.AE_SEVERITY), rc("AdverseEventActionTaken", V.AE_ACTION),
@@ -104,7 +114,7 @@ SPECS = [
        "ReferalOrdered,Colposcopy,TreatmentColposcopy,BiopsyCINIIandAbove,BiopsyCINIIandBelow,BiopsyNotAvailable,CBE,"
        "TreatmentCBE,Ultrasound,TreatmentUltraSound,IfTissueDiagnosis,DateTissueDiagnosis,ReasonNotDone,FollowUpDate,"
        "Referred,ReasonForReferral,RecordUUID,Date_Created,Date_Last_Modified,Created,LoadDate",
-       ("SiteCode", "PatientPK", "VisitID"), where=(GENDER_OK,), parents=(PATIENT, FACILITY_ANY),
+       ("SiteCode", "PatientPK", "VisitID"), where=(PATIENT_GENDER_OK,), parents=(PATIENT_KEYS, FACILITY_ANY),
        write_partitions=50, derived=(("LoadDate", "{as_of}"),),
        notes="diffed against its own target (the source job diffs against the cervical screening table)"),
     ct("p05", "cervical_cancer_screening", "CervicalCancerScreeningExtract", "CT_CervicalCancerScreening",
@@ -112,7 +122,8 @@ SPECS = [
        "ScreeningMethod,TreatmentToday,ReferredOut,NextAppointmentDate,ScreeningType,ScreeningResult,"
        "PostTreatmentComplicationCause,OtherPostTreatmentComplication,ReferralReason,Created,Date_Created,"
        "Date_Last_Modified",
-       ("SiteCode", "PatientPK", "VisitID"), where=(GENDER_OK, "NOT coalesce(Voided, false)"), write_partitions=50),
+       ("SiteCode", "PatientPK", "VisitID"), where=(PATIENT_GENDER_OK, "CAST(Voided AS INT) = 0"),
+       parents=(PATIENT_KEYS, FACILITY_CODE), write_partitions=50),
     ct("p06", "contact_listing", "ContactListingExtract", "CT_ContactListing",
        "ID,PatientID,PatientPK,SiteCode,FacilityName,Emr,Project,PartnerPersonID,ContactAge,ContactSex,"
        "ContactMaritalStatus,RelationshipWithPatient,ScreenedForIpv,IpvScreening,IPVScreeningOutcome,"
@@ -133,19 +144,22 @@ SPECS = [
        "AdmissionStatusSinceLastVisit,AdmissionStartDate,AdmissionEndDate,AdmissionUnitSinceLastVisit,"
        "SupplementalOxygenReceived,PatientVentilated,TracingFinalOutcome,CauseOfDeath,BoosterDoseVerified,Sequence,"
        "COVID19TestResult,Date_Created,Date_Last_Modified,recorduuid,voided",
-       ("SiteCode", "PatientPK", "VisitID"),
+       ("SiteCode", "PatientPK", "VisitID"), parents=CT_PARENTS_ID,
+       select=date_casts("Covid19AssessmentDate", "DateGivenFirstDose", "DateGivenSecondDose", "BoosterDoseDate",
+                         "COVID19TestDate", "COVID19TestDateSinceLastVisit", "AdmissionStartDate", "AdmissionEndDate"),
        rules=(d("Covid19AssessmentDate", "1980-01-01"), d("DateGivenFirstDose", "1980-01-01"),
               d("DateGivenSecondDose", "1980-01-01"), rc("VaccinationStatus", V.VACCINATION_STATUS))),
     ct("p08", "defaulter_tracing", "DefaulterTracingExtract", "CT_DefaulterTracing",
        "ID,PatientPK,PatientID,Emr,Project,SiteCode,FacilityName,VisitID,VisitDate,EncounterId,TracingType,"
        "TracingOutcome,AttemptNumber,IsFinalTrace,TrueStatus,CauseOfDeath,Comments,BookingDate,Date_Created,"
        "Date_Last_Modified,recorduuid,voided",
-       ("SiteCode", "PatientPK", "VisitID"), write_partitions=50),
+       ("SiteCode", "PatientPK", "VisitID"), parents=CT_PARENTS_ID, write_partitions=50,
+       select=date_casts("VisitDate", "BookingDate")),
     ct("p09", "depression_screening", "DepressionScreeningExtract", "CT_DepressionScreening",
        "ID,PatientID,PatientPK,SiteCode,FacilityName,VisitID,VisitDate,Emr,Project,PHQ9_1,PHQ9_2,PHQ9_3,PHQ9_4,PHQ9_5,"
        "PHQ9_6,PHQ9_7,PHQ9_8,PHQ9_9,PHQ_9_rating,DepressionAssesmentScore,Date_Created,Date_Last_Modified,recorduuid,"
        "voided",
-       ("SiteCode", "PatientPK", "VisitID"), write_partitions=50),
+       ("SiteCode", "PatientPK", "VisitID"), parents=CT_PARENTS_ID, write_partitions=50),
     ct("p10", "drug_alcohol_screening", "DrugAlcoholScreeningExtract", "CT_DrugAlcoholScreening",
        "ID,PatientID,PatientPK,SiteCode,FacilityName,VisitID,VisitDate,Emr,Project,DrinkingAlcohol,Smoking,DrugUse,"
        "Date_Created,Date_Last_Modified",
@@ -170,28 +184,29 @@ SPECS = [
     ct("p15", "iit_risk_scores", "IITRiskScoresExtract", "CT_IITRiskScores",
        "SiteCode,PatientID,PatientPK,Emr,Project,Voided,Processed,Id,FacilityName,SourceSysUUID,RiskScore,RiskFactors,"
        "RiskDescription,RiskEvaluationDate,Created,Date_Created,Date_Last_Modified,LoadDate",
-       ("Id",), write_partitions=50, derived=(("LoadDate", "{as_of}"),),
+       ("Id",), where=(PATIENT_GENDER_OK, CODE_OK), parents=(PATIENT_KEYS, FACILITY_CODE), write_partitions=50,
+       derived=(("LoadDate", "{as_of}"),),
        notes="PatientID is the CCC number of the patient (the source job resolves the extract's foreign key)"),
     ct("p16", "ipt", "IptExtract", "CT_Ipt",
        "ID,PatientID,PatientPK,SiteCode,FacilityName,VisitID,VisitDate,Emr,Project,OnTBDrugs,OnIPT,EverOnIPT,Cough,"
        "Fever,NoticeableWeightLoss,NightSweats,Lethargy,ICFActionTaken,TestResult,TBClinicalDiagnosis,ContactsInvited,"
        "EvaluatedForIPT,StartAntiTBs,TBRxStartDate,TBScreening,IPTClientWorkUp,StartIPT,IndicationForIPT,Date_Created,"
        "Date_Last_Modified,recorduuid,voided",
-       ("SiteCode", "PatientPK", "VisitID"),
-       rules=(rc("Project", V.PROJECT_IN_SCAN), rc("TBScreening", V.TB_SCREENING_IPT),
+       ("SiteCode", "PatientPK", "VisitID"), parents=CT_PARENTS_ID,
+       rules=(rc("TBScreening", V.TB_SCREENING_IPT),
               rc("IndicationForIPT", V.IPT_INDICATION))),
     ct("p17", "otz", "OtzExtract", "CT_Otz",
        "ID,PatientID,PatientPK,SiteCode,FacilityName,VisitID,VisitDate,Emr,Project,OTZEnrollmentDate,TransferInStatus,"
        "ModulesPreviouslyCovered,ModulesCompletedToday,SupportGroupInvolvement,Remarks,TransitionAttritionReason,"
        "OutcomeDate,Date_Created,Date_Last_Modified,recorduuid,voided",
-       ("SiteCode", "PatientPK", "VisitID"),
+       ("SiteCode", "PatientPK", "VisitID"), parents=CT_PARENTS_ID,
        rules=(d("OTZEnrollmentDate", "2012-01-01"), rc("TransferInStatus", V.YES_NO_10),
               rc("SupportGroupInvolvement", V.YES_NO_10))),
     ct("p18", "ovc", "OvcExtract", "CT_Ovc",
        "ID,PatientID,PatientPK,SiteCode,FacilityName,VisitID,VisitDate,Emr,Project,OVCEnrollmentDate,"
        "RelationshipToClient,EnrolledinCPIMS,CPIMSUniqueIdentifier,PartnerOfferingOVCServices,OVCExitReason,ExitDate,"
        "Date_Created,Date_Last_Modified,recorduuid,voided",
-       ("SiteCode", "PatientPK", "VisitID"), write_partitions=50),
+       ("SiteCode", "PatientPK", "VisitID"), parents=CT_PARENTS_ID, write_partitions=50),
     ct("p19", "patient_baselines", "PatientBaselinesExtract", "CT_PatientBaselines",
        "ID,PatientID,PatientPK,SiteCode,bCD4,bCD4Date,bWHO,bWHODate,eCD4,eCD4Date,eWHO,eWHODate,lastWHO,lastWHODate,"
        "lastCD4,lastCD4Date,m12CD4,m12CD4Date,m6CD4,m6CD4Date,Emr,Project,bWAB,bWABDate,eWAB,eWABDate,lastWAB,"
@@ -202,9 +217,9 @@ SPECS = [
     ct("p20", "patient_labs", "PatientLaboratoryExtract", "CT_PatientLabs",
        "ID,PatientID,PatientPk,SiteCode,FacilityName,VisitID,OrderedbyDate,ReportedbyDate,TestName,EnrollmentTest,"
        "TestResult,Emr,Project,DateSampleTaken,SampleType,reason,Date_Created,Date_Last_Modified,recorduuid,voided",
-       ("SiteCode", "PatientPK", "VisitID"), where=(GENDER_OK,),
+       ("SiteCode", "PatientPK", "VisitID"), where=(GENDER_OK,), parents=CT_PARENTS_ID, derived=(("FormID", "ID"),),
        latest=Latest(("SiteCode", "PatientPK", "TestResult", "TestName", "OrderedbyDate", "voided"),
-                     ("ID", "cast(Created as date)"), stage="joined"),
+                     ("FormID", "cast(Created as date)"), stage="joined"),
        rules=(d("ReportedbyDate", "1900-01-01"), d("OrderedbyDate", "1900-01-01"), rc("Emr", V.EMR_NAMES),
               rule("TestResult", "negative", label="Viral Load")),
        lookups=(Lookup("TestName", "lkp_test_name", case_insensitive=True),)),
@@ -213,7 +228,7 @@ SPECS = [
        "PeriodTaken,ProphylaxisType,Emr,Project,RegimenLine,RegimenChangedSwitched,RegimenChangeSwitchReason,"
        "StopRegimenReason,StopRegimenDate,Date_Created,Date_Last_Modified,recorduuid,voided",
        ("SiteCode", "PatientPK", "VisitID"), write_partitions=50,
-       rules=(num("Duration", lo=0), d("ExpectedReturn", "1900-01-01", hi=None), num("PeriodTaken", lo=0.0000001),
+       rules=(num("Duration", lo=0), d("ExpectedReturn", "1900-01-01", hi=None), rule("PeriodTaken", "number", lo=0, lo_open=True, fill=999),
               rc("Emr", V.EMR_NAMES), rc("Project", V.PROJECT_NAMES)),
        lookups=(Lookup("Drug", "lkp_regimen"), Lookup("TreatmentType", "lkp_treatment_type"),
                 Lookup("ProphylaxisType", "lkp_prophylaxis_type")),
@@ -225,6 +240,7 @@ SPECS = [
        ("SiteCode", "PatientPK", ("cast(ExitDate as date)", "ExitDate")), write_partitions=50,
        latest=Latest(("PatientPK", "SiteCode", "ExitDate", "voided"), ("ID", "cast(Created as date)"),
                      join_keys=("PatientPK", "SiteCode", "ExitDate"), stage="joined"),
+       select=date_casts("DeathDate"),
        rules=(d("ExitDate", "2004-01-01"), rc("Emr", V.EMR_AMRS_ONLY), rc("Project", V.PROJECT_NAMES_STATUS))),
     ct("p23", "patient_visits", "PatientVisitExtract", "CT_PatientVisits",
        "PatientID,FacilityName,SiteCode,PatientPK,VisitID,VisitDate,SERVICE,VisitType,WHOStage,WABStage,Pregnant,LMP,"
@@ -251,7 +267,8 @@ SPECS = [
        parents=(FACILITY,),
        derived=(("PatientID", "PatientCccNumber"), ("PatientPK", "PatientPID")),
        where=("Gender IS NOT NULL", GENDER_OK, CODE_OK),
-       latest=Latest(("PatientPK", "SiteCode"), ("ID", "cast(Created as date)"), stage="joined"),
+       latest=Latest(("PatientPK", "SiteCode"), ("ID", "cast(Created as date)"), stage="joined", over=(FACILITY_ANY,)),
+       nulls=("PopulationType", "KeyPopulationType"),
        rules=(d("DOB", "1910-01-01"),
               *[d(c, "1980-01-01") for c in ("RegistrationDate", "RegistrationAtCCC", "RegistrationAtPMTCT",
                                              "RegistrationAtTBClinic", "PreviousARTStartDate", "LastVisit",

@@ -13,6 +13,7 @@ SPECS = [
                           "Implementation,EMR,EMR_Status,HTS_Use,HTS_Deployment,HTS_Status,IL_Status,Registration_IE,"
                           "Phamarmacy_IE,mlab,Ushauri,Nishauri,Appointment_Management_IE,OVC,OTZ,PrEP,_3PM,AIR,KP,MCH,"
                           "TB,Lab_Manifest,Comments,Project"),
+             nulls=("IL_Status", "Registration_IE", "Phamarmacy_IE", "Appointment_Management_IE", "_3PM", "TB"),
              where=("MFL_Code <> ''",), delta_keys=("MFL_Code",)),
     LoadSpec(name="p13_facility_manifest", source="FacilityManifest", target="CT_FacilityManifest", module="facility",
              columns=cols("ID,Voided,Processed,SiteCode,PatientCount,DateRecieved,Name,EmrName,EmrSetup,UploadMode,"

@@ -9,7 +9,7 @@ order), key columns, date bounds and numeric thresholds below are the load
 jobs' contracts and must equal them; they are stated as given.
 """
 
-from wardflow.plans.spec import Latest, LoadSpec, Parent, cols
+from wardflow.plans.spec import Latest, LoadSpec, Parent, cols, date_casts
 
 FACILITIES = Parent("Facilities", (("FacilityId", "Id"),), kind="semi")
 FACILITIES_NAME = Parent("Facilities", (("FacilityId", "Id"),), columns=(("Name", "FacilityName"),))
@@ -18,10 +18,22 @@ EXTRACTED_DAY = ("ID", "cast(DateExtracted as date)")
 PK_SITE = ("PatientPk", "SiteCode")
 
 
+# columns the select lists cast to dates
+DATE_CASTS = {
+    "p33": ("VisitDate", "NextAppointmentANC"),
+    "p35": ("DateExtracted", "RegistrationAtCWC", "RegistrationAtHEI", "ARTStartDateMother"),
+    "p36": ("DateExtracted", "VisitDate", "NextAppointment"),
+    "p37": ("DateExtracted", "EnrollmentDateAtMnch", "HIVTestDate", "PartnerHIVTestDate"),
+    "p44": ("DateExtracted", "VisitDate", "DeliveryDate", "NextAppointmentPNC"),
+}
+
+
 def mnch(pid, name, source, target, columns, delta=PK_SITE, id_col="PatientMnchID", parents=(FACILITIES,),
          latest_keys=PK_SITE, maxes=EXTRACTED_DAY, **kw):
     kw.setdefault("hashes", ((id_col, f"{id_col}Hash"), ("PatientPk", "PatientPKHash")))
     kw.setdefault("write_partitions", "config")
+    if pid in DATE_CASTS:
+        kw["select"] = date_casts(*DATE_CASTS[pid])
     latest = kw.pop("latest", Latest(latest_keys, maxes) if latest_keys else None)
     return LoadSpec(name=f"{pid}_{name}", source=source, target=target, columns=cols(columns),
                     delta_keys=tuple(delta), parents=parents, latest=latest, module="mnch", **kw)

@@ -41,7 +41,7 @@ SPECS = [
          "FacilityId,FacilityName,PrepNumber,AdverseEvent,AdverseEventStartDate,AdverseEventEndDate,Severity,"
          "VisitDate,AdverseEventActionTaken,AdverseEventClinicalOutcome,AdverseEventIsPregnant,AdverseEventCause,"
          "AdverseEventRegimen,Date_Created,Date_Last_Modified,RecordUUID",
-         latest=Latest(PK_SITE, CREATED),
+         parents=(PREP_PATIENTS_NO,), latest=Latest(PK_SITE, CREATED),
          rules=rules_of("blank", ["AdverseEventRegimen", "AdverseEventIsPregnant", "AdverseEventClinicalOutcome",
                                   "AdverseEventActionTaken", "Severity", "AdverseEventEndDate",
                                   "AdverseEventStartDate", "AdverseEvent"])),
@@ -79,7 +79,7 @@ SPECS = [
          "KeyPopulationType,Refferedfrom,TransferIn,TransferInDate,TransferFromFacility,DatefirstinitiatedinPrepCare,"
          "DateStartedPrEPattransferringfacility,ClientPreviouslyonPrep,PrevPrepReg,DateLastUsedPrev,Date_Created,"
          "Date_Last_Modified,RecordUUID",
-         parents=(), distinct=False, latest=Latest(PK_SITE, CREATED),
+         parents=(), distinct=False, latest=Latest(PK_SITE, CREATED), nulls=("PopulationType", "KeyPopulationType"),
          rules=(*rules_of("blank", ["DateLastUsedPrev", "PrevPrepReg", "ClientPreviouslyonPrep",
                                     "DateStartedPrEPattransferringfacility", "TransferFromFacility", "TransferInDate",
                                     "Refferedfrom", "PopulationType", "ReferralPoint", "ClientType", "Ward",

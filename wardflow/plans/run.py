@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,6 @@ from wardflow.functions.hashing import hash_columns
 from wardflow.operators.delta import new_records
 from wardflow.operators.latest import latest_joint_max
 from wardflow.operators.lookup import prepare_lookup, standardise
-from wardflow.operators.joins import broadcast_if_small
 from wardflow.plans.spec import LoadSpec, Rule
 from wardflow.sources.audit import audited
 from wardflow.sources.sinks import append
@@ -21,6 +21,16 @@ from wardflow.sources.sinks import append
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None if nothing was ever written there; any other read error is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 class FrameIO:
     """Tables and targets held as DataFrames (tests, test-table queries)."""
 
@@ -61,10 +71,7 @@ class ParquetIO:
         return self.spark.read.parquet(f"{self.source_dir}/{name}")
 
     def target(self, name: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.target_dir}/{name}")
-        except Exception:  # noqa: BLE001 – first load: no target yet
-            return None
+        return read_if_present(self.spark, f"{self.target_dir}/{name}")
 
     def write(self, df: DataFrame, name: str, partitions) -> None:
         n = None
@@ -151,7 +158,8 @@ def _rule_column(r: Rule, as_of: dt.date) -> Column:
         return R.clamp_date(c, lo, hi, kw.get("fill", R.SENTINEL_DATE), kw.get("blank", False),
                             kw.get("text", False))
     if k == "number":
-        return R.clamp_number(c, kw.get("lo"), kw.get("hi"), kw.get("fill", R.SENTINEL_NUMBER), kw.get("text", True))
+        return R.clamp_number(c, kw.get("lo"), kw.get("hi"), kw.get("fill", R.SENTINEL_NUMBER), kw.get("text", True),
+                              lo_open=kw.get("lo_open", False))
     if k == "cap":
         return R.cap_to_null(c, kw.get("hi"), kw.get("lo"))
     if k == "recode":
@@ -164,14 +172,24 @@ def _rule_column(r: Rule, as_of: dt.date) -> Column:
     raise ValueError(f"unknown rule kind {k}")
 
 
-def _apply_latest(df: DataFrame, lt) -> DataFrame:
+def _apply_latest(df: DataFrame, lt, over: DataFrame | None = None) -> DataFrame:
     keys = [_key(k, i, "__lk") for i, k in enumerate(lt.keys)]
     groups = lt.maxes if lt.maxes and isinstance(lt.maxes[0], tuple) else (lt.maxes,)
     maxes = [[_key(m, 10 * g + i, "__lm") for i, m in enumerate(grp)] for g, grp in enumerate(groups)]
     jk = None
     if lt.join_keys is not None:
         jk = [k if isinstance(k, str) else k[0] for k, spec_k in zip(keys, lt.keys) if spec_k in lt.join_keys]
-    return latest_joint_max(df, keys, maxes if len(maxes) > 1 else maxes[0], join_keys=jk)
+    return latest_joint_max(df, keys, maxes if len(maxes) > 1 else maxes[0], join_keys=jk, over=over)
+
+
+def _apply_rules(df: DataFrame, rules, as_of: dt.date) -> DataFrame:
+    """Rules on one column in order; different columns in one projection."""
+    by_col: dict[str, list[Rule]] = {}
+    for r in rules:
+        by_col.setdefault(r.column, []).append(r)
+    for level in range(max(map(len, by_col.values()), default=0)):
+        df = df.withColumns({c: _rule_column(rs[level], as_of) for c, rs in by_col.items() if len(rs) > level})
+    return df
 
 
 def _join_parent(df: DataFrame, p, io) -> DataFrame:
@@ -190,8 +208,6 @@ def _join_parent(df: DataFrame, p, io) -> DataFrame:
         df = df.drop(*clash)
     keep = [F.col(pc).alias(f"__p_{pc}") for _, pc in p.on] + [F.col(pc).alias(out) for pc, out in p.columns]
     parent = parent.select(*keep)
-    if p.table.lower() in ("facility", "facilities"):
-        parent = broadcast_if_small(parent)
     cond = None
     for cc, pc in p.on:
         e = df[ren.get(cc, cc)] == parent[f"__p_{pc}"]
@@ -210,10 +226,16 @@ def scan(spec: LoadSpec, io, as_of: dt.date | None = None) -> DataFrame:
     lt = spec.latest
     if lt is not None and lt.stage == "form":
         df = _apply_latest(df, lt)
+    form = df
     for p in spec.parents:
         df = _join_parent(df, p, io)
     if lt is not None and lt.stage == "joined":
-        df = _apply_latest(df, lt)
+        over = None
+        if lt.over is not None:
+            over = form
+            for p in lt.over:
+                over = _join_parent(over, p, io)
+        df = _apply_latest(df, lt, over)
     for w in spec.where:
         df = df.filter(F.expr(w))
     if spec.group_by:
@@ -228,19 +250,20 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, pr
     # Output contract first: the DISTINCT of the source text is over its select list.
     # Names resolve case-insensitively (EMR / Emr); the contract's spelling wins.
     have = {c.lower(): c for c in df.columns}
-    df = df.select(*[(F.col(f"`{have[c.lower()]}`") if c.lower() in have else F.lit(None).cast("string")).alias(c)
+    null = {c.lower() for c in spec.nulls}
+    lacking = [c for c in spec.columns if c.lower() not in have and c.lower() not in null]
+    if lacking:
+        raise ValueError(f"{spec.name}: the scan lacks contract columns {lacking}")
+    df = df.select(*[(F.lit(None).cast("string") if c.lower() in null else F.col(f"`{have[c.lower()]}`")).alias(c)
                      for c in spec.columns])
+    if spec.select:
+        df = df.withColumns({c: F.expr(e) for c, e in spec.select})
+    df = _apply_rules(df, spec.select_rules, as_of)
     if spec.distinct:
         df = df.distinct()
-    if spec.rules:
-        # rules on one column apply in order; different columns in one projection
-        by_col: dict[str, list[Rule]] = {}
-        for r in spec.rules:
-            by_col.setdefault(r.column, []).append(r)
-        depth = max(len(v) for v in by_col.values())
-        for level in range(depth):
-            batch = {c: _rule_column(rs[level], as_of) for c, rs in by_col.items() if len(rs) > level}
-            df = df.withColumns(batch)
+    if spec.sample_limit is not None:
+        df = df.limit(spec.sample_limit)
+    df = _apply_rules(df, spec.rules, as_of)
     prepared: dict = {}
     for lk in spec.lookups:
         ident = (lk.table, lk.source, lk.target, lk.case_insensitive)

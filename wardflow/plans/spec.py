@@ -27,6 +27,7 @@ class Latest:
     maxes: tuple
     join_keys: tuple | None = None
     stage: str = "form"   # "form": over the form alone; "joined": after the parent joins
+    over: tuple | None = None  # parents the maxima are computed over, if other than the load's own
 
 
 @dataclass(frozen=True)
@@ -84,6 +85,10 @@ class LoadSpec:
     write_partitions: int | str | None = None   # int, "config" or None
     derived: tuple = ()            # ((name, sql expr), ...) computed right after the scan;
                                    # "{as_of}" in an expression is the injected load date
+    select: tuple = ()             # ((column, sql expr), ...): the select list's own expressions, inside DISTINCT
+    select_rules: tuple = ()       # column rules of the select list (CASE maps), inside DISTINCT
+    nulls: tuple = ()              # contract columns that the select list fills with NULL, whatever the form holds
+    sample_limit: int | None = None  # the source texts' TOP n, off unless set
     group_by: tuple = ()           # scan-level GROUP BY (names or "expr AS name")
     aggregates: tuple = ()         # ((name, sql aggregate expr), ...) for group_by
     notes: str = ""
@@ -100,6 +105,11 @@ def rule(column: str, kind: str, **params) -> Rule:
     return Rule(column, kind, tuple(sorted(params.items(), key=lambda kv: kv[0])))
 
 
+def date_casts(*names: str) -> tuple:
+    """``cast(name as date)`` select items."""
+    return tuple((n, f"CAST(`{n}` AS DATE)") for n in names)
+
+
 def cols(text: str) -> tuple:
     """'A, B,C' -> ('A', 'B', 'C')."""
     return tuple(c.strip() for c in text.split(",") if c.strip())

@@ -130,7 +130,7 @@ PREP_COUNTY = {
     "Homa Bay": ["Kabuoch South/Pala", "Gwassi North", "Homa Bay Arunjo", "HOMABAY", "Kendu Bay Town", "Kwabwai",
                  "Homa Bay East"],
     "Murang'a": ["Kamahuha", "Kambiti", "Nginda", "Muranga"],
-    "Kiambu": ["KIAMBU'"],
+    "Kiambu": ["KIAMBU''"],
     "Kisii": ["Majoge"],
     "Busia": ["Nangina"],
     "Nyandarua": ["Shamata"],

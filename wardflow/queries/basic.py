@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.operators.delta import new_records
-from wardflow.operators.joins import broadcast_if_small, parent_exists
+from wardflow.operators.joins import parent_exists
 from wardflow.queries import query
 from wardflow.queries._data import AS_OF, ntz, table
 from wardflow.session import scratch_path
@@ -36,9 +38,9 @@ def scan_derived_table(spark, sf):
 
 @query("scan_key_range", oracle="SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem")
 def scan_key_range(spark, sf):
-    """Range-partitioned scan on a key (JDBC partitionColumn/bounds analogue)."""
+    """Key-range strides of a scan (JDBC partitionColumn/bounds analogue), each a pushed-down range."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
-    return read_key_range(li, "l_suppkey", 0, 10_000, 8, spread_by=["l_orderkey"])
+    return reduce(DataFrame.unionAll, read_key_range(li, "l_suppkey", 0, 1_000, 4))
 
 
 @query("temp_view_sql", oracle="""
@@ -140,7 +142,7 @@ SELECT l_orderkey AS L_ORDERKEY, l_linenumber, CAST(l_extendedprice AS DECIMAL(1
 FROM lineitem""")
 def conform_schema(spark, sf):
     """Cast to a target contract: names case-insensitive, decimal(18,2), date, missing -> NULL."""
-    return conform(table(spark, sf, "lineitem"), _LINE_SCHEMA, lengths={"l_returnflag": 1})
+    return conform(table(spark, sf, "lineitem"), _LINE_SCHEMA, lengths={"l_returnflag": 1}, missing_as_null=True)
 
 
 # ---------------------------------------------------------------- F1-F4
@@ -272,12 +274,11 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE c.c_mktsegment <> 'AUTOMOBILE' AND n.n_nationkey > 0""")
 def join_three_way(spark, sf):
-    """Form -> patient -> facility inner joins; the facility side is broadcast after a size check."""
+    """Form -> patient -> facility inner joins; the planner broadcasts the facility side by its size."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "AUTOMOBILE") \
         .select("c_custkey", "c_name", "c_nationkey")
-    n = broadcast_if_small(table(spark, sf, "nation").filter(F.col("n_nationkey") > 0)
-                           .select("n_nationkey", "n_name"))
+    n = table(spark, sf, "nation").filter(F.col("n_nationkey") > 0).select("n_nationkey", "n_name")
     return (o.join(c, o["o_custkey"] == c["c_custkey"])
             .join(n, c["c_nationkey"] == n["n_nationkey"])
             .select("o_orderkey", "o_custkey", "c_name", "n_name"))

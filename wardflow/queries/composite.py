@@ -35,6 +35,17 @@ VISIT_SPEC = LoadSpec(
 )
 
 
+def _load(spec, io, as_of=AS_OF):
+    """The load over a fixture; contract columns that the fixture's form does not feed are NULL texts in it."""
+    form = io.tables[spec.source]
+    made = [o for p in spec.parents for _, o in p.columns] + [n for n, _ in spec.derived] + list(spec.nulls)
+    made += [n for n, _ in spec.aggregates]
+    have = {c.lower() for c in form.columns + made}
+    lack = [c for c in spec.columns if c.lower() not in have]
+    io.tables[spec.source] = form.withColumns({c: F.lit(None).cast("string") for c in lack})
+    return build_load(spec, io, as_of)
+
+
 def _visit_io(spark, sf):
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer")
@@ -235,41 +246,28 @@ status AS (SELECT o_custkey AS PatientPK, 'CCC-' || CAST(o_custkey AS VARCHAR) A
            FROM lines WHERE l_returnflag = 'R' AND l_quantity >= 48),
 art AS (SELECT c_custkey AS PatientPK, 'CCC-' || CAST(c_custkey AS VARCHAR) AS PatientID, c_nationkey AS SiteCode,
                DATE '1995-06-01' + CAST((c_custkey * 37) % 2000 AS INTEGER) AS StartARTDate FROM customer),
-lv AS (SELECT * FROM (SELECT v.*, months.m, row_number() OVER (PARTITION BY v.PatientPK, v.PatientID, v.SiteCode, months.m
-                       ORDER BY v.VisitDate DESC, v.NextAppointmentDate DESC NULLS LAST) AS rn
-                      FROM visits v JOIN months ON v.VisitDate <= months.m WHERE v.SiteCode > 0) r WHERE rn = 1),
-ld AS (SELECT * FROM (SELECT d.*, months.m, row_number() OVER (PARTITION BY d.PatientPK, d.PatientID, d.SiteCode, months.m
-                       ORDER BY d.DispenseDate DESC, d.ExpectedReturn DESC NULLS LAST) AS rn
-                      FROM disp d JOIN months ON d.DispenseDate <= months.m WHERE d.SiteCode > 0) r WHERE rn = 1),
-disc AS (SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY PatientPK, PatientID, SiteCode
-                         ORDER BY EffectiveDiscontinuationDate DESC, ExitDate DESC, ExitReason DESC) AS rn
-                        FROM status s WHERE ExitDate IS NOT NULL AND EffectiveDiscontinuationDate IS NOT NULL) r WHERE rn = 1),
-lx AS (SELECT * FROM (SELECT s.*, months.m, row_number() OVER (PARTITION BY s.PatientPK, s.PatientID, s.SiteCode, months.m
-                       ORDER BY s.ExitDate DESC, s.ExitReason DESC) AS rn
-                      FROM status s JOIN months ON s.ExitDate <= months.m) r WHERE rn = 1),
-enc AS (SELECT DISTINCT coalesce(v.PatientID, d.PatientID) AS PatientID, coalesce(v.SiteCode, d.SiteCode) AS SiteCode,
-               coalesce(v.PatientPK, d.PatientPK) AS PatientPK, coalesce(v.m, d.m) AS m,
-               CASE WHEN v.VisitDate >= d.DispenseDate THEN v.VisitDate ELSE coalesce(d.DispenseDate, v.VisitDate) END AS LED,
-               CASE WHEN v.NextAppointmentDate >= d.ExpectedReturn THEN v.NextAppointmentDate
-                    ELSE coalesce(d.ExpectedReturn, v.NextAppointmentDate) END AS NAD
-        FROM lv v FULL JOIN ld d ON v.PatientID = d.PatientID AND v.SiteCode = d.SiteCode AND v.PatientPK = d.PatientPK
-                                 AND v.m = d.m),
-le AS (SELECT PatientID, SiteCode, PatientPK, m, LED,
-              CASE WHEN date_diff('day', m, NAD) >= 365 THEN LED + 30 ELSE NAD END AS NAD
-       FROM enc WHERE LED IS NOT NULL)
-SELECT e.PatientID, e.PatientPK, upper(sha256(substring(e.PatientID, 1, 30))) AS PatientIDHash,
-       upper(sha256(CAST(e.PatientPK AS VARCHAR))) AS PatientPKHash, e.SiteCode AS MFLCode,
-       CASE WHEN dc.ExitDate IS NOT NULL AND dc.ExitReason <> 'DIED' AND dc.EffectiveDiscontinuationDate > e.m THEN 'V'
-            WHEN a.StartARTDate > e.m THEN 'NP'
-            WHEN x.ExitDate IS NOT NULL THEN substring(x.ExitReason, 1, 1)
-            WHEN e.m < e.NAD OR date_diff('day', e.NAD, e.m) <= 30 THEN 'V'
-            WHEN date_diff('day', e.NAD, e.m) > 30 THEN 'uL'
-            WHEN e.NAD IS NULL THEN 'NV' END AS ARTOutcome,
-       e.m AS AsOfDate
-FROM le e
-LEFT JOIN disc dc ON dc.PatientID = e.PatientID AND dc.PatientPK = e.PatientPK AND dc.SiteCode = e.SiteCode
-LEFT JOIN lx x ON x.PatientID = e.PatientID AND x.PatientPK = e.PatientPK AND x.SiteCode = e.SiteCode AND x.m = e.m
-LEFT JOIN art a ON a.PatientID = e.PatientID AND a.PatientPK = e.PatientPK AND a.SiteCode = e.SiteCode"""
+spine AS (
+  SELECT * FROM (SELECT PatientPK, PatientID, SiteCode FROM visits WHERE SiteCode > 0
+                 UNION SELECT PatientPK, PatientID, SiteCode FROM disp WHERE SiteCode > 0) CROSS JOIN months),
+vday AS (SELECT PatientPK, PatientID, SiteCode, VisitDate AS day, max(NextAppointmentDate) AS back FROM visits GROUP BY ALL),
+dday AS (SELECT PatientPK, PatientID, SiteCode, DispenseDate AS day, max(ExpectedReturn) AS back FROM disp GROUP BY ALL),
+xday AS (SELECT PatientPK, PatientID, SiteCode, ExitDate AS day, max(ExitReason) AS why FROM status GROUP BY ALL),
+stop AS (SELECT PatientPK, PatientID, SiteCode,
+                max(struct_pack(until := EffectiveDiscontinuationDate, day := ExitDate, why := ExitReason)) AS s
+         FROM status WHERE ExitDate IS NOT NULL AND EffectiveDiscontinuationDate IS NOT NULL GROUP BY ALL),
+met AS (
+  SELECT p.*, greatest(v.day, d.day) AS seen, greatest(v.back, d.back) AS due, x.day AS left_day, x.why AS left_why
+  FROM spine p
+  ASOF LEFT JOIN vday v ON p.PatientPK = v.PatientPK AND p.PatientID = v.PatientID AND p.SiteCode = v.SiteCode AND p.m >= v.day
+  ASOF LEFT JOIN dday d ON p.PatientPK = d.PatientPK AND p.PatientID = d.PatientID AND p.SiteCode = d.SiteCode AND p.m >= d.day
+  ASOF LEFT JOIN xday x ON p.PatientPK = x.PatientPK AND p.PatientID = x.PatientID AND p.SiteCode = x.SiteCode AND p.m >= x.day),
+late AS (SELECT *, m - if(due - m >= 365, seen + 30, due) AS days FROM met WHERE seen IS NOT NULL)
+SELECT PatientID, PatientPK, upper(sha256(PatientID[:30])) AS PatientIDHash,
+       upper(sha256(CAST(PatientPK AS VARCHAR))) AS PatientPKHash, SiteCode AS MFLCode,
+       coalesce(if(s.why <> 'DIED' AND s.until > m, 'V', NULL), if(StartARTDate > m, 'NP', NULL),
+                if(left_day IS NULL, NULL, left_why[:1]),
+                if(days IS NULL, 'NV', if(days > 30, 'uL', 'V'))) AS ARTOutcome, m AS AsOfDate
+FROM late LEFT JOIN stop USING (PatientPK, PatientID, SiteCode) LEFT JOIN art USING (PatientPK, PatientID, SiteCode)"""
 
 
 @query("monthly_outcome", oracle=_OUTCOME_ORACLE)
@@ -468,11 +466,11 @@ def load_patient_visits(spark, sf):
     patient/facility join, gender and facility-code filters, DISTINCT, the visit cleaning rules,
     two lookups, delta against the loaded visits, digests."""
     spec, io = _p23_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== the HTS client-tests job
-# HtsClientTests <- lineitem (patient = order % 500, site = supplier % 10 + 1),
+# HtsClientTests <- lineitem (patient = order, site = supplier % 10 + 1),
 # Clients <- orders, the existing HTS_ClientTests <- lines shipped before 1998.
 def _p26_io(spark, sf):
     from wardflow.plans.catalog import SPECS
@@ -482,7 +480,7 @@ def _p26_io(spark, sf):
     ln = F.col("l_linenumber")
     form = li.select(
         (F.col("l_orderkey") * 10 + ln).alias("ID"), (F.col("l_suppkey") % 10 + 1).cast("int").alias("SiteCode"),
-        (F.col("l_orderkey") % 500).alias("PatientPk"),
+        F.col("l_orderkey").alias("PatientPk"),
         F.when(ln == 1, F.lit(None)).otherwise(ln).alias("EncounterId"),
         F.to_date("l_shipdate").alias("TestDate"),
         F.when(F.col("l_returnflag") == "R", F.lit("Positive")).when(F.col("l_returnflag") == "A", F.lit("Negative"))
@@ -497,14 +495,14 @@ def _p26_io(spark, sf):
         F.when(F.col("l_partkey") % 4 == 0, F.lit("TB Rx")).when(F.col("l_partkey") % 4 == 1, F.lit("Yes"))
          .otherwise(F.lit("zzz")).alias("TbScreening"),
         (F.col("l_quantity") * 40).cast("int").cast("string").alias("MonthsSinceLastTest"))
-    clients = o.select((F.col("o_orderkey") % 500).alias("PatientPk"),
+    clients = o.select(F.col("o_orderkey").alias("PatientPk"),
                        (F.col("o_custkey") % 10 + 1).cast("int").alias("SiteCode"))
     src_lkp = li.filter(F.col("l_linestatus") == "F").select(
         F.col("l_linestatus").alias("source_name"), F.lit("OPD").alias("target_name")).distinct()
     strat = li.filter(F.col("l_tax") > 0.05).select(
         F.lit("HP").alias("Source_htsStrategy"), F.lit("Home Based").alias("Target_htsStrategy")).distinct()
     loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1998, 1, 1))).select(
-        (F.col("l_orderkey") % 500).alias("PatientPk"), (F.col("l_suppkey") % 10 + 1).cast("int").alias("SiteCode"),
+        F.col("l_orderkey").alias("PatientPk"), (F.col("l_suppkey") % 10 + 1).cast("int").alias("SiteCode"),
         F.coalesce(F.when(ln == 1, F.lit(None)).otherwise(ln), F.lit(-1)).alias("EncounterId"))
     io = FrameIO({"HtsClientTests": form, "Clients": clients, "lkp_patient_source": src_lkp,
                   "lkp_hts_strategy": strat}, {spec.target: loaded})
@@ -522,7 +520,7 @@ def _p26_oracle() -> str:
     return f"""
 WITH a AS (
   SELECT l_orderkey * 10 + l_linenumber AS ID, CAST(l_suppkey % 10 + 1 AS INTEGER) AS SiteCode,
-         l_orderkey % 500 AS PatientPk, CASE WHEN l_linenumber = 1 THEN NULL ELSE l_linenumber END AS EncounterId,
+         l_orderkey AS PatientPk, CASE WHEN l_linenumber = 1 THEN NULL ELSE l_linenumber END AS EncounterId,
          CAST(l_shipdate AS DATE) AS TestDate,
          CASE l_returnflag WHEN 'R' THEN 'Positive' WHEN 'A' THEN 'Negative' END AS FinalTestResult,
          CAST(l_shipdate AS DATE) + CAST(l_partkey % 3 AS INTEGER) AS DateExtracted,
@@ -544,7 +542,7 @@ scan AS (
     AND CAST(a.DateExtracted AS DATE) = tn.MaxDateExtracted AND a.FinalTestResult = tn.FinalTestResult
     AND a.TestDate = tn.TestDate AND coalesce(a.EncounterId, -1) = coalesce(tn.EncounterId, -1) AND a.ID = tn.MaxID
   WHERE a.FinalTestResult IS NOT NULL
-    AND EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey % 500 = a.PatientPk
+    AND EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = a.PatientPk
                 AND CAST(o.o_custkey % 10 + 1 AS INTEGER) = a.SiteCode)),
 clean AS (
   SELECT SiteCode, PatientPk, EncounterId, TestDate,
@@ -567,7 +565,7 @@ clean AS (
              WHERE l_linestatus = 'F') l ON s.EntryPoint = l.source_name
   LEFT JOIN (SELECT DISTINCT 'HP' AS Source_htsStrategy, 'Home Based' AS Target_htsStrategy FROM lineitem
              WHERE l_tax > 0.05) h ON s.TestStrategy = h.Source_htsStrategy),
-tgt AS (SELECT l_orderkey % 500 AS PatientPk, CAST(l_suppkey % 10 + 1 AS INTEGER) AS SiteCode,
+tgt AS (SELECT l_orderkey AS PatientPk, CAST(l_suppkey % 10 + 1 AS INTEGER) AS SiteCode,
                coalesce(CASE WHEN l_linenumber = 1 THEN NULL ELSE l_linenumber END, -1) AS EncounterId
         FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')
 SELECT {final}, {utf16.format(c='PatientPk')} AS PatientPKHash
@@ -581,7 +579,7 @@ def load_hts_client_tests(spark, sf):
     NULL-sentinel encounter key, client existence, closed-vocabulary recodes, lookups with an
     'Empty' default, months cap, delta on (patient, site, encounter), digest."""
     spec, io = _p26_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== the PrEP visits job
@@ -668,11 +666,11 @@ def load_prep_visits(spark, sf):
     (creation day and extraction day), blank -> NULL, text dates before 1980 -> NULL, months cap,
     delta on (patient, site, visit), digests."""
     spec, io = _p51_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== the patient-status job
-# patientstatusextract <- lineitem (patient = part % 1500, exit ten years after shipping),
+# patientstatusextract <- lineitem (patient = part, exit ten years after shipping),
 # PatientExtract <- customer, Facility <- nation, existing CT_PatientStatus <- lines shipped
 # before 1998.  Load date 2008-12-31, so exits after it are cleaned to 1900-01-01.
 P22_AS_OF = dt.date(2008, 12, 31)
@@ -686,12 +684,13 @@ def _p22_io(spark, sf):
     n = table(spark, sf, "nation")
     exit_day = F.date_add(F.to_date("l_shipdate"), 3650)
     form = li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ID"), (F.col("l_partkey") % 1500).alias("PatientId"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ID"), F.col("l_partkey").alias("PatientId"),
         exit_day.alias("ExitDate"),
         F.when(F.col("l_linestatus") == "F", F.lit("DIED")).otherwise(F.lit("LTFU")).alias("ExitReason"),
         (F.col("l_linenumber") == 7).alias("voided"),
         (F.col("l_shipdate") + F.make_interval(days=(F.col("l_orderkey") % 3).cast("int"))).alias("Created"),
-        F.date_add(exit_day, 30).alias("EffectiveDiscontinuationDate"))
+        F.date_add(exit_day, 30).alias("EffectiveDiscontinuationDate"),
+        (F.col("l_shipdate") + F.make_interval(hours=F.lit(5))).alias("DeathDate"))
     patient = c.select(
         F.col("c_custkey").alias("ID"), F.concat(F.lit("CCC"), F.col("c_custkey").cast("string")).alias("PatientCccNumber"),
         F.col("c_custkey").alias("PatientPID"), F.col("c_mktsegment").alias("Gender"),
@@ -702,7 +701,7 @@ def _p22_io(spark, sf):
     facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
                         F.col("n_name").alias("Name"), F.lit(0).alias("Voided"))
     loaded = (li.filter(F.col("l_shipdate") < ntz(dt.datetime(1998, 1, 1)))
-              .join(c, (F.col("l_partkey") % 1500) == F.col("c_custkey"))
+              .join(c, F.col("l_partkey") == F.col("c_custkey"))
               .select((F.col("c_nationkey") * 100).alias("SiteCode"), F.col("c_custkey").alias("PatientPK"),
                       F.date_add(F.to_date("l_shipdate"), 3650).alias("ExitDate")))
     io = FrameIO({"PatientStatusExtract": form, "PatientExtract": patient, "Facility": facility},
@@ -714,16 +713,16 @@ def _p22_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p22_patient_status"]
     have = {"PatientID", "SiteCode", "FacilityName", "ExitDate", "ExitReason", "PatientPK", "Emr", "Project",
-            "EffectiveDiscontinuationDate", "voided"}
+            "EffectiveDiscontinuationDate", "voided", "DeathDate"}
     final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
     utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
     return f"""
 WITH ps AS (
-  SELECT l_orderkey * 10 + l_linenumber AS ID, l_partkey % 1500 AS PatientRef,
+  SELECT l_orderkey * 10 + l_linenumber AS ID, l_partkey AS PatientRef,
          CAST(l_shipdate AS DATE) + 3650 AS ExitDate,
          CASE WHEN l_linestatus = 'F' THEN 'DIED' ELSE 'LTFU' END AS ExitReason,
          (l_linenumber = 7) AS voided, l_shipdate + to_days(CAST(l_orderkey % 3 AS INTEGER)) AS Created,
-         CAST(l_shipdate AS DATE) + 3680 AS EffectiveDiscontinuationDate
+         CAST(l_shipdate AS DATE) + 3680 AS EffectiveDiscontinuationDate, CAST(l_shipdate AS DATE) AS DeathDate
   FROM lineitem),
 j AS (
   SELECT ps.*, 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK,
@@ -736,7 +735,7 @@ tn AS (SELECT PatientPK, SiteCode, ExitDate, voided, max(ID) AS Max_ID, max(CAST
        FROM j GROUP BY PatientPK, SiteCode, ExitDate, voided),
 scan AS (
   SELECT DISTINCT j.PatientID, j.SiteCode, j.FacilityName, j.ExitDate, j.ExitReason, j.PatientPK, j.Emr, j.Project,
-         j.EffectiveDiscontinuationDate, j.voided
+         j.EffectiveDiscontinuationDate, j.voided, j.DeathDate
   FROM j JOIN tn ON j.PatientPK = tn.PatientPK AND j.SiteCode = tn.SiteCode AND j.ExitDate = tn.ExitDate
                 AND CAST(j.Created AS DATE) = tn.MaxCreated AND j.ID = tn.Max_ID
   WHERE j.Gender <> 'Unknown' AND j.SiteCode > 0),
@@ -749,10 +748,10 @@ clean AS (
          CASE WHEN p0 = 'Ampathplus' THEN 'Ampath Plus'
               WHEN p0 IN ('UCSF Clinical Kisumu', 'CHAP Uzima', 'DREAM Kenya Trusts', 'IRDO') THEN 'Kenya HMIS II'
               ELSE p0 END AS Project,
-         EffectiveDiscontinuationDate, voided
+         EffectiveDiscontinuationDate, voided, DeathDate
   FROM (SELECT *, CASE WHEN Project IN ('I-TECH', 'HMIS') THEN 'Kenya HMIS II' ELSE Project END AS p0 FROM scan) s),
 tgt AS (SELECT c.c_nationkey * 100 AS SiteCode, c.c_custkey AS PatientPK, CAST(l.l_shipdate AS DATE) + 3650 AS ExitDate
-        FROM lineitem l JOIN customer c ON l.l_partkey % 1500 = c.c_custkey
+        FROM lineitem l JOIN customer c ON l.l_partkey = c.c_custkey
         WHERE l.l_shipdate < TIMESTAMP '1998-01-01')
 SELECT {final}, {utf16.format(c='PatientID')} AS PatientIDHash, {utf16.format(c='PatientPK')} AS PatientPKHash
 FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
@@ -765,7 +764,7 @@ def load_patient_status(spark, sf):
     the voided flag but joined without it, exit-date window, EMR / project recodes, delta keyed
     on the exit day."""
     spec, io = _p22_io(spark, sf)
-    return build_load(spec, io, P22_AS_OF)
+    return _load(spec, io, P22_AS_OF)
 
 
 # =============================================================== the mother-baby pairs job
@@ -827,7 +826,7 @@ def load_mother_baby_pairs(spark, sf):
     """The mother-baby pairs load spec (P42) end to end on the test tables: latest rule over the
     form alone, facility name from the facility table, delta on (patient, site), four digests."""
     spec, io = _p42_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== the HTS linkages job (P25)
@@ -920,11 +919,11 @@ def load_hts_client_linkages(spark, sf):
     existence, extraction cut-off, scan-level GROUP BY with max() of referral dates, in-scan
     CASEs (facility referred to, 0001-01-01 sentinel), dates before 1980 -> NULL, delta, digests."""
     spec, io = _p25_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== the CT patients job
-# PatientExtract <- customer (patient id = customer % 700, so patients have several
+# PatientExtract <- customer (patient id = customer / 3, so patients have several
 # versions), Facility <- nation, lookups derived from customer, existing CT_Patient <-
 # customers below 300.
 def _p24_io(spark, sf):
@@ -934,8 +933,8 @@ def _p24_io(spark, sf):
     n = table(spark, sf, "nation")
     ck = F.col("c_custkey")
     pat = c.select(
-        ck.alias("ID"), F.concat(F.lit("CCC"), (ck % 700).cast("string")).alias("PatientCccNumber"),
-        (ck % 700).alias("PatientPID"), F.col("c_nationkey").alias("FacilityId"),
+        ck.alias("ID"), F.concat(F.lit("CCC"), F.floor(ck / 3).cast("long").cast("string")).alias("PatientCccNumber"),
+        F.floor(ck / 3).cast("long").alias("PatientPID"), F.col("c_nationkey").alias("FacilityId"),
         F.when(ck % 10 == 0, F.lit(None)).when(ck % 10 == 1, F.lit("Unknown")).otherwise(F.col("c_mktsegment"))
          .alias("Gender"),
         F.date_add(F.lit(dt.date(1999, 1, 1)), (ck % 50).cast("int")).alias("Created"),
@@ -946,9 +945,10 @@ def _p24_io(spark, sf):
         F.col("c_mktsegment").alias("PreviousARTExposure"),
         F.when(ck % 3 == 0, F.lit("VCT")).otherwise(F.lit("OPD")).alias("PatientSource"),
         F.concat(F.lit("NUPI"), ck.cast("string")).alias("NUPI"), F.lit("KenyaEMR").alias("Emr"),
-        F.lit("Other").alias("Project"))
-    facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
-                        F.col("n_name").alias("Name"), F.lit(0).alias("Voided"))
+        F.lit("Other").alias("Project"), F.lit("KP").alias("PopulationType"))
+    nk = F.col("n_nationkey")
+    facility = n.select(nk.alias("Id"), (F.floor(nk / 5) * 100).alias("Code"), F.col("n_name").alias("Name"),
+                        F.when(nk % 5 == 4, F.lit(1)).when(nk % 5 != 3, F.lit(0)).alias("Voided"))
     marital = c.select(F.when(ck % 4 == 0, F.lit("M")).when(ck % 4 == 1, F.lit("S")).alias("Source_MaritalStatus"),
                        F.when(ck % 4 == 0, F.lit("Married")).when(ck % 4 == 1, F.lit("Single"))
                        .alias("Target_MaritalStatus")).filter(F.col("Source_MaritalStatus").isNotNull()).distinct()
@@ -958,8 +958,8 @@ def _p24_io(spark, sf):
         F.col("c_mktsegment").alias("Source_Regimen"), F.lit("First line").alias("Target_Regimen")).distinct()
     source = c.filter(ck % 3 == 0).select(F.lit("VCT").alias("source_name"),
                                           F.lit("VCT Centre").alias("target_name")).distinct()
-    loaded = (c.filter(ck < 300).select((F.col("c_nationkey") * 100).alias("SiteCode"),
-                                        (ck % 700).alias("PatientPK")))
+    loaded = (c.filter(ck < 300).select((F.floor(F.col("c_nationkey") / 5) * 100).alias("SiteCode"),
+                                        F.floor(ck / 3).cast("long").alias("PatientPK")))
     io = FrameIO({"PatientExtract": pat, "Facility": facility, "lkp_marital_status": marital,
                   "lkp_education_level": edu, "lkp_regimen_line_map": regimen, "lkp_patient_source": source},
                  {spec.target: loaded})
@@ -978,7 +978,7 @@ def _p24_oracle() -> str:
     utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
     return f"""
 WITH p AS (
-  SELECT c_custkey AS ID, 'CCC' || CAST(c_custkey % 700 AS VARCHAR) AS PatientID, c_custkey % 700 AS PatientPK,
+  SELECT c_custkey AS ID, 'CCC' || CAST(c_custkey // 3 AS VARCHAR) AS PatientID, c_custkey // 3 AS PatientPK,
          c_nationkey AS FacilityRef,
          CASE c_custkey % 10 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown' ELSE c_mktsegment END AS Gender,
          DATE '1999-01-01' + CAST(c_custkey % 50 AS INTEGER) AS Created,
@@ -990,7 +990,7 @@ WITH p AS (
          CASE WHEN c_custkey % 3 = 0 THEN 'VCT' ELSE 'OPD' END AS PatientSource,
          'NUPI' || CAST(c_custkey AS VARCHAR) AS NUPI, 'KenyaEMR' AS Emr, 'Other' AS Project
   FROM customer),
-j AS (SELECT p.*, n.n_nationkey * 100 AS SiteCode, n.n_name AS FacilityName
+j AS (SELECT p.*, n.n_nationkey // 5 * 100 AS SiteCode, n.n_name AS FacilityName, n.n_nationkey % 5 < 3 AS live
       FROM p JOIN nation n ON p.FacilityRef = n.n_nationkey),
 tn AS (SELECT PatientPK, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated FROM j
        GROUP BY PatientPK, SiteCode),
@@ -999,7 +999,7 @@ scan AS (
          j.PatientSource, j.MaritalStatus, j.EducationLevel, j.PreviousARTExposure, j.Emr, j.Project, j.NUPI
   FROM j JOIN tn ON j.PatientPK = tn.PatientPK AND j.SiteCode = tn.SiteCode
                 AND CAST(j.Created AS DATE) = tn.MaxCreated AND j.ID = tn.MaxID
-  WHERE j.Gender IS NOT NULL AND j.Gender <> 'Unknown' AND j.SiteCode > 0),
+  WHERE j.live AND j.Gender IS NOT NULL AND j.Gender <> 'Unknown' AND j.SiteCode > 0),
 clean AS (
   SELECT ID, PatientID, PatientPK, SiteCode, FacilityName, Gender,
          CASE WHEN DOB < DATE '1910-01-01' OR DOB > DATE '2000-12-31' THEN DATE '1900-01-01' ELSE DOB END AS DOB,
@@ -1020,7 +1020,7 @@ clean AS (
     ON s.PreviousARTExposure = lr.k
   LEFT JOIN (SELECT DISTINCT 'VCT' AS k, 'VCT Centre' AS t FROM customer WHERE c_custkey % 3 = 0) ls
     ON s.PatientSource = ls.k),
-tgt AS (SELECT c_nationkey * 100 AS SiteCode, c_custkey % 700 AS PatientPK FROM customer WHERE c_custkey < 300)
+tgt AS (SELECT c_nationkey // 5 * 100 AS SiteCode, c_custkey // 3 AS PatientPK FROM customer WHERE c_custkey < 300)
 SELECT {final}, {utf16.format(c='PatientID')} AS PatientIDHash, {utf16.format(c='PatientPK')} AS PatientPKHash,
        {utf16.format(c='NUPI')} AS NUPIHash
 FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
@@ -1033,7 +1033,7 @@ def load_ct_patients(spark, sf):
     patient table joined to its facility, gender filters, DOB / registration windows, four
     lookups with job-specific column names, delta on (site, patient), three digests."""
     spec, io = _p24_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== the ART patients job
@@ -1062,10 +1062,11 @@ def _p01_io(spark, sf):
         F.when(F.col("o_orderstatus") == "F", F.lit("dead")).when(F.col("o_orderstatus") == "O", F.lit("ltfu"))
          .alias("ExitReason"),
         regimen.alias("PreviousARTRegimen"), regimen.alias("StartRegimen"), regimen.alias("LastRegimen"),
-        F.when(k % 2 == 0, F.lit("VCT")).otherwise(F.lit("OPD")).alias("PatientSource"))
+        F.when(k % 2 == 0, F.lit("VCT")).otherwise(F.lit("OPD")).alias("PatientSource"),
+        F.when(k % 3 == 0, F.lit("Unknown")).otherwise(F.lit("F")).alias("Gender"))
     patient = c.select(
         F.col("c_custkey").alias("ID"), F.concat(F.lit("CCC"), F.col("c_custkey").cast("string")).alias("PatientCccNumber"),
-        F.col("c_custkey").alias("PatientPID"), F.col("c_mktsegment").alias("Gender"),
+        F.col("c_custkey").alias("PatientPID"), F.when(F.col("c_custkey") % 7 == 0, F.lit("Unknown")).otherwise(F.lit("M")).alias("Gender"),
         F.col("c_nationkey").alias("FacilityId"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("Open Medical Records System - OpenMRS")).otherwise(F.lit("IQCare"))
          .alias("Emr"),
@@ -1124,10 +1125,11 @@ WITH a AS (
          CAST(o_orderkey % 140 AS VARCHAR) AS AgeLastVisit, CAST(o_orderkey % 130 - 5 AS VARCHAR) AS AgeEnrollment,
          CASE o_orderstatus WHEN 'F' THEN 'dead' WHEN 'O' THEN 'ltfu' END AS ExitReason,
          o_orderpriority AS PreviousARTRegimen, o_orderpriority AS StartRegimen, o_orderpriority AS LastRegimen,
-         CASE WHEN o_orderkey % 2 = 0 THEN 'VCT' ELSE 'OPD' END AS PatientSource
+         CASE WHEN o_orderkey % 2 = 0 THEN 'VCT' ELSE 'OPD' END AS PatientSource,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'Unknown' ELSE 'F' END AS Gender
   FROM orders),
 j AS (
-  SELECT a.*, 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK, c.c_mktsegment AS Gender,
+  SELECT a.*, 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK, c.c_custkey % 7 <> 0 AS known,
          CASE WHEN c.c_custkey % 2 = 0 THEN 'Open Medical Records System - OpenMRS' ELSE 'IQCare' END AS Emr,
          CASE c.c_custkey % 3 WHEN 0 THEN 'AMPATH' WHEN 1 THEN 'HMIS' ELSE 'Other' END AS Project,
          n.n_nationkey * 100 AS SiteCode, n.n_name AS FacilityName
@@ -1139,7 +1141,7 @@ scan AS (
          j.PreviousARTRegimen, j.StartARTAtThisFacility, j.StartRegimen, j.LastARTDate, j.LastRegimen, j.Duration,
          j.ExpectedReturn, j.LastVisit, j.ExitReason, j.ExitDate, j.Emr, j.Project, j.DOB
   FROM j JOIN tn ON j.PatientPK = tn.PatientPK AND j.SiteCode = tn.SiteCode AND CAST(j.Created AS DATE) = tn.MaxCreated
-  WHERE j.Gender <> 'Unknown' AND j.SiteCode > 0),
+  WHERE j.known AND j.SiteCode > 0),
 clean AS (
   SELECT ID, PatientID, PatientPK, SiteCode, FacilityName, {age('AgeEnrollment', 0, 120)}, {age('AgeARTStart', 0, 120)},
          {age('AgeLastVisit', 0, 120)}, {', '.join(window(c, '1980-01-01') for c in dates80)},
@@ -1176,7 +1178,7 @@ def load_art_patients(spark, sf):
     one regimen lookup used for three columns, exit-reason and patient-source lookups,
     injected as-of stamp, delta on (patient, site), digests."""
     spec, io = _p01_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== pharmacy (P21), PNS (P30), EMR sites
@@ -1206,7 +1208,7 @@ def _p21_io(spark, sf):
     n = table(spark, sf, "nation")
     sd = F.to_date("l_shipdate")
     form = li.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ID"), (F.col("l_partkey") % 1500).alias("PatientId"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ID"), F.col("l_partkey").alias("PatientId"),
         F.concat(F.lit("V"), F.col("l_orderkey").cast("string")).alias("VisitID"),
         F.col("l_returnflag").alias("Drug"), sd.alias("DispenseDate"),
         (F.col("l_quantity") - 10).cast("int").cast("string").alias("Duration"),
@@ -1231,7 +1233,7 @@ def _p21_io(spark, sf):
     proph = li.filter(F.col("l_discount") > 0.05).select(F.lit("CTX").alias("source_name"),
                                                          F.lit("Cotrimoxazole").alias("target_name")).distinct()
     loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1997, 1, 1))).join(
-        c, (F.col("l_partkey") % 1500) == F.col("c_custkey")).select(
+        c, F.col("l_partkey") == F.col("c_custkey")).select(
         (F.col("c_nationkey") * 100).alias("SiteCode"), F.col("c_custkey").alias("PatientPK"),
         F.concat(F.lit("V"), F.col("l_orderkey").cast("string")).alias("VisitID"))
     io = FrameIO({"PatientPharmacyExtract": form, "PatientExtract": patient, "Facility": facility,
@@ -1247,7 +1249,7 @@ def _p21_oracle() -> str:
             "ExpectedReturn", "TreatmentType", "PeriodTaken", "ProphylaxisType", "Emr", "Project"}
     return f"""
 WITH a AS (
-  SELECT l_orderkey * 10 + l_linenumber AS ID, l_partkey % 1500 AS PatientRef, 'V' || CAST(l_orderkey AS VARCHAR) AS VisitID, l_returnflag AS Drug,
+  SELECT l_orderkey * 10 + l_linenumber AS ID, l_partkey AS PatientRef, 'V' || CAST(l_orderkey AS VARCHAR) AS VisitID, l_returnflag AS Drug,
          CAST(l_shipdate AS DATE) AS DispenseDate, CAST(CAST(l_quantity - 10 AS INTEGER) AS VARCHAR) AS Duration,
          CASE WHEN l_linenumber = 3 THEN DATE '1899-05-01' ELSE CAST(l_shipdate AS DATE) + 30 END AS ExpectedReturn,
          l_linestatus AS TreatmentType, CAST(l_linenumber - 2 AS VARCHAR) AS PeriodTaken,
@@ -1279,7 +1281,7 @@ clean AS (
   LEFT JOIN (SELECT DISTINCT 'CTX' AS k, 'Cotrimoxazole' AS t FROM lineitem WHERE l_discount > 0.05) pr
     ON s.ProphylaxisType = pr.k),
 tgt AS (SELECT c.c_nationkey * 100 AS SiteCode, c.c_custkey AS PatientPK, 'V' || CAST(l.l_orderkey AS VARCHAR) AS VisitID
-        FROM lineitem l JOIN customer c ON l.l_partkey % 1500 = c.c_custkey WHERE l.l_shipdate < TIMESTAMP '1997-01-01')
+        FROM lineitem l JOIN customer c ON l.l_partkey = c.c_custkey WHERE l.l_shipdate < TIMESTAMP '1997-01-01')
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
        {_UTF16_SQL.format(c='PatientPK')} AS PatientPKHash
 FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
@@ -1292,7 +1294,7 @@ def load_patient_pharmacy(spark, sf):
     period clamps (valid values kept), open-ended expected-return window, three lookups, EMR /
     project recodes, delta on (site, patient, visit)."""
     spec, io = _p21_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p30_io(spark, sf):
@@ -1365,7 +1367,7 @@ def load_partner_notification(spark, sf):
     blank -> NULL, N/A sentinel, consent / linkage / approach recodes, age outside 0-100 -> NULL,
     delta on (patient, site, partner)."""
     spec, io = _p30_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p12_io(spark, sf):
@@ -1378,7 +1380,7 @@ def _p12_io(spark, sf):
         F.col("s_name").alias("Facility_Name"), F.concat(F.lit("County "), F.col("s_nationkey").cast("string"))
          .alias("County"), F.lit(None).cast("string").alias("SubCounty"),
         F.when(F.col("s_acctbal") > 5000, F.lit("KenyaEMR")).otherwise(F.lit("IQCare")).alias("EMR"),
-        F.lit("Yes").alias("_3PM"))
+        F.lit("Yes").alias("_3PM"), F.lit("Yes").alias("TB"), F.lit("Live").alias("IL_Status"))
     loaded = s.filter(F.col("s_suppkey") < 40).select((F.col("s_suppkey") + 10000).cast("string").alias("MFL_Code"))
     return spec, FrameIO({"ALL_EMRSites": sites}, {spec.target: loaded})
 
@@ -1386,12 +1388,12 @@ def _p12_io(spark, sf):
 def _p12_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p12_emr_sites"]
-    have = {"MFL_Code", "Facility_Name", "County", "SubCounty", "EMR", "_3PM"}
+    have = {"MFL_Code", "Facility_Name", "County", "SubCounty", "EMR"}
     return f"""
 WITH s AS (
   SELECT DISTINCT CASE WHEN s_suppkey % 9 = 0 THEN '' ELSE CAST(s_suppkey + 10000 AS VARCHAR) END AS MFL_Code,
          s_name AS Facility_Name, 'County ' || CAST(s_nationkey AS VARCHAR) AS County, CAST(NULL AS VARCHAR) AS SubCounty,
-         CASE WHEN s_acctbal > 5000 THEN 'KenyaEMR' ELSE 'IQCare' END AS EMR, 'Yes' AS "_3PM"
+         CASE WHEN s_acctbal > 5000 THEN 'KenyaEMR' ELSE 'IQCare' END AS EMR
   FROM supplier)
 SELECT {_null_cols(spec, have)} FROM s
 WHERE MFL_Code <> '' AND NOT EXISTS (SELECT 1 FROM supplier t WHERE t.s_suppkey < 40
@@ -1403,7 +1405,7 @@ def load_emr_sites(spark, sf):
     """The facility-master load spec (P12) on the test tables: blank facility codes dropped,
     NULL placeholder columns, a quoted column name, delta on the facility code."""
     spec, io = _p12_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== PrEP patient (P49), test kits (P32), contacts
@@ -1413,9 +1415,9 @@ def _p49_io(spark, sf):
     c = table(spark, sf, "customer")
     ck = F.col("c_custkey")
     form = c.select(
-        ck.alias("ID"), (ck % 800).alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"),
+        ck.alias("ID"), F.floor(ck / 2).cast("long").alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"),
         F.date_add(F.lit(dt.date(2020, 1, 1)), (ck % 40).cast("int")).alias("Created"),
-        F.concat(F.lit("PREP-"), (ck % 800).cast("string")).alias("PrepNumber"),
+        F.concat(F.lit("PREP-"), F.floor(ck / 2).cast("long").cast("string")).alias("PrepNumber"),
         F.when(ck % 5 == 0, F.lit("")).otherwise(F.lit("F")).alias("Sex"),
         F.when(ck % 6 == 0, F.lit("160579")).when(ck % 6 == 1, F.lit("105")).otherwise(F.lit("GP"))
          .alias("KeyPopulationType"),
@@ -1423,28 +1425,27 @@ def _p49_io(spark, sf):
         F.when(ck % 4 == 0, F.lit("Never married")).when(ck % 4 == 1, F.lit("Separated"))
          .otherwise(F.lit("Widowed")).alias("MaritalStatus"),
         F.when(ck % 7 == 0, F.lit("Ugunja")).when(ck % 7 == 1, F.lit("...")).when(ck % 7 == 2, F.lit(""))
-         .when(ck % 7 == 3, F.lit("KIAMBU'")).otherwise(F.col("c_mktsegment")).alias("County"),
+         .when(ck % 7 == 3, F.lit("KIAMBU''")).otherwise(F.col("c_mktsegment")).alias("County"),
         F.when(ck % 8 == 0, F.lit("")).otherwise(F.lit("Kisumu")).alias("SubCounty"),
         F.lit("KenyaEMR").alias("Emr"))
-    loaded = c.filter(ck < 200).select((ck % 800).alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"))
+    loaded = c.filter(ck < 200).select(F.floor(ck / 2).cast("long").alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"))
     return spec, FrameIO({"PrepPatients": form}, {spec.target: loaded})
 
 
 def _p49_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p49_patient"]
-    have = {"ID", "PatientPk", "SiteCode", "Created", "PrepNumber", "Sex", "KeyPopulationType", "Inschool",
+    have = {"ID", "PatientPk", "SiteCode", "Created", "PrepNumber", "Sex", "Inschool",
             "MaritalStatus", "County", "SubCounty", "Emr"}
     return f"""
 WITH a AS (
-  SELECT c_custkey AS ID, c_custkey % 800 AS PatientPk, c_nationkey + 1 AS SiteCode,
+  SELECT c_custkey AS ID, c_custkey // 2 AS PatientPk, c_nationkey + 1 AS SiteCode,
          DATE '2020-01-01' + CAST(c_custkey % 40 AS INTEGER) AS Created,
-         'PREP-' || CAST(c_custkey % 800 AS VARCHAR) AS PrepNumber,
+         'PREP-' || CAST(c_custkey // 2 AS VARCHAR) AS PrepNumber,
          CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'F' END AS Sex,
-         CASE c_custkey % 6 WHEN 0 THEN '160579' WHEN 1 THEN '105' ELSE 'GP' END AS KeyPopulationType,
          CASE c_custkey % 3 WHEN 0 THEN '1' WHEN 1 THEN '2' ELSE '9' END AS Inschool,
          CASE c_custkey % 4 WHEN 0 THEN 'Never married' WHEN 1 THEN 'Separated' ELSE 'Widowed' END AS MaritalStatus,
-         CASE c_custkey % 7 WHEN 0 THEN 'Ugunja' WHEN 1 THEN '...' WHEN 2 THEN '' WHEN 3 THEN 'KIAMBU''' ELSE c_mktsegment END
+         CASE c_custkey % 7 WHEN 0 THEN 'Ugunja' WHEN 1 THEN '...' WHEN 2 THEN '' WHEN 3 THEN 'KIAMBU''''' ELSE c_mktsegment END
            AS County,
          CASE WHEN c_custkey % 8 = 0 THEN '' ELSE 'Kisumu' END AS SubCounty, 'KenyaEMR' AS Emr
   FROM customer),
@@ -1456,8 +1457,6 @@ clean AS (
   SELECT ID, PatientPk, SiteCode, Created, PrepNumber, Emr,
          CASE WHEN Sex = '' THEN NULL ELSE Sex END AS Sex,
          CASE WHEN SubCounty = '' THEN NULL ELSE SubCounty END AS SubCounty,
-         CASE KeyPopulationType WHEN '160579' THEN 'FSW' WHEN '160578' THEN 'MSM' WHEN '165084' THEN 'MSW'
-              WHEN '105' THEN 'PWID' ELSE KeyPopulationType END AS KeyPopulationType,
          CASE Inschool WHEN '1' THEN 'Yes' WHEN '2' THEN 'No' ELSE Inschool END AS Inschool,
          CASE MaritalStatus WHEN 'Married' THEN 'Married Monogamous' WHEN 'Never married' THEN 'Single'
               WHEN 'Living with partner' THEN 'Cohabiting' WHEN 'Polygamous' THEN 'Married Polygamous'
@@ -1465,14 +1464,14 @@ clean AS (
            AS MaritalStatus,
          CASE WHEN County IN ('North Alego', 'West Sakwa', 'Ugunja', 'North Ugenya', 'Ugenya West', 'Ukwala', 'West Alego')
                 THEN 'Siaya'
-              WHEN County = 'KIAMBU''' THEN 'Kiambu'
+              WHEN County = 'KIAMBU''''' THEN 'Kiambu'
               WHEN County IN ('Kagen', '...') THEN 'NOT DOCUMENTED'
               WHEN County = '' THEN NULL ELSE County END AS County
   FROM scan)
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PrepNumber')} AS PrepNumberHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
 FROM clean x WHERE NOT EXISTS (SELECT 1 FROM customer t WHERE t.c_custkey < 200
-  AND t.c_custkey % 800 IS NOT DISTINCT FROM x.PatientPk AND t.c_nationkey + 1 IS NOT DISTINCT FROM x.SiteCode)"""
+  AND t.c_custkey // 2 IS NOT DISTINCT FROM x.PatientPk AND t.c_nationkey + 1 IS NOT DISTINCT FROM x.SiteCode)"""
 
 
 @query("load_prep_patient", oracle=_p49_oracle())
@@ -1480,7 +1479,7 @@ def load_prep_patient(spark, sf):
     """The PrEP patient load spec (P49) on the test tables: latest rule, no DISTINCT, blank ->
     NULL, key-population / school / marital / county recodes, delta, digests."""
     spec, io = _p49_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p32_io(spark, sf):
@@ -1490,19 +1489,19 @@ def _p32_io(spark, sf):
     o = table(spark, sf, "orders")
     ln = F.col("l_linenumber")
     form = li.select(
-        (F.col("l_orderkey") * 10 + ln).alias("ID"), (F.col("l_orderkey") % 600).alias("PatientPk"),
+        (F.col("l_orderkey") * 10 + ln).alias("ID"), F.col("l_orderkey").alias("PatientPk"),
         (F.col("l_suppkey") % 5 + 1).cast("int").alias("SiteCode"),
-        F.concat(F.lit("H"), (F.col("l_orderkey") % 600).cast("string")).alias("HtsNumber"),
+        F.concat(F.lit("H"), F.col("l_orderkey").cast("string")).alias("HtsNumber"),
         (ln % 3).alias("EncounterId"),
         F.when(ln == 2, F.lit("")).otherwise(F.col("l_returnflag")).alias("TestKitName1"),
         F.col("l_linestatus").alias("TestKitLotNumber1"),
         F.when(F.col("l_tax") > 0.04, F.lit("N/A")).otherwise(F.lit("Negative")).alias("TestResult2"),
         F.when(ln == 4, F.lit("")).otherwise(F.lit("Unigold")).alias("TestKitName2"),
         F.date_add(F.to_date("l_shipdate"), (F.col("l_partkey") % 2).cast("int")).alias("DateExtracted"))
-    clients = o.select((F.col("o_orderkey") % 600).alias("PatientPk"),
+    clients = o.select(F.col("o_orderkey").alias("PatientPk"),
                        (F.col("o_custkey") % 5 + 1).cast("int").alias("SiteCode"))
     loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1996, 1, 1))).select(
-        (F.col("l_orderkey") % 600).alias("PatientPk"), (F.col("l_suppkey") % 5 + 1).cast("int").alias("SiteCode"))
+        F.col("l_orderkey").alias("PatientPk"), (F.col("l_suppkey") % 5 + 1).cast("int").alias("SiteCode"))
     return spec, FrameIO({"HtsTestKits": form, "Clients": clients}, {spec.target: loaded})
 
 
@@ -1513,8 +1512,8 @@ def _p32_oracle() -> str:
             "TestKitName2"}
     return f"""
 WITH a AS (
-  SELECT l_orderkey * 10 + l_linenumber AS ID, l_orderkey % 600 AS PatientPk,
-         CAST(l_suppkey % 5 + 1 AS INTEGER) AS SiteCode, 'H' || CAST(l_orderkey % 600 AS VARCHAR) AS HtsNumber,
+  SELECT l_orderkey * 10 + l_linenumber AS ID, l_orderkey AS PatientPk,
+         CAST(l_suppkey % 5 + 1 AS INTEGER) AS SiteCode, 'H' || CAST(l_orderkey AS VARCHAR) AS HtsNumber,
          l_linenumber % 3 AS EncounterId, CASE WHEN l_linenumber = 2 THEN '' ELSE l_returnflag END AS TestKitName1,
          l_linestatus AS TestKitLotNumber1, CASE WHEN l_tax > 0.04 THEN 'N/A' ELSE 'Negative' END AS TestResult2,
          CASE WHEN l_linenumber = 4 THEN '' ELSE 'Unigold' END AS TestKitName2,
@@ -1529,7 +1528,7 @@ scan AS (
   FROM a JOIN tm ON a.SiteCode = tm.SiteCode AND a.PatientPk = tm.PatientPk AND a.EncounterId = tm.EncounterId
     AND a.TestKitName1 = tm.TestKitName1 AND a.TestResult2 = tm.TestResult2 AND a.TestKitLotNumber1 = tm.TestKitLotNumber1
     AND CAST(a.DateExtracted AS DATE) = tm.MaxDateExtracted AND a.ID = tm.MaxID
-  WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey % 600 = a.PatientPk
+  WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = a.PatientPk
                 AND CAST(o.o_custkey % 5 + 1 AS INTEGER) = a.SiteCode)),
 clean AS (
   SELECT SiteCode, PatientPk, HtsNumber, EncounterId,
@@ -1540,7 +1539,7 @@ clean AS (
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='HtsNumber')} AS HtsNumberHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
 FROM clean x WHERE NOT EXISTS (SELECT 1 FROM lineitem t WHERE t.l_shipdate < TIMESTAMP '1996-01-01'
-  AND t.l_orderkey % 600 IS NOT DISTINCT FROM x.PatientPk
+  AND t.l_orderkey IS NOT DISTINCT FROM x.PatientPk
   AND CAST(t.l_suppkey % 5 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode)"""
 
 
@@ -1549,7 +1548,7 @@ def load_hts_test_kits(spark, sf):
     """The HTS test-kits load spec (P32) on the test tables: latest rule over six keys, client
     existence, N/A sentinel and blank kit names -> NULL, delta, digests."""
     spec, io = _p32_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== contacts (P06), MNCH ARTs (P34), manifest (P13), OTZ
@@ -1564,12 +1563,15 @@ def _ct_parents(spark, sf, project=True):
         F.col("c_nationkey").alias("FacilityId"), F.lit("KenyaEMR").alias("Emr"),
         F.when(F.col("c_custkey") % 3 == 0, F.lit("HMIS")).otherwise(F.lit("Other")).alias("Project"))
     facility = n.select(F.col("n_nationkey").alias("Id"), (F.col("n_nationkey") * 100).alias("Code"),
-                        F.col("n_name").alias("Name"), F.lit(0).alias("Voided"))
+                        F.col("n_name").alias("Name"),
+                        F.when(F.col("n_nationkey") % 12 == 10, F.lit(1)).when(F.col("n_nationkey") % 12 != 11, F.lit(0))
+                         .alias("Voided"))
     return patient, facility
 
 
 _CT_PARENTS_SQL = """
-  JOIN customer c ON a.PatientRef = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+  JOIN customer c ON a.PatientRef = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+                                                AND n.n_nationkey % 12 < 10"""
 _CT_COLS_SQL = """'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK,
          CASE WHEN c.c_custkey % 10 = 1 THEN 'Unknown' ELSE c.c_mktsegment END AS Gender, 'KenyaEMR' AS Emr,
          CASE WHEN c.c_custkey % 3 = 0 THEN 'Kenya HMIS II' ELSE 'Other' END AS Project,
@@ -1660,7 +1662,7 @@ def load_contact_listing(spark, sf):
     contact's age as a key (ties survive), age clamp, sex / relationship / IPV / HIV-knowledge
     recodes, three digests."""
     spec, io = _p06_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p34_io(spark, sf):
@@ -1715,7 +1717,7 @@ def load_mnch_arts(spark, sf):
     """The MNCH ART load spec (P34) on the test tables: latest rule over the form, facility
     existence (semi join), delta on (patient, site), digests."""
     spec, io = _p34_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p13_io(spark, sf):
@@ -1752,7 +1754,7 @@ def load_facility_manifest(spark, sf):
     """The facility-manifest load spec (P13) on the test tables: reserved column names, delta on
     the manifest id."""
     spec, io = _p13_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== eligibility (P29), behaviour risk (P46), CWC visits
@@ -1833,7 +1835,7 @@ def load_hts_eligibility(spark, sf):
     creation timestamp, newest extraction day), client existence, blank / 0-1 / patient-type
     recodes, dates before 1980 and visits before 2019 -> NULL, delta, digests."""
     spec, io = _p29_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p46_io(spark, sf):
@@ -1901,7 +1903,7 @@ def load_prep_behaviour_risk(spark, sf):
     newest extraction day (no id in the second rule), patient existence, blank -> NULL, delta on
     (patient, site, visit), digests."""
     spec, io = _p46_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p36_io(spark, sf):
@@ -1954,22 +1956,29 @@ def load_cwc_visits(spark, sf):
     joined on (patient, site) only – any row holding some visit date's maxima survives –,
     facility existence, delta, digests."""
     spec, io = _p36_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== IPT (P16), drug & alcohol (P10), PrEP pharmacy (P50)
 def _ct_visit_form(o, extra: dict):
     k = F.col("o_orderkey")
-    return o.select(k.alias("ID"), F.col("o_custkey").alias("PatientId"),
-                    F.concat(F.lit("V"), (k % 11).cast("string")).alias("VisitID"),
-                    F.to_date("o_orderdate").alias("VisitDate"), *[e.alias(n) for n, e in extra.items()])
+    own = {"ID": k, "PatientId": F.col("o_custkey"), "VisitID": F.concat(F.lit("V"), (k % 11).cast("string")),
+           "VisitDate": F.to_date("o_orderdate")}
+    return o.select(*[e.alias(n) for n, e in (own | extra).items()])
+
+
+def _twice_a_day(o):
+    """Every order at two times of its day, for texts whose DISTINCT is over dates."""
+    hour = F.explode(F.array(F.lit(3), F.lit(17)))
+    return o.withColumn("hour", hour).withColumn("o_orderdate", F.date_trunc("day", "o_orderdate").cast("timestamp_ntz")
+                                                 + F.make_interval(hours=F.col("hour"))).drop("hour")
 
 
 _CT_VISIT_SQL = """o_orderkey AS ID, o_custkey AS PatientRef, 'V' || CAST(o_orderkey % 11 AS VARCHAR) AS VisitID,
          CAST(o_orderdate AS DATE) AS VisitDate"""
 
 
-def _ct_visit_job(spark, sf, spec_name, source, extra):
+def _ct_visit_job(spark, sf, spec_name, source, extra, form_rows=lambda o: o):
     from wardflow.plans.catalog import SPECS
     spec = SPECS[spec_name]
     o = table(spark, sf, "orders")
@@ -1978,23 +1987,25 @@ def _ct_visit_job(spark, sf, spec_name, source, extra):
     loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1998, 1, 1))).join(c, F.col("o_custkey") == F.col("c_custkey")) \
         .select((F.col("c_nationkey") * 100).alias("SiteCode"), F.col("o_custkey").alias("PatientPK"),
                 F.concat(F.lit("V"), (F.col("o_orderkey") % 11).cast("string")).alias("VisitID"))
-    return spec, FrameIO({source: _ct_visit_form(o, extra), "PatientExtract": patient, "Facility": facility},
+    return spec, FrameIO({source: _ct_visit_form(form_rows(o), extra), "PatientExtract": patient, "Facility": facility},
                          {spec.target: loaded})
 
 
 def _ct_visit_oracle(spec_name, extra_sql: str, extra_cols: list, clean_sql: str,
-                     project_map: bool = True) -> str:
-    """``project_map`` – the scan text maps the patient's project names (most CT texts)."""
+                     project_map: bool = True, patient_id: bool = False) -> str:
+    """``project_map`` – the scan text maps the patient's project names (most CT texts);
+    ``patient_id`` – its ID is the patient row's, not the form's."""
     from wardflow.plans.catalog import SPECS
     spec = SPECS[spec_name]
     cols_sql = _CT_COLS_SQL if project_map else _CT_COLS_SQL.replace("'Kenya HMIS II'", "'HMIS'")
     have = {"ID", "PatientID", "PatientPK", "SiteCode", "FacilityName", "VisitID", "VisitDate", "Emr", "Project",
             *extra_cols}
     cols = ", ".join(extra_cols)
+    row_id = "PatientRef AS ID" if patient_id else "ID"
     return f"""
 WITH a AS (SELECT {_CT_VISIT_SQL}, {extra_sql} FROM orders),
 j AS (SELECT a.*, {cols_sql} FROM a {_CT_PARENTS_SQL}),
-scan AS (SELECT DISTINCT ID, PatientID, PatientPK, SiteCode, FacilityName, VisitID, VisitDate, Emr, Project, {cols}
+scan AS (SELECT DISTINCT {row_id}, PatientID, PatientPK, SiteCode, FacilityName, VisitID, VisitDate, Emr, Project, {cols}
          FROM j WHERE Gender <> 'Unknown' AND SiteCode > 0),
 clean AS (SELECT ID, PatientID, PatientPK, SiteCode, FacilityName, VisitID, VisitDate, Emr, Project, {clean_sql}
           FROM scan),
@@ -2029,12 +2040,12 @@ _P16_CLEAN = """CASE WHEN TBScreening = '1' THEN 'Screened' WHEN TBScreening IN
 
 
 @query("load_ipt", oracle=_ct_visit_oracle("p16_ipt", _P16_SQL, ["TBScreening", "IndicationForIPT", "OnIPT"],
-                                           _P16_CLEAN))
+                                           _P16_CLEAN, patient_id=True))
 def load_ipt(spark, sf):
     """The IPT load spec (P16) on the test tables: patient / facility joins with filters, in-scan
     project map, TB-screening and IPT-indication recodes, delta on (site, patient, visit)."""
     spec, io = _ct_visit_job(spark, sf, "p16_ipt", "IptExtract", _p16_extra())
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p10_extra():
@@ -2056,7 +2067,7 @@ def load_drug_alcohol_screening(spark, sf):
     """The drug & alcohol screening load spec (P10) on the test tables: patient / facility joins,
     Never / OTHER recodes, delta on (site, patient, visit)."""
     spec, io = _ct_visit_job(spark, sf, "p10_drug_alcohol_screening", "DrugAlcoholScreeningExtract", _p10_extra())
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p50_io(spark, sf):
@@ -2124,7 +2135,7 @@ def load_prep_pharmacy(spark, sf):
     """The PrEP pharmacy load spec (P50) on the test tables: two latest rules ANDed, duration cap,
     text dispense dates before 1980 / blank -> NULL, blank regimen -> NULL, delta, digests."""
     spec, io = _p50_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== adverse events
@@ -2137,7 +2148,7 @@ def _p02_io(spark, sf):
     sd = F.to_date("l_shipdate")
     start = F.date_sub(sd, (F.col("l_orderkey") % 12000).cast("int"))
     form = li.select(
-        (pk % 1500).alias("PatientId"), sd.alias("VisitDate"), start.alias("AdverseEventStartDate"),
+        pk.alias("PatientId"), sd.alias("VisitDate"), start.alias("AdverseEventStartDate"),
         F.date_add(start, 10).alias("AdverseEventEndDate"),
         F.when(ln % 4 == 0, F.lit("Mild|Mild|Mild")).when(ln % 4 == 1, F.lit("Fatal"))
          .when(ln % 4 == 2, F.lit("Moderate|Mild")).otherwise(F.lit("")).alias("Severity"),
@@ -2146,13 +2157,15 @@ def _p02_io(spark, sf):
         F.when(ln % 4 == 0, F.lit("STOP|STOP")).when(ln % 4 == 1, F.lit("Dose reduced"))
          .when(ln % 4 == 2, F.lit("Select")).otherwise(F.lit("")).alias("AdverseEventActionTaken"),
         F.when(pk % 2 == 0, F.lit("Recovered/Resolved")).otherwise(F.lit("x")).alias("AdverseEventClinicalOutcome"),
-        F.col("l_returnflag").alias("AdverseEventRegimen"), F.col("l_linestatus").alias("AdverseEvent"))
+        F.col("l_returnflag").alias("AdverseEventRegimen"), F.col("l_linestatus").alias("AdverseEvent"),
+        F.concat(F.lit("Emr"), ln.cast("string")).alias("Emr"),
+        F.when(ln % 2 == 0, F.lit("I-TECH")).otherwise(F.lit("Own")).alias("Project"))
     patient, facility = _ct_parents(spark, sf)
     regimen = li.filter(F.col("l_returnflag") == "A").select(F.lit("A").alias("source_name"),
                                                              F.lit("AF2B").alias("target_name")).distinct()
     events = li.filter(F.col("l_linestatus") == "F").select(F.lit("F").alias("source_name"),
                                                             F.lit("Rash").alias("target_name")).distinct()
-    loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1997, 1, 1))).join(c, (pk % 1500) == F.col("c_custkey")) \
+    loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1997, 1, 1))).join(c, pk == F.col("c_custkey")) \
         .select((F.col("c_nationkey") * 100).alias("SiteCode"), F.col("c_custkey").alias("PatientPK"), sd.alias("VisitDate"))
     return spec, FrameIO({"PatientAdverseEventExtract": form, "PatientExtract": patient, "Facility": facility,
                           "lkp_regimen": regimen, "lkp_adverse_events": events}, {spec.target: loaded})
@@ -2171,7 +2184,7 @@ def _p02_oracle() -> str:
             "AdverseEventActionTaken", "AdverseEventClinicalOutcome", "LoadDate"}
     return f"""
 WITH a AS (
-  SELECT l_partkey % 1500 AS PatientRef, CAST(l_shipdate AS DATE) AS VisitDate,
+  SELECT l_partkey AS PatientRef, CAST(l_shipdate AS DATE) AS VisitDate,
          CAST(l_shipdate AS DATE) - CAST(l_orderkey % 12000 AS INTEGER) AS AdverseEventStartDate,
          CAST(l_shipdate AS DATE) - CAST(l_orderkey % 12000 AS INTEGER) + 10 AS AdverseEventEndDate,
          CASE l_linenumber % 4 WHEN 0 THEN 'Mild|Mild|Mild' WHEN 1 THEN 'Fatal' WHEN 2 THEN 'Moderate|Mild' ELSE '' END
@@ -2181,15 +2194,17 @@ WITH a AS (
          CASE l_linenumber % 4 WHEN 0 THEN 'STOP|STOP' WHEN 1 THEN 'Dose reduced' WHEN 2 THEN 'Select' ELSE '' END
            AS AdverseEventActionTaken,
          CASE WHEN l_partkey % 2 = 0 THEN 'Recovered/Resolved' ELSE 'x' END AS AdverseEventClinicalOutcome,
-         l_returnflag AS AdverseEventRegimen, l_linestatus AS AdverseEvent
+         l_returnflag AS AdverseEventRegimen, l_linestatus AS AdverseEvent,
+         'Emr' || CAST(l_linenumber AS VARCHAR) AS EMR,
+         CASE WHEN l_linenumber % 2 = 0 THEN 'Kenya HMIS II' ELSE 'Own' END AS Project
   FROM lineitem),
 scan AS (
   SELECT DISTINCT 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK,
          n.n_nationkey * 100 AS SiteCode, a.AdverseEvent, a.AdverseEventStartDate, a.AdverseEventEndDate, a.Severity,
-         a.VisitDate, 'KenyaEMR' AS EMR, CASE WHEN c.c_custkey % 3 = 0 THEN 'Kenya HMIS II' ELSE 'Other' END AS Project,
+         a.VisitDate, a.EMR, a.Project,
          a.AdverseEventCause, a.AdverseEventRegimen, a.AdverseEventActionTaken, a.AdverseEventClinicalOutcome
   FROM a JOIN customer c ON a.PatientRef = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE n.n_nationkey * 100 > 0),
+  WHERE n.n_nationkey * 100 > 0 AND n.n_nationkey % 12 < 10),
 clean AS (
   SELECT PatientID, PatientPK, SiteCode,
          CASE WHEN AdverseEventStartDate < DATE '1980-01-01' OR AdverseEventStartDate > DATE '2000-12-31'
@@ -2227,7 +2242,7 @@ std AS (
   LEFT JOIN (SELECT DISTINCT 'A' AS k, 'AF2B' AS t FROM lineitem WHERE l_returnflag = 'A') r ON x.AdverseEventRegimen = r.k
   LEFT JOIN (SELECT DISTINCT 'F' AS k, 'Rash' AS t FROM lineitem WHERE l_linestatus = 'F') e ON x.AdverseEvent = e.k),
 tgt AS (SELECT c.c_nationkey * 100 AS SiteCode, c.c_custkey AS PatientPK, CAST(l.l_shipdate AS DATE) AS VisitDate
-        FROM lineitem l JOIN customer c ON l.l_partkey % 1500 = c.c_custkey WHERE l.l_shipdate < TIMESTAMP '1997-01-01')
+        FROM lineitem l JOIN customer c ON l.l_partkey = c.c_custkey WHERE l.l_shipdate < TIMESTAMP '1997-01-01')
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
        {_UTF16_SQL.format(c='PatientPK')} AS PatientPKHash
 FROM std x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
@@ -2241,7 +2256,7 @@ def load_adverse_events(spark, sf):
     vocabulary as one map literal), regimen and event lookups, load-date stamp, delta keyed on
     the visit day."""
     spec, io = _p02_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== GBV (P14), immunization
@@ -2260,7 +2275,7 @@ def load_gbv_screening(spark, sf):
     """The GBV screening load spec (P14) on the test tables: delta mixing null-safe keys with a
     plain '=' site key, in-scan project map."""
     spec, io = _ct_visit_job(spark, sf, "p14_gbv_screening", "GbvScreeningExtract", _p14_extra())
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p39_io(spark, sf):
@@ -2305,7 +2320,7 @@ def load_mnch_immunization(spark, sf):
     """The MNCH immunization load spec (P39) on the test tables: no parent, latest rule, delta
     mixing null-safe keys with a plain '=' id, no digests."""
     spec, io = _p39_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== labs (P20), partner tracing
@@ -2349,7 +2364,7 @@ tn AS (SELECT SiteCode, PatientPK, TestResult, TestName, OrderedbyDate, voided,
               max(CAST(Created AS DATE)) AS MaxCreated
        FROM j GROUP BY SiteCode, PatientPK, TestResult, TestName, OrderedbyDate, voided),
 scan AS (
-  SELECT DISTINCT j.ID, j.PatientID, j.PatientPK AS PatientPk, j.SiteCode, j.FacilityName, j.VisitID, j.OrderedbyDate,
+  SELECT DISTINCT j.PatientRef AS ID, j.PatientID, j.PatientPK AS PatientPk, j.SiteCode, j.FacilityName, j.VisitID, j.OrderedbyDate,
          j.ReportedbyDate, j.TestName, j.TestResult, j.Emr, j.Project, j.voided
   FROM j JOIN tn ON j.SiteCode = tn.SiteCode AND j.PatientPK = tn.PatientPK AND j.TestResult = tn.TestResult
                 AND j.TestName = tn.TestName AND j.OrderedbyDate = tn.OrderedbyDate AND j.voided = tn.voided
@@ -2381,7 +2396,7 @@ def load_patient_labs(spark, sf):
     patient / facility joins, gender filter only (facility code 0 kept), date windows, negative
     results labelled, case-insensitive test-name lookup, delta on (site, patient, visit)."""
     spec, io = _p20_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p31_io(spark, sf):
@@ -2391,19 +2406,19 @@ def _p31_io(spark, sf):
     o = table(spark, sf, "orders")
     ln = F.col("l_linenumber")
     form = li.select(
-        (F.col("l_orderkey") * 10 + ln).alias("ID"), (F.col("l_orderkey") % 400).alias("PatientPk"),
+        (F.col("l_orderkey") * 10 + ln).alias("ID"), F.col("l_orderkey").alias("PatientPk"),
         (F.col("l_suppkey") % 4 + 1).cast("int").alias("SiteCode"),
-        F.concat(F.lit("H"), (F.col("l_orderkey") % 400).cast("string")).alias("HtsNumber"),
+        F.concat(F.lit("H"), F.col("l_orderkey").cast("string")).alias("HtsNumber"),
         F.col("l_linestatus").alias("TraceType"), F.to_date("l_shipdate").alias("TraceDate"),
         F.date_trunc("month", F.col("l_shipdate")).cast("date").alias("BookingDate"),
         F.when(ln % 3 == 0, F.lit("NULL")).when(ln % 3 == 1, F.lit("null")).otherwise(F.col("l_returnflag"))
          .alias("TraceOutcome"),
         F.date_add(F.to_date("l_shipdate"), (F.col("l_partkey") % 3).cast("int")).alias("DateExtracted"))
-    clients = o.select((F.col("o_orderkey") % 400).alias("PatientPk"),
+    clients = o.select(F.col("o_orderkey").alias("PatientPk"),
                        (F.col("o_custkey") % 4 + 1).cast("int").alias("SiteCode"))
     loaded = li.filter(F.col("l_shipdate") < ntz(dt.datetime(1995, 6, 1))).select(
-        (F.col("l_orderkey") % 400).alias("PatientPk"), (F.col("l_suppkey") % 4 + 1).cast("int").alias("SiteCode"),
-        F.concat(F.lit("H"), (F.col("l_orderkey") % 400).cast("string")).alias("HtsNumber"))
+        F.col("l_orderkey").alias("PatientPk"), (F.col("l_suppkey") % 4 + 1).cast("int").alias("SiteCode"),
+        F.concat(F.lit("H"), F.col("l_orderkey").cast("string")).alias("HtsNumber"))
     return spec, FrameIO({"HtsPartnerTracings": form, "Clients": clients}, {spec.target: loaded})
 
 
@@ -2413,8 +2428,8 @@ def _p31_oracle() -> str:
     have = {"SiteCode", "PatientPk", "HtsNumber", "TraceType", "TraceDate", "TraceOutcome", "BookingDate"}
     return f"""
 WITH a AS (
-  SELECT l_orderkey * 10 + l_linenumber AS ID, l_orderkey % 400 AS PatientPk, CAST(l_suppkey % 4 + 1 AS INTEGER) AS SiteCode,
-         'H' || CAST(l_orderkey % 400 AS VARCHAR) AS HtsNumber, l_linestatus AS TraceType,
+  SELECT l_orderkey * 10 + l_linenumber AS ID, l_orderkey AS PatientPk, CAST(l_suppkey % 4 + 1 AS INTEGER) AS SiteCode,
+         'H' || CAST(l_orderkey AS VARCHAR) AS HtsNumber, l_linestatus AS TraceType,
          CAST(l_shipdate AS DATE) AS TraceDate, CAST(date_trunc('month', l_shipdate) AS DATE) AS BookingDate,
          CASE l_linenumber % 3 WHEN 0 THEN 'NULL' WHEN 1 THEN 'null' ELSE l_returnflag END AS TraceOutcome,
          CAST(l_shipdate AS DATE) + CAST(l_partkey % 3 AS INTEGER) AS DateExtracted
@@ -2427,7 +2442,7 @@ scan AS (
   FROM a JOIN tm ON a.SiteCode = tm.SiteCode AND a.PatientPk = tm.PatientPk AND a.TraceType = tm.TraceType
                 AND a.BookingDate = tm.BookingDate AND CAST(a.DateExtracted AS DATE) = tm.MaxDateExtracted
                 AND a.ID = tm.MaxID
-  WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey % 400 = a.PatientPk
+  WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = a.PatientPk
                 AND CAST(o.o_custkey % 4 + 1 AS INTEGER) = a.SiteCode)),
 clean AS (
   SELECT SiteCode, PatientPk, HtsNumber, TraceType, TraceDate,
@@ -2436,9 +2451,9 @@ clean AS (
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='HtsNumber')} AS HtsNumberHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
 FROM clean x WHERE NOT EXISTS (SELECT 1 FROM lineitem t WHERE t.l_shipdate < TIMESTAMP '1995-06-01'
-  AND t.l_orderkey % 400 IS NOT DISTINCT FROM x.PatientPk
+  AND t.l_orderkey IS NOT DISTINCT FROM x.PatientPk
   AND CAST(t.l_suppkey % 4 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode
-  AND 'H' || CAST(t.l_orderkey % 400 AS VARCHAR) IS NOT DISTINCT FROM x.HtsNumber)"""
+  AND 'H' || CAST(t.l_orderkey AS VARCHAR) IS NOT DISTINCT FROM x.HtsNumber)"""
 
 
 @query("load_hts_partner_tracing", oracle=_p31_oracle())
@@ -2446,7 +2461,7 @@ def load_hts_partner_tracing(spark, sf):
     """The HTS partner-tracing load spec (P31) on the test tables: latest rule grouped by seven
     columns but joined on four, client existence, 'null' / 'NULL' sentinels, delta, digests."""
     spec, io = _p31_io(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== PrEP lab (P48), adverse events (P45), care termination
@@ -2533,12 +2548,12 @@ def _p45_extra():
     "CASE WHEN event_id % 5 = 0 THEN '' ELSE event_type END AS AdverseEvent",
     ["Severity", "AdverseEvent"], _TN_CREATED,
     "CASE WHEN Severity = '' THEN NULL ELSE Severity END AS Severity, "
-    "CASE WHEN AdverseEvent = '' THEN NULL ELSE AdverseEvent END AS AdverseEvent").replace("{joins}", _JOIN_CREATED))
+    "CASE WHEN AdverseEvent = '' THEN NULL ELSE AdverseEvent END AS AdverseEvent", with_number=True).replace("{joins}", _JOIN_CREATED))
 def load_prep_adverse_events(spark, sf):
     """The PrEP adverse-events load spec (P45) on the test tables: latest rule, patient existence,
     blank -> NULL, delta, digests."""
-    spec, io = _prep_job(spark, sf, "p45_adverse_events", "PrepAdverseEvents", _p45_extra())
-    return build_load(spec, io, AS_OF)
+    spec, io = _prep_job(spark, sf, "p45_adverse_events", "PrepAdverseEvents", _p45_extra(), with_number=True)
+    return _load(spec, io)
 
 
 def _p47_extra():
@@ -2563,7 +2578,7 @@ def load_prep_care_termination(spark, sf):
     """The PrEP care-termination load spec (P47) on the test tables: two latest rules ANDed,
     patient existence, blank -> NULL, delta, digests."""
     spec, io = _prep_job(spark, sf, "p47_care_termination", "PrepCareTerminations", _p47_extra())
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p48_extra():
@@ -2588,7 +2603,7 @@ def load_prep_lab(spark, sf):
     but joined on (patient, site), existence in PrEP patients by (site, patient, number), blank ->
     NULL, delta on (patient, site, number), digests."""
     spec, io = _prep_job(spark, sf, "p48_lab", "PrepLabs", _p48_extra(), with_number=True)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== depression (P09), allergies
@@ -2600,12 +2615,12 @@ def _p09_extra():
 @query("load_depression_screening", oracle=_ct_visit_oracle(
     "p09_depression_screening",
     "CAST(o_orderkey % 4 AS VARCHAR) AS PHQ9_1, o_orderpriority AS PHQ_9_rating",
-    ["PHQ9_1", "PHQ_9_rating"], "PHQ9_1, PHQ_9_rating"))
+    ["PHQ9_1", "PHQ_9_rating"], "PHQ9_1, PHQ_9_rating", patient_id=True))
 def load_depression_screening(spark, sf):
     """The depression-screening load spec (P09) on the test tables: patient / facility joins and
     filters, in-scan project map, delta on (site, patient, visit), digests."""
     spec, io = _ct_visit_job(spark, sf, "p09_depression_screening", "DepressionScreeningExtract", _p09_extra())
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p03_extra():
@@ -2653,7 +2668,7 @@ def load_allergies_chronic_illness(spark, sf):
     """The allergies / chronic-illness load spec (P03) on the test tables: onset-date window,
     severity recode, three lookups, delta on (site, patient, visit), digests."""
     spec, io = _p03_job(spark, sf)
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 # =============================================================== OVC (P18), EAC (P11), defaulter tracing
@@ -2663,12 +2678,12 @@ def _p18_extra():
 
 @query("load_ovc", oracle=_ct_visit_oracle(
     "p18_ovc", "CAST(o_orderdate AS DATE) - 30 AS OVCEnrollmentDate, o_orderstatus AS OVCExitReason",
-    ["OVCEnrollmentDate", "OVCExitReason"], "OVCEnrollmentDate, OVCExitReason"))
+    ["OVCEnrollmentDate", "OVCExitReason"], "OVCEnrollmentDate, OVCExitReason", patient_id=True))
 def load_ovc(spark, sf):
     """The OVC load spec (P18) on the test tables: patient / facility joins and filters, in-scan
     project map, delta on (site, patient, visit), digests."""
     spec, io = _ct_visit_job(spark, sf, "p18_ovc", "OvcExtract", _p18_extra())
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p11_extra():
@@ -2693,34 +2708,36 @@ def load_enhanced_adherence_counselling(spark, sf):
     follow-up date windows, delta on (site, patient, visit), digests."""
     spec, io = _ct_visit_job(spark, sf, "p11_enhanced_adherence_counselling", "EnhancedAdherenceCounsellingExtract",
                              _p11_extra())
-    return build_load(spec, io, AS_OF)
+    return _load(spec, io)
 
 
 def _p08_extra():
     k = F.col("o_orderkey")
     return {"TracingType": F.col("o_orderpriority"), "TracingOutcome": F.col("o_orderstatus"),
-            "AttemptNumber": (k % 3 + 1).cast("string")}
+            "AttemptNumber": (k % 3 + 1).cast("string"), "VisitDate": F.col("o_orderdate"),
+            "BookingDate": F.col("o_orderdate") + F.make_interval(days=F.lit(7))}
 
 
 @query("load_defaulter_tracing", oracle=_ct_visit_oracle(
     "p08_defaulter_tracing",
-    "o_orderpriority AS TracingType, o_orderstatus AS TracingOutcome, CAST(o_orderkey % 3 + 1 AS VARCHAR) AS AttemptNumber",
-    ["TracingType", "TracingOutcome", "AttemptNumber"], "TracingType, TracingOutcome, AttemptNumber",
-    project_map=False))
+    "o_orderpriority AS TracingType, o_orderstatus AS TracingOutcome, CAST(o_orderkey % 3 + 1 AS VARCHAR) AS AttemptNumber, "
+    "CAST(o_orderdate AS DATE) + 7 AS BookingDate",
+    ["TracingType", "TracingOutcome", "AttemptNumber", "BookingDate"],
+    "TracingType, TracingOutcome, AttemptNumber, BookingDate", project_map=False, patient_id=True))
 def load_defaulter_tracing(spark, sf):
     """The defaulter-tracing load spec (P08) on the test tables: patient / facility joins and
     filters (no in-scan project map in this text), delta on (site, patient, visit), digests."""
-    spec, io = _ct_visit_job(spark, sf, "p08_defaulter_tracing", "DefaulterTracingExtract", _p08_extra())
-    return build_load(spec, io, AS_OF)
+    spec, io = _ct_visit_job(spark, sf, "p08_defaulter_tracing", "DefaulterTracingExtract", _p08_extra(),
+                             _twice_a_day)
+    return _load(spec, io)
 
 
 # =============================================================== Covid
 def _p07_extra():
     k = F.col("o_orderkey")
-    od = F.to_date("o_orderdate")
-    return {"Covid19AssessmentDate": F.date_sub(od, (k % 12000).cast("int")),
-            "DateGivenFirstDose": F.date_add(od, (k % 800).cast("int")),
-            "DateGivenSecondDose": F.date_add(od, (k % 800 + 30).cast("int")),
+    at = lambda days: F.col("o_orderdate") + F.make_interval(days=days.cast("int"))
+    return {"Covid19AssessmentDate": at(-(k % 12000)), "DateGivenFirstDose": at(k % 800),
+            "DateGivenSecondDose": at(k % 800 + 30), "AdmissionEndDate": at(k % 3),
             "VaccinationStatus": F.when(k % 3 == 0, F.lit("Partial")).when(k % 3 == 1, F.lit("Fully - Details not Available"))
             .otherwise(F.lit("Not Vaccinated"))}
 
@@ -2730,17 +2747,18 @@ def _p07_extra():
     "CAST(o_orderdate AS DATE) - CAST(o_orderkey % 12000 AS INTEGER) AS Covid19AssessmentDate, "
     "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 800 AS INTEGER) AS DateGivenFirstDose, "
     "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 800 + 30 AS INTEGER) AS DateGivenSecondDose, "
+    "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS AdmissionEndDate, "
     "CASE o_orderkey % 3 WHEN 0 THEN 'Partial' WHEN 1 THEN 'Fully - Details not Available' ELSE 'Not Vaccinated' END "
     "AS VaccinationStatus",
-    ["Covid19AssessmentDate", "DateGivenFirstDose", "DateGivenSecondDose", "VaccinationStatus"],
+    ["Covid19AssessmentDate", "DateGivenFirstDose", "DateGivenSecondDose", "AdmissionEndDate", "VaccinationStatus"],
     ", ".join(f"CASE WHEN {c} < DATE '1980-01-01' OR {c} > DATE '2000-12-31' THEN DATE '1900-01-01' ELSE {c} END AS {c}"
               for c in ("Covid19AssessmentDate", "DateGivenFirstDose", "DateGivenSecondDose"))
     + ", CASE VaccinationStatus WHEN 'Fully - Details not Available' THEN 'Fully Vaccinated' "
       "WHEN 'Partial' THEN 'Partially Vaccinated' WHEN 'Partial - Details not Available' THEN 'Partially Vaccinated' "
-      "ELSE VaccinationStatus END AS VaccinationStatus",
-    project_map=False))
+      "ELSE VaccinationStatus END AS VaccinationStatus, AdmissionEndDate",
+    project_map=False, patient_id=True))
 def load_covid(spark, sf):
     """The Covid load spec (P07) on the test tables: three date windows, vaccination-status
     recode, delta on (site, patient, visit), digests."""
-    spec, io = _ct_visit_job(spark, sf, "p07_covid", "CovidExtract", _p07_extra())
-    return build_load(spec, io, AS_OF)
+    spec, io = _ct_visit_job(spark, sf, "p07_covid", "CovidExtract", _p07_extra(), _twice_a_day)
+    return _load(spec, io)

@@ -59,7 +59,7 @@ FROM lineitem li LEFT JOIN {_FLAG_LOOKUP_SQL} a ON li.l_returnflag = a.source_na
 LEFT JOIN {_FLAG_LOOKUP_SQL} b ON li.l_linestatus = b.source_name
 LEFT JOIN {_FLAG_LOOKUP_SQL} c ON li.l_returnflag = c.source_name""")
 def lookup_multi_alias(spark, sf):
-    """One lookup joined under three aliases (one broadcast exchange, reused)."""
+    """One lookup joined under three aliases; it is built once and read by every alias."""
     li = table(spark, sf, "lineitem")
     lk = (li.select(F.col("l_returnflag").alias("source_name"),
                     F.concat(F.lit("flag-"), F.lower("l_returnflag")).alias("target_name"))
@@ -265,11 +265,10 @@ def asof_last_event(spark, sf):
 SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey, o_orderstatus
         ORDER BY o_orderdate DESC, o_orderkey DESC) AS rank FROM orders""")
 def window_row_number(spark, sf):
-    """row_number() over (patient keys) ordered by date desc (with a tie-break), computed
-    over key ranges so a hot key is numbered by several tasks."""
-    from wardflow.operators.latest import row_number_spread
+    """row_number() over (patient keys) ordered by date desc (with a tie-break)."""
+    from wardflow.operators.latest import row_number
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    return row_number_spread(o, ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"]) \
+    return row_number(o, ["o_custkey", "o_orderstatus"], ["o_orderdate", "o_orderkey"]) \
         .select("o_orderkey", "o_custkey", F.col("rank").cast("long").alias("rank"))
 
 

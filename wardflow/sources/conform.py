@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _typed(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    if isinstance(target, T.DateType) and isinstance(source, T.StringType):
+        return F.to_date(c.try_cast("timestamp_ntz"))
+    return c.try_cast(target)
+
+
 def conform(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None,
-            missing_as_null: bool = True) -> DataFrame:
-    """Project to ``schema`` (names resolved case-insensitively) with ANSI-safe casts.
+            missing_as_null: bool = False, misfit: str = "raise") -> DataFrame:
+    """Project to ``schema`` (names resolved case-insensitively), typed.
 
-    Values that do not fit the target type become NULL (``try_cast``); text
-    longer than ``lengths[col]`` is cut to that length, as a ``varchar(n)``
-    column would refuse it.
+    A value that does not fit its type, or is longer than ``lengths[column]``, stops the
+    job (``misfit="raise"``), as the target's insert would; with
+    ``misfit="reject"`` it becomes NULL and the number of such values of a row is kept
+    in a column ``_misfits``, so that rejected rows can be counted and set
+    aside.  Text is never cut.  A column the input lacks is an error unless
+    ``missing_as_null``.
     """
+    if misfit not in ("raise", "reject"):
+        raise ValueError(misfit)
     by_lower = {c.lower(): c for c in df.columns}
-    cols = []
+    cols, faults = [], []
     for f in schema.fields:
         src = by_lower.get(f.name.lower())
         if src is None:
@@ -24,13 +35,19 @@ def conform(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None
                 raise KeyError(f.name)
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        c = F.col(f"`{src}`")
-        if isinstance(f.dataType, T.DateType):
-            c = F.to_date(c.cast("string").try_cast("timestamp_ntz")) if df.schema[src].dataType == T.StringType() \
-                else c.try_cast("date")
-        else:
-            c = c.try_cast(f.dataType)
+        raw = F.col(f"`{src}`")
+        typed = _typed(raw, df.schema[src].dataType, f.dataType)
+        bad = raw.isNotNull() & typed.isNull()
         if lengths and f.name in lengths:
-            c = F.substring(c, 1, lengths[f.name])
-        cols.append(c.alias(f.name))
+            bad = bad | (F.length(typed.cast("string")) > lengths[f.name])
+        bad = F.coalesce(bad, F.lit(False))
+        if misfit == "raise":
+            said = F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), raw.cast("string"))
+            typed = F.when(bad, F.raise_error(said).cast(f.dataType)).otherwise(typed)
+        else:
+            typed = F.when(~bad, typed)
+            faults.append(bad.cast("int"))
+        cols.append(typed.alias(f.name))
+    if misfit == "reject":
+        cols.append((sum(faults[1:], faults[0]) if faults else F.lit(0)).alias("_misfits"))
     return df.select(*cols)

@@ -4,12 +4,14 @@ New extract files landing in the form's folder are the micro-batches; each
 batch runs the spec (latest rule, parents, rules, lookups, delta against the
 *current* target, digests) in ``foreachBatch`` and appends the new rows.
 
-Semantics equal running the batch load each time new files land: the target
-is append-only and the anti join drops keys that are already loaded.  A batch
-that is retried after a failure re-reads the target, so rows it had already
-appended are found and not appended twice – the sink is idempotent without a
-transaction log.  The stream's checkpoint lives in the shared checkpoint
-folder, never on a machine-local path.
+Limits.  The latest rule sees the rows of one micro-batch, so a batch load over
+all files can pick another row where versions of a key arrive in different
+batches.  The append of a batch is committed by Spark's file committer, which
+moves the files of a finished job one by one: if the driver dies while it moves
+them, the retry takes the keys already moved for loaded, and their other rows
+in the batch are not appended.  Where that matters, point ``target_path`` at a folder with
+an atomic committer, or reload the keys of the failed batch.  The stream's
+checkpoint lives in the shared checkpoint folder, never on a machine-local path.
 """
 
 from __future__ import annotations
@@ -19,18 +21,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardflow.plans.run import FrameIO, build_load
+from wardflow.plans.run import FrameIO, build_load, read_if_present
 from wardflow.plans.spec import LoadSpec
 from wardflow.session import scratch_path
 
 
-def _partition_columns(path: str, spark: SparkSession) -> set[str]:
-    """Hive-style partition columns (``delivery=1``) are not part of the extract."""
-    df = spark.read.parquet(path)
-    files = df.inputFiles()[:1]
-    return {seg.split("=", 1)[0] for f in files for seg in f.split("/") if "=" in seg}
-
-
 def stream_load(spark: SparkSession, spec: LoadSpec, source_path: str, target_path: str,
                 as_of: dt.date, static_tables: dict[str, DataFrame] | None = None,
                 checkpoint: str | None = None, available_now: bool = True,
@@ -45,7 +40,6 @@ def stream_load(spark: SparkSession, spec: LoadSpec, source_path: str, target_pa
     target.
     """
     schema = spark.read.parquet(source_path).schema
-    schema = type(schema)([f for f in schema.fields if f.name not in _partition_columns(source_path, spark)])
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -54,10 +48,7 @@ def stream_load(spark: SparkSession, spec: LoadSpec, source_path: str, target_pa
     def read_target():
         if target_reader is not None:
             return target_reader()
-        try:
-            return spark.read.parquet(target_path)
-        except Exception:  # noqa: BLE001 – nothing loaded yet
-            return None
+        return read_if_present(spark, target_path)
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         tables = dict(static_tables or {})
