@@ -1,15 +1,16 @@
 """Token ids of a byte-level BPE vocabulary, with a cache of text units.
 
 The pre-tokenizer never joins characters across a single space or newline that
-stands between two visible characters, so such a text is cut there by plain
-string splits and each unit is encoded once by the ``tokenizers`` library.  All
-other texts are cut by the pre-tokenizer's own pattern.
+stands between two visible characters, so a text is cut there by plain string
+splits, and the ids of each chunk are looked up.  Texts with other white space
+are cut by the pre-tokenizer's own pattern.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -17,13 +18,13 @@ import regex
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_UNITS = 600_000
+CACHE_WORDS = 900_000
+CACHE_CHUNKS = 600_000
 # fixed values: the pre-tokenizer's pattern, \s spelled out
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PATTERN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-#: adjoining white space, other white space than blank and newline, white space at an end, NUL (a mark below)
-_ODD = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z|\x00")
+_BLANK = re.compile(f"[{_S}]|\\s")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -31,50 +32,92 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def units(text: str) -> list[str]:
-    """Keys of the units of a text: blank units go without their blank, \\0 marks a unit that has none."""
-    if _ODD.search(text):
-        return ["\0" + p for p in PATTERN.findall(text)]
-    if not text:
-        return []
+def chunks(text: str) -> list[str]:
+    """Keys of the text cut at single blanks and before newlines; \0 marks the first, which has no blank before it."""
     out = text.replace("\n", " \n").split(" ")
     out[0] = "\0" + out[0]
     return out
 
 
-def unit_text(key: str) -> str:
+def is_odd(key: str) -> bool:
+    """Whether the cut beside this chunk may not be one of the pre-tokenizer's: blanks that adjoin, or others."""
+    body = key[1:] if key[:1] in ("\0", "\n") else key
+    return not body or bool(_BLANK.search(body))
+
+
+def chunk_text(key: str) -> str:
     """The text that a key stands for."""
     return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
 
 
+def pieces(text: str) -> list[str]:
+    """The pre-tokenizer's words."""
+    return PATTERN.findall(text)
+
+
+def byte_of_char() -> dict[str, int]:
+    """Fixed by the vocabulary format: the printable character that stands for each byte, reversed."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class TokenIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes, special tokens recognised as the library does."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, special tokens recognised as the library does.
+
+    Words are encoded once by the library's model and kept, as are the chunks
+    made of them, up to a bound.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self._library = Tokenizer.from_file(path)
+        library = Tokenizer.from_file(path)
+        self._model = library.model
+        self._chars = {b: c for c, b in byte_of_char().items()}
         self._special = {t.content: np.array([i], "<u4").tobytes()
-                         for i, t in self._library.get_added_tokens_decoder().items()}
+                         for i, t in library.get_added_tokens_decoder().items()}
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") \
             if self._special else None
-        self._known: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes | None] = {}
+
+    def _word(self, word: str) -> bytes:
+        ids = self._words.get(word)
+        if ids is None:
+            if len(self._words) >= CACHE_WORDS:
+                self._words.clear()
+            spelled = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._chars)
+            ids = self._words[word] = np.array([t.id for t in self._model.tokenize(spelled)], "<u4").tobytes()
+        return ids
+
+    def _by_words(self, text: str) -> bytes:
+        return b"".join(map(self._word, pieces(text)))
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        if "\0" in text:
+            return self._by_words(text)
+        keys, known = chunks(text), self._chunks
+        for k in set(keys).difference(known):
+            known[k] = None if is_odd(k) else self._by_words(chunk_text(k))
+        try:
+            return b"".join(map(known.__getitem__, keys))
+        except TypeError:  # an odd chunk
+            return self._by_words(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
+        out = []
         for t in texts:
+            if len(self._chunks) > CACHE_CHUNKS:
+                self._chunks.clear()
             if self._split and self._split.search(t):
-                parts = [p for p in self._split.split(t) if p]
-                cut.append([p if p in self._special else units(p) for p in parts])
+                out.append(b"".join(self._special.get(p) or self._plain(p) for p in self._split.split(t) if p))
             else:
-                cut.append([units(t)])
-        seen = {u for parts in cut for p in parts if not isinstance(p, str) for u in p}
-        if len(self._known) > CACHE_UNITS:
-            self._known.clear()
-        new = list(seen.difference(self._known))
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            ids = self._library.encode_batch_fast([unit_text(u) for u in part], add_special_tokens=False)
-            self._known.update((u, np.array(e.ids, "<u4").tobytes()) for u, e in zip(part, ids, strict=True))
-        look = self._known.__getitem__
-        return [b"".join(self._special[p] if isinstance(p, str) else b"".join(map(look, p)) for p in parts)
-                for parts in cut]
+                out.append(self._plain(t))
+        return out
+
+
+@lru_cache(maxsize=2)
+def token_ids(path: str) -> TokenIds:
+    """One encoder for all tasks of a Python worker."""
+    return TokenIds(path)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.bpe import TokenIds, vocabulary_path
+from wardflow.llm.bpe import token_ids, vocabulary_path
 from wardflow.llm.common import materialize, read_table
 
 WINDOW = 2048
@@ -92,7 +92,7 @@ def pack(docs: DataFrame, keep: list[str], text_col: str = "text", window: int =
     doc_type = source.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, state, part = TokenIds(path), OpenWindows(window, open_windows), TaskContext.get().partitionId()
+        encoder, state, part = token_ids(path), OpenWindows(window, open_windows), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
 
         def frame(pieces: list[tuple], closed: bool) -> pd.DataFrame:

@@ -16,13 +16,14 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.bpe import PATTERN, unit_text, units, vocabulary_path
+from wardflow.llm.bpe import PATTERN, byte_of_char, chunk_text, chunks, is_odd, vocabulary_path
 from wardflow.llm.common import read_table
 
 LIMIT = 512
@@ -31,20 +32,13 @@ CACHE_UNITS = 800_000
 _BLANK = re.compile("[\t-\r \x85\xa0  -     　]+")
 
 
-def _byte_of_char() -> dict[str, int]:
-    """The printable character that stands for each byte in the vocabulary file, reversed."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class PrefixCounter:
     """Token counts of prefixes under one byte-level BPE vocabulary file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        byte = _byte_of_char()
+        byte = byte_of_char()
         raw = lambda s: bytes(byte[c] for c in s)
         self.vocab = {raw(s): i for s, i in spec["model"]["vocab"].items() if all(c in byte for c in s)}
         self.token = {i: t for t, i in self.vocab.items()}
@@ -63,7 +57,7 @@ class PrefixCounter:
         self.special = frozenset(special)
         self._cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self._fits: dict[int, bool] = {}
-        self._totals: dict[str, int] = {}
+        self._totals: dict[str, int | None] = {}
 
     def _merge(self, word: bytes) -> list[bytes]:
         parts = [word[i:i + 1] for i in range(len(word))]
@@ -204,40 +198,51 @@ class PrefixCounter:
         if text:
             out[-1] = base + self._plain_total(text)
 
-    def unit_totals(self, keys: list[str]) -> list[int]:
-        totals = self._totals
-        for k in keys:
-            if k not in totals:
-                totals[k] = self._plain_total(unit_text(k))
-        return [totals[k] for k in keys]
+    def unit_totals(self, text: str) -> tuple[list[int], list[str]]:
+        """Counts and texts of the parts of a text between safe cuts."""
+        if "\0" not in text:
+            keys, totals = chunks(text), self._totals
+            for k in set(keys).difference(totals):
+                totals[k] = None if is_odd(k) else self._plain_total(chunk_text(k))
+            counts = [totals[k] for k in keys]
+            if None not in counts:
+                return counts, keys
+        words = PATTERN.findall(text)
+        return [self._word_total(w) for w in words], ["\0" + w for w in words]
 
     def total(self, text: str) -> int:
-        """The table's last entry, from running sums over units only."""
+        """The table's last entry, from running sums over parts only."""
         parts = self._cut.split(text) if self._cut and self._cut.search(text) else [text]
-        return sum(1 if p in self.special else sum(self.unit_totals(units(p))) for p in parts if p)
+        return sum(1 if p in self.special else sum(self.unit_totals(p)[0]) for p in parts if p)
 
     def longest_prefix(self, text: str, limit: int) -> int:
         """Code points of the longest prefix of at most ``limit`` tokens."""
+        if not text:
+            return 0
         if self._cut and self._cut.search(text):
             return int(np.flatnonzero(self.counts(text) <= limit)[-1])
-        keys = units(text)
-        sums = np.cumsum([0, *self.unit_totals(keys)])
+        counts, keys = self.unit_totals(text)
+        sums = np.cumsum([0, *counts])
         if sums[-1] <= limit:
             return len(text)
-        # words of one token at least: behind the first unit that ends over the limit all counts are higher
+        # parts of one token at least: behind the first that ends over the limit all counts are higher
         over = int(np.searchsorted(sums, limit, side="right"))
-        # the units before it, and one more on either side for white space at the cut
-        stop = sum(len(unit_text(k)) for k in keys[:over + 1])
-        start = sum(len(unit_text(k)) for k in keys[:max(0, over - 2)])
-        while start and text[start - 1].isspace():
+        # the parts before it, and one more on either side for white space at the cut
+        stop = sum(len(chunk_text(k)) for k in keys[:over + 1])
+        start = sum(len(chunk_text(k)) for k in keys[:max(0, over - 2)])
+        while start and (text[start - 1].isspace() or _BLANK.match(text[start - 1])):
             start -= 1
-        if start and any(c.isspace() for c in text[max(0, start - 1):start]):
-            start = 0
-        begin = self.total(text[:start])
+        begin = self.total(text[:start]) if start else 0
         own = begin + self.counts(text[start:stop])
         return start + int(np.flatnonzero(own <= limit)[-1])
 
 
+@lru_cache(maxsize=2)
+def prefix_counter(path: str) -> PrefixCounter:
+    """One counter for all tasks of a Python worker."""
+    return PrefixCounter(path)
+
+
 def prefix_counts(docs: DataFrame, text_col: str = "text", out_col: str = "prefix_tokens",
                   vocabulary: str | None = None) -> DataFrame:
     """All input columns and ``out_col``: array of the token counts of every prefix, by code points from 0.
@@ -249,7 +254,7 @@ def prefix_counts(docs: DataFrame, text_col: str = "text", out_col: str = "prefi
 
     @F.pandas_udf("array<int>")
     def table(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = PrefixCounter(path)
+        counter = prefix_counter(path)
         for texts in batches:
             out = []
             for t in texts:
@@ -265,7 +270,7 @@ def budget(text: Column, limit: int = LIMIT, vocabulary: str | None = None) -> C
 
     @F.pandas_udf("n_tokens long, fits_chars long")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        counter = PrefixCounter(path)
+        counter = prefix_counter(path)
         for texts in batches:
             rows = []
             for t in texts:
