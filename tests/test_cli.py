@@ -50,6 +50,10 @@ def test_cli_monthly_outcomes(spark):
     assert got[("P1", "2020-01")] == "V" and got[("P1", "2020-06")] == "uL"
     assert got[("P2", "2020-04")] == "NV" and got[("P2", "2020-05")] == "D"
     assert ("P2", "2020-02") not in got
+    # a rebuild over a shorter range leaves no month of the longer one
+    main(["outcomes", "--target-dir", os.path.join(base, "ods"), "--out", out,
+          "--start", "2020-03-01", "--end", "2020-04-30"])
+    assert {str(r.AsOfDate)[:7] for r in spark.read.parquet(out).collect()} == {"2020-03", "2020-04"}
 
 
 def test_cli_repair_dates(spark):

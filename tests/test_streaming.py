@@ -43,3 +43,13 @@ def test_stream_two_deliveries_partitioned_target(spark, sf_small):
                                       {"visits": first}), dt.date(2024, 1, 1))
     want = first.unionByName(second).select("SiteCode", "PatientPK", "VisitID")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_stream_keeps_a_layout_column_of_the_contract(spark, tmp_path):
+    """An extract laid out by SiteCode=... folders keeps its SiteCode."""
+    src, tgt = str(tmp_path / "src"), str(tmp_path / "tgt")
+    rows = [(1, 11, 100, 1, dt.date(2023, 1, 1), "50"), (2, 12, 101, 2, dt.date(2023, 1, 2), "60")]
+    df = spark.createDataFrame(rows, "ID int, SiteCode int, PatientPK int, VisitID int, VisitDate date, Weight string")
+    df.write.partitionBy("SiteCode").parquet(src)
+    stream_load(spark, SPEC, src, tgt, dt.date(2024, 1, 1), checkpoint=str(tmp_path / "ck")).awaitTermination()
+    assert sorted(r.SiteCode for r in spark.read.parquet(tgt).collect()) == [11, 12]

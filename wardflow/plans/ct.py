@@ -90,8 +90,8 @@ SPECS = [
        derived=(("LoadDate", "CAST({as_of} AS TIMESTAMP_NTZ)"),),
        rules=(d("AdverseEventStartDate", "1980-01-01"), d("AdverseEventEndDate", "1980-01-01"),
               rc("Severity", V.AE_SEVERITY), rc("AdverseEventActionTaken", V.AE_ACTION),
-              rc("AdverseEventCause", V.AE_CAUSE), rc("AdverseEventClinicalOutcome", V.AE_OUTCOME),
-              rc("Project", V.PROJECT_IN_SCAN)),
+              rc("AdverseEventCause", V.AE_CAUSE), rc("AdverseEventClinicalOutcome", V.AE_OUTCOME)),
+       select_rules=(rc("Severity", {"Mild": ["1"], "Moderate": ["2"], "Severe": ["3"]}),),
        lookups=(Lookup("AdverseEventRegimen", "lkp_regimen"), Lookup("AdverseEvent", "lkp_adverse_events"))),
     ct("p03", "allergies_chronic_illness", "AllergiesChronicIllnessExtract", "CT_AllergiesChronicIllness",
        "ID,PatientID,PatientPK,SiteCode,FacilityName,VisitID,VisitDate,Emr,Project,ChronicIllness,ChronicOnsetDate,"

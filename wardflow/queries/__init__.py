@@ -40,5 +40,5 @@ def query(name: str, oracle: str | None = None):
 
 
 def all_queries() -> dict[str, Query]:
-    from wardflow.queries import basic, cleaning, composite, relational  # noqa: F401
+    from wardflow.queries import basic, cleaning, composite, forms, relational  # noqa: F401
     return dict(REGISTRY)

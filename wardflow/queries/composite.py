@@ -2151,7 +2151,7 @@ def _p02_io(spark, sf):
         pk.alias("PatientId"), sd.alias("VisitDate"), start.alias("AdverseEventStartDate"),
         F.date_add(start, 10).alias("AdverseEventEndDate"),
         F.when(ln % 4 == 0, F.lit("Mild|Mild|Mild")).when(ln % 4 == 1, F.lit("Fatal"))
-         .when(ln % 4 == 2, F.lit("Moderate|Mild")).otherwise(F.lit("")).alias("Severity"),
+         .when(ln % 4 == 2, F.lit("Moderate|Mild")).when(ln == 7, F.lit("2")).otherwise(F.lit("")).alias("Severity"),
         F.when(pk % 5 == 0, F.lit("efavirenz")).when(pk % 5 == 1, F.lit("isoniazid efavirenz"))
          .when(pk % 5 == 2, F.lit("INH")).when(pk % 5 == 3, F.lit("")).otherwise(F.lit("rash")).alias("AdverseEventCause"),
         F.when(ln % 4 == 0, F.lit("STOP|STOP")).when(ln % 4 == 1, F.lit("Dose reduced"))
@@ -2187,8 +2187,8 @@ WITH a AS (
   SELECT l_partkey AS PatientRef, CAST(l_shipdate AS DATE) AS VisitDate,
          CAST(l_shipdate AS DATE) - CAST(l_orderkey % 12000 AS INTEGER) AS AdverseEventStartDate,
          CAST(l_shipdate AS DATE) - CAST(l_orderkey % 12000 AS INTEGER) + 10 AS AdverseEventEndDate,
-         CASE l_linenumber % 4 WHEN 0 THEN 'Mild|Mild|Mild' WHEN 1 THEN 'Fatal' WHEN 2 THEN 'Moderate|Mild' ELSE '' END
-           AS Severity,
+         CASE WHEN l_linenumber = 7 THEN 'Moderate' WHEN l_linenumber % 4 = 0 THEN 'Mild|Mild|Mild'
+              WHEN l_linenumber % 4 = 1 THEN 'Fatal' WHEN l_linenumber % 4 = 2 THEN 'Moderate|Mild' ELSE '' END AS Severity,
          CASE l_partkey % 5 WHEN 0 THEN 'efavirenz' WHEN 1 THEN 'isoniazid efavirenz' WHEN 2 THEN 'INH' WHEN 3 THEN ''
               ELSE 'rash' END AS AdverseEventCause,
          CASE l_linenumber % 4 WHEN 0 THEN 'STOP|STOP' WHEN 1 THEN 'Dose reduced' WHEN 2 THEN 'Select' ELSE '' END
@@ -2196,7 +2196,7 @@ WITH a AS (
          CASE WHEN l_partkey % 2 = 0 THEN 'Recovered/Resolved' ELSE 'x' END AS AdverseEventClinicalOutcome,
          l_returnflag AS AdverseEventRegimen, l_linestatus AS AdverseEvent,
          'Emr' || CAST(l_linenumber AS VARCHAR) AS EMR,
-         CASE WHEN l_linenumber % 2 = 0 THEN 'Kenya HMIS II' ELSE 'Own' END AS Project
+         CASE WHEN l_linenumber % 2 = 0 THEN 'I-TECH' ELSE 'Own' END AS Project
   FROM lineitem),
 scan AS (
   SELECT DISTINCT 'CCC' || CAST(c.c_custkey AS VARCHAR) AS PatientID, c.c_custkey AS PatientPK,
