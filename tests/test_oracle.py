@@ -21,6 +21,8 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
     if name not in ORACLES:
         assert len(pdf.columns) > 0
         return
+    if name.startswith("load_"):
+        assert len(pdf), "a load that returns nothing proves nothing"
     why = compare(pdf, duck.execute(ORACLES[name]).df())
     assert why is None, why
     assert type_differences(df.schema, duck.sql(ORACLES[name])) == {}

@@ -947,7 +947,7 @@ def _p24_io(spark, sf):
         F.concat(F.lit("NUPI"), ck.cast("string")).alias("NUPI"), F.lit("KenyaEMR").alias("Emr"),
         F.lit("Other").alias("Project"), F.lit("KP").alias("PopulationType"))
     nk = F.col("n_nationkey")
-    facility = n.select(nk.alias("Id"), (F.floor(nk / 5) * 100).alias("Code"), F.col("n_name").alias("Name"),
+    facility = n.select(nk.alias("Id"), (F.floor(nk / 5) * 100).cast("int").alias("Code"), F.col("n_name").alias("Name"),
                         F.when(nk % 5 == 4, F.lit(1)).when(nk % 5 != 3, F.lit(0)).alias("Voided"))
     marital = c.select(F.when(ck % 4 == 0, F.lit("M")).when(ck % 4 == 1, F.lit("S")).alias("Source_MaritalStatus"),
                        F.when(ck % 4 == 0, F.lit("Married")).when(ck % 4 == 1, F.lit("Single"))
@@ -958,7 +958,7 @@ def _p24_io(spark, sf):
         F.col("c_mktsegment").alias("Source_Regimen"), F.lit("First line").alias("Target_Regimen")).distinct()
     source = c.filter(ck % 3 == 0).select(F.lit("VCT").alias("source_name"),
                                           F.lit("VCT Centre").alias("target_name")).distinct()
-    loaded = (c.filter(ck < 300).select((F.floor(F.col("c_nationkey") / 5) * 100).alias("SiteCode"),
+    loaded = (c.filter(ck % 3 == 1).select((F.floor(F.col("c_nationkey") / 5) * 100).cast("int").alias("SiteCode"),
                                         F.floor(ck / 3).cast("long").alias("PatientPK")))
     io = FrameIO({"PatientExtract": pat, "Facility": facility, "lkp_marital_status": marital,
                   "lkp_education_level": edu, "lkp_regimen_line_map": regimen, "lkp_patient_source": source},
@@ -1020,7 +1020,7 @@ clean AS (
     ON s.PreviousARTExposure = lr.k
   LEFT JOIN (SELECT DISTINCT 'VCT' AS k, 'VCT Centre' AS t FROM customer WHERE c_custkey % 3 = 0) ls
     ON s.PatientSource = ls.k),
-tgt AS (SELECT c_nationkey // 5 * 100 AS SiteCode, c_custkey // 3 AS PatientPK FROM customer WHERE c_custkey < 300)
+tgt AS (SELECT c_nationkey // 5 * 100 AS SiteCode, c_custkey // 3 AS PatientPK FROM customer WHERE c_custkey % 3 = 1)
 SELECT {final}, {utf16.format(c='PatientID')} AS PatientIDHash, {utf16.format(c='PatientPK')} AS PatientPKHash,
        {utf16.format(c='NUPI')} AS NUPIHash
 FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
@@ -1081,7 +1081,7 @@ def _p01_io(spark, sf):
                .withColumn("target_name", F.concat(F.lit("REG-"), F.substring("source_name", 1, 1))))
     src_lkp = o.filter(F.col("o_orderkey") % 2 == 0).select(
         F.lit("VCT").alias("source_name"), F.lit("VCT Centre").alias("target_name")).distinct()
-    loaded = c.filter(F.col("c_custkey") < 500).select(
+    loaded = c.filter(F.col("c_custkey") % 3 == 1).select(
         F.col("c_custkey").alias("PatientPK"), (F.col("c_nationkey") * 100).alias("SiteCode"))
     io = FrameIO({"PatientArtExtract": form, "PatientExtract": patient, "Facility": facility,
                   "lkp_exit_reason": exit_lkp, "lkp_regimen": reg_lkp, "lkp_patient_source": src_lkp},
@@ -1165,7 +1165,7 @@ std AS (
   LEFT JOIN reg r3 ON x.LastRegimen = r3.s
   LEFT JOIN (SELECT DISTINCT 'VCT' AS s, 'VCT Centre' AS t FROM orders WHERE o_orderkey % 2 = 0) ps
     ON x.PatientSource = ps.s),
-tgt AS (SELECT c_custkey AS PatientPK, c_nationkey * 100 AS SiteCode FROM customer WHERE c_custkey < 500)
+tgt AS (SELECT c_custkey AS PatientPK, c_nationkey * 100 AS SiteCode FROM customer WHERE c_custkey % 3 = 1)
 SELECT {final}, {utf16.format(c='PatientID')} AS PatientIDHash, {utf16.format(c='PatientPK')} AS PatientPKHash
 FROM std x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.PatientPK IS NOT DISTINCT FROM x.PatientPK
   AND t.SiteCode IS NOT DISTINCT FROM x.SiteCode)"""
@@ -1188,7 +1188,7 @@ _UTF16_SQL = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHA
 def _null_cols(spec, have):
     """Contract columns: present ones by name (case-insensitive, as both engines resolve
     them), missing ones as typed NULLs (dates where a date rule types them)."""
-    dated = {r.column for r in spec.rules if r.kind == "date"}
+    dated = {r.column for r in spec.rules if r.kind == "date"} | {c for c, e in spec.select if e.endswith("AS DATE)")}
     low = {h.lower() for h in have}
 
     def one(c):
@@ -1381,7 +1381,7 @@ def _p12_io(spark, sf):
          .alias("County"), F.lit(None).cast("string").alias("SubCounty"),
         F.when(F.col("s_acctbal") > 5000, F.lit("KenyaEMR")).otherwise(F.lit("IQCare")).alias("EMR"),
         F.lit("Yes").alias("_3PM"), F.lit("Yes").alias("TB"), F.lit("Live").alias("IL_Status"))
-    loaded = s.filter(F.col("s_suppkey") < 40).select((F.col("s_suppkey") + 10000).cast("string").alias("MFL_Code"))
+    loaded = s.filter(F.col("s_suppkey") % 3 == 1).select((F.col("s_suppkey") + 10000).cast("string").alias("MFL_Code"))
     return spec, FrameIO({"ALL_EMRSites": sites}, {spec.target: loaded})
 
 
@@ -1396,7 +1396,7 @@ WITH s AS (
          CASE WHEN s_acctbal > 5000 THEN 'KenyaEMR' ELSE 'IQCare' END AS EMR
   FROM supplier)
 SELECT {_null_cols(spec, have)} FROM s
-WHERE MFL_Code <> '' AND NOT EXISTS (SELECT 1 FROM supplier t WHERE t.s_suppkey < 40
+WHERE MFL_Code <> '' AND NOT EXISTS (SELECT 1 FROM supplier t WHERE t.s_suppkey % 3 = 1
   AND CAST(t.s_suppkey + 10000 AS VARCHAR) IS NOT DISTINCT FROM s.MFL_Code)"""
 
 
@@ -1428,7 +1428,7 @@ def _p49_io(spark, sf):
          .when(ck % 7 == 3, F.lit("KIAMBU''")).otherwise(F.col("c_mktsegment")).alias("County"),
         F.when(ck % 8 == 0, F.lit("")).otherwise(F.lit("Kisumu")).alias("SubCounty"),
         F.lit("KenyaEMR").alias("Emr"))
-    loaded = c.filter(ck < 200).select(F.floor(ck / 2).cast("long").alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"))
+    loaded = c.filter(ck % 3 == 1).select(F.floor(ck / 2).cast("long").alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"))
     return spec, FrameIO({"PrepPatients": form}, {spec.target: loaded})
 
 
@@ -1470,7 +1470,7 @@ clean AS (
   FROM scan)
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PrepNumber')} AS PrepNumberHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
-FROM clean x WHERE NOT EXISTS (SELECT 1 FROM customer t WHERE t.c_custkey < 200
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM customer t WHERE t.c_custkey % 3 = 1
   AND t.c_custkey // 2 IS NOT DISTINCT FROM x.PatientPk AND t.c_nationkey + 1 IS NOT DISTINCT FROM x.SiteCode)"""
 
 
@@ -1596,7 +1596,7 @@ def _p06_io(spark, sf):
         (k + 100000).alias("ContactPatientPK"))
     patient, facility = _ct_parents(spark, sf)
     c = table(spark, sf, "customer")
-    loaded = c.filter(F.col("c_custkey") < 500).select((F.col("c_nationkey") * 100).alias("SiteCode"),
+    loaded = c.filter(F.col("c_custkey") % 3 == 1).select((F.col("c_nationkey") * 100).alias("SiteCode"),
                                                         F.col("c_custkey").alias("PatientPK"))
     return spec, FrameIO({"ContactListingExtract": form, "PatientExtract": patient, "Facility": facility},
                          {spec.target: loaded})
@@ -1652,7 +1652,7 @@ clean AS (
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
        {_UTF16_SQL.format(c='PatientPK')} AS PatientPKHash,
        {_UTF16_SQL.format(c='ContactPatientPK')} AS ContactPatientPKHash
-FROM clean x WHERE NOT EXISTS (SELECT 1 FROM customer t WHERE t.c_custkey < 500
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM customer t WHERE t.c_custkey % 3 = 1
   AND t.c_nationkey * 100 IS NOT DISTINCT FROM x.SiteCode AND t.c_custkey IS NOT DISTINCT FROM x.PatientPK)"""
 
 
@@ -1730,7 +1730,7 @@ def _p13_io(spark, sf):
         F.floor(F.col("s_acctbal")).alias("PatientCount"), F.col("s_name").alias("Name"),
         F.lit("KenyaEMR").alias("EmrName"), F.date_add(F.lit(dt.date(2020, 1, 1)), sk.cast("int")).alias("Start"),
         F.date_add(F.lit(dt.date(2020, 1, 2)), sk.cast("int")).alias("End"))
-    loaded = s.filter(sk < 50).select(sk.alias("ID"))
+    loaded = s.filter(sk % 3 == 1).select(sk.alias("ID"))
     return spec, FrameIO({"FacilityManifest": form}, {spec.target: loaded})
 
 
@@ -1745,7 +1745,7 @@ WITH s AS (
          CAST(floor(s_acctbal) AS BIGINT) AS PatientCount, s_name AS Name, 'KenyaEMR' AS EmrName,
          DATE '2020-01-01' + CAST(s_suppkey AS INTEGER) AS "Start", DATE '2020-01-02' + CAST(s_suppkey AS INTEGER) AS "End"
   FROM supplier)
-SELECT {cols} FROM s WHERE NOT EXISTS (SELECT 1 FROM supplier t WHERE t.s_suppkey < 50
+SELECT {cols} FROM s WHERE NOT EXISTS (SELECT 1 FROM supplier t WHERE t.s_suppkey % 3 = 1
   AND t.s_suppkey IS NOT DISTINCT FROM s.ID)"""
 
 
@@ -1777,7 +1777,7 @@ def _p29_io(spark, sf):
         F.date_sub(day, (eid % 2000).cast("int")).alias("VisitDate"))
     clients = e.filter(F.col("event_type") != "signup").select(
         F.col("user_id").alias("PatientPk"), site.alias("SiteCode")).distinct()
-    loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 8))).select(
+    loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 2))).select(
         F.col("user_id").alias("PatientPk"), site.alias("SiteCode"))
     return spec, FrameIO({"HtsEligibilityExtract": form, "Clients": clients}, {spec.target: loaded})
 
@@ -1825,7 +1825,7 @@ clean AS (
   FROM scan)
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='HtsNumber')} AS HtsNumberHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
-FROM clean x WHERE NOT EXISTS (SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '2024-01-08'
+FROM clean x WHERE NOT EXISTS (SELECT 1 FROM events t WHERE t.ts < TIMESTAMP '2024-01-02'
   AND t.user_id IS NOT DISTINCT FROM x.PatientPk AND CAST(t.event_id % 3 + 1 AS INTEGER) IS NOT DISTINCT FROM x.SiteCode)"""
 
 
@@ -2340,7 +2340,7 @@ def _p20_io(spark, sf):
     patient, facility = _ct_parents(spark, sf)
     names = o.filter(k % 3 == 1).select(F.lit("viral load").alias("source_name"),
                                         F.lit("Viral Load Test").alias("target_name")).distinct()
-    loaded = c.filter(F.col("c_custkey") < 300).select((F.col("c_nationkey") * 100).alias("SiteCode"),
+    loaded = c.filter(F.col("c_custkey") % 3 == 1).select((F.col("c_nationkey") * 100).alias("SiteCode"),
                                                         F.col("c_custkey").alias("PatientPK"), F.lit("L0").alias("VisitID"))
     return spec, FrameIO({"PatientLaboratoryExtract": form, "PatientExtract": patient, "Facility": facility,
                           "lkp_test_name": names}, {spec.target: loaded})
@@ -2383,7 +2383,7 @@ clean AS (
          Project, voided
   FROM scan s LEFT JOIN (SELECT DISTINCT upper('viral load') AS k, 'Viral Load Test' AS t FROM orders
                          WHERE o_orderkey % 3 = 1) l ON upper(s.TestName) = l.k),
-tgt AS (SELECT c_nationkey * 100 AS SiteCode, c_custkey AS PatientPK, 'L0' AS VisitID FROM customer WHERE c_custkey < 300)
+tgt AS (SELECT c_nationkey * 100 AS SiteCode, c_custkey AS PatientPK, 'L0' AS VisitID FROM customer WHERE c_custkey % 3 = 1)
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PatientID')} AS PatientIDHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
 FROM clean x WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.SiteCode IS NOT DISTINCT FROM x.SiteCode
