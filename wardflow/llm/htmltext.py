@@ -31,6 +31,7 @@ PRIOR = 50.0
 MOST, LEAST = -8.0, -0.05  # range of a tag's score
 PLAIN = -0.5  # least score of a tag that opens no section, outside boilerplate
 BOILER_WORD = -0.5
+WITHIN = 0.02  # share of these that counts inside an article: its parts belong together, whatever stands between
 
 # fixed values: element names and class words, by what they usually hold
 BOILER = frozenset("""nav header footer aside form menu dialog button select textarea noscript template head title iframe
@@ -104,12 +105,19 @@ class Weights:
     def boiler(self, zone: tuple[str, ...]) -> bool:
         return any(self.words.get(f, 0.0) < -1.0 for f in zone)
 
-    def tag(self, kind: str, name: str, boiler: bool) -> float:
-        """Score of a tag; one that opens no section costs little amid main text, where its like may be a mere link."""
-        if boiler or name in SECTIONS:
+    def tag(self, kind: str, name: str, zone: tuple[str, ...]) -> float:
+        """Score of a tag; amid main text one that opens no section, where its like may be a mere link, costs little."""
+        if "article" in zone or "main" in zone:
+            return WITHIN * max(PLAIN, self.tags.get(f"{kind} {name}", LEAST * 4))
+        if name in SECTIONS or self.boiler(zone):
             return self.tags.get(f"{kind} {name}", -1.0)
         return max(PLAIN, self.tags.get(f"{kind} {name}", LEAST * 4))
 
+    def word(self, zone: tuple[str, ...]) -> float:
+        if not self.boiler(zone):
+            return 1.0
+        return BOILER_WORD * (WITHIN if "article" in zone or "main" in zone else 1.0)
+
 
 def fit(labelled: list[str]) -> Weights:
     """Weights from pages whose ``article`` element marks the main text."""
@@ -144,9 +152,9 @@ def extract(page: str | None, weights: Weights) -> str:
         if kind == "text":
             boiler = weights.boiler(zone)
             n = len(value.split())
-            items.append((kind, value, boiler, n * (BOILER_WORD if boiler else 1.0)))
+            items.append((kind, value, boiler, n * weights.word(zone)))
         else:
-            items.append((kind, value, False, weights.tag(kind, value, weights.boiler(zone))))
+            items.append((kind, value, False, weights.tag(kind, value, zone)))
     best, span, total, start = 0.0, (0, 0), 0.0, 0
     for i, item in enumerate(items):
         if total <= 0.0:

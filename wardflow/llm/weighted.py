@@ -137,7 +137,7 @@ def with_neighbour(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("place", F.when(F.col("id").isNull(), F.lit(-1e19) - F.lit(1e19) * (1 - share))
                            .otherwise(F.col("id").cast("double") + share))
     cuts = rows.approxQuantile("place", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     rows = Bucketizer(splits=splits, inputCol="place", outputCol="slot").transform(rows)
     rows = rows.select(F.col("slot").cast("int").alias("bucket"), F.lit(False).alias("spare"), "id", "rank", "text")
     # the first row of each bucket in descending order, for the bucket above it: as many rows as buckets
@@ -183,4 +183,4 @@ def op10_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_weighted": op10_weighted}
-ORACLES: dict[str, str] = {}  # XXH64 and 48 logarithms a word are no SQL to run on whole tables; tests use brute force
+ORACLES: dict[str, str] = {}  # XXH64 is not a DuckDB function; tests compare with brute force
