@@ -273,9 +273,9 @@ SPECS = [
               *[d(c, "1980-01-01") for c in ("RegistrationDate", "RegistrationAtCCC", "RegistrationAtPMTCT",
                                              "RegistrationAtTBClinic", "PreviousARTStartDate", "LastVisit",
                                              "DateConfirmedHIVPositive", "TransferInDate")]),
-       lookups=(Lookup("MaritalStatus", "lkp_marital_status", "Source_MaritalStatus", "Target_MaritalStatus"),
-                Lookup("EducationLevel", "lkp_education_level", "SourceEducationLevel", "TargetEducationLevel"),
-                Lookup("PreviousARTExposure", "lkp_regimen_line_map", "Source_Regimen", "Target_Regimen"),
+       lookups=(Lookup("MaritalStatus", "lkp_MaritalStatus", "Source_MaritalStatus", "Target_MaritalStatus"),
+                Lookup("EducationLevel", "Lkp_EducationLevel", "SourceEducationLevel", "TargetEducationLevel"),
+                Lookup("PreviousARTExposure", "lkp_RegimenLineMap", "Source_Regimen", "Target_Regimen"),
                 Lookup("PatientSource", "lkp_patient_source")),
        hashes=HASH_ID_PK + (("NUPI", "NUPIHash"),)),
 ]

@@ -68,7 +68,7 @@ SPECS = [
                rc("Setting", V.HTS_SETTING, None), rc("Approach", V.HTS_APPROACH, None),
                rule("MonthsSinceLastTest", "cap", hi=1540)),
         lookups=(Lookup("EntryPoint", "lkp_patient_source", default="Empty"),
-                 Lookup("TestStrategy", "lkp_hts_strategy", "Source_htsStrategy", "Target_htsStrategy",
+                 Lookup("TestStrategy", "lkp_htsStrategy", "Source_htsStrategy", "Target_htsStrategy",
                         default="Empty"))),
     hts("p27", "client_tracing", "HtsClientTracing", "HTS_ClientTracing",
         "FacilityName,SiteCode,PatientPk,HtsNumber,Emr,Project,TracingType,TracingDate,TracingOutcome,RecordUUID",
@@ -87,8 +87,8 @@ SPECS = [
         where=(EXTRACTED_CUTOFF,),
         rules=(rule("Dob", "date", lo="1910-01-01", hi="today", fill=None), rc("Gender", V.GENDER_MF),
                rule("PatientDisabled", "present")),
-        lookups=(Lookup("MaritalStatus", "lkp_marital_status", "Source_MaritalStatus", "Target_MaritalStatus"),
-                 Lookup("DisabilityType", "lkp_hts_disability", "Source_Disability", "Target_Disability"))),
+        lookups=(Lookup("MaritalStatus", "lkp_MaritalStatus", "Source_MaritalStatus", "Target_MaritalStatus"),
+                 Lookup("DisabilityType", "lkp_htsDisability", "Source_Disability", "Target_Disability"))),
     hts("p29", "eligibility", "HtsEligibilityExtract", "HTS_EligibilityExtract",
         "ID,FacilityName,SiteCode,PatientPk,HtsNumber,Emr,Project,Processed,QueueId,Status,StatusDate,EncounterId,"
         "VisitID,VisitDate,PopulationType,KeyPopulation,PriorityPopulation,Department,PatientType,IsHealthWorker,"

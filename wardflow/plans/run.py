@@ -113,7 +113,9 @@ class JdbcIO:
         return self.spark.read.format("jdbc").options(**opts).load()
 
     def table(self, name: str) -> DataFrame:
-        return self._read(self.source_url, name)
+        # forms and parents lie in the source database, lookup tables beside the targets
+        url = self.target_url if name.lower().startswith("lkp_") else self.source_url
+        return self._read(url, name)
 
     def target(self, name: str) -> DataFrame | None:
         return self._read(self.target_url, name)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +17,7 @@ from wardflow.session import scratch_path
 from wardflow.sources.audit import audited
 from wardflow.sources.conform import conform
 from wardflow.sources.readers import read_key_range, read_query
-from wardflow.sources.sinks import append, apply_corrections, overwrite_partitions
+from wardflow.sources.sinks import append, apply_corrections, overwrite_partitions, snapshot
 
 # ---------------------------------------------------------------- S1 / S2 / S11
 _DERIVED = """
@@ -85,10 +84,13 @@ def sink_overwrite_month(spark, sf):
 
 @query("snapshot_disk_only", oracle="SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
 def snapshot_disk_only(spark, sf):
-    """Source snapshot persisted DISK_ONLY (read once, used by several actions)."""
+    """Source snapshot kept DISK_ONLY for two actions, then released."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus") \
         .filter(F.col("o_orderstatus") != "P")
-    return o.persist(StorageLevel.DISK_ONLY)
+    with snapshot(o) as kept:
+        if kept.count() != kept.distinct().count():
+            raise ValueError("order keys repeat")
+    return o
 
 
 # ---------------------------------------------------------------- S9 corrections

@@ -505,7 +505,7 @@ def _p26_io(spark, sf):
         F.col("l_orderkey").alias("PatientPk"), (F.col("l_suppkey") % 10 + 1).cast("int").alias("SiteCode"),
         F.coalesce(F.when(ln == 1, F.lit(None)).otherwise(ln), F.lit(-1)).alias("EncounterId"))
     io = FrameIO({"HtsClientTests": form, "Clients": clients, "lkp_patient_source": src_lkp,
-                  "lkp_hts_strategy": strat}, {spec.target: loaded})
+                  "lkp_htsStrategy": strat}, {spec.target: loaded})
     return spec, io
 
 
@@ -960,8 +960,8 @@ def _p24_io(spark, sf):
                                           F.lit("VCT Centre").alias("target_name")).distinct()
     loaded = (c.filter(ck % 3 == 1).select((F.floor(F.col("c_nationkey") / 5) * 100).cast("int").alias("SiteCode"),
                                         F.floor(ck / 3).cast("long").alias("PatientPK")))
-    io = FrameIO({"PatientExtract": pat, "Facility": facility, "lkp_marital_status": marital,
-                  "lkp_education_level": edu, "lkp_regimen_line_map": regimen, "lkp_patient_source": source},
+    io = FrameIO({"PatientExtract": pat, "Facility": facility, "lkp_MaritalStatus": marital,
+                  "Lkp_EducationLevel": edu, "lkp_RegimenLineMap": regimen, "lkp_patient_source": source},
                  {spec.target: loaded})
     return spec, io
 

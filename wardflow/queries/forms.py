@@ -286,6 +286,6 @@ def load_hts_clients(spark, sf):
                                                     F.lit("Married").alias("Target_MaritalStatus")).distinct()
     disability = o.where("o_orderkey % 4 = 1").select(F.lit("D: Deaf").alias("Source_Disability"),
                                                       F.lit("Deaf").alias("Target_Disability")).distinct()
-    return build_load(spec, FrameIO({"Clients": _CLIENTS.frame(spark, sf), "lkp_marital_status": marital,
-                                     "lkp_hts_disability": disability},
+    return build_load(spec, FrameIO({"Clients": _CLIENTS.frame(spark, sf), "lkp_MaritalStatus": marital,
+                                     "lkp_htsDisability": disability},
                                     {spec.target: _CLIENTS.loaded(spark, sf, _P28_KEYS)}), AS_OF)
