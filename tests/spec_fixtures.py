@@ -12,7 +12,7 @@ from wardflow.plans.spec import LoadSpec
 
 IDENT = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 SQL_WORDS = {"cast", "as", "date", "coalesce", "case", "when", "then", "else", "end", "null", "is", "not", "and",
-             "or", "max", "try_cast", "int", "timestamp", "boolean", "false", "true", "current_date", "DATE", "AS"}
+             "or", "max", "try_cast", "int", "timestamp", "boolean", "timestamp_ntz", "false", "true", "current_date", "DATE", "AS"}
 INT_COLS = {"patientpk", "sitecode", "code", "patientpid", "facilityid", "id", "encounterid", "partnerpatientpk",
             "contactpatientpk", "motherpatientpk", "babypatientpk"}
 TS_COLS = {"created", "datecreated", "dateextracted"}
@@ -79,6 +79,7 @@ def build_io(spark, spec: LoadSpec, with_target: bool = True) -> FrameIO:
     agg_refs = {x.lower() for _, e in spec.aggregates for x in _idents(e)}
     agg_out = {n.lower() for n, _ in spec.aggregates} - agg_refs
     date_cols = {r.column for r in spec.rules if r.kind == "date" and not r.kwargs().get("text")}
+    date_cols |= {c for c, _ in spec.select}
     text_cols = frozenset(r.column for r in spec.rules
                           if (r.kind == "date" and r.kwargs().get("text")) or r.kind in ("blank", "sentinel", "recode"))
     needed: dict[str, object] = {}
@@ -94,7 +95,8 @@ def build_io(spark, spec: LoadSpec, with_target: bool = True) -> FrameIO:
         for n in sorted(_idents(spec.latest.keys) | _idents(spec.latest.maxes)):
             _ci_add(needed, n, _type_for(n, date_cols, text_cols))
     for n in names:
-        if n.lower() in parent_out or n.lower() in agg_out or n in ("__as_of",):
+        used = n in [x for e in spec.derived for x in _idents(e[1])]
+        if n.lower() in agg_out or n in ("__as_of",) or n.lower() in parent_out and not used:
             continue
         if n.lower() in derived_out and n not in [x for e in spec.derived for x in _idents(e[1])]:
             continue
