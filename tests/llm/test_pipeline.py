@@ -16,7 +16,9 @@ def test_every_stage_against_its_operator(spark, sf_small, tmp_path):
     ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
     assert all(d.columns == docs.columns for d in (calm, single, clean, masked))
     chain = toxicity.train(docs, spark.read.parquet(f"{sf_small}/labels.parquet"))
-    scores = {r["doc_id"]: s for r, (s, _, _) in zip(rows := raw.collect(), toxicity.score_texts([r["text"] for r in rows], chain), strict=True)}
+    rows = raw.collect()
+    scored = toxicity.score_texts([r["text"] for r in rows], chain)
+    scores = {r["doc_id"]: s for r, (s, _, _) in zip(rows, scored, strict=True)}
     assert ids(calm) == {d for d, s in scores.items() if s < 0.5}
     classes = simhash.near_duplicates(calm).collect()
     assert ids(single) == {r["component_id"] for r in classes}

@@ -18,8 +18,8 @@ import regex
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_WORDS = 900_000
-CACHE_CHUNKS = 600_000
+CACHE_WORDS = 600_000  # in two generations: words met again move to the younger
+CACHE_CHUNKS = 250_000
 # fixed values: the pre-tokenizer's pattern, \s spelled out
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PATTERN = regex.compile(
@@ -79,13 +79,18 @@ class TokenIds:
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") \
             if self._special else None
         self._words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._chunks: dict[str, bytes | None] = {}
 
     def _word(self, word: str) -> bytes:
         ids = self._words.get(word)
         if ids is None:
-            if len(self._words) >= CACHE_WORDS:
-                self._words.clear()
+            if len(self._words) >= CACHE_WORDS // 2:
+                self._words, self._older = {}, self._words
+            ids = self._older.pop(word, None)
+            if ids is not None:
+                self._words[word] = ids
+                return ids
             spelled = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._chars)
             ids = self._words[word] = np.array([t.id for t in self._model.tokenize(spelled)], "<u4").tobytes()
         return ids

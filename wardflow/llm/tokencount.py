@@ -27,8 +27,8 @@ from wardflow.llm.bpe import PATTERN, byte_of_char, chunk_text, chunks, is_odd,
 from wardflow.llm.common import read_table
 
 LIMIT = 512
-CACHE_PAIRS = 1_000_000
-CACHE_UNITS = 800_000
+CACHE_PAIRS = 600_000
+CACHE_UNITS = 500_000
 _BLANK = re.compile("[\t-\r \x85\xa0  -     　]+")
 
 

@@ -36,7 +36,7 @@ L2 = 1e-5
 CHANCE = 12.0  # a telling feature's toxic documents: less than one chance in e**12
 STEP_TOKENS = 300_000
 BLOCK = 256
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"\w+")
 
