@@ -18,8 +18,8 @@ import regex
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_WORDS = 600_000  # in two generations: words met again move to the younger
-CACHE_CHUNKS = 250_000
+CACHE_WORDS = 800_000  # in two generations: words met again move to the younger
+CACHE_CHUNKS = 450_000
 # fixed values: the pre-tokenizer's pattern, \s spelled out
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PATTERN = regex.compile(
@@ -50,6 +50,23 @@ def chunk_text(key: str) -> str:
     return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
 
 
+def chunk_length(key: str) -> int:
+    """Code points of that text."""
+    return len(key) - 1 if key[0] == "\0" else len(key) if key[0] == "\n" else len(key) + 1
+
+
+class ByChunk(dict):
+    """A value per chunk, made when it is first asked for; None for odd chunks."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str):
+        self[key] = value = None if is_odd(key) else self.make(chunk_text(key))
+        return value
+
+
 def pieces(text: str) -> list[str]:
     """The pre-tokenizer's words."""
     return PATTERN.findall(text)
@@ -80,7 +97,7 @@ class TokenIds:
             if self._special else None
         self._words: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes | None] = {}
+        self._chunks = ByChunk(self._by_words)
 
     def _word(self, word: str) -> bytes:
         ids = self._words.get(word)
@@ -102,11 +119,8 @@ class TokenIds:
         """Ids of a text without special tokens."""
         if "\0" in text:
             return self._by_words(text)
-        keys, known = chunks(text), self._chunks
-        for k in set(keys).difference(known):
-            known[k] = None if is_odd(k) else self._by_words(chunk_text(k))
         try:
-            return b"".join(map(known.__getitem__, keys))
+            return b"".join(map(self._chunks.__getitem__, chunks(text)))
         except TypeError:  # an odd chunk
             return self._by_words(text)
 

@@ -17,18 +17,20 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.bpe import PATTERN, byte_of_char, chunk_text, chunks, is_odd, vocabulary_path
+from wardflow.llm.bpe import PATTERN, ByChunk, byte_of_char, chunk_length, chunks, vocabulary_path
 from wardflow.llm.common import read_table
 
 LIMIT = 512
 CACHE_PAIRS = 600_000
-CACHE_UNITS = 500_000
+CACHE_WORDS = 800_000  # in two generations: words met again move to the younger
+CACHE_UNITS = 300_000
 _BLANK = re.compile("[\t-\r \x85\xa0  -     　]+")
 
 
@@ -57,7 +59,9 @@ class PrefixCounter:
         self.special = frozenset(special)
         self._cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self._fits: dict[int, bool] = {}
-        self._totals: dict[str, int | None] = {}
+        self._words: dict[str, int] = {}
+        self._older: dict[str, int] = {}
+        self._totals = ByChunk(self._plain_total)
 
     def _merge(self, word: bytes) -> list[bytes]:
         parts = [word[i:i + 1] for i in range(len(word))]
@@ -144,7 +148,13 @@ class PrefixCounter:
     def _word_total(self, word: str) -> int:
         if len(word) == 1 and word < "\x80":
             return 1
-        return self._fill(word.encode("utf-8", "surrogatepass"))[-1]
+        known = self._words.get(word)
+        if known is None:
+            if len(self._words) >= CACHE_WORDS // 2:
+                self._words, self._older = {}, self._words
+            known = self._older.pop(word, None) or self._fill(word.encode("utf-8", "surrogatepass"))[-1]
+            self._words[word] = known
+        return known
 
     def _plain_total(self, text: str) -> int:
         return sum(self._word_total(w) for w in PATTERN.findall(text))
@@ -199,12 +209,10 @@ class PrefixCounter:
             out[-1] = base + self._plain_total(text)
 
     def unit_totals(self, text: str) -> tuple[list[int], list[str]]:
-        """Counts and texts of the parts of a text between safe cuts."""
+        """Counts and keys of the parts of a text between safe cuts."""
         if "\0" not in text:
-            keys, totals = chunks(text), self._totals
-            for k in set(keys).difference(totals):
-                totals[k] = None if is_odd(k) else self._plain_total(chunk_text(k))
-            counts = [totals[k] for k in keys]
+            keys = chunks(text)
+            counts = list(map(self._totals.__getitem__, keys))
             if None not in counts:
                 return counts, keys
         words = PATTERN.findall(text)
@@ -212,29 +220,40 @@ class PrefixCounter:
 
     def total(self, text: str) -> int:
         """The table's last entry, from running sums over parts only."""
-        parts = self._cut.split(text) if self._cut and self._cut.search(text) else [text]
-        return sum(1 if p in self.special else sum(self.unit_totals(p)[0]) for p in parts if p)
+        return self.fit(text, 1 << 60)[0]
 
     def longest_prefix(self, text: str, limit: int) -> int:
         """Code points of the longest prefix of at most ``limit`` tokens."""
+        return self.fit(text, limit)[1]
+
+    def fit(self, text: str, limit: int) -> tuple[int, int]:
+        """The whole text's count, and the code points of its longest prefix of at most ``limit`` tokens."""
         if not text:
-            return 0
+            return 0, 0
         if self._cut and self._cut.search(text):
-            return int(np.flatnonzero(self.counts(text) <= limit)[-1])
+            total = sum(1 if p in self.special else sum(self.unit_totals(p)[0]) for p in self._cut.split(text) if p)
+            return total, len(text) if total <= limit else int(np.flatnonzero(self.counts(text) <= limit)[-1])
         counts, keys = self.unit_totals(text)
-        sums = np.cumsum([0, *counts])
-        if sums[-1] <= limit:
-            return len(text)
+        total = sum(counts)
+        if total <= limit:
+            return total, len(text)
         # parts of one token at least: behind the first that ends over the limit all counts are higher
-        over = int(np.searchsorted(sums, limit, side="right"))
-        # the parts before it, and one more on either side for white space at the cut
-        stop = sum(len(chunk_text(k)) for k in keys[:over + 1])
-        start = sum(len(chunk_text(k)) for k in keys[:max(0, over - 2)])
-        while start and (text[start - 1].isspace() or _BLANK.match(text[start - 1])):
-            start -= 1
-        begin = self.total(text[:start]) if start else 0
-        own = begin + self.counts(text[start:stop])
-        return start + int(np.flatnonzero(own <= limit)[-1])
+        over, before = 0, 0
+        while before + counts[over] <= limit:
+            before += counts[over]
+            over += 1
+        # from a part that no white space precedes, to one part behind, as white space at the cut may join
+        first = over
+        ends = [0, *accumulate(map(chunk_length, keys[:over + 1]))]
+        while first and (first > over - 2 or self._blank(text[ends[first] - 1])):
+            first -= 1
+        begin = sum(counts[:first])
+        own = begin + self.counts(text[ends[first]:ends[over + 1]])
+        return total, ends[first] + int(np.flatnonzero(own <= limit)[-1])
+
+    @staticmethod
+    def _blank(c: str) -> bool:
+        return c.isspace() or bool(_BLANK.match(c))
 
 
 @lru_cache(maxsize=2)
@@ -274,9 +293,7 @@ def budget(text: Column, limit: int = LIMIT, vocabulary: str | None = None) -> C
         for texts in batches:
             rows = []
             for t in texts:
-                t = t or ""
-                total = counter.total(t)
-                rows.append((total, len(t) if total <= limit else counter.longest_prefix(t, limit)))
+                rows.append(counter.fit(t or "", limit))
                 counter.trim()
             yield pd.DataFrame(rows, columns=["n_tokens", "fits_chars"])
     return ask(text)
