@@ -178,7 +178,9 @@ def train(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE_PAGES)
     """Weights from at most ``sample`` pages that label themselves."""
     own = pages.select(F.col(html_col).alias("html")).where(
         F.col("html").contains("<article") & (F.length("html") <= SAMPLE_CHARS))
-    rows = own.distinct().orderBy(F.xxhash64("html"), "html").limit(sample).collect()
+    own = own.withColumn("digest", F.sha2("html", 256))
+    picked = own.select("digest").distinct().orderBy("digest").limit(sample)  # digests only; at most ``sample``
+    rows = own.join(F.broadcast(picked), "digest", "left_semi").dropDuplicates(["digest"]).orderBy("digest").collect()
     return fit([r["html"] for r in rows])
 
 
