@@ -13,16 +13,21 @@ from pyspark.sql import functions as F
 from wardflow.llm import contamination, packing, secrets, simhash, toxicity
 from wardflow.llm.common import materialize, read_table
 
-BROADCAST_IDS = 1_000_000  # ids (of 8 bytes) that are sent to every executor at most; more are joined by shuffle
+BROADCAST_IDS = 1_000_000  # ids (8 bytes, digests 64) that are sent to every executor at most; more are joined by shuffle
 TOXIC_SCORE = 0.5
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is not in ``gone`` (one column, no null)."""
-    gone = materialize(gone.where("doc_id is not null").distinct(), "gone")
+def _without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose ``key`` is not in ``gone`` (one column, no null)."""
+    gone = materialize(gone.where(F.col(key).isNotNull()).distinct(), "gone")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, key, "left_anti").select(*docs.columns)
+
+
+def _ids_tell_rows(ids: DataFrame) -> bool:
+    """Whether every row has a ``doc_id`` of its own."""
+    return ids.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").isEmpty()
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,13 +41,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each SimHash group: that of the smallest id (3-word shingles, at most 2 bits).
 
     Of rows that share this id, within a group, one stays.  A group without
-    any id keeps one row.
+    any id keeps one row.  Groups are told apart by their root fingerprint, so
+    ids that are null or repeated on unlike texts lose no group.
     """
     classes = materialize(simhash.near_duplicates(docs), "classes")
-    repeated = classes.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
-    if repeated.isEmpty():
+    if _ids_tell_rows(classes):
         return _without(docs, classes.where("doc_id <> component_id").select("doc_id"))
-    one = classes.where("doc_id <=> component_id").groupBy("doc_id", "component_id").agg(F.min("fp").alias("fp"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("first")
+    one = classes.groupBy("root").agg(first).select("first.doc_id", "first.fp")
     marked = docs.withColumn("_fp", simhash.simhash_column(F.col("text")))
     kept = marked.alias("d").join(one.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
                                   & (F.col("d._fp") == F.col("k.fp")), "left_semi")
@@ -51,16 +57,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item (five-word shingles, containment 0.8 or more)."""
-    marked = docs.withColumn("_no_id", F.col("doc_id").isNull())
-    found = contamination.find_items(marked.where("not _no_id"), read_table(spark, sf_dir, "benchmark"))
-    kept = _without(docs, found.select("doc_id"))
-    if docs.where("doc_id is null").isEmpty():
-        return kept
-    # rows without an id are told apart by their texts
-    nameless = docs.where("doc_id is null").withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    bad = contamination.find_items(nameless, read_table(spark, sf_dir, "benchmark"), ("_digest",))
-    clean = nameless.join(bad.select("_digest").distinct(), "_digest", "left_anti")
-    return kept.where("doc_id is not null").unionByName(clean.select(*docs.columns))
+    items = read_table(spark, sf_dir, "benchmark")
+    if _ids_tell_rows(docs):
+        return _without(docs, contamination.find_items(docs, items).select("doc_id"))
+    # rows without an id, or with that of another row, are told apart by their texts
+    marked = docs.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    found = contamination.find_items(marked, items, ("_digest",))
+    return _without(marked, found.select("_digest"), "_digest").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,24 @@ def test_run_equals_the_stages(spark, sf_small, tmp_path):
     last = _stages(spark, docs, sf_small, tmp_path)[-1]
     key = lambda df: sorted((r["doc_id"], r["doc_tokens"]) for r in df.select("doc_id", "doc_tokens").distinct().collect())
     assert key(cp.run(spark, sf_small)) == key(last)
+
+
+def test_every_group_keeps_a_row_whatever_its_ids(spark, sf_small):
+    unlike = ["the cat sat on a warm mat all day long", "rivers run down to the cold northern sea in spring",
+              "nobody counted every star above that quiet village", "seven old engines pulled coal over the mountain pass"]
+    rows = [(None, t) for t in unlike] + [(None, unlike[0].upper()), (1, "bread and cheese taste best near an open fire"),
+                                          (1, "our ship left harbour under grey autumn skies"),
+                                          (2, "Our ship left harbour under grey autumn skies")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["text"].lower()) for r in cp.drop_near_copies(spark, docs, sf_small).collect()]
+    assert sorted(got, key=str) == sorted([(None, t) for t in unlike] + [(1, t) for _, t in rows[5:7]], key=str)
+
+
+def test_a_contaminated_row_takes_no_other_of_its_id(spark, sf_small):
+    item = next(r["text"] for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").orderBy("item_id").collect()
+                if len((r["text"] or "").split()) > 8)
+    rows = [(1, f"before {item} after"), (1, "a text of the same number that holds no item"),
+            (None, f"again {item}"), (None, "another one without a number"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in cp.drop_contaminated(spark, docs, sf_small).collect()]
+    assert sorted(got, key=str) == sorted([rows[1], rows[3], rows[4]], key=str)

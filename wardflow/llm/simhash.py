@@ -193,11 +193,12 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per input row: ``id_col``, ``fp`` (signed long) and ``component_id``.
+    """One row per input row: ``id_col``, ``fp`` (signed long), ``component_id`` and ``root``.
 
     Texts are lower-cased in A-Z only, split at ASCII white space and hashed as
     ``shingle``-word windows.  Fingerprints within ``max_bits`` differing bits are
-    linked; ``component_id`` is the smallest id reachable.  Null and wordless
+    linked; ``component_id`` is the smallest id reachable, ``root`` the smallest
+    fingerprint, which tells groups apart also where ids are null or repeat.  Null and wordless
     texts have fingerprint 0 and are linked like any other; repeated rows stay
     as they are; rows of a null id keep null ids and get the smallest other id
     of their component, null if it has none.  Other columns are ignored, so
@@ -212,8 +213,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = materialize(roots, "roots")
     lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     # only fingerprints that moved into another one's component need the lookup of their root
-    classes = materialize(roots.join(lowest, "root").select("fp", "component_id"), "classes")
-    return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    classes = materialize(roots.join(lowest, "root").select("fp", "component_id", "root"), "classes")
+    return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "root")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
