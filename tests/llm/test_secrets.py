@@ -54,3 +54,16 @@ def test_query_finds_every_key_shape(spark, sf_small):
             want.add((r["doc_id"], m.start(k), hashlib.sha256(m.group(k).encode()).hexdigest()))
     got = {(r["doc_id"], r["begin"], r["value_sha256"]) for r in secrets.op3_secrets(spark, sf_small).collect() if r["is_secret"]}
     assert want <= got
+
+
+def test_a_digit_anywhere_makes_a_candidate(spark, model):
+    late, key = "sk_live_abcdefghijklmnopqrst1", "QmZkTrWpXvLsNcHdGyBjKaUe7RtYiOwPqMz4LxVb"
+    texts = [(1, f"pay with {late} now"), (2, f"the secret key {key} is"), (3, "a" * 400_000 + "1"), (4, "b" * 400_000),
+             (5, "aws_production_database_v2_password=b7db7aa4a5fcc78305"), (6, f"/repos/company/project/{KEY}"),
+             (7, "order_of_the_morning/ghp_16C7e42F292c6912E7710c838347Ae178B4a")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("source", F.lit("src1"))
+    found = {(r["doc"]["doc_id"], r["value"]): r["is_secret"] for r in secrets.find_secrets(df, model, ["doc_id"]).collect()}
+    assert (1, late) in found and found[(2, key)] and (3, texts[2][1]) in found
+    assert not any(i == 4 for i, _ in found)
+    # shapes inside a longer string are found as before
+    assert found[(5, "b7db7aa4a5fcc78305")] and found[(6, KEY)] and found[(7, "ghp_16C7e42F292c6912E7710c838347Ae178B4a")]

@@ -1,7 +1,7 @@
 """Secret scan: pattern candidates, then a random forest that removes false positives.
 
 Candidates are key assignments, vendor token shapes and long strings that hold a
-digit.  The forest sees the candidate's length, its character classes and the
+digit anywhere.  The forest sees the candidate's length, its character classes and the
 transitions between them, the share of it that dictionary words cover, words of
 the document's path and the words beside it; it is trained from labelled
 findings.  All of it is DataFrame functions and the JVM's own forest.
@@ -24,14 +24,19 @@ from wardflow.llm.common import materialize, read_table
 
 KEYWORD = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|(?:api|access|private)[_-]?key|auth|credential)"
 ASSIGN = r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
-CANDIDATE = "|".join([
-    KEYWORD + ASSIGN + r"[^\s\"',;<>]{6,}",
+VENDOR = [
     r"AKIA[0-9A-Z]{16}",
     r"gh[pousr]_[A-Za-z0-9]{20,}",
     r"xox[abprs]-[A-Za-z0-9-]{10,}",
     r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+",
-    r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----",
-    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,19}[0-9])[A-Za-z0-9+/_-]{18,}={0,2}",
+]
+PEM = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+# a long string ends where a candidate of another kind begins
+BARE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{18})(?=[A-Za-z+/_-]*+[0-9])(?:(?!"
+        + "|".join([KEYWORD + ASSIGN + r"[^\s\"',;<>]{6}", *VENDOR, PEM]) + r")[A-Za-z0-9+/_-]){18,}+={0,2}")
+CANDIDATE = "|".join([
+    KEYWORD + ASSIGN + r"[^\s\"',;<>]{6,}",
+    *VENDOR, PEM, BARE,
 ])
 VALUE = "^" + KEYWORD + ASSIGN
 CONTEXT = 60  # characters on either side that are searched for neighbouring words
