@@ -67,3 +67,31 @@ def test_a_digit_anywhere_makes_a_candidate(spark, model):
     assert not any(i == 4 for i, _ in found)
     # shapes inside a longer string are found as before
     assert found[(5, "b7db7aa4a5fcc78305")] and found[(6, KEY)] and found[(7, "ghp_16C7e42F292c6912E7710c838347Ae178B4a")]
+
+
+def _pem(kind="RSA ", lines=25, end=True, top="", feed="\n"):
+    import base64
+    import random
+    body = base64.b64encode(random.Random(f"{kind}{lines}").randbytes(48 * lines + 7)).decode()
+    rows = [body[i:i + 64] for i in range(0, len(body), 64)]
+    return (feed.join([f"-----BEGIN {kind}PRIVATE KEY-----", *([top] if top else []), *rows,
+                       *([f"-----END {kind}PRIVATE KEY-----"] if end else [])]), rows)
+
+
+def test_no_line_of_a_private_key_is_left(spark, model):
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D4E5F60718293A4B5C6D7E8F9\n"
+    keys = [_pem(), _pem("EC ", 2), _pem("OPENSSH ", 6), _pem("", 25, feed="\\n"), _pem("RSA ", 13, top=fields),
+            _pem("RSA ", 12, end=False), _pem("EC ", 3, end=False, top=fields), _pem("", 9, feed="\n    "),
+            _pem("RSA ", 20_000), _pem("RSA ", 20_000, end=False)]
+    texts = [f"see the file:\n{k}\nand, then, we go on - with text" for k, _ in keys]
+    texts += [f'{{"private_key": "{keys[3][0]}\\n", "client": 1}}', f"password=abcdef{keys[0][0]} end", f"{keys[0][0]}\n{keys[4][0]}\n"]
+    rows = [keys[i][1] for i in range(len(keys))] + [keys[3][1], keys[0][1], keys[0][1] + keys[4][1]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("src1"))
+    for r in secrets.redact(df, model).collect():
+        assert not [x for x in rows[r["doc_id"]] if x in r["text"]], (r["doc_id"], r["text"][:300])
+        assert "DEK-Info" not in r["text"]
+        if r["doc_id"] < len(keys):
+            assert r["text"].startswith("see the file:\n[SECRET]") and r["text"].endswith(", then, we go on - with text")
+    prose = spark.createDataFrame([(1, "A file with -----BEGIN RSA PRIVATE KEY----- in it is a key, so we keep it - away.")],
+                                  "doc_id long, text string").withColumn("source", F.lit("src1"))
+    assert secrets.redact(prose, model).first()["text"].endswith(" in it is a key, so we keep it - away.")

@@ -1,7 +1,7 @@
 """Secret scan: pattern candidates, then a random forest that removes false positives.
 
-Candidates are key assignments, vendor token shapes and long strings that hold a
-digit anywhere.  The forest sees the candidate's length, its character classes and the
+Candidates are key assignments, vendor token shapes, private keys from their
+first line to their last, and long strings that hold a digit anywhere.  The forest sees the candidate's length, its character classes and the
 transitions between them, the share of it that dictionary words cover, words of
 the document's path and the words beside it; it is trained from labelled
 findings.  All of it is DataFrame functions and the JVM's own forest.
@@ -31,12 +31,17 @@ VENDOR = [
     r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+",
 ]
 PEM = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+# The whole key: up to its END line, or without one the header fields and key lines that follow, the last of any length.
+# Loops over groups are possessive, as Java runs others by recursion.
+PEM_BLOCK = (PEM + r"(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]{0,20}PRIVATE KEY-----"
+             r"|(?:\s++[A-Za-z][A-Za-z-]{2,30}: [^\r\n]*+)*+"
+             r"(?:(?:[\s\\\"',#*>|]*+[A-Za-z0-9+/=]{16,}+)++(?:[\s\\\"',#*>|]++[A-Za-z0-9+/]{1,15}+={0,2})?+)?+)")
 # a long string ends where a candidate of another kind begins
 BARE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{18})(?=[A-Za-z+/_-]*+[0-9])(?:(?!"
         + "|".join([KEYWORD + ASSIGN + r"[^\s\"',;<>]{6}", *VENDOR, PEM]) + r")[A-Za-z0-9+/_-]){18,}+={0,2}")
 CANDIDATE = "|".join([
-    KEYWORD + ASSIGN + r"[^\s\"',;<>]{6,}",
-    *VENDOR, PEM, BARE,
+    KEYWORD + ASSIGN + "(?:" + PEM_BLOCK + r"|(?:[^\s\"',;<>-]|-(?!----BEGIN )){6,}+)",
+    *VENDOR, PEM_BLOCK, BARE,
 ])
 VALUE = "^" + KEYWORD + ASSIGN
 CONTEXT = 60  # characters on either side that are searched for neighbouring words
@@ -93,12 +98,17 @@ def labelled_findings(spark: SparkSession, n: int = 12_000) -> DataFrame:
     say = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     name = pick("k", ["password", "passwd", "pwd", "secret", "token", "api_key", "access_key", "auth"])
     sign = pick("s", ["=", ": ", " = \"", ":", "=\""])
+    lines = F.array_join(F.slice(F.array(*[b64(f"M{i}", 32) for i in range(24)]), F.lit(1), 4 + (F.col("id") % 21).cast("int")), "\n")
+    kind = pick("9", ["RSA ", "EC ", "OPENSSH ", ""])
+    header = say("-----BEGIN ", kind, "PRIVATE KEY-----")
+    block = F.when(F.xxhash64("id") % 4 == 0, header).otherwise(
+        say(header, "\n", lines, "\n-----END ", kind, "PRIVATE KEY-----"))
     true = [
         say("AKIA", F.upper(b64("a", 16))), say("AKIA", F.upper(b64("b", 16))),
         say(name, sign, cut("c", 18)), say(name, sign, cut("C", 12)), say(name, sign, cut("d", 40)), say(name, sign, b64("e", 24)),
         say(name, sign, b64("f", 12), "!", cut("f", 2)), say("ghp_", b64("g", 36)), say("xoxb-", cut("h", 24)),
         say("eyJ", b64("i", 20), ".", b64("j", 30), ".", b64("k", 22)), say(name, sign, cut("l", 32)),
-        F.lit("-----BEGIN RSA PRIVATE KEY-----"), b64("m", 40),
+        block, b64("m", 40),
     ]
     digits = F.translate(h("n"), "abcdef", "172839")
     false = [
