@@ -49,3 +49,51 @@ def test_odd_rows(spark):
     got = htmltext.main_text(df, htmltext.train(df)).collect()
     assert sorted(r["text"] for r in got)[:2] == ["", ""] and len(got) == 4
     assert htmltext.main_text(df.limit(0), htmltext.train(df.limit(0))).count() == 0
+
+
+BODY = ("The old mill stood by the river for two hundred years. People came from far to see its wheel turn, "
+        "and children played on the stones below.")
+
+
+def test_class_words_of_wrappers_condemn_no_article():
+    w = htmltext.fit([])
+    wraps = [f'<html class="no-js has-sidebar"><body class="has-sidebar">@{BODY}@</body></html>',
+             f'<body class="has-sidebar"><nav>menu</nav>@{BODY}@<footer>us</footer></body>',
+             f'<div class="layout sidebar-right"><div>@{BODY}@</div><div class="sidebar">related things to read</div></div>',
+             f'<div class="layout sidebar-right"><main class="with-comments">@{BODY}@</main></div>']
+    for page in wraps:
+        assert htmltext.extract(page.replace("@", "<article>", 1).replace("@", "</article>"), w) == BODY, page
+        assert htmltext.extract(page.replace("@", '<article class="post legal">', 1).replace("@", "</article>"), w) == BODY, page
+        assert htmltext.extract(page.replace("@", "<p>", 1).replace("@", "</p>"), w) == BODY, page
+    # nor is a labelled page of that kind taken for boilerplate
+    page = f'<body class="has-sidebar"><div class="menu-left"><article class="legal"><div class="lead">{BODY}</div></article></div></body>'
+    learned = htmltext.fit([page] * 20)
+    assert learned.words["lead"] > 0 and htmltext.extract(page, learned) == BODY
+
+
+def test_boilerplate_beside_and_in_the_article_stays_out():
+    w = htmltext.fit([])
+    said = "I agree so much with this article, thank you for it, and do write more."
+    for inner in (f'<section class="comments"><article class="comment"><div class="content">{said}</div></article></section>',
+                  f'<div class="comment-list"><div class="content">{said}</div></div>', f'<div class="ad slot top right">{said}</div>',
+                  f'<article class="comment">{said}</article>', f'<footer><div class="content">{said}</div></footer>'):
+        assert htmltext.extract(f'<body class="has-sidebar"><article><p>{BODY}</p>{inner}</article></body>', w) == BODY, inner
+        assert htmltext.extract(f'<body><div class="with-menu"><article><p>{BODY}</p></article>{inner}</div></body>', w) == BODY, inner
+
+
+def test_a_class_word_needs_evidence():
+    page = f'<body><p class="lead">two words</p><article><p>{BODY}</p></article></body>'
+    other = f'<body><article><div class="lead">{BODY}</div></article></body>'
+    assert htmltext.extract(other, htmltext.fit([page])) == BODY
+    assert htmltext.extract(other, htmltext.fit([page] * 4)) == BODY
+    # many pages that show a word outside only
+    strip = f'<body><div class="strip">{"buy one now " * 10}</div><article><p>{BODY}</p></article></body>'
+    inner = f'<body><article><p>{BODY}</p><div class="strip">buy one now</div></article></body>'
+    assert htmltext.extract(inner, htmltext.fit([strip] * 20)) == BODY
+
+
+def test_deep_and_open_elements():
+    w = htmltext.fit([])
+    page = "<div>" * 50_000 + f'<form class="menu"><div class="sidebar"><article>{BODY}</article></div></form>' + "</div>" * 20
+    assert htmltext.extract(page, w) == BODY
+    assert htmltext.extract(f'<nav><ul><li>menu<div class="sidebar"><article>{BODY}</article></div>', w) == BODY

@@ -31,6 +31,9 @@ PRIOR = 50.0
 MOST, LEAST = -8.0, -0.05  # range of a tag's score
 PLAIN = -0.5  # least score of a tag that opens no section, outside boilerplate
 BOILER_WORD = -0.5
+RESCUE = 2.0  # what class words of content weigh at most against boilerplate further out
+EVIDENCE_PAGES = 5  # labelled pages that show a class word outside main text before it counts as boilerplate
+WRAPPER = 0.8  # share of a page's words in an element that wraps the page, where no article or main element tells
 WITHIN = 0.02  # share of these that counts inside an article: its parts belong together, whatever stands between
 
 # fixed values: element names and class words, by what they usually hold
@@ -62,38 +65,111 @@ def _features(name: str, tag: str) -> tuple[str, ...]:
     return tuple(sorted(words))
 
 
-def pieces(page: str) -> Iterator[tuple[str, str, tuple[str, ...]]]:
-    """(kind, value, features of the open elements): kind ``text`` with decoded text, or ``open``/``close``/``skip`` with a tag name."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    zone: tuple[str, ...] = ()
+Zone = tuple[tuple[str, ...], ...]  # features of the open elements, outermost first
+
+
+def _tokens(page: str) -> tuple[list[tuple[str, str, int]], list[tuple[str, tuple[str, ...]]], list[tuple[int, int]]]:
+    """Pieces, each with its place; elements (name, features); places (innermost open element, place around it; none: -1)."""
+    out: list[tuple[str, str, int]] = []
+    elements: list[tuple[str, tuple[str, ...]]] = []
+    places: list[tuple[int, int]] = []
+    at = -1
     for m in _TOKEN.finditer(page):
         raw = m.group()
         if m.group(1):
-            yield "skip", m.group(1).lower(), zone
+            out.append(("skip", m.group(1).lower(), at))
         elif m.group(2):
             name = m.group(2).lower()
             if raw[1] == "/":
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                if at is not None:
-                    del stack[at:]
-                    zone = tuple(f for _, fs in stack for f in fs)
-                yield "close", name, zone
+                found = at
+                while found >= 0 and elements[places[found][0]][0] != name:
+                    found = places[found][1]
+                if found >= 0:
+                    at = places[found][1]
+                out.append(("close", name, at))
             else:
                 if name in ("article", "main"):
-                    stack = [s for s in stack if s[0] not in SECTIONS or s[0] in ("article", "main")]
-                    zone = tuple(f for _, fs in stack for f in fs)
-                yield "open", name, zone
+                    at = _leave_sections(at, elements, places)
+                out.append(("open", name, at))
                 if name not in VOID and not raw.endswith("/>") and (name in BLOCKS or name in SECTIONS):
-                    own = _features(name, raw)
                     if name == "body":
-                        stack = []
+                        at = -1
+                    # class words of html, body and main describe the page
+                    own = _features(name, raw if name not in ("html", "body", "main") else "")
                     if name in SECTIONS or own or name == "div":
-                        stack.append((name, own))
-                        zone = tuple(f for _, fs in stack for f in fs)
+                        elements.append((name, own))
+                        places.append((len(elements) - 1, at))
+                        at = len(places) - 1
         elif raw[0] != "<" or raw == "<":
-            yield "text", htmllib.unescape(raw), zone
+            out.append(("text", htmllib.unescape(raw), at))
+        else:
+            out.append(("skip", "!", at))
+    return out, elements, places
+
+
+def _leave_sections(at: int, elements: list[tuple[str, tuple[str, ...]]], places: list[tuple[int, int]]) -> int:
+    """The place without open sections other than ``article`` and ``main``; an article inside them means they were left open."""
+    inner: list[int] = []  # elements from the outermost such section inwards stand at new places
+    whole, up, path = at, at, []
+    while up >= 0:
+        element, around = places[up]
+        if elements[element][0] in SECTIONS and elements[element][0] not in ("article", "main"):
+            inner, whole = path.copy(), around
         else:
-            yield "skip", "!", zone
+            path.append(element)
+        up = around
+    if whole != at:
+        for element in reversed(inner):
+            places.append((element, whole))
+            whole = len(places) - 1
+    return whole
+
+
+def pieces(page: str) -> Iterator[tuple[str, str, Zone]]:
+    """(kind, value, zone): kind ``text`` with decoded text, or ``open``/``close``/``skip`` with a tag name.
+
+    Class words of what wraps the page's main part say nothing about that part and are left out: those of its largest
+    article, and of all elements around this and around the largest ``main``; on a page with neither, those of plain
+    elements that hold nearly all words.
+    """
+    tokens, elements, places = _tokens(page)
+    below = [0] * len(places)  # words
+    total = 0
+    for kind, value, at in tokens:
+        if kind == "text":
+            n = len(value.split())
+            total += n
+            if at >= 0:
+                below[at] += n
+    held = [0] * len(elements)
+    for at in range(len(places) - 1, -1, -1):
+        element, around = places[at]
+        held[element] += below[at]
+        if around >= 0:
+            below[around] += below[at]
+    features = [own for _, own in elements]
+    largest = [max(found, key=lambda i: (held[i], -i)) for name in ("article", "main")
+               if (found := [i for i, e in enumerate(elements) if e[0] == name])]
+    for i in largest:
+        features[i] = (elements[i][0],)
+        at = next(p for p, (element, _) in enumerate(places) if element == i)
+        while (at := places[at][1]) >= 0:
+            j = places[at][0]
+            features[j] = tuple(f for f in features[j] if f == elements[j][0])
+    if not largest:
+        for i, (name, _) in enumerate(elements):
+            if name not in SECTIONS and held[i] >= WRAPPER * total:
+                features[i] = ()
+    zones: list[Zone] = []
+    for element, around in places:
+        outer = zones[around] if around >= 0 else ()
+        zones.append((*outer, features[element]) if features[element] else outer)
+    for kind, value, at in tokens:
+        yield kind, value, zones[at] if at >= 0 else ()
+
+
+def _amid(zone: Zone) -> bool:
+    return any("article" in fs or "main" in fs for fs in zone)
 
 
 class Weights:
@@ -102,21 +178,27 @@ class Weights:
     def __init__(self, words: dict[str, float], tags: dict[str, float]):
         self.words, self.tags = words, tags
 
-    def boiler(self, zone: tuple[str, ...]) -> bool:
-        return any(self.words.get(f, 0.0) < -1.0 for f in zone)
+    def boiler(self, zone: Zone) -> bool:
+        """Whether the log-odds of the open elements, summed from the innermost, fall under -1 at any of them."""
+        total = 0.0
+        for fs in reversed(zone):
+            total = min(RESCUE, total + sum(self.words.get(f, 0.0) for f in fs if f not in ("article", "main")))
+            if total < -1.0:
+                return True
+        return False
 
-    def tag(self, kind: str, name: str, zone: tuple[str, ...]) -> float:
+    def tag(self, kind: str, name: str, zone: Zone) -> float:
         """Score of a tag; amid main text one that opens no section, where its like may be a mere link, costs little."""
-        if "article" in zone or "main" in zone:
+        if _amid(zone):
             return WITHIN * max(PLAIN, self.tags.get(f"{kind} {name}", LEAST * 4))
         if name in SECTIONS or self.boiler(zone):
             return self.tags.get(f"{kind} {name}", -1.0)
         return max(PLAIN, self.tags.get(f"{kind} {name}", LEAST * 4))
 
-    def word(self, zone: tuple[str, ...]) -> float:
+    def word(self, zone: Zone) -> float:
         if not self.boiler(zone):
             return 1.0
-        return BOILER_WORD * (WITHIN if "article" in zone or "main" in zone else 1.0)
+        return BOILER_WORD * (WITHIN if _amid(zone) else 1.0)
 
 
 def fit(labelled: list[str]) -> Weights:
@@ -125,18 +207,28 @@ def fit(labelled: list[str]) -> Weights:
     outside: Counter = Counter({f: PRIOR for f in BOILER})
     tag_in: Counter = Counter()
     tag_out: Counter = Counter()
+    prior = Weights({f: log((inside[f] + 1) / (outside[f] + 1)) for f in CONTENT | BOILER}, {})
+    shown: Counter = Counter()  # pages with a feature outside their main text
     for page in labelled:
+        apart: set[str] = set()
         for kind, value, zone in pieces(page):
-            main = "article" in zone and not BOILER.intersection(zone)
+            main = any("article" in fs for fs in zone) and not prior.boiler(zone)
             if kind == "text":
                 n = len(value.split())
-                for f in set(zone):
+                for f in {f for fs in zone for f in fs}:
                     (inside if main else outside)[f] += n
+                    if n and not main:
+                        apart.add(f)
             else:
                 border = value in ("article", "main")
                 (tag_in if main and not border else tag_out)[f"{kind} {value}"] += 1
+        shown.update(apart)
     n_in, n_out = sum(tag_in.values()) + 1, sum(tag_out.values()) + 1
-    words = {f: log((inside[f] + 1) / (outside[f] + 1)) for f in inside | outside}
+    words = {}
+    for f in inside | outside:
+        least = 1 if f in CONTENT or f in BOILER else PRIOR  # words without a prior: as many again to speak for either side
+        odds = log((inside[f] + least) / (outside[f] + least))
+        words[f] = odds if f in BOILER or shown[f] >= EVIDENCE_PAGES else max(0.0, odds)
     tags = {t: max(MOST, min(LEAST, log((tag_in[t] + 0.5) / n_in) - log((tag_out[t] + 0.5) / n_out)))
             for t in tag_in | tag_out}
     for name in BLOCKS - SECTIONS:  # tags of text blocks that the labelled pages lack
