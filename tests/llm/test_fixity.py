@@ -65,3 +65,16 @@ def test_pages_with_nulls_and_repeats(spark):
     assert fixity.audit(first, first).count() == 0 and second.count() >= 3
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert fixity.audit(*fixity.archive(empty)).count() == 0
+
+
+def test_records_of_one_place_are_one_node(spark):
+    """Null files and offsets, and repeats, come to no list of all their records."""
+    a = spark.range(60_000).selectExpr("cast(null as string) file", "if(id % 3 = 0, 7L, null) offset", "sha2(string(id % 40000), 256) digest")
+    tree = fixity.merkle_tree(a, 2048, 4)
+    assert sorted(r["idx"] for r in tree.where("level = 0").collect()) == [-1, 7]
+    assert fixity.audit(a, a.repartition(5, "digest")).count() == 0
+    twice = a.where("offset is null").groupBy("digest").count().where("count = 2").orderBy("digest").first()["digest"]
+    lost = a.where("offset is null").dropDuplicates(["digest"]).where(f"digest = '{twice}'").unionByName(
+        a.where(f"offset is not null or digest <> '{twice}'"))  # one of two equal records
+    got = fixity.audit(a, lost).collect()
+    assert [(r["offset"], r["fault"], r["left_digest"] == r["right_digest"]) for r in got] == [(-1, "changed", True)]

@@ -19,6 +19,7 @@ from wardflow.llm.common import materialize, read_table
 
 RANGE_BYTES = 1 << 16
 FAN = 16
+PLACE_BUCKETS = 4096  # parts that the records of one offset are hashed in, by digest
 FILE_RECORDS = 512  # records dealt into one archive file, on average
 
 
@@ -30,16 +31,33 @@ def record_bytes(url: Column, body: Column) -> Column:
                     F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
+def places(records: DataFrame) -> DataFrame:
+    """One row for each ``file`` and offset ``idx`` (null: -1): ``digest`` of all its records and the ``least`` of theirs.
+
+    Equal records become a count first; the others of one place, such as all
+    records of null offset, are hashed in buckets of their digests, so that no
+    task holds them all.
+    """
+    one = records.select("file", F.coalesce("offset", F.lit(-1)).cast("long").alias("idx"),
+                         F.coalesce("digest", F.lit("")).alias("digest"))
+    counted = one.groupBy("file", "idx", "digest").agg(F.count("*").alias("n"))
+    bucket = F.pmod(F.xxhash64("digest"), F.lit(PLACE_BUCKETS)).alias("bucket")
+    listed = lambda *cols: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*cols))), lambda k: F.concat_ws(
+        ":", *[k[c].cast("string") for c in cols])), "\n"), 256)
+    parts = counted.groupBy("file", "idx", bucket).agg(listed("digest", "n").alias("part"), F.min("digest").alias("least"))
+    return parts.groupBy("file", "idx").agg(listed("bucket", "part").alias("digest"), F.min("least").alias("least"))
+
+
 def merkle_tree(records: DataFrame, range_bytes: int = RANGE_BYTES, fan: int = FAN, top: int | None = None) -> DataFrame:
-    """Nodes (``file``, ``level``, ``idx``, ``digest``) from records (``file``, ``offset``, ``digest``).
+    """Nodes (``file``, ``level``, ``idx``, ``digest``, ``least``) from records (``file``, ``offset``, ``digest``).
 
-    Level 0 holds the records by offset; the level ``top`` has one node per
+    Level 0 holds the records by offset, one node each, with the ``least`` of
+    their digests (null above); the level ``top`` has one node per
     file (default: as many levels as the largest offset needs).  Records at
-    one offset of one file count together, in digest order.  Null offsets and
+    one offset of one file count together, whatever their order.  Null offsets and
     digests are hashed as empty.  No record: no node.
     """
-    leaves = records.select("file", F.lit(0).alias("level"), F.coalesce("offset", F.lit(-1)).cast("long").alias("idx"),
-                            F.coalesce("digest", F.lit("")).alias("digest"))
+    leaves = places(records).select("file", F.lit(0).alias("level"), "idx", "digest", "least")
     if top is None:
         top = levels(records, range_bytes, fan)
     out, below = [leaves], leaves
@@ -49,7 +67,8 @@ def merkle_tree(records: DataFrame, range_bytes: int = RANGE_BYTES, fan: int = F
         kids = F.sort_array(F.collect_list(F.struct("idx", "digest")))
         below = below.groupBy("file", F.floor(F.col("idx") / step).cast("long").alias("up")).agg(kids.alias("kids"))
         below = below.select("file", F.lit(level).alias("level"), F.col("up").alias("idx"), F.sha2(F.array_join(
-            F.transform("kids", lambda k: F.concat_ws(":", k["idx"].cast("string"), k["digest"])), "\n"), 256).alias("digest"))
+            F.transform("kids", lambda k: F.concat_ws(":", k["idx"].cast("string"), k["digest"])), "\n"), 256).alias("digest"),
+            F.lit(None).cast("string").alias("least"))
         out.append(below)
     return reduce(DataFrame.unionByName, out)
 
@@ -80,11 +99,8 @@ def audit(left: DataFrame, right: DataFrame, range_bytes: int = RANGE_BYTES, fan
         sides = []
         for tree, mark in zip(trees, ("l", "r"), strict=True):
             nodes = tree.where(F.col("level") == level).withColumn("up", F.floor(F.col("idx") / step).cast("long"))
-            if not level:  # records at one offset: one place
-                nodes = nodes.groupBy("file", "idx", "up").agg(F.sort_array(F.collect_list("digest")).alias("all")).select(
-                    "file", "idx", "up", F.sha2(F.array_join("all", "\n"), 256).alias("node"), F.get("all", F.lit(0)).alias("digest"))
-            else:
-                nodes = nodes.select("file", "idx", "up", F.col("digest").alias("node"), "digest")
+            nodes = nodes.select("file", "idx", "up", F.col("digest").alias("node"),
+                                 F.col("digest" if level else "least").alias("digest"))
             if bad is not None:
                 nodes = nodes.join(bad.select(F.col("file").alias("bf"), F.col("idx").alias("bi")),
                                    F.col("file").eqNullSafe(F.col("bf")) & (F.col("up") == F.col("bi")), "left_semi")
