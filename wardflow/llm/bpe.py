@@ -1,29 +1,28 @@
-"""Token ids of a byte-level BPE vocabulary, with a cache of text units.
+"""Token ids of a byte-level BPE vocabulary, and the cuts between its text units.
 
 The pre-tokenizer never joins characters across a single space or newline that
 stands between two visible characters, so a text is cut there by plain string
-splits, and the ids of each chunk are looked up.  Texts with other white space
+splits, and the value of each chunk can be looked up.  Texts with other white space
 are cut by the pre-tokenizer's own pattern.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 from functools import lru_cache
 
-import numpy as np
 import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_WORDS = 800_000  # in two generations: words met again move to the younger
-CACHE_CHUNKS = 450_000
 # fixed values: the pre-tokenizer's pattern, \s spelled out
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-PATTERN = regex.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+PATTERN_TEXT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+PATTERN = regex.compile(PATTERN_TEXT)
 _BLANK = re.compile(f"[{_S}]|\\s")
 
 
@@ -79,61 +78,63 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def pack_ids(ids) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class TokenIds:
     """Ids of texts as little-endian unsigned 32-bit bytes, special tokens recognised as the library does.
 
-    Words are encoded once by the library's model and kept, as are the chunks
-    made of them, up to a bound.
+    A vocabulary whose ids are its merge ranks is encoded text by text without a
+    cache; any other goes through the library's own encoder.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        library = Tokenizer.from_file(path)
-        self._model = library.model
-        self._chars = {b: c for c, b in byte_of_char().items()}
-        self._special = {t.content: np.array([i], "<u4").tobytes()
-                         for i, t in library.get_added_tokens_decoder().items()}
-        self._split = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") \
-            if self._special else None
-        self._words: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
-        self._chunks = ByChunk(self._by_words)
-
-    def _word(self, word: str) -> bytes:
-        ids = self._words.get(word)
-        if ids is None:
-            if len(self._words) >= CACHE_WORDS // 2:
-                self._words, self._older = {}, self._words
-            ids = self._older.pop(word, None)
-            if ids is not None:
-                self._words[word] = ids
-                return ids
-            spelled = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self._chars)
-            ids = self._words[word] = np.array([t.id for t in self._model.tokenize(spelled)], "<u4").tobytes()
-        return ids
-
-    def _by_words(self, text: str) -> bytes:
-        return b"".join(map(self._word, pieces(text)))
-
-    def _plain(self, text: str) -> bytes:
-        """Ids of a text without special tokens."""
-        if "\0" in text:
-            return self._by_words(text)
-        try:
-            return b"".join(map(self._chunks.__getitem__, chunks(text)))
-        except TypeError:  # an odd chunk
-            return self._by_words(text)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        ranks = _ranks(spec, special)
+        self._fast = None
+        if ranks is not None:
+            import tiktoken
+            self._fast = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN_TEXT, mergeable_ranks=ranks,
+                                           special_tokens=special).encode_to_numpy
+        self._path, self._library = path, None
+
+    def ids(self, text: str) -> bytes:
+        if self._fast:
+            try:
+                return self._fast(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+            except ValueError:  # a run of white space too long for its regular expressions
+                pass
+        if self._library is None:
+            from tokenizers import Tokenizer
+            self._library = Tokenizer.from_file(self._path)
+            self._library.no_padding()
+            self._library.no_truncation()
+        return pack_ids(self._library.encode(text, add_special_tokens=False).ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for t in texts:
-            if len(self._chunks) > CACHE_CHUNKS:
-                self._chunks.clear()
-            if self._split and self._split.search(t):
-                out.append(b"".join(self._special.get(p) or self._plain(p) for p in self._split.split(t) if p))
-            else:
-                out.append(self._plain(t))
-        return out
+        return list(map(self.ids, texts))
+
+
+def _ranks(spec: dict, special: dict[str, int]) -> dict[bytes, int] | None:
+    """Ids by token, if these are the ranks of plain byte-level merges; else None."""
+    byte, model = byte_of_char(), spec["model"]
+    cut = spec.get("pre_tokenizer") or {}
+    if (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) != ("ByteLevel", False, True) or spec.get("normalizer"):
+        return None
+    if model.get("type") != "BPE" or any(model.get(k) for k in ("ignore_merges", "unk_token", "continuing_subword_prefix",
+                                                                "end_of_word_suffix", "byte_fallback", "dropout")):
+        return None
+    words = {t: i for t, i in model["vocab"].items() if t not in special}
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [words.get(a + b) for a, b in pairs]
+    if None in made or made != sorted(made) or len(words) != len(pairs) + 256 or not all(c in byte for t in words for c in t):
+        return None
+    if made and made[0] <= max(i for t, i in words.items() if len(t) == 1):
+        return None
+    return {bytes(byte[c] for c in t): i for t, i in words.items()}
 
 
 @lru_cache(maxsize=2)
