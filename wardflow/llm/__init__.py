@@ -15,8 +15,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from wardflow.llm import chat, contamination, fixity, htmltext, packing, secrets, simhash, tokencount, toxicity, weighted
-    return (fixity, packing, secrets, toxicity, htmltext, tokencount, simhash, chat, contamination, weighted)
+    from wardflow.llm import (
+        backtrack, chat, contamination, fixity, htmltext, packing, secrets, simhash, tokencount, toxicity, weighted,
+    )
+    return (fixity, packing, secrets, toxicity, htmltext, tokencount, simhash, chat, contamination, weighted, backtrack)
 
 
 def queries() -> dict[str, QueryFn]:
