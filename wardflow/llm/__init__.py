@@ -16,9 +16,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _modules():
     from wardflow.llm import (
-        backtrack, chat, contamination, divergence, fixity, htmltext, packing, secrets, simhash, tokencount, toxicity, weighted,
+        backtrack, chat, contamination, divergence, fixity, htmltext, negatives, packing, secrets, simhash, tokencount, toxicity, weighted,
     )
-    return (fixity, packing, secrets, toxicity, htmltext, tokencount, simhash, chat, contamination, weighted, backtrack, divergence)
+    return (fixity, packing, secrets, toxicity, htmltext, tokencount, simhash, chat, contamination, weighted, negatives, backtrack,
+            divergence)
 
 
 def queries() -> dict[str, QueryFn]:
