@@ -22,14 +22,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm.bpe import PATTERN, byte_of_char, chunk_text, chunks, is_odd, pack_ids, vocabulary_path
 from wardflow.llm.common import read_table
 
-CACHE_BYTES = 120_000_000  # of a Python worker, for chunks of texts and their ids
-CACHE_PAIRS = 400_000  # about 60 MB
+CACHE_BYTES = 90_000_000  # of a Python worker, for chunks of texts and their ids
+CACHE_PAIRS = 250_000  # about 35 MB
 DECODE_STEP = 1 << 16  # ids that are gathered at a time
 
 _BYTE = -1  # merge rank of a single byte: before all merges
@@ -67,15 +67,7 @@ class Backtracking:
         self.pairs: dict[int, bool] = {}  # the pair-compatibility table, filled as pairs are met
         self._shorter: dict[int, int] = {}
         self._ids = _Kept(self._chunk)
-        size = max([*self.spelled, *special.values()]) + 1
-        content = [b""] * size
-        for i, s in self.spelled.items():
-            content[i] = s.encode("latin-1")
-        for text, i in special.items():
-            content[i] = text.encode()
-        self.block = np.frombuffer(b"".join(content), np.uint8)
-        self.offsets = np.zeros(size + 1, np.int64)
-        np.cumsum([len(c) for c in content], out=self.offsets[1:])
+        self.decode = OffsetTable({i: s.encode("latin-1") for i, s in self.spelled.items()} | {i: t.encode() for t, i in special.items()}).decode
 
     def _stays(self, a: int, b: int, until: float = float("inf")) -> bool:
         """Whether tokens ``a`` and ``b`` side by side do not merge across their border before rank ``until``.
@@ -162,6 +154,16 @@ class Backtracking:
             return b"".join(self.special.get(p) or self._plain(p) for p in self._cut.split(text) if p)
         return self._plain(text) if text else b""
 
+
+class OffsetTable:
+    """All tokens in one block of bytes, and where each begins; the next one's begin is its end."""
+
+    def __init__(self, tokens: dict[int, bytes]):
+        content = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+        self.block = np.frombuffer(b"".join(content), np.uint8)
+        self.offsets = np.zeros(len(content) + 1, np.int64)
+        np.cumsum([len(c) for c in content], out=self.offsets[1:])
+
     def decode(self, ids: bytes) -> str:
         """The text; ids outside the vocabulary stand for nothing, bytes that are no UTF-8 become U+FFFD."""
         ids_of = np.frombuffer(ids, "<u4").astype(np.int64)
@@ -236,12 +238,25 @@ def decode(docs: DataFrame, ids_col: str = "ids", out_col: str = "text", vocabul
     return docs.withColumn(out_col, text(F.col(ids_col)))
 
 
+def round_trip(text: Column, vocabulary: str | None = None) -> Column:
+    """Struct of ``ids``, as ``encode`` gives them, and ``text``, what ``decode`` makes of these; one pass in one worker."""
+    path = vocabulary or vocabulary_path()
+
+    @F.pandas_udf("ids binary, text string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = backtracking(path)
+        for texts in batches:
+            ids = [encoder.encode(t or "") for t in texts]
+            yield pd.DataFrame({"ids": ids, "text": list(map(encoder.decode, ids))}, dtype=object)
+    return both(text)
+
+
 def op12_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded again; both results as digests."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, out_col="ids"), "ids", "decoded")
-    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    docs = read_table(spark, sf_dir, "documents")
+    both = docs.select("doc_id", round_trip(F.col("text")).alias("b"))
+    return both.select("doc_id", (F.octet_length("b.ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("b.ids", 256).alias("ids_sha256"), F.sha2("b.text", 256).alias("decoded_sha256"))
 
 
 QUERIES = {"op12_backtrack": op12_backtrack}
