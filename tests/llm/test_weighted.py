@@ -41,15 +41,15 @@ def _slow_fingerprint(text, samples):
     for j in range(samples):
         best = None
         for term, n in terms.items():
-            one, two, three = (_h((term, 8), (weighted.SEED + 3 * j + k, 4)) for k in range(3))
-            u = lambda bits, shift: (((bits >> shift) & ((1 << 31) - 1)) + 0.5) * 2.0 ** -31
-            r = -math.log(u(one, 0) * u(one, 32))
-            c = -math.log(u(two, 0) * u(two, 32))
-            b = u(three, 0)
-            t = math.floor(math.log(n) / r + b)
+            one, two = (_h((term, 8), (weighted.SEED + 3 * j + k, 4)) for k in range(2))
+            u = lambda bits, shift: float(((bits >> shift) & ((1 << 31) - 1)) | 1)
+            r = 62 * math.log(2) - math.log(u(one, 0) * u(one, 32))
+            c = 62 * math.log(2) - math.log(u(two, 0) * u(two, 32))
+            b = ((one >> 11 ^ two >> 32) & ((1 << 31) - 1)) * 2.0 ** -31
+            t = math.floor(math.log(n) / r + b) if n > 1 else 0
             a = math.log(c) - r * (t - b + 1)
             if best is None or a < best[0]:
-                best = (a, _h((term, 8), (t, 8)) & 0xFFFF)
+                best = (a, (term + t * 40_503) & 0xFFFF)
         out.append(f"{best[1]:04x}")
     return "".join(out)
 

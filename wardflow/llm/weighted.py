@@ -18,6 +18,8 @@ samples are plain minima of one packed long, computed before the shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ BITS = 16
 WORD_BREAK = r"[^\p{L}\p{M}\p{N}]+"
 _WEIGHT_BITS = 30  # a string of Spark has fewer words than 2**30
 BUCKETS_PER_PARTITION = 8
+MOST_BUCKETS = 4096  # cuts that the driver holds; a bucket is sorted with spilling
+_STEP = 40_503  # odd: samples of one word at different t differ in their low bits
 
 
 def term_weights(text: Column) -> Column:
@@ -51,21 +55,34 @@ def term_weights(text: Column) -> Column:
         F.get(b["s"], e - 1), _WEIGHT_BITS) + F.when(k == 0, e).otherwise(e - F.get(b["e"], k - 1))))[0]
 
 
-def _uniform(bits: Column, shift: int) -> Column:
-    """A number inside (0, 1) from 31 bits of a long."""
-    return (F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << 31) - 1)) + F.lit(0.5)) * F.lit(2.0 ** -31)
+_MASK = (1 << 31) - 1
+_LOG_RANGE = 62 * math.log(2.0)
+
+
+def _odd(bits: Column, shift: int) -> Column:
+    """31 bits of a long, the last one set: over 2^31 a number inside (0, 1)."""
+    return F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(_MASK)).bitwiseOR(F.lit(1)).cast("double")
+
+
+def _gamma(bits: Column) -> Column:
+    """Gamma(2, 1): -ln of the product of two uniform numbers, from one hash."""
+    return F.lit(_LOG_RANGE) - F.ln(_odd(bits, 0) * _odd(bits, 32))
 
 
 def _packed(term: Column, log_weight: Column, j: int) -> Column:
-    """ln a in fixed point above 24 bits of the sample (word, t); smaller is better."""
-    one, two, three = (F.xxhash64(term, F.lit(SEED + 3 * j + k)) for k in range(3))
-    r = -F.ln(_uniform(one, 0) * _uniform(one, 32))
-    c = -F.ln(_uniform(two, 0) * _uniform(two, 32))
-    b = _uniform(three, 0)
-    t = F.floor(log_weight / r + b)
-    ln_a = F.ln(c) - r * (t - b + 1)
-    level = F.floor((F.least(F.greatest(ln_a, F.lit(-500.0)), F.lit(500.0)) + 512) * F.lit(float(1 << 28))).cast("long")
-    return F.shiftleft(level, 24).bitwiseOR(F.xxhash64(term, t).bitwiseAND(F.lit((1 << 24) - 1)))
+    """ln a in fixed point above 24 bits of the sample (word, t); smaller is better.
+
+    Two hashes give all: r from one, c from the other, b from bits of both.  ln a
+    lies within -90 and 4 at any weight.  Words that occur once have t = 0.
+    """
+    one, two = (F.xxhash64(term, F.lit(SEED + 3 * j + k)) for k in range(2))
+    r = _gamma(one)
+    mixed = F.shiftrightunsigned(one, 11).bitwiseXOR(F.shiftrightunsigned(two, 32)).bitwiseAND(F.lit(_MASK))
+    b = mixed.cast("double") * F.lit(2.0 ** -31)
+    t = F.when(log_weight == 0, F.lit(0).cast("long")).otherwise(F.floor(log_weight / r + b))
+    ln_a = F.ln(_gamma(two)) - r * (t - b + 1)
+    level = ((ln_a + 512) * F.lit(float(1 << 28))).cast("long")
+    return F.shiftleft(level, 24).bitwiseOR((term + t * _STEP).bitwiseAND(F.lit((1 << 24) - 1)))
 
 
 def _signature(columns: list[Column]) -> Column:
@@ -130,7 +147,7 @@ def with_neighbour(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     the neighbour of its last row.  Null ids come last; null texts are empty.
     """
     spark = docs.sparkSession
-    buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MOST_BUCKETS, BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("rank", F.shiftrightunsigned(F.xxhash64("text"), 1))
     share = F.col("rank").cast("double") * F.lit(2.0 ** -63)
