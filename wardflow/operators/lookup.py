@@ -34,6 +34,25 @@ def prepare_lookup(lookup: DataFrame, source: str = "source_name", target: str =
     return dedupe_lookup(lookup, source, target, case_insensitive)
 
 
+SHARED_BYTES = 4 << 20
+
+
+def shared_lookup(lookup: DataFrame, max_bytes: int = SHARED_BYTES) -> DataFrame:
+    """A prepared lookup that several columns use, read once.
+
+    Its size is measured first (one aggregate).  Up to ``max_bytes`` its rows are
+    held in the plan, so that every use is a hash join with rows at hand; a larger one
+    is returned as it is, and every use joins the table again.
+    """
+    spark = lookup.sparkSession
+    rows = lookup.limit(max_bytes // 8 + 1)  # a bound for what may reach the driver, whatever the table holds
+    size = rows.agg(F.sum(F.octet_length(F.col("__src").cast("string"))
+                          + F.coalesce(F.octet_length(F.col("__tgt").cast("string")), F.lit(0)) + F.lit(8)).alias("b")).first()["b"] or 0
+    if size > max_bytes:
+        return lookup
+    return spark.createDataFrame(rows.collect(), lookup.schema)
+
+
 def standardise(df: DataFrame, column: str, lookup: DataFrame, source: str = "source_name",
                 target: str = "target_name", case_insensitive: bool = False,
                 default=KEEP, out: str | None = None,

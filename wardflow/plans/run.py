@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions import rules as R
 from wardflow.functions.hashing import hash_columns
 from wardflow.operators.delta import new_records
 from wardflow.operators.latest import latest_joint_max
-from wardflow.operators.lookup import prepare_lookup, standardise
+from wardflow.operators.lookup import prepare_lookup, shared_lookup, standardise
 from wardflow.plans.spec import LoadSpec, Rule
 from wardflow.sources.audit import audited
 from wardflow.sources.sinks import append
@@ -219,6 +221,74 @@ def _join_parent(df: DataFrame, p, io) -> DataFrame:
     return df.join(parent, cond, "inner").drop(*[f"__p_{pc}" for _, pc in p.on])
 
 
+def _mentions(e: str, names: set[str]) -> bool:
+    """Whether an expression text uses one of these columns (lower case)."""
+    return any(w.lower() in names for w in re.findall(r"[A-Za-z_]\w*", re.sub(r"'[^']*'", "", e)))
+
+
+def _latest_then_parents(form: DataFrame, spec: LoadSpec, io) -> DataFrame | None:
+    """The latest rule over joined rows, with every parent joined once to a narrow frame.
+
+    The form is reduced to one row per (foreign keys, its own grouping keys) with
+    the greatest measures; the parents are joined to these rows, and each
+    key's maxima are taken there (a window over as many rows as a key has foreign
+    keys).  The rows that can hold the maxima carry the parents' columns to the
+    form, which is joined once, on foreign keys, keys and measures.  None if a
+    measure is not the form's own.
+    """
+    lt = spec.latest
+    over = spec.parents if lt.over is None else lt.over
+    made = {out.lower() for p in over for _, out in p.columns}
+    grouped = lt.maxes and isinstance(lt.maxes[0], tuple)
+    maxes = list(dict.fromkeys(m for group in lt.maxes for m in group)) if grouped else list(lt.maxes)
+    if any(_mentions(m, made) for m in maxes):
+        return None
+    fks: list[str] = []
+    for chain in (over, spec.parents):
+        outs: set[str] = set()
+        for p in chain:
+            fks += [cc for cc, _ in p.on if cc.lower() not in outs and cc not in fks]
+            outs |= {out.lower() for _, out in p.columns}
+    mine = [i for i, k in enumerate(lt.keys) if not _mentions(k, made)]
+    keys = [f"__k{i}" for i in range(len(lt.keys))]
+    joined = keys if lt.join_keys is None else [f"__k{i}" for i, k in enumerate(lt.keys) if k in lt.join_keys]
+    marked = form.withColumns({f"__k{i}": _expr(lt.keys[i]) for i in mine} | {f"__m{j}": _expr(m) for j, m in enumerate(maxes)}
+                              | {f"__f{i}": F.col(c) for i, c in enumerate(fks)})
+    links = [f"__f{i}" for i in range(len(fks))]
+    of_form = [f"__k{i}" for i in mine]
+    best = [f"__m{j}" for j in range(len(maxes))]
+    top = [f"__x{j}" for j in range(len(maxes))]
+
+    narrow = marked.groupBy(*links, *of_form).agg(*[F.max(m).alias(m) for m in best])
+    narrow = narrow.withColumns({c: F.col(f"__f{i}") for i, c in enumerate(fks)})
+    for p in over:
+        narrow = _join_parent(narrow, p, io)
+    narrow = narrow.withColumns({f"__k{i}": _expr(k) for i, k in enumerate(lt.keys) if i not in mine})
+    narrow = narrow.where(reduce(and_, [F.col(k).isNotNull() for k in joined]))
+    narrow = narrow.withColumns({x: F.max(m).over(Window.partitionBy(*keys)) for x, m in zip(top, best, strict=True)})
+    if joined == keys:
+        narrow = narrow.where(reduce(and_, [F.col(x) == F.col(m) for x, m in zip(top, best, strict=True)]))
+    else:  # maxima of any group that agrees in the coarser keys
+        seen = F.collect_set(F.struct(*top)).over(Window.partitionBy(*joined))
+        narrow = narrow.withColumn("__sets", seen).withColumn("__seen", F.explode("__sets")).withColumns({x: F.col(f"__seen.{x}") for x in top})
+        narrow = narrow.where(reduce(and_, [F.col(x) <= F.col(m) for x, m in zip(top, best, strict=True)]))
+    if lt.over is not None:
+        narrow = narrow.select(*links, *keys, *top).dropDuplicates()
+        narrow = narrow.withColumns({c: F.col(f"__f{i}") for i, c in enumerate(fks)})
+        for p in spec.parents:
+            narrow = _join_parent(narrow, p, io)
+        same = [_expr(k) == F.col(f"__k{i}") for i, k in enumerate(lt.keys) if i not in mine and f"__k{i}" in joined]
+        narrow = narrow.where(reduce(and_, same)) if same else narrow
+    outs = [out for p in spec.parents if p.kind != "semi" for _, out in p.columns]
+    narrow = narrow.select(*[F.col(c).alias(f"__w{c}") for c in (*links, *of_form, *top)], *outs)
+    rows = marked.drop(*[c for c in form.columns if c.lower() in {o.lower() for o in outs}])
+    on = [rows[c] == narrow[f"__w{c}"] for c in links]
+    on += [rows[k] == narrow[f"__w{k}"] if k in joined else rows[k].eqNullSafe(narrow[f"__w{k}"]) for k in of_form]
+    on += [rows[m] == narrow[f"__w{x}"] for m, x in zip(best, top, strict=True)]
+    kept = [c for c in form.columns if c in rows.columns]
+    return rows.join(narrow, reduce(and_, on)).select(*kept, *outs)
+
+
 def scan(spec: LoadSpec, io, as_of: dt.date | None = None) -> DataFrame:
     """Form scan: latest rule, parent joins, filters, scan-level GROUP BY."""
     df = io.table(spec.source)
@@ -229,9 +299,13 @@ def scan(spec: LoadSpec, io, as_of: dt.date | None = None) -> DataFrame:
     if lt is not None and lt.stage == "form":
         df = _apply_latest(df, lt)
     form = df
-    for p in spec.parents:
-        df = _join_parent(df, p, io)
-    if lt is not None and lt.stage == "joined":
+    at_once = _latest_then_parents(form, spec, io) if lt is not None and lt.stage == "joined" else None
+    if at_once is None:
+        for p in spec.parents:
+            df = _join_parent(df, p, io)
+    else:
+        df = at_once
+    if at_once is None and lt is not None and lt.stage == "joined":
         over = None
         if lt.over is not None:
             over = form
@@ -267,10 +341,11 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, pr
         df = df.limit(spec.sample_limit)
     df = _apply_rules(df, spec.rules, as_of)
     prepared: dict = {}
-    for lk in spec.lookups:
-        ident = (lk.table, lk.source, lk.target, lk.case_insensitive)
+    idents = [(lk.table, lk.source, lk.target, lk.case_insensitive) for lk in spec.lookups]
+    for lk, ident in zip(spec.lookups, idents, strict=True):
         if ident not in prepared:
-            prepared[ident] = prepare_lookup(io.table(lk.table), lk.source, lk.target, lk.case_insensitive)
+            one = prepare_lookup(io.table(lk.table), lk.source, lk.target, lk.case_insensitive)
+            prepared[ident] = shared_lookup(one) if idents.count(ident) > 1 else one
         df = standardise(df, lk.column, prepared[ident], case_insensitive=lk.case_insensitive,
                          default=R.KEEP if lk.default is None else lk.default, prepared=True)
     tgt = io.target(spec.target)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardflow.operators.asof import asof_latest, month_spine_of
 from wardflow.operators.delta import new_records
 from wardflow.operators.latest import last_per_key, latest_joint_max
-from wardflow.operators.lookup import prepare_lookup, standardise
+from wardflow.operators.lookup import prepare_lookup, shared_lookup, standardise
 from wardflow.queries import query
 from wardflow.queries._data import ntz, table
 
@@ -69,7 +69,7 @@ def lookup_multi_alias(spark, sf):
           .distinct())
     df = li.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
                    F.col("l_returnflag").alias("flag_again"))
-    lk = prepare_lookup(lk)
+    lk = shared_lookup(prepare_lookup(lk))
     for c in ("l_returnflag", "l_linestatus", "flag_again"):
         df = standardise(df, c, lk, prepared=True)
     return df
