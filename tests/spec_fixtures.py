@@ -15,7 +15,7 @@ SQL_WORDS = {"cast", "as", "date", "coalesce", "case", "when", "then", "else", "
              "or", "max", "try_cast", "int", "timestamp", "boolean", "timestamp_ntz", "false", "true", "current_date", "DATE", "AS"}
 INT_COLS = {"patientpk", "sitecode", "code", "patientpid", "facilityid", "id", "encounterid", "partnerpatientpk",
             "contactpatientpk", "motherpatientpk", "babypatientpk"}
-TS_COLS = {"created", "datecreated", "dateextracted"}
+TS_COLS = {"created", "datecreated", "dateextracted", "date_created", "date_last_modified", "loaddate", "refilldate"}
 
 
 def _idents(e) -> set[str]:
@@ -64,6 +64,14 @@ def _value(name: str, typ, row: int):
         return dt.date(2020, 1, 1)
     if low == "gender":
         return "F"
+    if low.endswith("date"):
+        return "2020-01-01"
+    if low in ("temp", "oxygensaturation"):
+        return "36.6"
+    if low in ("pulserate", "respiratoryrate", "muac"):
+        return "71"
+    if low == "deletedflag":
+        return "0"
     if low in ("mfl_code",):
         return "10001"
     if low == "voided":

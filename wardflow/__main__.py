@@ -29,6 +29,8 @@ def main(argv=None) -> None:
     ld.add_argument("--partitions", type=int, default=None, help="value for specs whose parallelism is configured")
     ld.add_argument("--fixed-partitions", action="store_true",
                     help="honour the specs' fixed writer counts instead of AQE rebalancing")
+    ld.add_argument("--versions", action="store_true", help="commit each batch as a version of its target")
+    ld.add_argument("--batch", default=None, help="id of this run; with --versions a repeated run adds nothing twice")
     ld.add_argument("--partition-by", default="", help="comma-separated target layout columns, e.g. SiteCode")
     rp = sub.add_parser("repair-dates")
     rp.add_argument("--table", required=True, help="input Parquet folder (e.g. T/HTS_TestKits)")
@@ -50,14 +52,14 @@ def main(argv=None) -> None:
     from wardflow.session import build_session
     spark = build_session(app="wardflow")
     if a.cmd == "load":
-        from wardflow.plans.run import ParquetIO, run_load
+        from wardflow.plans.run import ParquetIO, VersionedIO, run_load
         as_of = dt.date.fromisoformat(a.as_of) if a.as_of else dt.date.today()
-        io = ParquetIO(spark, a.source_dir, a.target_dir, default_partitions=a.partitions,
+        io = (VersionedIO if a.versions else ParquetIO)(spark, a.source_dir, a.target_dir, default_partitions=a.partitions,
                        fixed_partitions=a.fixed_partitions,
                        partition_by=tuple(c for c in a.partition_by.split(",") if c))
         specs = list(SPECS.values()) if a.spec == "all" else [SPECS.get(a.spec) or by_id(a.spec)]
         for s in specs:
-            print(json.dumps(run_load(s, io, as_of)))
+            print(json.dumps(run_load(s, io, as_of, batch=a.batch if a.versions else None)))
     elif a.cmd == "repair-dates":
         from wardflow.operators.repair import repair_dates
         df = spark.read.parquet(a.table)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from functools import reduce
 from operator import and_
 
@@ -17,8 +18,11 @@ from wardflow.operators.delta import new_records
 from wardflow.operators.latest import latest_joint_max
 from wardflow.operators.lookup import prepare_lookup, shared_lookup, standardise
 from wardflow.plans.spec import LoadSpec, Rule
+from wardflow.plans.contracts import contract
 from wardflow.sources.audit import audited
-from wardflow.sources.sinks import append
+from wardflow.sources.conform import checked, fitting, rejected
+from wardflow.sources.sinks import append, snapshot
+from wardflow.sources.versions import VersionedTable
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -83,6 +87,21 @@ class ParquetIO:
         append(df, f"{self.target_dir}/{name}", num_partitions=n, partition_by=by)
 
 
+class VersionedIO(ParquetIO):
+    """As ``ParquetIO``, but targets are tables with versions: a batch is seen whole or not at all, and once."""
+
+    def target(self, name: str) -> DataFrame | None:
+        return VersionedTable(self.spark, f"{self.target_dir}/{name}").read()
+
+    def write(self, df: DataFrame, name: str, partitions, batch: str | None = None) -> bool:
+        """False if the batch was committed before: nothing is run then."""
+        table = VersionedTable(self.spark, f"{self.target_dir}/{name}")
+        if batch and table.holds(batch):
+            return False
+        table.append(df, batch or uuid.uuid4().hex, [c for c in self.partition_by if c in df.columns])
+        return True
+
+
 class JdbcIO:
     """Sources and targets in relational databases, read and written over JDBC.
 
@@ -362,8 +381,23 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, pr
     return df.select(*spec.columns, *[h for _, h in spec.hashes])
 
 
-def run_load(spec: LoadSpec, io, as_of: dt.date) -> dict:
-    """Append the new rows to the target; returns the audit counts."""
-    out, obs = audited(build_load(spec, io, as_of), spec.name)
-    io.write(out, spec.target, spec.write_partitions)
-    return {"spec": spec.name, "new_rows": obs.get.get("rows", 0)}
+def typed_load(spec: LoadSpec, io, as_of: dt.date) -> DataFrame:
+    """The load in its target's types; rows that do not fit name their misfits (see ``checked``)."""
+    return checked(build_load(spec, io, as_of), *contract(spec))
+
+
+def run_load(spec: LoadSpec, io, as_of: dt.date, batch: str | None = None) -> dict:
+    """Append the new rows to the target, and those that do not fit its types to ``<target>_rejects``.
+
+    The load is evaluated once; returns the counts of both.  ``batch``: the id under
+    which a back end with versions commits, so that a retry adds nothing twice.
+    """
+    with snapshot(typed_load(spec, io, as_of)) as rows:
+        out, new = audited(fitting(rows), spec.name)
+        aside, kept = audited(rejected(rows), f"{spec.name}_rejects")
+        extra = {"batch": batch} if batch else {}
+        # counts of a write that was not run would be waited for without end
+        set_aside = io.write(aside, f"{spec.target}_rejects", None, **extra) is not False
+        added = io.write(out, spec.target, spec.write_partitions, **extra) is not False
+        return {"spec": spec.name, "new_rows": new.get.get("rows", 0) if added else 0,
+                "rejected_rows": kept.get.get("rows", 0) if set_aside else 0}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,3 +53,43 @@ def conform(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None
     if misfit == "reject":
         cols.append((sum(faults[1:], faults[0]) if faults else F.lit(0)).alias("_misfits"))
     return df.select(*cols)
+
+
+MISFITS = "_misfits"
+
+
+def checked(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
+    """``df`` in the types of ``schema``, and ``_misfits``: the (column, value) pairs of a row that do not fit.
+
+    A misfit is NULL in its column and keeps its raw text in ``_misfits``, so that nothing is
+    lost and a row can be set aside and repaired; rows that fit have an empty array.
+    A column that the input lacks is an error.
+    """
+    by_lower = {c.lower(): c for c in df.columns}
+    cols, faults = [], []
+    for f in schema.fields:
+        if f.name.lower() not in by_lower:
+            raise KeyError(f.name)
+        src = by_lower[f.name.lower()]
+        raw, kind = F.col(f"`{src}`"), df.schema[src].dataType
+        typed = raw if kind == f.dataType else _typed(raw, kind, f.dataType)
+        tests = [] if kind == f.dataType else [raw.isNotNull() & typed.isNull()]
+        if lengths and f.name in lengths:
+            tests.append(F.length(typed.cast("string")) > lengths[f.name])
+        if tests:
+            bad = F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
+            faults.append(F.when(bad, F.struct(F.lit(f.name).alias("column"), raw.cast("string").alias("value"))))
+            typed = F.when(~bad, typed)
+        cols.append(typed.alias(f.name))
+    none = F.lit(None).cast("struct<column:string,value:string>")
+    return df.select(*cols, F.filter(F.array(none, *faults), lambda m: m.isNotNull()).alias(MISFITS))
+
+
+def fitting(df: DataFrame) -> DataFrame:
+    """The rows of ``checked`` without a misfit."""
+    return df.where(F.size(MISFITS) == 0).drop(MISFITS)
+
+
+def rejected(df: DataFrame) -> DataFrame:
+    """The other rows, with their misfits."""
+    return df.where(F.size(MISFITS) > 0)
