@@ -1,5 +1,7 @@
 import html as htmllib
+import random
 import re
+import time
 
 from wardflow.llm import htmltext
 
@@ -97,3 +99,50 @@ def test_deep_and_open_elements():
     page = "<div>" * 50_000 + f'<form class="menu"><div class="sidebar"><article>{BODY}</article></div></form>' + "</div>" * 20
     assert htmltext.extract(page, w) == BODY
     assert htmltext.extract(f'<nav><ul><li>menu<div class="sidebar"><article>{BODY}</article></div>', w) == BODY
+
+
+def test_reader_comments_are_no_main_text_without_an_article():
+    said = " ".join(f"<p>I agree so much with this number {i}, thank you for it, and do write more.</p>" for i in range(12))
+    for w in (htmltext.fit([]), htmltext.fit([PAGE] * 20)):
+        page = f'<body><div id=main><h1>Title</h1><p>{BODY}</p></div><div class="comments">{said}</div></body>'
+        assert htmltext.extract(page, w) == f"Title {BODY}"
+        page = f'<body><div id="text"><h1>Title</h1><p>Few words.</p></div><div class="comments">{said}</div></body>'
+        assert htmltext.extract(page, w) == "Title Few words."
+        page = f'<body><div class="page with-comments"><p>{BODY}</p></div><div class="comment-list">{said}</div></body>'
+        assert htmltext.extract(page, w) == BODY
+
+
+def test_text_behind_a_long_list_of_links_is_kept():
+    links = "<ul>" + "".join(f'<li><a href="/{i}">link</a></li>' for i in range(40)) + "</ul>"
+    first, second = BODY[:70].rsplit(" ", 1)[0], BODY[70:].split(" ", 1)[1]
+    for w in (htmltext.fit([]), htmltext.fit([PAGE] * 20)):
+        for around in ("<body>@</body>", '<body><div id="page">@</div></body>'):
+            got = htmltext.extract(around.replace("@", f"<p>{first}</p>{links}<p class='last'>{second}</p>"), w)
+            assert got.startswith(first) and got.endswith(second)
+        # another element's text is not joined
+        page = f"<body><div><p>{BODY}</p></div><div>{links}</div><div><p>{first}</p></div></body>"
+        assert htmltext.extract(page, w) == BODY or "link" in htmltext.extract(page, w)
+
+
+def test_time_is_linear_in_open_elements():
+    w = htmltext.fit([PAGE] * 20)
+    for start in ('<div class="box">', "<nav><div>", '<div class="a"></nav>', "<nav><article><div>", "<p>word<div class='sidebar'>"):
+        begin = time.process_time()
+        htmltext.extract(start * 100_000 + f"<article>{BODY}</article>", w)
+        assert time.process_time() - begin < 12, start
+    page = '<div class="box">' * 100_000 + f"<article>{BODY}</article>"
+    assert htmltext.extract(page, w) == BODY
+
+
+def test_stretches_against_brute_force():
+    rng = random.Random(5)
+    for _ in range(400):
+        scores = [rng.choice([-3, -2, -1, 1, 2, 3]) for _ in range(rng.randint(0, 14))]
+
+        def best(lo, hi):  # the highest-scoring stretch, the shortest and then the first of equals; then the same beside it
+            of = [(-sum(scores[i:j]), j - i, i, j) for i in range(lo, hi) for j in range(i + 1, hi + 1)]
+            if not of or min(of)[0] >= 0:
+                return []
+            score, _, i, j = min(of)
+            return [*best(lo, i), (-score, i, j), *best(j, hi)]
+        assert htmltext.stretches(scores) == best(0, len(scores))

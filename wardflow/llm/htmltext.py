@@ -4,7 +4,9 @@ A page is one sequence of text pieces and tags.  Every word scores +1, or less
 than 0 where it stands in an element that labelled pages show as boilerplate; every
 tag has a negative score, the more so the rarer it is inside the main text of
 labelled pages.  One linear scan finds the contiguous stretch with the largest
-sum; the words of boilerplate elements within it (a form, an advert) are left out.
+sum; the words of boilerplate elements within it (a form, an advert) are left out.  The same
+scan finds the other maximal stretches; those that stand directly in the same element belong to the main text too.
+The time is linear in the page's length, however deep its elements nest.
 
 Labelled pages are those with one ``article`` element, which marks its own main text;
 the counts are added to a fixed prior over element names and class words, so that a
@@ -17,7 +19,7 @@ import html as htmllib
 import re
 from collections import Counter
 from collections.abc import Iterator
-from math import log
+from math import inf, log
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,7 @@ BOILER_WORD = -0.5
 RESCUE = 2.0  # what class words of content weigh at most against boilerplate further out
 EVIDENCE_PAGES = 5  # labelled pages that show a class word outside main text before it counts as boilerplate
 WRAPPER = 0.8  # share of a page's words in an element that wraps the page, where no article or main element tells
+BESIDE = 10  # words of paragraphs that make a main part of their own, or another stretch of the main part
 WITHIN = 0.02  # share of these that counts inside an article: its parts belong together, whatever stands between
 
 # fixed values: element names and class words, by what they usually hold
@@ -43,12 +46,14 @@ breadcrumb breadcrumbs masthead comment comments reply replies respond discussio
 cookies consent gdpr popup modal overlay newsletter subscribe signup login search share sharing social related
 recommended recommendations widget widgets pagination pager toolbar skip copyright legal alert complementary
 contentinfo""".split())
+READERS = frozenset("comment comments reply replies respond discussion disqus".split())
 CONTENT = frozenset("article main content post entry story articlebody".split())
 SECTIONS = frozenset("""nav header footer aside form menu dialog button select textarea noscript template head title
 iframe object svg canvas article main""".split())
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption
 figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup
 option p pre search section summary table tbody td tfoot th thead title tr ul""".split())
+PARAGRAPHS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
 _TOKEN = re.compile(
@@ -56,120 +61,155 @@ _TOKEN = re.compile(
     r"""</?([A-Za-z][^\s/>]*)(?:(?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))|[^<]+|<""", re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 
+_HAVING = re.compile(r"(?<!\S)(?:has|with|no|without)[-_]\S*")
+
 
 def _features(name: str, tag: str) -> tuple[str, ...]:
-    """What an element tells of its words: its name if it is a section, its class, id and role words."""
+    """What an element tells of its words: its name if it is a section, its class, id and role words.
+
+    What it is said to have (``has-sidebar``, ``with-comments``) tells nothing of its own words.
+    """
     words = {name} if name in SECTIONS else set()
     for groups in _NAMED.findall(tag):
-        words.update(w for w in re.split(r"[^a-z0-9]+", "".join(groups).lower()) if w and not w.isdigit())
+        named = _HAVING.sub(" ", "".join(groups).lower())
+        words.update(w for w in re.split(r"[^a-z0-9]+", named) if w and not w.isdigit())
     return tuple(sorted(words))
 
 
-Zone = tuple[tuple[str, ...], ...]  # features of the open elements, outermost first
-
-
-def _tokens(page: str) -> tuple[list[tuple[str, str, int]], list[tuple[str, tuple[str, ...]]], list[tuple[int, int]]]:
-    """Pieces, each with its place; elements (name, features); places (innermost open element, place around it; none: -1)."""
-    out: list[tuple[str, str, int]] = []
-    elements: list[tuple[str, tuple[str, ...]]] = []
-    places: list[tuple[int, int]] = []
-    at = -1
-    for m in _TOKEN.finditer(page):
-        raw = m.group()
-        if m.group(1):
-            out.append(("skip", m.group(1).lower(), at))
-        elif m.group(2):
-            name = m.group(2).lower()
-            if raw[1] == "/":
-                found = at
-                while found >= 0 and elements[places[found][0]][0] != name:
-                    found = places[found][1]
-                if found >= 0:
-                    at = places[found][1]
-                out.append(("close", name, at))
-            else:
-                if name in ("article", "main"):
-                    at = _leave_sections(at, elements, places)
-                out.append(("open", name, at))
-                if name not in VOID and not raw.endswith("/>") and (name in BLOCKS or name in SECTIONS):
-                    if name == "body":
-                        at = -1
-                    # class words of html, body and main describe the page
-                    own = _features(name, raw if name not in ("html", "body", "main") else "")
-                    if name in SECTIONS or own or name == "div":
-                        elements.append((name, own))
-                        places.append((len(elements) - 1, at))
-                        at = len(places) - 1
-        elif raw[0] != "<" or raw == "<":
-            out.append(("text", htmllib.unescape(raw), at))
-        else:
-            out.append(("skip", "!", at))
-    return out, elements, places
-
-
-def _leave_sections(at: int, elements: list[tuple[str, tuple[str, ...]]], places: list[tuple[int, int]]) -> int:
-    """The place without open sections other than ``article`` and ``main``; an article inside them means they were left open."""
-    inner: list[int] = []  # elements from the outermost such section inwards stand at new places
-    whole, up, path = at, at, []
-    while up >= 0:
-        element, around = places[up]
-        if elements[element][0] in SECTIONS and elements[element][0] not in ("article", "main"):
-            inner, whole = path.copy(), around
-        else:
-            path.append(element)
-        up = around
-    if whole != at:
-        for element in reversed(inner):
-            places.append((element, whole))
-            whole = len(places) - 1
-    return whole
-
-
-def pieces(page: str) -> Iterator[tuple[str, str, Zone]]:
-    """(kind, value, zone): kind ``text`` with decoded text, or ``open``/``close``/``skip`` with a tag name.
+class _Page:
+    """Pieces of a page, and the places where they stand.
 
-    Class words of what wraps the page's main part say nothing about that part and are left out: those of its largest
-    article, and of all elements around this and around the largest ``main``; on a page with neither, those of plain
-    elements that hold nearly all words.
+    A piece is (kind, value, place): kind ``text`` with decoded text, or ``open``/``close``/``skip`` with a tag name.
+    A place is the innermost open element that tells something of its words, and the place around it (none: -1, the
+    page itself); an outer place comes before those inside it.
     """
-    tokens, elements, places = _tokens(page)
-    below = [0] * len(places)  # words
-    total = 0
-    for kind, value, at in tokens:
-        if kind == "text":
-            n = len(value.split())
-            total += n
-            if at >= 0:
+
+    def __init__(self, page: str):
+        self.pieces: list[tuple[str, str, int]] = []
+        self.elements: list[tuple[str, tuple[str, ...]]] = []  # name, features
+        self.places: list[tuple[int, int]] = []  # element, place around it
+        self._open: Counter = Counter()  # names of the open elements
+        self._sections = 0  # open sections other than article and main
+        at = -1
+        for m in _TOKEN.finditer(page):
+            raw = m.group()
+            if m.group(1):
+                self.pieces.append(("skip", m.group(1).lower(), at))
+            elif m.group(2):
+                name = m.group(2).lower()
+                if raw[1] == "/":
+                    at = self._close(at, name)
+                    self.pieces.append(("close", name, at))
+                else:
+                    at = self._start(at, name, raw)
+            elif raw[0] != "<" or raw == "<":
+                self.pieces.append(("text", htmllib.unescape(raw), at))
+            else:
+                self.pieces.append(("skip", "!", at))
+        self._wrappers()
+
+    def _start(self, at: int, name: str, raw: str) -> int:
+        if name in ("article", "main") and self._sections:
+            at = self._leave_sections(at)
+        self.pieces.append(("open", name, at))
+        if name in VOID or raw.endswith("/>") or not (name in BLOCKS or name in SECTIONS):
+            return at
+        if name == "body":
+            at, self._sections = -1, 0
+            self._open.clear()
+        # class words of html, body and main describe the page
+        own = _features(name, raw if name not in ("html", "body", "main") else "")
+        if name in SECTIONS or own or name == "div":
+            self.elements.append((name, own))
+            self.places.append((len(self.elements) - 1, at))
+            at = len(self.places) - 1
+            self._open[name] += 1
+            self._sections += _leaves(name)
+        return at
+
+    def _close(self, at: int, name: str) -> int:
+        """The place around the innermost open element of that name; ``at`` if none is open."""
+        while self._open[name]:
+            element, at = self.places[at]
+            closed = self.elements[element][0]
+            self._open[closed] -= 1
+            self._sections -= _leaves(closed)
+            if closed == name:
+                break
+        return at
+
+    def _leave_sections(self, at: int) -> int:
+        """The place without open sections other than ``article`` and ``main``; an article inside them means they were left open."""
+        inner: list[int] = []  # elements inside the outermost such section, which stand at new places
+        while self._sections:
+            element, at = self.places[at]
+            name = self.elements[element][0]
+            if _leaves(name):
+                self._sections -= 1
+                self._open[name] -= 1
+            else:
+                inner.append(element)
+        for element in reversed(inner):
+            self.places.append((element, at))
+            at = len(self.places) - 1
+        return at
+
+    def _wrappers(self) -> None:
+        """``features`` of the elements: class words of what wraps the page's main part say nothing about that part.
+
+        They are left out for the page's largest article, and for all elements around this and around the largest
+        ``main``; on a page with neither, for plain elements that hold nearly all words.  Of the latter, known words of
+        boilerplate stay where paragraphs outside, not themselves in boilerplate, may be the main part; those of
+        reader comments stay beside any such paragraph.
+        """
+        elements, places = self.elements, self.places
+        self.features = [own for _, own in elements]
+        below = [0] * (len(places) + 1)  # words; the last: on the page itself
+        paragraphs = [0] * (len(places) + 1)  # words in paragraphs and headings, outside known boilerplate
+        known = [False] * (len(places) + 1)
+        for at, (element, around) in enumerate(places):
+            known[at] = known[around] or any(f in BOILER for f in elements[element][1])
+        heading = False
+        for kind, value, at in self.pieces:
+            if kind == "text":
+                n = len(value.split())
                 below[at] += n
-    held = [0] * len(elements)
-    for at in range(len(places) - 1, -1, -1):
-        element, around = places[at]
-        held[element] += below[at]
-        if around >= 0:
+                paragraphs[at] += n if heading and not known[at] else 0
+            elif kind != "skip" and value in BLOCKS:
+                heading = kind == "open" and value in PARAGRAPHS
+        held = [0] * len(elements)
+        own = [0] * len(elements)
+        for at in range(len(places) - 1, -1, -1):
+            element, around = places[at]
+            held[element] += below[at]
+            own[element] += paragraphs[at]
             below[around] += below[at]
-    features = [own for _, own in elements]
-    largest = [max(found, key=lambda i: (held[i], -i)) for name in ("article", "main")
-               if (found := [i for i, e in enumerate(elements) if e[0] == name])]
-    for i in largest:
-        features[i] = (elements[i][0],)
-        at = next(p for p, (element, _) in enumerate(places) if element == i)
-        while (at := places[at][1]) >= 0:
-            j = places[at][0]
-            features[j] = tuple(f for f in features[j] if f == elements[j][0])
-    if not largest:
-        for i, (name, _) in enumerate(elements):
-            if name not in SECTIONS and held[i] >= WRAPPER * total:
-                features[i] = ()
-    zones: list[Zone] = []
-    for element, around in places:
-        outer = zones[around] if around >= 0 else ()
-        zones.append((*outer, features[element]) if features[element] else outer)
-    for kind, value, at in tokens:
-        yield kind, value, zones[at] if at >= 0 else ()
-
-
-def _amid(zone: Zone) -> bool:
-    return any("article" in fs or "main" in fs for fs in zone)
+            paragraphs[around] += paragraphs[at]
+        largest = [max(found, key=lambda i: (held[i], -i)) for name in ("article", "main")
+                   if (found := [i for i, e in enumerate(elements) if e[0] == name])]
+        for i in largest:
+            self.features[i] = (elements[i][0],)
+            at = next(p for p, (element, _) in enumerate(places) if element == i)
+            while (at := places[at][1]) >= 0:
+                j = places[at][0]
+                self.features[j] = tuple(f for f in self.features[j] if f == elements[j][0])
+        if not largest:
+            for i, (name, fs) in enumerate(elements):
+                if name not in SECTIONS and held[i] >= WRAPPER * below[-1]:
+                    beside = paragraphs[-1] - own[i]
+                    stay = BOILER if beside >= BESIDE else READERS if beside else frozenset()
+                    self.features[i] = tuple(f for f in fs if f in stay)
+
+    def amid(self) -> list[bool]:
+        """For each place, and last the page itself, whether it is in an article or ``main``."""
+        out = [False] * (len(self.places) + 1)
+        for at, (element, around) in enumerate(self.places):
+            out[at] = out[around] or "article" in self.features[element] or "main" in self.features[element]
+        return out
+
+
+def _leaves(name: str) -> bool:
+    return name in SECTIONS and name not in ("article", "main")
 
 
 class Weights:
@@ -178,27 +218,34 @@ class Weights:
     def __init__(self, words: dict[str, float], tags: dict[str, float]):
         self.words, self.tags = words, tags
 
-    def boiler(self, zone: Zone) -> bool:
-        """Whether the log-odds of the open elements, summed from the innermost, fall under -1 at any of them."""
-        total = 0.0
-        for fs in reversed(zone):
-            total = min(RESCUE, total + sum(self.words.get(f, 0.0) for f in fs if f not in ("article", "main")))
-            if total < -1.0:
-                return True
-        return False
-
-    def tag(self, kind: str, name: str, zone: Zone) -> float:
+    def boiler(self, page: _Page) -> list[bool]:
+        """For each place, and last the page itself, whether it is boilerplate.
+
+        It is where the log-odds of the open elements, summed from the innermost and never above ``RESCUE``, fall
+        under -1 at any of them.  ``need`` is the least sum with which one may come from inside to a place
+        and stay clear of that, so a place takes it from the one around it.
+        """
+        need = [-inf] * (len(page.places) + 1)
+        for at, (element, around) in enumerate(page.places):
+            need[at] = need[around]
+            if fs := page.features[element]:
+                least = max(-1.0, need[around])
+                odds = sum(self.words.get(f, 0.0) for f in fs if f not in ("article", "main"))
+                need[at] = least - odds if least <= RESCUE else inf
+        return [n > 0.0 for n in need]
+
+    def tag(self, kind: str, name: str, amid: bool, boiler: bool) -> float:
         """Score of a tag; amid main text one that opens no section, where its like may be a mere link, costs little."""
-        if _amid(zone):
+        if amid:
             return WITHIN * max(PLAIN, self.tags.get(f"{kind} {name}", LEAST * 4))
-        if name in SECTIONS or self.boiler(zone):
+        if name in SECTIONS or boiler:
             return self.tags.get(f"{kind} {name}", -1.0)
         return max(PLAIN, self.tags.get(f"{kind} {name}", LEAST * 4))
 
-    def word(self, zone: Zone) -> float:
-        if not self.boiler(zone):
+    def word(self, amid: bool, boiler: bool) -> float:
+        if not boiler:
             return 1.0
-        return BOILER_WORD * (WITHIN if _amid(zone) else 1.0)
+        return BOILER_WORD * (WITHIN if amid else 1.0)
 
 
 def fit(labelled: list[str]) -> Weights:
@@ -209,19 +256,30 @@ def fit(labelled: list[str]) -> Weights:
     tag_out: Counter = Counter()
     prior = Weights({f: log((inside[f] + 1) / (outside[f] + 1)) for f in CONTENT | BOILER}, {})
     shown: Counter = Counter()  # pages with a feature outside their main text
-    for page in labelled:
-        apart: set[str] = set()
-        for kind, value, zone in pieces(page):
-            main = any("article" in fs for fs in zone) and not prior.boiler(zone)
+    for text in labelled:
+        page = _Page(text)
+        boiler = prior.boiler(page)
+        article = [False] * (len(page.places) + 1)
+        for at, (element, around) in enumerate(page.places):
+            article[at] = article[around] or "article" in page.features[element]
+        words_in, words_out = [0] * (len(page.places) + 1), [0] * (len(page.places) + 1)
+        for kind, value, at in page.pieces:
+            main = article[at] and not boiler[at]
             if kind == "text":
-                n = len(value.split())
-                for f in {f for fs in zone for f in fs}:
-                    (inside if main else outside)[f] += n
-                    if n and not main:
-                        apart.add(f)
+                (words_in if main else words_out)[at] += len(value.split())
             else:
                 border = value in ("article", "main")
                 (tag_in if main and not border else tag_out)[f"{kind} {value}"] += 1
+        for at in range(len(page.places) - 1, -1, -1):
+            around = page.places[at][1]
+            words_in[around] += words_in[at]
+            words_out[around] += words_out[at]
+        apart: set[str] = set()
+        for at, f in _outermost(page):  # a word of the page counts once for each feature around it
+            inside[f] += words_in[at]
+            outside[f] += words_out[at]
+            if words_out[at]:
+                apart.add(f)
         shown.update(apart)
     n_in, n_out = sum(tag_in.values()) + 1, sum(tag_out.values()) + 1
     words = {}
@@ -237,32 +295,88 @@ def fit(labelled: list[str]) -> Weights:
     return Weights(words, tags)
 
 
-def extract(page: str | None, weights: Weights) -> str:
-    """Main text of one page; null, empty and wordless pages: empty."""
-    items = []  # kind, value, whether boilerplate, score
-    for kind, value, zone in pieces(page or ""):
-        if kind == "text":
-            boiler = weights.boiler(zone)
-            n = len(value.split())
-            items.append((kind, value, boiler, n * weights.word(zone)))
-        else:
-            items.append((kind, value, False, weights.tag(kind, value, zone)))
-    best, span, total, start = 0.0, (0, 0), 0.0, 0
-    for i, item in enumerate(items):
-        if total <= 0.0:
-            total, start = 0.0, i
-        total += item[3]
-        if total > best:
-            best, span = total, (start, i + 1)
+def _outermost(page: _Page) -> Iterator[tuple[int, str]]:
+    """Places with those of their features that no place around them has."""
+    inner: dict[int, list[int]] = {}
+    for at, (_, around) in enumerate(page.places):
+        inner.setdefault(around, []).append(at)
+    around_here: Counter = Counter()
+    todo = [(at, True) for at in inner.get(-1, [])]
+    while todo:
+        at, enter = todo.pop()
+        features = page.features[page.places[at][0]]
+        if not enter:
+            around_here.subtract(features)
+            continue
+        yield from ((at, f) for f in features if not around_here[f])
+        around_here.update(features)
+        todo.append((at, False))
+        todo += [(i, True) for i in inner.get(at, [])]
+
+
+def stretches(scores: list[float]) -> list[tuple[float, int, int]]:
+    """All maximal-scoring stretches (score, first, behind the last), in order; one linear scan.
+
+    None can be made longer or shorter without a loss, and they do not overlap; the largest is the
+    maximum-scoring stretch of all.
+    """
+    found: list[tuple[float, float, int, int, int]] = []  # sum before, sum behind, first, behind, the last one that starts lower
+    total = 0.0
+    for i, score in enumerate(scores):
+        before, total = total, total + score
+        if score <= 0.0:
+            continue
+        low, first = before, i
+        last = len(found) - 1
+        while True:
+            while last >= 0 and found[last][0] >= low:
+                last = found[last][4]
+            if last < 0 or found[last][1] >= total:
+                break
+            low, first = found[last][0], found[last][2]  # that one, all behind it and this piece are one stretch
+            del found[last:]
+            last = len(found) - 1
+        found.append((low, total, first, i + 1, last))
+    return [(high - low, first, behind) for low, high, first, behind, _ in found]
+
+
+def extract(html: str | None, weights: Weights) -> str:
+    """Main text of one page; null, empty and wordless pages: empty.
+
+    The maximum-scoring stretch, and the other stretches of a paragraph's length directly in the same element: what
+    parts them (a long list of links) is left out, what follows it is not.
+    """
+    page = _Page(html or "")
+    boiler, amid = weights.boiler(page), page.amid()
+    scores = [len(value.split()) * weights.word(amid[at], boiler[at]) if kind == "text"
+              else weights.tag(kind, value, amid[at], boiler[at]) for kind, value, at in page.pieces]
+    found = stretches(scores)
+    if not found:
+        return ""
+    depth = [0] * (len(page.places) + 1)
+    holder = list(range(len(page.places))) + [-1]  # the place itself, or around it if it is a mere paragraph
+    for at, (element, around) in enumerate(page.places):
+        depth[at] = depth[around] + 1
+        if page.elements[element][0] in PARAGRAPHS:
+            holder[at] = holder[around]
+
+    def parent(first: int, behind: int) -> int:
+        return holder[min((at for _, _, at in page.pieces[first:behind]), key=lambda at: depth[at])]
+    top = max(found, key=lambda s: s[0])
+    home = parent(*top[1:])
     blocks: list[list[str]] = [[]]
-    for kind, value, boiler, _ in items[span[0]:span[1]]:
-        if kind == "text":
-            if not boiler:
-                blocks[-1].append(value)
-        elif value in BLOCKS:
-            blocks.append([])
-        elif value == "br":
-            blocks[-1].append(" ")
+    for score, first, behind in found:
+        if first != top[1] and (score < BESIDE or parent(first, behind) != home):
+            continue
+        blocks.append([])
+        for kind, value, at in page.pieces[first:behind]:
+            if kind == "text":
+                if not boiler[at]:
+                    blocks[-1].append(value)
+            elif value in BLOCKS:
+                blocks.append([])
+            elif value == "br":
+                blocks[-1].append(" ")
     return " ".join(t for b in blocks if (t := " ".join("".join(b).split())))
 
 
