@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.operators._keys import named
+from wardflow.session import scratch_path
 
 
 def latest_joint_max(df: DataFrame, keys, maxes, join_keys=None,
@@ -116,7 +117,35 @@ def row_number(df: DataFrame, keys, order, out: str = "rank") -> DataFrame:
 
     ``order`` must be a total order within a key (add a tie-break).  The rows of a key are sorted,
     with spilling, in one task, as any numbering without gaps needs; to keep only the first
-    rows of a key use ``last_per_key``, which is combined before the shuffle.
+    rows of a key use ``last_per_key``, which is combined before the shuffle, and where one key may
+    hold more rows than a task should sort, ``row_number_ranges``.
     """
     w = Window.partitionBy(*keys).orderBy(*[F.col(o).desc_nulls_last() for o in order])
     return df.withColumn(out, F.row_number().over(w))
+
+
+def row_number_ranges(df: DataFrame, keys, order, out: str = "rank", ranges: int | None = None) -> DataFrame:
+    """The numbers of ``row_number``, as long, with the rows of one key spread over many tasks.
+
+    The rows are cut into ``ranges`` (default: the shuffle partitions) of the total order of keys and ``order``, once,
+    in a written table.  Each range numbers its own rows; a key that goes on from earlier ranges adds the rows
+    these hold of it.  At most one key goes on into a range, so these sums are at most as many rows as
+    ranges.  Rows that tie in keys and ``order`` fall into one range and are numbered as ``row_number`` would, in
+    any order.  NULL keys are one group; an empty table gives an empty one.
+    """
+    spark = df.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    down = [F.col(o).desc_nulls_last() for o in order]
+    dealt = df.repartitionByRange(n, *[F.col(k).asc() for k in keys], *down).withColumn("__slot", F.spark_partition_id())
+    path = scratch_path(spark, "ranges")
+    dealt.write.parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    held = dealt.groupBy(*keys, "__slot").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = (held.withColumn("__before", F.sum("__n").over(earlier)).where("__before > 0")
+              .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__slot").alias("__in"), "__before"))
+    own = dealt.withColumn("__own", F.row_number().over(Window.partitionBy("__slot", *keys).orderBy(*down)))
+    conds = [own[k].eqNullSafe(before[f"__k{i}"]) for i, k in enumerate(keys)] + [own["__slot"] == before["__in"]]
+    rank = F.col("__own") + F.coalesce("__before", F.lit(0).cast("long"))
+    return (own.join(F.broadcast(before), reduce(lambda a, b: a & b, conds), "left")
+            .select(*[own[c] for c in df.columns if c != out], rank.alias(out)))

@@ -7,12 +7,15 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from wardflow.operators.asof import asof_latest, month_spine_of
+from wardflow.operators.asof import asof_join, asof_latest, month_spine_of
 from wardflow.operators.delta import new_records
 from wardflow.operators.latest import last_per_key, latest_joint_max
 from wardflow.operators.lookup import prepare_lookup, shared_lookup, standardise
 from wardflow.queries import query
 from wardflow.queries._data import ntz, table
+from wardflow.session import scratch_path
+from wardflow.sources.keyindex import KeyIndex
+from wardflow.sources.versions import VersionedTable
 
 # ---------------------------------------------------------------- J3-J6 lookups
 
@@ -123,6 +126,25 @@ def delta_anti_nullsafe(spark, sf):
     return new_records(src, tgt, ["o_orderkey", "k2"]).select("o_orderkey", "k2")
 
 
+@query("delta_key_index", oracle="""
+WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_custkey END AS k2, o_orderdate FROM orders)
+SELECT s.o_orderkey, s.k2, s.o_orderdate FROM s WHERE NOT EXISTS (
+  SELECT 1 FROM s t WHERE t.o_orderdate < TIMESTAMP '1999-01-01'
+    AND t.o_orderkey IS NOT DISTINCT FROM s.o_orderkey AND t.k2 IS NOT DISTINCT FROM s.k2)""")
+def delta_key_index(spark, sf):
+    """New records against the bucketed keys of a target loaded in two batches, the second one twice."""
+    o = table(spark, sf, "orders")
+    src = o.select("o_orderkey", _k2(o, 17).alias("k2"), "o_orderdate")
+    target = VersionedTable(spark, scratch_path(spark, "indexed"))
+    index = KeyIndex(spark, target, {"o_orderkey": "long", "k2": "long"},
+                     int(spark.conf.get("spark.sql.shuffle.partitions")))
+    index.append(src.filter(F.col("o_orderdate") < ntz(dt.datetime(1997, 1, 1))), "first")
+    for _ in range(2):
+        index.append(src.filter(F.col("o_orderdate").between(ntz(dt.datetime(1997, 1, 1)), ntz(dt.datetime(1998, 12, 31, 23, 59, 59)))),
+                     "second")
+    return index.new_records(src)
+
+
 @query("delta_anti_cast_key", oracle="""
 SELECT s.event_id, s.user_id, s.ts FROM events s WHERE NOT EXISTS (
   SELECT 1 FROM (SELECT user_id, CAST(ts AS DATE) AS d FROM events WHERE ts < TIMESTAMP '2024-01-20') t
@@ -272,6 +294,35 @@ def window_row_number(spark, sf):
         .select("o_orderkey", "o_custkey", F.col("rank").cast("long").alias("rank"))
 
 
+@query("window_row_number_ranges", oracle="""
+SELECT o_orderkey, st, o_custkey, row_number() OVER (PARTITION BY st ORDER BY o_orderdate DESC, o_orderkey DESC) AS rank
+FROM (SELECT *, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS st FROM orders) o""")
+def window_row_number_ranges(spark, sf):
+    """row_number() over few, hot keys (one NULL), their rows spread over ranges."""
+    from wardflow.operators.latest import row_number_ranges
+    o = table(spark, sf, "orders")
+    o = o.select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("st"), "o_custkey", "o_orderdate")
+    return row_number_ranges(o, ["st"], ["o_orderdate", "o_orderkey"]).select("o_orderkey", "st", "o_custkey", "rank")
+
+
+@query("asof_join_events", oracle="""
+WITH l AS (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 17 = 0 THEN NULL ELSE user_id END AS k FROM events),
+r AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS k, max(o_orderkey) AS o_orderkey,
+             TIMESTAMP '2024-01-01' + to_seconds((o_orderkey * 7919) % 2592000) AS at
+      FROM orders GROUP BY 1, 3)
+SELECT l.event_id, l.k, r.o_orderkey AS last_order, r.at AS last_at FROM l ASOF LEFT JOIN r ON l.k = r.k AND l.ts >= r.at""")
+def asof_join_events(spark, sf):
+    """The newest order at or before each event, a third of all rows under one key, some keys NULL."""
+    e = table(spark, sf, "events")
+    e = e.select("event_id", "ts", F.when(F.col("event_id") % 3 == 0, 1).when(F.col("event_id") % 17 == 0, None)
+                 .otherwise(F.col("user_id")).cast("long").alias("k"))
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, 1).otherwise(F.col("o_custkey")).cast("long").alias("k"),
+        F.expr("timestampadd(SECOND, (o_orderkey * 7919) % 2592000, TIMESTAMP_NTZ '2024-01-01 00:00:00')").alias("at"))
+    return asof_join(e, o, ["k"], "ts", "at", {"o_orderkey": "last_order", "at": "last_at"}, tie=["o_orderkey"]) \
+        .select("event_id", "k", "last_order", "last_at")
+
+
 _LI_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
              "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
