@@ -11,6 +11,7 @@ from wardflow.plans.run import FrameIO, build_load
 from wardflow.plans.spec import Latest, LoadSpec, Lookup, Parent, rule
 from wardflow.queries import query
 from wardflow.queries._data import AS_OF, ntz, table
+from wardflow.queries.feeds import Feed
 from wardflow.operators.repair import repair_dates
 
 # =============================================================== orders as visits
@@ -36,12 +37,17 @@ VISIT_SPEC = LoadSpec(
 
 
 def _load(spec, io, as_of=AS_OF):
-    """The load over a fixture; contract columns that the fixture's form does not feed are NULL texts in it."""
+    """The load over a fixture; plain contract columns that the fixture's form does not feed are NULL texts in it.
+
+    A column with a rule, cast or lookup must be fed, else its rule would run on NULL only."""
     form = io.tables[spec.source]
     made = [o for p in spec.parents for _, o in p.columns] + [n for n, _ in spec.derived] + list(spec.nulls)
     made += [n for n, _ in spec.aggregates]
     have = {c.lower() for c in form.columns + made}
     lack = [c for c in spec.columns if c.lower() not in have]
+    ruled = {r.column for r in (*spec.rules, *spec.select_rules, *spec.lookups)} | {c for c, _ in spec.select}
+    if ruled & set(lack):
+        raise ValueError(f"{spec.name}: the fixture does not feed {sorted(ruled & set(lack))}")
     io.tables[spec.source] = form.withColumns({c: F.lit(None).cast("string") for c in lack})
     return build_load(spec, io, as_of)
 
@@ -472,6 +478,34 @@ def load_patient_visits(spark, sf):
 # =============================================================== the HTS client-tests job
 # HtsClientTests <- lineitem (patient = order, site = supplier % 10 + 1),
 # Clients <- orders, the existing HTS_ClientTests <- lines shipped before 1998.
+_P26_FEED = Feed(
+    "p26_client_tests", "l_orderkey + l_linenumber",
+    "SiteCode,PatientPk,EncounterId,TestDate,FinalTestResult,EntryPoint,TestStrategy,TestResult1,TestResult2,"
+    "ClientTestedAs,TbScreening,MonthsSinceLastTest",
+    made={
+        "ClientSelfTested": ("CASE l_partkey % 6 WHEN 0 THEN '1' WHEN 1 THEN 'Yes' WHEN 2 THEN '0' WHEN 3 THEN 'NA' "
+                             "WHEN 4 THEN 'maybe' END",
+                             "CASE WHEN ClientSelfTested IN ('1', 'Yes') THEN 'Yes' WHEN ClientSelfTested IN ('0', 'No') "
+                             "THEN 'No' WHEN ClientSelfTested = 'NA' THEN 'NA' END"),
+        "CoupleDiscordant": ("CASE l_partkey % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' WHEN 2 THEN 'NA' WHEN 3 THEN '' END",
+                             "CASE WHEN CoupleDiscordant IN ('Yes', 'No') THEN CoupleDiscordant END"),
+        "TestType": ("CASE l_suppkey % 6 WHEN 0 THEN 'Initial' WHEN 1 THEN 'Initial Test' WHEN 2 THEN 'Repeat' "
+                     "WHEN 3 THEN 'Retest' WHEN 4 THEN 'Other' END",
+                     "CASE WHEN TestType IN ('Initial', 'Initial Test') THEN 'Initial Test' "
+                     "WHEN TestType IN ('Repeat', 'Repeat Test') THEN 'Repeat Test' WHEN TestType = 'Retest' THEN 'Retest' END"),
+        "Consent": ("CASE l_partkey % 4 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' WHEN 2 THEN 'NULL' END",
+                    "CASE WHEN Consent IN ('Yes', 'No') THEN Consent END"),
+        "Setting": ("CASE l_partkey % 7 WHEN 0 THEN 'Tent' WHEN 1 THEN 'Facility' WHEN 2 THEN 'Medical Camp' "
+                    "WHEN 3 THEN 'Community' WHEN 4 THEN 'Bus' END",
+                    "CASE WHEN Setting IN ('Facility', 'Tent') THEN 'Facility' "
+                    "WHEN Setting IN ('Community', 'Medical Camp') THEN 'Community' END"),
+        "Approach": ("CASE l_suppkey % 5 WHEN 0 THEN 'CITC' WHEN 1 THEN 'PITC' WHEN 2 THEN 'Client Initiated Testing (CITC)' "
+                     "WHEN 3 THEN 'none' END",
+                     "CASE WHEN Approach IN ('CITC', 'Client Initiated Testing (CITC)') THEN 'Client Initiated Testing (CITC)' "
+                     "WHEN Approach IN ('PITC', 'Provider Initiated Testing(PITC)') THEN 'Provider Initiated Testing(PITC)' END"),
+    })
+
+
 def _p26_io(spark, sf):
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p26_client_tests"]
@@ -489,12 +523,12 @@ def _p26_io(spark, sf):
         F.col("l_linestatus").alias("EntryPoint"),
         F.when(F.col("l_tax") > 0.05, F.lit("HP")).alias("TestStrategy"),
         F.when(F.col("l_discount") > 0.05, F.lit("Positive")).alias("TestResult1"),
-        F.lit(None).cast("string").alias("TestResult2"),
+        F.when(ln % 4 != 0, F.lit("Negative")).alias("TestResult2"),
         F.when(ln % 3 == 0, F.lit("Couple")).when(ln % 3 == 1, F.lit("I: Individual")).otherwise(F.lit("x"))
          .alias("ClientTestedAs"),
         F.when(F.col("l_partkey") % 4 == 0, F.lit("TB Rx")).when(F.col("l_partkey") % 4 == 1, F.lit("Yes"))
          .otherwise(F.lit("zzz")).alias("TbScreening"),
-        (F.col("l_quantity") * 40).cast("int").cast("string").alias("MonthsSinceLastTest"))
+        (F.col("l_quantity") * 40).cast("int").cast("string").alias("MonthsSinceLastTest"), *_P26_FEED.columns())
     clients = o.select(F.col("o_orderkey").alias("PatientPk"),
                        (F.col("o_custkey") % 10 + 1).cast("int").alias("SiteCode"))
     src_lkp = li.filter(F.col("l_linestatus") == "F").select(
@@ -512,10 +546,7 @@ def _p26_io(spark, sf):
 def _p26_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p26_client_tests"]
-    have = {"SiteCode", "PatientPk", "EncounterId", "TestDate", "MonthsSinceLastTest", "ClientTestedAs",
-            "EntryPoint", "TestStrategy", "TestResult1", "TestResult2", "FinalTestResult", "TbScreening",
-            "ClientSelfTested", "CoupleDiscordant", "TestType", "Consent", "Setting", "Approach"}
-    final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
+    final = ", ".join(spec.columns)
     utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
     return f"""
 WITH a AS (
@@ -525,10 +556,11 @@ WITH a AS (
          CASE l_returnflag WHEN 'R' THEN 'Positive' WHEN 'A' THEN 'Negative' END AS FinalTestResult,
          CAST(l_shipdate AS DATE) + CAST(l_partkey % 3 AS INTEGER) AS DateExtracted,
          l_linestatus AS EntryPoint, CASE WHEN l_tax > 0.05 THEN 'HP' END AS TestStrategy,
-         CASE WHEN l_discount > 0.05 THEN 'Positive' END AS TestResult1, CAST(NULL AS VARCHAR) AS TestResult2,
+         CASE WHEN l_discount > 0.05 THEN 'Positive' END AS TestResult1, CASE WHEN l_linenumber % 4 <> 0 THEN 'Negative' END AS TestResult2,
          CASE l_linenumber % 3 WHEN 0 THEN 'Couple' WHEN 1 THEN 'I: Individual' ELSE 'x' END AS ClientTestedAs,
          CASE l_partkey % 4 WHEN 0 THEN 'TB Rx' WHEN 1 THEN 'Yes' ELSE 'zzz' END AS TbScreening,
-         CAST(CAST(l_quantity * 40 AS INTEGER) AS VARCHAR) AS MonthsSinceLastTest
+         CAST(CAST(l_quantity * 40 AS INTEGER) AS VARCHAR) AS MonthsSinceLastTest,
+         {_P26_FEED.form_sql}
   FROM lineitem),
 tn AS (SELECT SiteCode, PatientPk, FinalTestResult, TestDate, EncounterId, max(ID) AS MaxID,
               max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
@@ -537,7 +569,7 @@ scan AS (
   SELECT DISTINCT a.SiteCode, a.PatientPk, coalesce(a.EncounterId, -1) AS EncounterId, a.TestDate,
          a.MonthsSinceLastTest, a.ClientTestedAs, a.EntryPoint, a.TestStrategy,
          coalesce(a.TestResult1, 'empty') AS TestResult1, coalesce(a.TestResult2, 'empty') AS TestResult2,
-         a.FinalTestResult, a.TbScreening
+         a.FinalTestResult, a.TbScreening, {_P26_FEED.names('a.')}
   FROM a JOIN tn ON a.SiteCode = tn.SiteCode AND a.PatientPk = tn.PatientPk
     AND CAST(a.DateExtracted AS DATE) = tn.MaxDateExtracted AND a.FinalTestResult = tn.FinalTestResult
     AND a.TestDate = tn.TestDate AND coalesce(a.EncounterId, -1) = coalesce(tn.EncounterId, -1) AND a.ID = tn.MaxID
@@ -557,9 +589,7 @@ clean AS (
               WHEN TbScreening IN ('On TB Treatment', 'INH', 'TB Rx', 'TBRx') THEN 'On TB Treatment'
               WHEN TbScreening IN ('Presumed TB', 'PrTB') THEN 'Presumed TB'
               WHEN TbScreening = 'TB Confirmed' THEN 'TB Confirmed' ELSE 'Not Done' END AS TbScreening,
-         CAST(NULL AS VARCHAR) AS ClientSelfTested, CAST(NULL AS VARCHAR) AS CoupleDiscordant,
-         CAST(NULL AS VARCHAR) AS TestType, CAST(NULL AS VARCHAR) AS Consent,
-         CAST(NULL AS VARCHAR) AS Setting, CAST(NULL AS VARCHAR) AS Approach
+         {_P26_FEED.rule_sql}
   FROM scan s
   LEFT JOIN (SELECT DISTINCT l_linestatus AS source_name, 'OPD' AS target_name FROM lineitem
              WHERE l_linestatus = 'F') l ON s.EntryPoint = l.source_name
@@ -579,12 +609,25 @@ def load_hts_client_tests(spark, sf):
     NULL-sentinel encounter key, client existence, closed-vocabulary recodes, lookups with an
     'Empty' default, months cap, delta on (patient, site, encounter), digest."""
     spec, io = _p26_io(spark, sf)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
 
 
 # =============================================================== the PrEP visits job
 # PrepVisits <- events (patient = user, site = event % 3 + 1); the existing
 # PrEP_Visits <- events before 2024-01-10.
+_P51_FEED = Feed(
+    "p51_visits", "event_id",
+    "Created,PatientPk,SiteCode,DateExtracted,VisitID,VisitDate,NextAppointment,MonthsPrescribed,BMI,ClinicalNotes,"
+    "PrepNumber,Emr,FacilityName",
+    blank="TreatedForHepC,VaccinationForHepCStarted,VaccinationForHepBStarted,HepatitisCPositiveResult,"
+          "HepatitisBPositiveResult,Reasonfornotgivingnextappointment,Tobegivennextappointment,CondomsIssued,"
+          "RegimenPrescribed,PrepPrescribed,PrepTreatmentPlan,ContraindicationsPrep,SymptomsAcuteHIV,AdherenceReasons,"
+          "AdherenceOutcome,AdherenceDone,FPMethods,FamilyPlanningStatus,Breastfeeding,BirthDefects,PregnancyOutcome,"
+          "PregnancyEndDate,PregnancyEnded,PregnancyPlanned,PlanningToGetPregnant,EDD,PregnantAtThisVisit,"
+          "MenopausalStatus,LMP,VMMCReferral,Circumcised,STITreated,STISymptoms,STIScreening,Height,Weight,"
+          "BloodPressure,TreatedForHepB")
+
+
 def _p51_io(spark, sf):
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p51_visits"]
@@ -604,7 +647,8 @@ def _p51_io(spark, sf):
         F.when(eid % 5 == 0, F.lit("")).otherwise((eid % 40).cast("string")).alias("BMI"),
         F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("event_type")).alias("ClinicalNotes"),
         F.concat(F.lit("PREP-"), F.col("user_id").cast("string")).alias("PrepNumber"),
-        F.lit("KenyaEMR").alias("Emr"), F.concat(F.lit("Site "), site.cast("string")).alias("FacilityName"))
+        F.lit("KenyaEMR").alias("Emr"), F.concat(F.lit("Site "), site.cast("string")).alias("FacilityName"),
+        *_P51_FEED.columns())
     loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 10))).select(
         F.col("user_id").alias("PatientPk"), site.alias("SiteCode"),
         F.concat(F.lit("PV"), (eid % 13).cast("string")).alias("VisitID"))
@@ -614,9 +658,7 @@ def _p51_io(spark, sf):
 def _p51_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p51_visits"]
-    have = {"Created", "PatientPk", "SiteCode", "Emr", "DateExtracted", "FacilityName", "PrepNumber", "VisitDate",
-            "VisitID", "BMI", "MonthsPrescribed", "NextAppointment", "ClinicalNotes"}
-    final = ", ".join(c if c in have else f"CAST(NULL AS VARCHAR) AS {c}" for c in spec.columns)
+    final = ", ".join(spec.columns)
     utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
     return f"""
 WITH a AS (
@@ -629,7 +671,7 @@ WITH a AS (
          CASE WHEN event_id % 5 = 0 THEN '' ELSE CAST(event_id % 40 AS VARCHAR) END AS BMI,
          CASE WHEN event_type = 'error' THEN '' ELSE event_type END AS ClinicalNotes,
          'PREP-' || CAST(user_id AS VARCHAR) AS PrepNumber, 'KenyaEMR' AS Emr,
-         'Site ' || CAST(event_id % 3 + 1 AS VARCHAR) AS FacilityName
+         'Site ' || CAST(event_id % 3 + 1 AS VARCHAR) AS FacilityName, {_P51_FEED.form_sql}
   FROM events),
 tn AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated FROM a
        GROUP BY PatientPk, SiteCode),
@@ -637,7 +679,7 @@ tm AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(DateExtracted AS D
        GROUP BY PatientPk, SiteCode),
 scan AS (
   SELECT DISTINCT a.Created, a.PatientPk, a.SiteCode, a.Emr, a.DateExtracted, a.FacilityName, a.PrepNumber,
-         a.VisitDate, a.VisitID, a.BMI, a.MonthsPrescribed, a.NextAppointment, a.ClinicalNotes
+         a.VisitDate, a.VisitID, a.BMI, a.MonthsPrescribed, a.NextAppointment, a.ClinicalNotes, {_P51_FEED.names('a.')}
   FROM a JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCode
                 AND CAST(a.Created AS DATE) = tn.MaxCreated AND a.ID = tn.MaxID
          JOIN tm ON a.PatientPk = tm.PatientPk AND a.SiteCode = tm.SiteCode
@@ -651,7 +693,7 @@ clean AS (
          CASE WHEN TRY_CAST(MonthsPrescribed AS DOUBLE) > 12 THEN NULL ELSE MonthsPrescribed END AS MonthsPrescribed,
          CASE WHEN NextAppointment = '' OR TRY_CAST(NextAppointment AS DATE) < DATE '1980-01-01' THEN NULL
               ELSE NextAppointment END AS NextAppointment,
-         CASE WHEN ClinicalNotes = '' THEN NULL ELSE ClinicalNotes END AS ClinicalNotes
+         CASE WHEN ClinicalNotes = '' THEN NULL ELSE ClinicalNotes END AS ClinicalNotes, {_P51_FEED.rule_sql}
   FROM scan),
 tgt AS (SELECT user_id AS PatientPk, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode,
                'PV' || CAST(event_id % 13 AS VARCHAR) AS VisitID FROM events WHERE ts < TIMESTAMP '2024-01-10')
@@ -666,7 +708,7 @@ def load_prep_visits(spark, sf):
     (creation day and extraction day), blank -> NULL, text dates before 1980 -> NULL, months cap,
     delta on (patient, site, visit), digests."""
     spec, io = _p51_io(spark, sf)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
 
 
 # =============================================================== the patient-status job
@@ -926,6 +968,21 @@ def load_hts_client_linkages(spark, sf):
 # PatientExtract <- customer (patient id = customer / 3, so patients have several
 # versions), Facility <- nation, lookups derived from customer, existing CT_Patient <-
 # customers below 300.
+def _p24_made():
+    """Seven more windowed dates, 1970 to 2010, some of them missing."""
+    names = ("RegistrationAtCCC", "RegistrationAtPMTCT", "RegistrationAtTBClinic", "PreviousARTStartDate", "LastVisit",
+             "DateConfirmedHIVPositive", "TransferInDate")
+    return {c: (f"CASE WHEN c_custkey % {i + 5} <> 0 THEN DATE '1970-01-01' + CAST((c_custkey * {2 * i + 31}) % 14600 AS INT) END",
+                f"CASE WHEN {c} < DATE '1980-01-01' OR {c} > DATE '2000-12-31' THEN DATE '1900-01-01' ELSE {c} END")
+            for i, c in enumerate(names)}
+
+
+_P24_FEED = Feed(
+    "p24_patients", "c_custkey",
+    "ID,PatientID,PatientPK,SiteCode,FacilityName,Gender,DOB,RegistrationDate,PatientSource,MaritalStatus,EducationLevel,"
+    "PreviousARTExposure,Emr,Project,NUPI", made=_p24_made())
+
+
 def _p24_io(spark, sf):
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p24_patients"]
@@ -945,7 +1002,7 @@ def _p24_io(spark, sf):
         F.col("c_mktsegment").alias("PreviousARTExposure"),
         F.when(ck % 3 == 0, F.lit("VCT")).otherwise(F.lit("OPD")).alias("PatientSource"),
         F.concat(F.lit("NUPI"), ck.cast("string")).alias("NUPI"), F.lit("KenyaEMR").alias("Emr"),
-        F.lit("Other").alias("Project"), F.lit("KP").alias("PopulationType"))
+        F.lit("Other").alias("Project"), F.lit("KP").alias("PopulationType"), *_P24_FEED.columns())
     nk = F.col("n_nationkey")
     facility = n.select(nk.alias("Id"), (F.floor(nk / 5) * 100).cast("int").alias("Code"), F.col("n_name").alias("Name"),
                         F.when(nk % 5 == 4, F.lit(1)).when(nk % 5 != 3, F.lit(0)).alias("Voided"))
@@ -969,12 +1026,8 @@ def _p24_io(spark, sf):
 def _p24_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p24_patients"]
-    have = {"ID", "PatientID", "PatientPK", "SiteCode", "FacilityName", "Gender", "DOB", "RegistrationDate",
-            "PatientSource", "MaritalStatus", "EducationLevel", "PreviousARTExposure", "Emr", "Project", "NUPI"}
-    # columns the source lacks are NULL; the date window rules type them as dates
-    dated = {r.column for r in spec.rules if r.kind == "date"}
-    final = ", ".join(c if c in have else f"CAST(NULL AS {'DATE' if c in dated else 'VARCHAR'}) AS {c}"
-                      for c in spec.columns)
+    final = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" if c in ("PopulationType", "KeyPopulationType") else c
+                      for c in spec.columns)  # the text fills these two with NULL
     utf16 = "upper(sha256(unhex(regexp_replace(hex(substring(CAST({c} AS VARCHAR), 1, 36)), '(..)', '\\100', 'g'))))"
     return f"""
 WITH p AS (
@@ -988,7 +1041,7 @@ WITH p AS (
          CASE WHEN c_custkey % 2 = 0 THEN 'Primary' ELSE 'Secondary' END AS EducationLevel,
          c_mktsegment AS PreviousARTExposure,
          CASE WHEN c_custkey % 3 = 0 THEN 'VCT' ELSE 'OPD' END AS PatientSource,
-         'NUPI' || CAST(c_custkey AS VARCHAR) AS NUPI, 'KenyaEMR' AS Emr, 'Other' AS Project
+         'NUPI' || CAST(c_custkey AS VARCHAR) AS NUPI, 'KenyaEMR' AS Emr, 'Other' AS Project, {_P24_FEED.form_sql}
   FROM customer),
 j AS (SELECT p.*, n.n_nationkey // 5 * 100 AS SiteCode, n.n_name AS FacilityName, n.n_nationkey % 5 < 3 AS live
       FROM p JOIN nation n ON p.FacilityRef = n.n_nationkey),
@@ -996,7 +1049,7 @@ tn AS (SELECT PatientPK, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE))
        GROUP BY PatientPK, SiteCode),
 scan AS (
   SELECT DISTINCT j.ID, j.PatientID, j.PatientPK, j.SiteCode, j.FacilityName, j.Gender, j.DOB, j.RegistrationDate,
-         j.PatientSource, j.MaritalStatus, j.EducationLevel, j.PreviousARTExposure, j.Emr, j.Project, j.NUPI
+         j.PatientSource, j.MaritalStatus, j.EducationLevel, j.PreviousARTExposure, j.Emr, j.Project, j.NUPI, {_P24_FEED.names('j.')}
   FROM j JOIN tn ON j.PatientPK = tn.PatientPK AND j.SiteCode = tn.SiteCode
                 AND CAST(j.Created AS DATE) = tn.MaxCreated AND j.ID = tn.MaxID
   WHERE j.live AND j.Gender IS NOT NULL AND j.Gender <> 'Unknown' AND j.SiteCode > 0),
@@ -1009,7 +1062,7 @@ clean AS (
          coalesce(lm.t, s.MaritalStatus) AS MaritalStatus,
          coalesce(le.t, s.EducationLevel) AS EducationLevel,
          coalesce(lr.t, s.PreviousARTExposure) AS PreviousARTExposure,
-         Emr, Project, NUPI
+         Emr, Project, NUPI, {_P24_FEED.rule_sql}
   FROM scan s
   LEFT JOIN (SELECT DISTINCT CASE c_custkey % 4 WHEN 0 THEN 'M' ELSE 'S' END AS k,
                     CASE c_custkey % 4 WHEN 0 THEN 'Married' ELSE 'Single' END AS t
@@ -1033,7 +1086,7 @@ def load_ct_patients(spark, sf):
     patient table joined to its facility, gender filters, DOB / registration windows, four
     lookups with job-specific column names, delta on (site, patient), three digests."""
     spec, io = _p24_io(spark, sf)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
 
 
 # =============================================================== the ART patients job
@@ -1409,6 +1462,13 @@ def load_emr_sites(spark, sf):
 
 
 # =============================================================== PrEP patient (P49), test kits (P32), contacts
+_P49_FEED = Feed(
+    "p49_patient", "c_custkey",
+    "ID,PatientPk,SiteCode,Created,PrepNumber,Sex,Inschool,MaritalStatus,County,SubCounty,Emr",
+    blank="DateLastUsedPrev,PrevPrepReg,ClientPreviouslyonPrep,DateStartedPrEPattransferringfacility,TransferFromFacility,"
+          "TransferInDate,Refferedfrom,ReferralPoint,ClientType,Ward,LandMark,CountyofBirth")
+
+
 def _p49_io(spark, sf):
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p49_patient"]
@@ -1427,7 +1487,7 @@ def _p49_io(spark, sf):
         F.when(ck % 7 == 0, F.lit("Ugunja")).when(ck % 7 == 1, F.lit("...")).when(ck % 7 == 2, F.lit(""))
          .when(ck % 7 == 3, F.lit("KIAMBU''")).otherwise(F.col("c_mktsegment")).alias("County"),
         F.when(ck % 8 == 0, F.lit("")).otherwise(F.lit("Kisumu")).alias("SubCounty"),
-        F.lit("KenyaEMR").alias("Emr"))
+        F.lit("KenyaEMR").alias("Emr"), *_P49_FEED.columns())
     loaded = c.filter(ck % 3 == 1).select(F.floor(ck / 2).cast("long").alias("PatientPk"), (F.col("c_nationkey") + 1).alias("SiteCode"))
     return spec, FrameIO({"PrepPatients": form}, {spec.target: loaded})
 
@@ -1436,7 +1496,7 @@ def _p49_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p49_patient"]
     have = {"ID", "PatientPk", "SiteCode", "Created", "PrepNumber", "Sex", "Inschool",
-            "MaritalStatus", "County", "SubCounty", "Emr"}
+            "MaritalStatus", "County", "SubCounty", "Emr", *_P49_FEED.form}
     return f"""
 WITH a AS (
   SELECT c_custkey AS ID, c_custkey // 2 AS PatientPk, c_nationkey + 1 AS SiteCode,
@@ -1447,7 +1507,8 @@ WITH a AS (
          CASE c_custkey % 4 WHEN 0 THEN 'Never married' WHEN 1 THEN 'Separated' ELSE 'Widowed' END AS MaritalStatus,
          CASE c_custkey % 7 WHEN 0 THEN 'Ugunja' WHEN 1 THEN '...' WHEN 2 THEN '' WHEN 3 THEN 'KIAMBU''''' ELSE c_mktsegment END
            AS County,
-         CASE WHEN c_custkey % 8 = 0 THEN '' ELSE 'Kisumu' END AS SubCounty, 'KenyaEMR' AS Emr
+         CASE WHEN c_custkey % 8 = 0 THEN '' ELSE 'Kisumu' END AS SubCounty, 'KenyaEMR' AS Emr,
+         {_P49_FEED.form_sql}
   FROM customer),
 tn AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated FROM a
        GROUP BY PatientPk, SiteCode),
@@ -1466,7 +1527,7 @@ clean AS (
                 THEN 'Siaya'
               WHEN County = 'KIAMBU''''' THEN 'Kiambu'
               WHEN County IN ('Kagen', '...') THEN 'NOT DOCUMENTED'
-              WHEN County = '' THEN NULL ELSE County END AS County
+              WHEN County = '' THEN NULL ELSE County END AS County, {_P49_FEED.rule_sql}
   FROM scan)
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PrepNumber')} AS PrepNumberHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
@@ -1479,7 +1540,7 @@ def load_prep_patient(spark, sf):
     """The PrEP patient load spec (P49) on the test tables: latest rule, no DISTINCT, blank ->
     NULL, key-population / school / marital / county recodes, delta, digests."""
     spec, io = _p49_io(spark, sf)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
 
 
 def _p32_io(spark, sf):
@@ -1758,6 +1819,16 @@ def load_facility_manifest(spark, sf):
 
 
 # =============================================================== eligibility (P29), behaviour risk (P46), CWC visits
+_P29_FEED = Feed(
+    "p29_eligibility", "event_id",
+    "ID,SiteCode,PatientPk,HtsNumber,EncounterId,VisitID,TypeGBV,WeightLoss,PatientType,DateTestedProvider,VisitDate",
+    blank="ReceivedServices,ResultOfHIVSelf,ReasonsForIneligibility,ChildReasonsForIneligibility,PartnerHIVStatus,"
+          "RelationshipWithContact",
+    made={c: (f"CASE event_id % {n} WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '' WHEN 3 THEN 'unsure' END",
+              f"CASE {c} WHEN '0' THEN 'No' WHEN '1' THEN 'Yes' ELSE {c} END")
+          for c, n in (("NightSweats", 4), ("Pregnant", 5), ("Cough", 7), ("IsHealthWorker", 6))})
+
+
 def _p29_io(spark, sf):
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p29_eligibility"]
@@ -1774,7 +1845,7 @@ def _p29_io(spark, sf):
         (eid % 3).cast("string").alias("WeightLoss"),
         F.when(eid % 2 == 0, F.lit("HP:Hospital Patient")).otherwise(F.lit("NP:Non-Hospital Patient")).alias("PatientType"),
         F.when(eid % 9 == 0, F.lit(dt.date(1975, 1, 1))).otherwise(day).alias("DateTestedProvider"),
-        F.date_sub(day, (eid % 2000).cast("int")).alias("VisitDate"))
+        F.date_sub(day, (eid % 2000).cast("int")).alias("VisitDate"), *_P29_FEED.columns())
     clients = e.filter(F.col("event_type") != "signup").select(
         F.col("user_id").alias("PatientPk"), site.alias("SiteCode")).distinct()
     loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 2))).select(
@@ -1786,7 +1857,7 @@ def _p29_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p29_eligibility"]
     have = {"ID", "SiteCode", "PatientPk", "HtsNumber", "EncounterId", "VisitID", "TypeGBV", "WeightLoss",
-            "PatientType", "DateTestedProvider", "VisitDate"}
+            "PatientType", "DateTestedProvider", "VisitDate", *_P29_FEED.form}
     return f"""
 WITH a AS (
   SELECT event_id AS ID, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode, user_id AS PatientPk,
@@ -1797,7 +1868,7 @@ WITH a AS (
          CAST(event_id % 3 AS VARCHAR) AS WeightLoss,
          CASE WHEN event_id % 2 = 0 THEN 'HP:Hospital Patient' ELSE 'NP:Non-Hospital Patient' END AS PatientType,
          CASE WHEN event_id % 9 = 0 THEN DATE '1975-01-01' ELSE CAST(ts AS DATE) END AS DateTestedProvider,
-         CAST(ts AS DATE) - CAST(event_id % 2000 AS INTEGER) AS VisitDate
+         CAST(ts AS DATE) - CAST(event_id % 2000 AS INTEGER) AS VisitDate, {_P29_FEED.form_sql}
   FROM events),
 tn AS (SELECT SiteCode, PatientPk, EncounterId, VisitID, max(ID) AS MaxID, max(DateCreated) AS MaxDateCreated
        FROM a GROUP BY SiteCode, PatientPk, EncounterId, VisitID),
@@ -1806,7 +1877,7 @@ tn1 AS (SELECT SiteCode, PatientPk, EncounterId, VisitID, max(ID) AS MaxID,
         FROM a GROUP BY SiteCode, PatientPk, EncounterId, VisitID),
 scan AS (
   SELECT DISTINCT a.ID, a.SiteCode, a.PatientPk, a.HtsNumber, a.EncounterId, a.VisitID, a.TypeGBV, a.WeightLoss,
-         a.PatientType, a.DateTestedProvider, a.VisitDate
+         a.PatientType, a.DateTestedProvider, a.VisitDate, {_P29_FEED.names('a.')}
   FROM a JOIN tn ON a.SiteCode = tn.SiteCode AND a.PatientPk = tn.PatientPk AND a.DateCreated = tn.MaxDateCreated
                 AND a.EncounterId = tn.EncounterId AND a.VisitID = tn.VisitID AND a.ID = tn.MaxID
          JOIN tn1 ON a.SiteCode = tn1.SiteCode AND a.PatientPk = tn1.PatientPk
@@ -1821,7 +1892,8 @@ clean AS (
          CASE PatientType WHEN 'HP:Hospital Patient' THEN 'Hospital Patient'
               WHEN 'NP:Non-Hospital Patient' THEN 'Non-Hospital Patient' ELSE PatientType END AS PatientType,
          CASE WHEN DateTestedProvider < DATE '1980-01-01' THEN NULL ELSE DateTestedProvider END AS DateTestedProvider,
-         CASE WHEN VisitDate < DATE '2019-01-01' THEN NULL ELSE VisitDate END AS VisitDate
+         CASE WHEN VisitDate < DATE '2019-01-01' THEN NULL ELSE VisitDate END AS VisitDate,
+         {_P29_FEED.rule_sql}
   FROM scan)
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='HtsNumber')} AS HtsNumberHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
@@ -1835,7 +1907,15 @@ def load_hts_eligibility(spark, sf):
     creation timestamp, newest extraction day), client existence, blank / 0-1 / patient-type
     recodes, dates before 1980 and visits before 2019 -> NULL, delta, digests."""
     spec, io = _p29_io(spark, sf)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
+
+
+_P46_FEED = Feed(
+    "p46_behaviour_risk", "event_id",
+    "Created,PatientPk,SiteCode,DateExtracted,VisitID,PrepNumber,ClientRisk,SexPartnerHIVStatus",
+    blank="NumberofchildrenWithPartner,SexWithoutCondom,MonthsknownHIVSerodiscordant,HIVPartnerARTStartDate,"
+          "PartnerEnrolledtoCCC,ReferralToOtherPrevServices,RiskReductionEducationOffered,PrEPDeclineReason,"
+          "ClientWillingToTakePrep,IsPartnerHighrisk,IsHIVPositivePartnerCurrentonART")
 
 
 def _p46_io(spark, sf):
@@ -1850,7 +1930,8 @@ def _p46_io(spark, sf):
         F.concat(F.lit("BR"), (eid % 5).cast("string")).alias("VisitID"),
         F.concat(F.lit("PREP-"), F.col("user_id").cast("string")).alias("PrepNumber"),
         F.when(eid % 4 == 0, F.lit("")).otherwise(F.lit("High")).alias("ClientRisk"),
-        F.when(eid % 6 == 0, F.lit("")).otherwise(F.lit("Positive")).alias("SexPartnerHIVStatus"))
+        F.when(eid % 6 == 0, F.lit("")).otherwise(F.lit("Positive")).alias("SexPartnerHIVStatus"),
+        *_P46_FEED.columns())
     patients = e.filter(F.col("event_type") != "error").select(
         F.col("user_id").alias("PatientPk"), site.alias("SiteCode")).distinct()
     loaded = e.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 8))).select(
@@ -1863,14 +1944,14 @@ def _p46_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p46_behaviour_risk"]
     have = {"Created", "PatientPk", "SiteCode", "DateExtracted", "VisitID", "PrepNumber", "ClientRisk",
-            "SexPartnerHIVStatus"}
+            "SexPartnerHIVStatus", *_P46_FEED.form}
     return f"""
 WITH a AS (
   SELECT event_id AS ID, user_id AS PatientPk, CAST(event_id % 3 + 1 AS INTEGER) AS SiteCode, ts AS Created,
          CAST(ts AS DATE) + CAST(event_id % 3 AS INTEGER) AS DateExtracted,
          'BR' || CAST(event_id % 5 AS VARCHAR) AS VisitID, 'PREP-' || CAST(user_id AS VARCHAR) AS PrepNumber,
          CASE WHEN event_id % 4 = 0 THEN '' ELSE 'High' END AS ClientRisk,
-         CASE WHEN event_id % 6 = 0 THEN '' ELSE 'Positive' END AS SexPartnerHIVStatus
+         CASE WHEN event_id % 6 = 0 THEN '' ELSE 'Positive' END AS SexPartnerHIVStatus, {_P46_FEED.form_sql}
   FROM events),
 tn AS (SELECT PatientPk, SiteCode, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS maxCreated FROM a
        GROUP BY PatientPk, SiteCode),
@@ -1878,7 +1959,7 @@ tm AS (SELECT PatientPk, SiteCode, max(CAST(DateExtracted AS DATE)) AS maxDateEx
        GROUP BY PatientPk, SiteCode),
 scan AS (
   SELECT DISTINCT a.Created, a.PatientPk, a.SiteCode, a.DateExtracted, a.VisitID, a.PrepNumber, a.ClientRisk,
-         a.SexPartnerHIVStatus
+         a.SexPartnerHIVStatus, {_P46_FEED.names('a.')}
   FROM a JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCode
                 AND CAST(a.Created AS DATE) = tn.maxCreated AND a.ID = tn.MaxID
          JOIN tm ON a.PatientPk = tm.PatientPk AND a.SiteCode = tm.SiteCode
@@ -1888,7 +1969,8 @@ scan AS (
 clean AS (
   SELECT Created, PatientPk, SiteCode, DateExtracted, VisitID, PrepNumber,
          CASE WHEN ClientRisk = '' THEN NULL ELSE ClientRisk END AS ClientRisk,
-         CASE WHEN SexPartnerHIVStatus = '' THEN NULL ELSE SexPartnerHIVStatus END AS SexPartnerHIVStatus
+         CASE WHEN SexPartnerHIVStatus = '' THEN NULL ELSE SexPartnerHIVStatus END AS SexPartnerHIVStatus,
+         {_P46_FEED.rule_sql}
   FROM scan)
 SELECT {_null_cols(spec, have)}, {_UTF16_SQL.format(c='PrepNumber')} AS PrepNumberHash,
        {_UTF16_SQL.format(c='PatientPk')} AS PatientPKHash
@@ -1903,7 +1985,15 @@ def load_prep_behaviour_risk(spark, sf):
     newest extraction day (no id in the second rule), patient existence, blank -> NULL, delta on
     (patient, site, visit), digests."""
     spec, io = _p46_io(spark, sf)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
+
+
+_P36_FEED = Feed(
+    "p36_cwc_visits", "o_orderkey", "PatientMnchID,PatientPk,SiteCode,DateExtracted,VisitDate,VisitID,Weight",
+    made={"NextAppointment": ("CASE WHEN o_orderkey % 6 <> 0 THEN CAST(o_orderdate AS TIMESTAMP) END",
+                              "CAST(NextAppointment AS DATE)")},
+    spark={"NextAppointment": "CASE WHEN o_orderkey % 6 <> 0 THEN CAST(o_orderdate AS TIMESTAMP_NTZ) "
+                              "+ make_interval(0, 0, 0, 0, 11) END"})
 
 
 def _p36_io(spark, sf):
@@ -1918,7 +2008,7 @@ def _p36_io(spark, sf):
         F.date_add(F.to_date("o_orderdate"), (k % 4).cast("int")).alias("DateExtracted"),
         (ck % 25).cast("int").alias("FacilityId"), F.concat(F.lit("MN"), ck.cast("string")).alias("PatientMnchID"),
         F.concat(F.lit("CV"), (k % 9).cast("string")).alias("VisitID"),
-        F.floor(F.col("o_totalprice") / 1000).cast("string").alias("Weight"))
+        F.floor(F.col("o_totalprice") / 1000).cast("string").alias("Weight"), *_P36_FEED.columns())
     facilities = n.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Name"))
     loaded = o.filter(F.col("o_orderdate") < ntz(dt.datetime(1995, 4, 1))).select(
         ck.alias("PatientPk"), (ck % 10 + 1).cast("int").alias("SiteCode"))
@@ -1928,18 +2018,20 @@ def _p36_io(spark, sf):
 def _p36_oracle() -> str:
     from wardflow.plans.catalog import SPECS
     spec = SPECS["p36_cwc_visits"]
-    have = {"PatientMnchID", "PatientPk", "SiteCode", "DateExtracted", "VisitDate", "VisitID", "Weight"}
+    have = {"PatientMnchID", "PatientPk", "SiteCode", "DateExtracted", "VisitDate", "VisitID", "Weight", *_P36_FEED.form}
     return f"""
 WITH p AS (
   SELECT o_orderkey AS ID, o_custkey AS PatientPk, CAST(o_custkey % 10 + 1 AS INTEGER) AS SiteCode,
          CAST(o_orderdate AS DATE) AS VisitDate, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 AS INTEGER) AS DateExtracted,
          CAST(o_custkey % 25 AS INTEGER) AS FacilityId, 'MN' || CAST(o_custkey AS VARCHAR) AS PatientMnchID,
-         'CV' || CAST(o_orderkey % 9 AS VARCHAR) AS VisitID, CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) AS Weight
+         'CV' || CAST(o_orderkey % 9 AS VARCHAR) AS VisitID, CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) AS Weight,
+         {_P36_FEED.form_sql}
   FROM orders),
 tm AS (SELECT PatientPk, SiteCode, VisitDate, max(ID) AS MaxID, max(CAST(DateExtracted AS DATE)) AS MaxDateExtracted
        FROM p GROUP BY PatientPk, SiteCode, VisitDate),
 scan AS (
-  SELECT DISTINCT p.PatientMnchID, p.PatientPk, p.SiteCode, p.DateExtracted, p.VisitDate, p.VisitID, p.Weight
+  SELECT DISTINCT p.PatientMnchID, p.PatientPk, p.SiteCode, p.DateExtracted, p.VisitDate, p.VisitID, p.Weight,
+         {_P36_FEED.rule_sql}
   FROM p JOIN tm ON p.PatientPk = tm.PatientPk AND p.SiteCode = tm.SiteCode
                 AND CAST(p.DateExtracted AS DATE) = tm.MaxDateExtracted AND p.ID = tm.MaxID
   WHERE EXISTS (SELECT 1 FROM nation f WHERE f.n_nationkey = p.FacilityId))
@@ -1956,7 +2048,7 @@ def load_cwc_visits(spark, sf):
     joined on (patient, site) only – any row holding some visit date's maxima survives –,
     facility existence, delta, digests."""
     spec, io = _p36_io(spark, sf)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
 
 
 # =============================================================== IPT (P16), drug & alcohol (P10), PrEP pharmacy (P50)
@@ -1992,7 +2084,7 @@ def _ct_visit_job(spark, sf, spec_name, source, extra, form_rows=lambda o: o):
 
 
 def _ct_visit_oracle(spec_name, extra_sql: str, extra_cols: list, clean_sql: str,
-                     project_map: bool = True, patient_id: bool = False) -> str:
+                     project_map: bool = True, patient_id: bool = False, feed: Feed | None = None) -> str:
     """``project_map`` – the scan text maps the patient's project names (most CT texts);
     ``patient_id`` – its ID is the patient row's, not the form's."""
     from wardflow.plans.catalog import SPECS
@@ -2001,6 +2093,9 @@ def _ct_visit_oracle(spec_name, extra_sql: str, extra_cols: list, clean_sql: str
     have = {"ID", "PatientID", "PatientPK", "SiteCode", "FacilityName", "VisitID", "VisitDate", "Emr", "Project",
             *extra_cols}
     cols = ", ".join(extra_cols)
+    if feed:
+        extra_sql, clean_sql = f"{extra_sql}, {feed.form_sql}", f"{clean_sql}, {feed.rule_sql}"
+        cols, have = f"{cols}, {feed.names()}", have | set(feed.form)
     row_id = "PatientRef AS ID" if patient_id else "ID"
     return f"""
 WITH a AS (SELECT {_CT_VISIT_SQL}, {extra_sql} FROM orders),
@@ -2506,9 +2601,12 @@ def _prep_job(spark, sf, spec_name, source, extra, with_number=False):
     return spec, FrameIO(tables, {spec.target: loaded})
 
 
-def _prep_oracle(spec_name, extra_sql, extra_cols, latest_sql, clean_sql, with_number=False, number_key=False):
+def _prep_oracle(spec_name, extra_sql, extra_cols, latest_sql, clean_sql, with_number=False, number_key=False, feed=None):
     from wardflow.plans.catalog import SPECS
     spec = SPECS[spec_name]
+    if feed:
+        extra_sql, clean_sql = f"{extra_sql}, {feed.form_sql}", f"{clean_sql}, {feed.rule_sql}"
+        extra_cols = [*extra_cols, *feed.form]
     have = {"ID", "Created", "PatientPk", "SiteCode", "DateExtracted", "PrepNumber", *extra_cols}
     exist = ("AND 'PREP-' || CAST(b.event_id % 2 AS VARCHAR) || '-' || CAST(b.user_id AS VARCHAR) = a.PrepNumber"
              if with_number else "")
@@ -2536,10 +2634,18 @@ _JOIN_CREATED = ("JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.Site
                  "AND CAST(a.Created AS DATE) = tn.MaxCreated AND a.ID = tn.MaxID")
 
 
+_PREP_OWN = "ID,Created,PatientPk,SiteCode,DateExtracted,PrepNumber,"
+_P45_FEED = Feed("p45_adverse_events", "event_id", _PREP_OWN + "Severity,AdverseEvent",
+                 blank="AdverseEventRegimen,AdverseEventIsPregnant,AdverseEventClinicalOutcome,AdverseEventActionTaken,"
+                       "AdverseEventEndDate,AdverseEventStartDate")
+_P47_FEED = Feed("p47_care_termination", "event_id", _PREP_OWN + "ExitReason,ExitDate", blank="DateOfLastPrepDose")
+_P48_FEED = Feed("p48_lab", "event_id", _PREP_OWN + "Reason,TestName", blank="SampleDate")
+
+
 def _p45_extra():
     eid = F.col("event_id")
     return {"Severity": F.when(eid % 4 == 0, F.lit("")).otherwise(F.lit("Mild")),
-            "AdverseEvent": F.when(eid % 5 == 0, F.lit("")).otherwise(F.col("event_type"))}
+            "AdverseEvent": F.when(eid % 5 == 0, F.lit("")).otherwise(F.col("event_type"))} | _P45_FEED.extra()
 
 
 @query("load_prep_adverse_events", oracle=_prep_oracle(
@@ -2548,18 +2654,19 @@ def _p45_extra():
     "CASE WHEN event_id % 5 = 0 THEN '' ELSE event_type END AS AdverseEvent",
     ["Severity", "AdverseEvent"], _TN_CREATED,
     "CASE WHEN Severity = '' THEN NULL ELSE Severity END AS Severity, "
-    "CASE WHEN AdverseEvent = '' THEN NULL ELSE AdverseEvent END AS AdverseEvent", with_number=True).replace("{joins}", _JOIN_CREATED))
+    "CASE WHEN AdverseEvent = '' THEN NULL ELSE AdverseEvent END AS AdverseEvent", with_number=True,
+    feed=_P45_FEED).replace("{joins}", _JOIN_CREATED))
 def load_prep_adverse_events(spark, sf):
     """The PrEP adverse-events load spec (P45) on the test tables: latest rule, patient existence,
     blank -> NULL, delta, digests."""
     spec, io = _prep_job(spark, sf, "p45_adverse_events", "PrepAdverseEvents", _p45_extra(), with_number=True)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
 
 
 def _p47_extra():
     eid = F.col("event_id")
     return {"ExitReason": F.when(eid % 3 == 0, F.lit("")).otherwise(F.col("event_type")),
-            "ExitDate": F.to_date("ts")}
+            "ExitDate": F.to_date("ts")} | _P47_FEED.extra()
 
 
 _P47_LATEST = _TN_CREATED + """,
@@ -2573,17 +2680,18 @@ _P47_JOINS = _JOIN_CREATED + (" JOIN tm ON a.PatientPk = tm.PatientPk AND a.Site
     "p47_care_termination",
     "CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END AS ExitReason, CAST(ts AS DATE) AS ExitDate",
     ["ExitReason", "ExitDate"], _P47_LATEST,
-    "CASE WHEN ExitReason = '' THEN NULL ELSE ExitReason END AS ExitReason, ExitDate").replace("{joins}", _P47_JOINS))
+    "CASE WHEN ExitReason = '' THEN NULL ELSE ExitReason END AS ExitReason, ExitDate", feed=_P47_FEED).replace("{joins}", _P47_JOINS))
 def load_prep_care_termination(spark, sf):
     """The PrEP care-termination load spec (P47) on the test tables: two latest rules ANDed,
     patient existence, blank -> NULL, delta, digests."""
     spec, io = _prep_job(spark, sf, "p47_care_termination", "PrepCareTerminations", _p47_extra())
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
 
 
 def _p48_extra():
     eid = F.col("event_id")
-    return {"Reason": F.when(eid % 4 == 0, F.lit("")).otherwise(F.lit("Routine")), "TestName": F.col("event_type")}
+    return {"Reason": F.when(eid % 4 == 0, F.lit("")).otherwise(F.lit("Routine")),
+            "TestName": F.col("event_type")} | _P48_FEED.extra()
 
 
 _P48_LATEST = """tn AS (SELECT PatientPk, SiteCode, PrepNumber, max(ID) AS MaxID, max(CAST(Created AS DATE)) AS MaxCreated
@@ -2597,13 +2705,13 @@ _P48_JOINS = ("JOIN tn ON a.PatientPk = tn.PatientPk AND a.SiteCode = tn.SiteCod
     "CASE WHEN event_id % 4 = 0 THEN '' ELSE 'Routine' END AS Reason, event_type AS TestName",
     ["Reason", "TestName"], _P48_LATEST,
     "CASE WHEN Reason = '' THEN NULL ELSE Reason END AS Reason, TestName",
-    with_number=True, number_key=True).replace("{joins}", _P48_JOINS))
+    with_number=True, number_key=True, feed=_P48_FEED).replace("{joins}", _P48_JOINS))
 def load_prep_lab(spark, sf):
     """The PrEP lab load spec (P48) on the test tables: latest rule grouped with the PrEP number
     but joined on (patient, site), existence in PrEP patients by (site, patient, number), blank ->
     NULL, delta on (patient, site, number), digests."""
     spec, io = _prep_job(spark, sf, "p48_lab", "PrepLabs", _p48_extra(), with_number=True)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
 
 
 # =============================================================== depression (P09), allergies
@@ -2733,13 +2841,24 @@ def load_defaulter_tracing(spark, sf):
 
 
 # =============================================================== Covid
+_P07_CASTS = ("BoosterDoseDate", "COVID19TestDate", "COVID19TestDateSinceLastVisit", "AdmissionStartDate")
+_P07_FEED = Feed(
+    "p07_covid", "o_orderkey",
+    "ID,PatientID,PatientPK,SiteCode,FacilityName,VisitID,Emr,Project,Covid19AssessmentDate,DateGivenFirstDose,"
+    "DateGivenSecondDose,AdmissionEndDate,VaccinationStatus",
+    made={c: (f"CASE WHEN o_orderkey % {i + 4} <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % {90 + i} AS INTEGER) END",
+              f"CAST({c} AS DATE)") for i, c in enumerate(_P07_CASTS)},
+    spark={c: f"CASE WHEN o_orderkey % {i + 4} <> 0 THEN o_orderdate + make_interval(0, 0, 0, CAST(o_orderkey % {90 + i} AS INT)) END"
+           for i, c in enumerate(_P07_CASTS)})
+
+
 def _p07_extra():
     k = F.col("o_orderkey")
     at = lambda days: F.col("o_orderdate") + F.make_interval(days=days.cast("int"))
     return {"Covid19AssessmentDate": at(-(k % 12000)), "DateGivenFirstDose": at(k % 800),
             "DateGivenSecondDose": at(k % 800 + 30), "AdmissionEndDate": at(k % 3),
             "VaccinationStatus": F.when(k % 3 == 0, F.lit("Partial")).when(k % 3 == 1, F.lit("Fully - Details not Available"))
-            .otherwise(F.lit("Not Vaccinated"))}
+            .otherwise(F.lit("Not Vaccinated"))} | _P07_FEED.extra()
 
 
 @query("load_covid", oracle=_ct_visit_oracle(
@@ -2756,9 +2875,9 @@ def _p07_extra():
     + ", CASE VaccinationStatus WHEN 'Fully - Details not Available' THEN 'Fully Vaccinated' "
       "WHEN 'Partial' THEN 'Partially Vaccinated' WHEN 'Partial - Details not Available' THEN 'Partially Vaccinated' "
       "ELSE VaccinationStatus END AS VaccinationStatus, AdmissionEndDate",
-    project_map=False, patient_id=True))
+    project_map=False, patient_id=True, feed=_P07_FEED))
 def load_covid(spark, sf):
     """The Covid load spec (P07) on the test tables: three date windows, vaccination-status
     recode, delta on (site, patient, visit), digests."""
     spec, io = _ct_visit_job(spark, sf, "p07_covid", "CovidExtract", _p07_extra(), _twice_a_day)
-    return _load(spec, io)
+    return build_load(spec, io, AS_OF)
