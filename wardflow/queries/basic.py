@@ -17,7 +17,8 @@ from wardflow.session import scratch_path
 from wardflow.sources.audit import audited
 from wardflow.sources.conform import conform
 from wardflow.sources.readers import read_key_range, read_query
-from wardflow.sources.sinks import append, apply_corrections, overwrite_partitions, snapshot
+from wardflow.sources.sinks import append, apply_corrections, correct_partitions, overwrite_partitions, snapshot
+from wardflow.sources.versions import VersionedTable
 
 # ---------------------------------------------------------------- S1 / S2 / S11
 _DERIVED = """
@@ -107,6 +108,24 @@ def update_from_join(spark, sf):
     return apply_corrections(part, fixes, "p_partkey", {"p_size": "new_size"})
 
 
+@query("update_pruned_partitions", oracle="""
+SELECT l_orderkey, l_linenumber, coalesce(f.new_quantity, l_quantity) AS l_quantity, year(l_shipdate) AS ship_year
+FROM lineitem LEFT JOIN (SELECT o_orderkey, CAST(o_custkey % 50 AS DOUBLE) + 99 AS new_quantity FROM orders
+                         WHERE o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '1994-01-01') f
+  ON l_orderkey = f.o_orderkey""")
+def update_pruned_partitions(spark, sf):
+    """UPDATE of a versioned table laid out by year: only years with a corrected order are rewritten."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"),
+                                                F.year("l_shipdate").cast("long").alias("ship_year"))
+    fixes = (table(spark, sf, "orders").where((F.col("o_orderpriority") == "1-URGENT")
+                                              & (F.col("o_orderdate") < ntz(dt.datetime(1994, 1, 1))))
+             .select(F.col("o_orderkey").alias("l_orderkey"), ((F.col("o_custkey") % 50).cast("double") + 99).alias("new_quantity")))
+    target = VersionedTable(spark, scratch_path(spark, "lines"))
+    target.append(lines, "load", ("ship_year",))
+    correct_partitions(target, fixes, "l_orderkey", {"l_quantity": "new_quantity"}, ("ship_year",), "fix")
+    return target.read()
+
+
 # ---------------------------------------------------------------- S12 audit
 @query("load_audit_counts", oracle="""
 SELECT (SELECT count(*) FROM orders s WHERE NOT EXISTS

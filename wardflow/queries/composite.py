@@ -283,6 +283,22 @@ def monthly_outcome(spark, sf):
     return monthly_outcomes(visits, dispenses, status, art, OUTCOME_START, OUTCOME_END)
 
 
+@query("monthly_outcome_incremental", oracle=_OUTCOME_ORACLE)
+def monthly_outcome_incremental(spark, sf):
+    """The outcomes kept by batches: events up to mid-1998 first, then the later ones with a tenth of the
+    early ones late, then everything again; the rows are those of the full job over all events."""
+    from wardflow.plans.outcomes import MonthlyOutcomes
+    from wardflow.session import scratch_path
+    inputs = outcome_inputs(spark, sf)
+    days = ("VisitDate", "DispenseDate", "ExitDate", "StartARTDate")
+    first = [(F.col(d) < dt.date(1998, 7, 1)) & (F.dayofmonth(d) % 10 != 3) for d in days]
+    store = MonthlyOutcomes(spark, scratch_path(spark, "outcomes"), OUTCOME_START)
+    store.advance("first", *[df.where(f) for df, f in zip(inputs, first, strict=True)], dt.date(1998, 6, 30))
+    store.advance("rest", *[df.where(~f) for df, f in zip(inputs, first, strict=True)], OUTCOME_END)
+    store.advance("again", *inputs, OUTCOME_END)
+    return store.read()
+
+
 # =============================================================== date repair
 _KIT_RAW_SQL = """CASE WHEN l_linenumber = 1 THEN 'n/a'
      WHEN l_linenumber % 2 = 0 THEN strftime(l_shipdate, '%Y-%m-%d')

@@ -10,7 +10,8 @@ the data folder they were written for and count only while the target's log list
 index needs no commit of its own: rows of a batch that failed half-way, or from before a rebuild, are
 never seen.
 
-All batches of the target must go through the index.  Its folder is ``keys-<buckets>`` in the target's.
+All batches of the target must go through the index.  A replacement of partitions must keep their keys, as a
+correction does (its folder has no index rows, and those of the replaced rows still count).  Its folder is ``keys-<buckets>`` in the target's.
 Buckets are fixed when the target is made; take about the key bytes at full size over 200 MB, and at
 least the session's shuffle partitions (with fewer, the planner may shuffle both sides instead).
 """
@@ -77,7 +78,7 @@ class KeyIndex:
         staged = self.target.staged(folder, df.schema)
         keys = staged.select(self._key(staged).alias("k")).dropDuplicates().repartition(self.buckets, "k")
         keys.withColumn("folder", F.lit(folder.rsplit("/", 1)[-1])).write.insertInto(self.name)
-        return self.target.publish(folder, batch, kind)
+        return self.target.publish(folder, batch, kind, df.schema, {"columns": list(partition_by)} if partition_by else None)
 
     def known(self) -> DataFrame:
         """The encoded keys of the target's newest version; a key that several batches hold is there as often."""
