@@ -99,3 +99,19 @@ def test_a_failed_batch_leaves_the_old_version(spark, tmp_path):
     # a log folder that a dead writer left empty is passed over
     (tmp_path / "t" / "log" / "version=5").mkdir()
     assert table.append(spark.range(1), "five") == 6 and table.read().count() == 16
+
+
+def test_load_counts_what_each_rule_changed(spark):
+    """The load's own writes give the counts; the rows are those of a load without them."""
+    spec = SPECS["p23_patient_visits"]
+    io, _ = build_io(spark, spec, with_target=False)
+    form = io.tables[spec.source]
+    io.tables[spec.source] = form.withColumns({"Pregnant": F.lit("LIVE BIRTH"), "Weight": F.lit("-1"), "Height": F.lit("")})
+    plain = typed_load(spec, io, AS_OF).drop("_misfits")
+    n = plain.count()
+    counts = run_load(spec, io, AS_OF, audit_rules=True)
+    kinds = {f"{r.column} {r.kind}" for r in spec.rules} | {f"{lk.column} lookup" for lk in spec.lookups}
+    assert n and counts["new_rows"] == n and kinds == set(counts["rules"])
+    changed = {k for k, c in counts["rules"].items() if c}
+    assert {"Pregnant recode", "Weight number", "Height blank"} <= changed
+    assert {counts["rules"][k] for k in ("Pregnant recode", "Weight number", "Height blank")} == {n}

@@ -19,7 +19,7 @@ from wardflow.operators.latest import latest_joint_max
 from wardflow.operators.lookup import prepare_lookup, shared_lookup, standardise
 from wardflow.plans.spec import LoadSpec, Rule
 from wardflow.plans.contracts import contract
-from wardflow.sources.audit import audited
+from wardflow.sources.audit import RuleAudit, audited
 from wardflow.sources.conform import checked, fitting, rejected
 from wardflow.sources.sinks import append, snapshot
 from wardflow.sources.versions import VersionedTable
@@ -205,13 +205,19 @@ def _apply_latest(df: DataFrame, lt, over: DataFrame | None = None) -> DataFrame
     return latest_joint_max(df, keys, maxes if len(maxes) > 1 else maxes[0], join_keys=jk, over=over)
 
 
-def _apply_rules(df: DataFrame, rules, as_of: dt.date) -> DataFrame:
+def _apply_rules(df: DataFrame, rules, as_of: dt.date, audit: RuleAudit | None = None) -> DataFrame:
     """Rules on one column in order; different columns in one projection."""
     by_col: dict[str, list[Rule]] = {}
     for r in rules:
         by_col.setdefault(r.column, []).append(r)
     for level in range(max(map(len, by_col.values()), default=0)):
-        df = df.withColumns({c: _rule_column(rs[level], as_of) for c, rs in by_col.items() if len(rs) > level})
+        due = {c: rs[level] for c, rs in by_col.items() if len(rs) > level}
+        cleaned = {c: _rule_column(r, as_of) for c, r in due.items()}
+        if audit is not None:
+            again = {c: sum(r.kind == due[c].kind for r in by_col[c][:level]) for c in due}
+            df = audit.watch(df, {f"{c} {r.kind}" + f" {again[c] + 1}" * bool(again[c]): (F.col(c), cleaned[c])
+                                  for c, r in due.items()})
+        df = df.withColumns(cleaned)
     return df
 
 
@@ -339,8 +345,11 @@ def scan(spec: LoadSpec, io, as_of: dt.date | None = None) -> DataFrame:
     return df
 
 
-def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, prune_on=()) -> DataFrame:
-    """The rows this load appends (lazy).  ``split_nulls`` / ``prune_on`` – see ``new_records``."""
+def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, prune_on=(),
+               audit: RuleAudit | None = None) -> DataFrame:
+    """The rows this load appends (lazy).  ``split_nulls`` / ``prune_on`` – see ``new_records``.
+
+    ``audit`` counts the values that rules and lookups change in the scanned rows, new and known ones."""
     df = scan(spec, io, as_of)
     # Output contract first: the DISTINCT of the source text is over its select list.
     # Names resolve case-insensitively (EMR / Emr); the contract's spelling wins.
@@ -358,7 +367,9 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, pr
         df = df.distinct()
     if spec.sample_limit is not None:
         df = df.limit(spec.sample_limit)
-    df = _apply_rules(df, spec.rules, as_of)
+    df = _apply_rules(df, spec.rules, as_of, audit)
+    if audit is not None:  # raw values beside the lookups' answers
+        df = df.withColumns({f"__raw{i}": F.col(lk.column) for i, lk in enumerate(spec.lookups)})
     prepared: dict = {}
     idents = [(lk.table, lk.source, lk.target, lk.case_insensitive) for lk in spec.lookups]
     for lk, ident in zip(spec.lookups, idents, strict=True):
@@ -367,6 +378,8 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, pr
             prepared[ident] = shared_lookup(one) if idents.count(ident) > 1 else one
         df = standardise(df, lk.column, prepared[ident], case_insensitive=lk.case_insensitive,
                          default=R.KEEP if lk.default is None else lk.default, prepared=True)
+    if audit is not None:
+        df = audit.watch(df, {f"{lk.column} lookup": (F.col(f"__raw{i}"), F.col(lk.column)) for i, lk in enumerate(spec.lookups)})
     tgt = io.target(spec.target)
     if tgt is not None and (spec.delta_keys or spec.delta_plain_keys):
         def conv(k):
@@ -381,23 +394,26 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, pr
     return df.select(*spec.columns, *[h for _, h in spec.hashes])
 
 
-def typed_load(spec: LoadSpec, io, as_of: dt.date) -> DataFrame:
+def typed_load(spec: LoadSpec, io, as_of: dt.date, audit: RuleAudit | None = None) -> DataFrame:
     """The load in its target's types; rows that do not fit name their misfits (see ``checked``)."""
-    return checked(build_load(spec, io, as_of), *contract(spec))
+    return checked(build_load(spec, io, as_of, audit=audit), *contract(spec))
 
 
-def run_load(spec: LoadSpec, io, as_of: dt.date, batch: str | None = None) -> dict:
+def run_load(spec: LoadSpec, io, as_of: dt.date, batch: str | None = None, audit_rules: bool = False) -> dict:
     """Append the new rows to the target, and those that do not fit its types to ``<target>_rejects``.
 
     The load is evaluated once; returns the counts of both.  ``batch``: the id under
-    which a back end with versions commits, so that a retry adds nothing twice.
+    which a back end with versions commits, so that a retry adds nothing twice.  ``audit_rules`` adds
+    how many values each rule and lookup changed in the scanned rows, known ones included.
     """
-    with snapshot(typed_load(spec, io, as_of)) as rows:
+    audit = RuleAudit() if audit_rules else None
+    with snapshot(typed_load(spec, io, as_of, audit)) as rows:
         out, new = audited(fitting(rows), spec.name)
         aside, kept = audited(rejected(rows), f"{spec.name}_rejects")
         extra = {"batch": batch} if batch else {}
         # counts of a write that was not run would be waited for without end
         set_aside = io.write(aside, f"{spec.target}_rejects", None, **extra) is not False
         added = io.write(out, spec.target, spec.write_partitions, **extra) is not False
-        return {"spec": spec.name, "new_rows": new.get.get("rows", 0) if added else 0,
-                "rejected_rows": kept.get.get("rows", 0) if set_aside else 0}
+        counts = {"spec": spec.name, "new_rows": new.get.get("rows", 0) if added else 0,
+                  "rejected_rows": kept.get.get("rows", 0) if set_aside else 0}
+        return counts | ({"rules": audit.counts if set_aside else {}} if audit else {})

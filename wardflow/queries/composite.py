@@ -13,6 +13,7 @@ from wardflow.queries import query
 from wardflow.queries._data import AS_OF, ntz, table
 from wardflow.queries.feeds import Feed
 from wardflow.operators.repair import repair_dates
+from wardflow.sources.audit import RuleAudit
 
 # =============================================================== orders as visits
 # Mapping: customer = patient (SiteCode = nation), nation = facility,
@@ -351,6 +352,19 @@ def streaming_incremental_events(spark, sf):
     return spark.read.parquet(tgt)
 
 
+# =============================================================== audit per rule
+@query("load_audit_rules", oracle=f"""{_VISIT_ORACLE[:_VISIT_ORACLE.index("clean AS")].rstrip().rstrip(",")}
+SELECT 'Priority blank' AS rule, count(*) FILTER (Priority = '') AS changed FROM scan
+UNION ALL SELECT 'Status recode', count(*) FILTER (Status IN ('F', 'O')) FROM scan
+UNION ALL SELECT 'VisitDate date', count(*) FILTER (VisitDate < DATE '1996-01-01' OR VisitDate > DATE '{AS_OF}') FROM scan
+UNION ALL SELECT 'Priority lookup', count(*) FILTER (Priority <> '' AND Priority <> '5-LOW') FROM scan""")
+def load_audit_rules(spark, sf):
+    """The orders-as-visits load with the values that each rule and lookup changed, counted by its one action."""
+    audit = RuleAudit()
+    build_load(VISIT_SPEC, _visit_io(spark, sf), AS_OF, audit=audit).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(audit.counts.items()), "rule string, changed long")
+
+
 # =============================================================== the visits job itself
 # The real P23 spec on the test tables mapped into its source shape:
 # PatientVisitExtract <- orders, PatientExtract <- customer, Facility <- nation,
