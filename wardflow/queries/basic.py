@@ -109,20 +109,23 @@ def update_from_join(spark, sf):
 
 
 @query("update_pruned_partitions", oracle="""
-SELECT l_orderkey, l_linenumber, coalesce(f.new_quantity, l_quantity) AS l_quantity, year(l_shipdate) AS ship_year
-FROM lineitem LEFT JOIN (SELECT o_orderkey, CAST(o_custkey % 50 AS DOUBLE) + 99 AS new_quantity FROM orders
-                         WHERE o_orderpriority = '1-URGENT' AND o_orderdate < TIMESTAMP '1994-01-01') f
-  ON l_orderkey = f.o_orderkey""")
+SELECT o_orderkey, coalesce(f.fixed, o_totalprice) AS o_totalprice, year(o_orderdate) AS order_year
+FROM orders LEFT JOIN (SELECT l_orderkey, max(l_extendedprice) AS fixed FROM lineitem
+                       WHERE l_quantity >= 40 GROUP BY l_orderkey) f
+  ON o_orderkey = f.l_orderkey AND o_orderpriority = '1-URGENT' AND year(o_orderdate) IN (1996, 1998)""")
 def update_pruned_partitions(spark, sf):
-    """UPDATE of a versioned table laid out by year: only years with a corrected order are rewritten."""
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"),
-                                                F.year("l_shipdate").cast("long").alias("ship_year"))
-    fixes = (table(spark, sf, "orders").where((F.col("o_orderpriority") == "1-URGENT")
-                                              & (F.col("o_orderdate") < ntz(dt.datetime(1994, 1, 1))))
-             .select(F.col("o_orderkey").alias("l_orderkey"), ((F.col("o_custkey") % 50).cast("double") + 99).alias("new_quantity")))
-    target = VersionedTable(spark, scratch_path(spark, "lines"))
-    target.append(lines, "load", ("ship_year",))
-    correct_partitions(target, fixes, "l_orderkey", {"l_quantity": "new_quantity"}, ("ship_year",), "fix")
+    """UPDATE of a versioned table laid out by year: only the two years with a corrected order are rewritten."""
+    o = table(spark, sf, "orders")
+    year = F.year("o_orderdate").cast("long")
+    wrong = o.where((F.col("o_orderpriority") == "1-URGENT") & year.isin(1996, 1998)).select("o_orderkey")
+    fixes = (table(spark, sf, "lineitem").where("l_quantity >= 40")
+             .groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_extendedprice").alias("fixed"))
+             .join(wrong, "o_orderkey", "left_semi"))
+    target = VersionedTable(spark, scratch_path(spark, "prices"))
+    target.append(o.select("o_orderkey", "o_totalprice", year.alias("order_year")), "load", ("order_year",))
+    years = correct_partitions(target, fixes, "o_orderkey", {"o_totalprice": "fixed"}, ("order_year",), "fix")
+    if years > 2:
+        raise ValueError(f"{years} years rewritten")
     return target.read()
 
 
