@@ -314,14 +314,21 @@ def _latest_then_parents(form: DataFrame, spec: LoadSpec, io) -> DataFrame | Non
     return rows.join(narrow, reduce(and_, on)).select(*kept, *outs)
 
 
-def scan(spec: LoadSpec, io, as_of: dt.date | None = None) -> DataFrame:
-    """Form scan: latest rule, parent joins, filters, scan-level GROUP BY."""
+def _form(spec: LoadSpec, io, as_of: dt.date | None) -> DataFrame:
     df = io.table(spec.source)
     if spec.derived:
         lit = f"DATE '{(as_of or dt.date.today()).isoformat()}'"
         df = df.withColumns({n: _expr(e.replace("{as_of}", lit)) for n, e in spec.derived})
+    return df
+
+
+def scan(spec: LoadSpec, io, as_of: dt.date | None = None, marked: DataFrame | None = None) -> DataFrame:
+    """Form scan: latest rule, parent joins, filters, scan-level GROUP BY.
+
+    ``marked``: the form with columns for a latest rule over it, which is then left to the caller."""
+    df = _form(spec, io, as_of) if marked is None else marked
     lt = spec.latest
-    if lt is not None and lt.stage == "form":
+    if marked is None and lt is not None and lt.stage == "form":
         df = _apply_latest(df, lt)
     form = df
     at_once = _latest_then_parents(form, spec, io) if lt is not None and lt.stage == "joined" else None
@@ -345,28 +352,85 @@ def scan(spec: LoadSpec, io, as_of: dt.date | None = None) -> DataFrame:
     return df
 
 
-def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, prune_on=(),
-               audit: RuleAudit | None = None) -> DataFrame:
-    """The rows this load appends (lazy).  ``split_nulls`` / ``prune_on`` – see ``new_records``.
+def _selected(spec: LoadSpec, df: DataFrame, as_of: dt.date, beside=()) -> DataFrame:
+    """The output contract first: the DISTINCT of the source text is over its select list.
 
-    ``audit`` counts the values that rules and lookups change in the scanned rows, new and known ones."""
-    df = scan(spec, io, as_of)
-    # Output contract first: the DISTINCT of the source text is over its select list.
-    # Names resolve case-insensitively (EMR / Emr); the contract's spelling wins.
+    Names resolve case-insensitively (EMR / Emr); the contract's spelling wins.  ``beside``: columns kept with it."""
     have = {c.lower(): c for c in df.columns}
     null = {c.lower() for c in spec.nulls}
     lacking = [c for c in spec.columns if c.lower() not in have and c.lower() not in null]
     if lacking:
         raise ValueError(f"{spec.name}: the scan lacks contract columns {lacking}")
     df = df.select(*[(F.lit(None).cast("string") if c.lower() in null else F.col(f"`{have[c.lower()]}`")).alias(c)
-                     for c in spec.columns])
+                     for c in spec.columns], *beside)
     if spec.select:
         df = df.withColumns({c: F.expr(e) for c, e in spec.select})
-    df = _apply_rules(df, spec.select_rules, as_of)
-    if spec.distinct:
-        df = df.distinct()
-    if spec.sample_limit is not None:
-        df = df.limit(spec.sample_limit)
+    return _apply_rules(df, spec.select_rules, as_of)
+
+
+def _source_keys(spec: LoadSpec) -> list[str]:
+    return [k[0] if isinstance(k, tuple) else k for k in (*spec.delta_keys, *spec.delta_plain_keys)]
+
+
+def _not_loaded(spec: LoadSpec, df: DataFrame, tgt: DataFrame, **kw) -> DataFrame:
+    def conv(k):
+        return (_expr(k[0]), _expr(k[1])) if isinstance(k, tuple) else k
+    return new_records(df, tgt, [conv(k) for k in spec.delta_keys], plain_keys=[conv(k) for k in spec.delta_plain_keys], **kw)
+
+
+def _distinct_new(spec: LoadSpec, io, as_of: dt.date, tgt: DataFrame | None) -> DataFrame:
+    """The distinct select list of new rows, with its wide rows in one shuffle.
+
+    Latest rule, delta and DISTINCT each shuffle whole rows by keys of their own.  Here the first two are
+    decided on narrow rows: keys, measures and a 128-bit hash of the select list.  Equal rows have one hash, so
+    whole rows meet the hashes that passed and their duplicates in one place, by a hash that spreads any hot
+    key.  The DISTINCT compares whole rows.  Like rows are lz4's neighbours, and the join builds on the narrow side, so
+    no whole row is sorted.
+    """
+    lt, marks = spec.latest, []
+    form = marked = None
+    if lt is not None and lt.stage == "form":
+        groups = lt.maxes if lt.maxes and isinstance(lt.maxes[0], tuple) else (lt.maxes,)
+        names = {m: f"__lm{i}" for i, m in enumerate(dict.fromkeys(m for g in groups for m in g))}
+        keys = {k: f"__lk{i}" for i, k in enumerate(lt.keys)}
+        form = _form(spec, io, as_of)
+        form = form.withColumns({n: _expr(e) for e, n in [*keys.items(), *names.items()]})
+        joined = [keys[k] for k in (lt.keys if lt.join_keys is None else lt.join_keys)]
+        marks = [*joined, *names.values()]
+        # rows that the rule cannot keep
+        marked = form.where(reduce(and_, [F.col(c).isNotNull() for c in marks])).drop(*set(keys.values()) - set(joined))
+    df = _selected(spec, scan(spec, io, as_of, marked), as_of, marks)
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in spec.columns])
+    row = [nulls, *[F.col(f"`{c}`") for c in spec.columns]]
+    df = df.withColumns({"__d0": F.xxhash64(*row), "__d1": F.xxhash64(F.lit("second"), *row)})
+    told = _apply_rules(df, spec.rules, as_of)
+    if tgt is not None and _source_keys(spec):
+        told = _not_loaded(spec, told, tgt)
+    told = told.select("__d0", "__d1", *marks)
+    if marks:
+        told = latest_joint_max(told, list(keys.values()), list(names.values()), join_keys=joined, over=form)
+    passed = told.select("__d0", "__d1").distinct().hint("shuffle_hash")
+    return df.drop(*marks).join(passed, ["__d0", "__d1"], "left_semi").distinct().select(*spec.columns)
+
+
+def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, prune_on=(),
+               audit: RuleAudit | None = None) -> DataFrame:
+    """The rows this load appends (lazy).  ``split_nulls`` / ``prune_on`` – see ``new_records``.
+
+    ``audit`` counts the values that rules and lookups change in the scanned rows, new and known ones."""
+    tgt = io.target(spec.target)
+    looked_up = {lk.column.lower() for lk in spec.lookups}
+    at_once = (spec.distinct and spec.sample_limit is None and not spec.group_by and audit is None and not split_nulls
+               and not any(_mentions(k, looked_up) for k in _source_keys(spec))
+               and (spec.latest.stage == "form" if spec.latest else tgt is not None and bool(_source_keys(spec))))
+    if at_once:
+        df, tgt = _distinct_new(spec, io, as_of, tgt), None
+    else:
+        df = _selected(spec, scan(spec, io, as_of), as_of)
+        if spec.distinct:
+            df = df.distinct()
+        if spec.sample_limit is not None:
+            df = df.limit(spec.sample_limit)
     df = _apply_rules(df, spec.rules, as_of, audit)
     if audit is not None:  # raw values beside the lookups' answers
         df = df.withColumns({f"__raw{i}": F.col(lk.column) for i, lk in enumerate(spec.lookups)})
@@ -380,15 +444,8 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, pr
                          default=R.KEEP if lk.default is None else lk.default, prepared=True)
     if audit is not None:
         df = audit.watch(df, {f"{lk.column} lookup": (F.col(f"__raw{i}"), F.col(lk.column)) for i, lk in enumerate(spec.lookups)})
-    tgt = io.target(spec.target)
     if tgt is not None and (spec.delta_keys or spec.delta_plain_keys):
-        def conv(k):
-            if isinstance(k, tuple):
-                return (_expr(k[0]), _expr(k[1]))
-            return k
-        df = new_records(df, tgt, [conv(k) for k in spec.delta_keys],
-                         plain_keys=[conv(k) for k in spec.delta_plain_keys], split_nulls=split_nulls,
-                         prune_on=[c for c in prune_on if c in spec.delta_keys])
+        df = _not_loaded(spec, df, tgt, split_nulls=split_nulls, prune_on=[c for c in prune_on if c in spec.delta_keys])
     if spec.hashes:
         df = hash_columns(df, dict(spec.hashes))
     return df.select(*spec.columns, *[h for _, h in spec.hashes])
