@@ -251,21 +251,29 @@ def _mentions(e: str, names: set[str]) -> bool:
     return any(w.lower() in names for w in re.findall(r"[A-Za-z_]\w*", re.sub(r"'[^']*'", "", e)))
 
 
-def _latest_then_parents(form: DataFrame, spec: LoadSpec, io) -> DataFrame | None:
-    """The latest rule over joined rows, with every parent joined once to a narrow frame.
+def _made(parents) -> set[str]:
+    """The columns that a chain of parents brings, in lower case."""
+    return {out.lower() for p in parents for _, out in p.columns}
+
+
+def _measures(lt) -> list[str]:
+    grouped = lt.maxes and isinstance(lt.maxes[0], tuple)
+    return list(dict.fromkeys(m for group in lt.maxes for m in group)) if grouped else list(lt.maxes)
+
+
+def _latest_then_parents(form: DataFrame, spec: LoadSpec, io, as_of: dt.date, tgt: DataFrame | None = None) -> DataFrame | None:
+    """The latest rule over joined rows, decided on narrow rows.
 
     The form is reduced to one row per (foreign keys, its own grouping keys) with
-    the greatest measures; the parents are joined to these rows, and each
+    the greatest measures; the parents' keys are joined to these rows, and each
     key's maxima are taken there (a window over as many rows as a key has foreign
-    keys).  The rows that can hold the maxima carry the parents' columns to the
-    form, which is joined once, on foreign keys, keys and measures.  None if a
-    measure is not the form's own.
+    keys).  Only the rows that can hold the maxima, and that a target ``tgt`` does not know
+    (see ``_narrow_delta``), are given the parents' other columns, and carry them to the form, which is
+    joined once, on foreign keys, keys and measures.  None if a measure is not the form's own.
     """
     lt = spec.latest
     over = spec.parents if lt.over is None else lt.over
-    made = {out.lower() for p in over for _, out in p.columns}
-    grouped = lt.maxes and isinstance(lt.maxes[0], tuple)
-    maxes = list(dict.fromkeys(m for group in lt.maxes for m in group)) if grouped else list(lt.maxes)
+    made, maxes = _made(over), _measures(lt)
     if any(_mentions(m, made) for m in maxes):
         return None
     fks: list[str] = []
@@ -290,6 +298,9 @@ def _latest_then_parents(form: DataFrame, spec: LoadSpec, io) -> DataFrame | Non
         narrow = _join_parent(narrow, p, io)
     narrow = narrow.withColumns({f"__k{i}": _expr(k) for i, k in enumerate(lt.keys) if i not in mine})
     narrow = narrow.where(reduce(and_, [F.col(k).isNotNull() for k in joined]))
+    keys = [*joined, *[k for k in keys if k not in joined]]
+    if joined != keys:  # both windows and the de-duplication below in one shuffle
+        narrow = narrow.repartition(*joined)
     narrow = narrow.withColumns({x: F.max(m).over(Window.partitionBy(*keys)) for x, m in zip(top, best, strict=True)})
     if joined == keys:
         narrow = narrow.where(reduce(and_, [F.col(x) == F.col(m) for x, m in zip(top, best, strict=True)]))
@@ -297,13 +308,15 @@ def _latest_then_parents(form: DataFrame, spec: LoadSpec, io) -> DataFrame | Non
         seen = F.collect_set(F.struct(*top)).over(Window.partitionBy(*joined))
         narrow = narrow.withColumn("__sets", seen).withColumn("__seen", F.explode("__sets")).withColumns({x: F.col(f"__seen.{x}") for x in top})
         narrow = narrow.where(reduce(and_, [F.col(x) <= F.col(m) for x, m in zip(top, best, strict=True)]))
-    if lt.over is not None:
-        narrow = narrow.select(*links, *keys, *top).dropDuplicates()
-        narrow = narrow.withColumns({c: F.col(f"__f{i}") for i, c in enumerate(fks)})
-        for p in spec.parents:
-            narrow = _join_parent(narrow, p, io)
-        same = [_expr(k) == F.col(f"__k{i}") for i, k in enumerate(lt.keys) if i not in mine and f"__k{i}" in joined]
-        narrow = narrow.where(reduce(and_, same)) if same else narrow
+    of_parents = [k for k in joined if k not in of_form]
+    narrow = narrow.select(*of_parents, *links, *of_form, *top).dropDuplicates()
+    if tgt is not None:
+        narrow = _unknown(narrow, spec, as_of, tgt)
+    narrow = narrow.withColumns({c: F.col(f"__f{i}") for i, c in enumerate(fks)})
+    for p in spec.parents:
+        narrow = _join_parent(narrow, p, io)
+    same = [_expr(k) == F.col(f"__k{i}") for i, k in enumerate(lt.keys) if f"__k{i}" in of_parents]
+    narrow = narrow.where(reduce(and_, same)) if same else narrow
     outs = [out for p in spec.parents if p.kind != "semi" for _, out in p.columns]
     narrow = narrow.select(*[F.col(c).alias(f"__w{c}") for c in (*links, *of_form, *top)], *outs)
     rows = marked.drop(*[c for c in form.columns if c.lower() in {o.lower() for o in outs}])
@@ -314,6 +327,41 @@ def _latest_then_parents(form: DataFrame, spec: LoadSpec, io) -> DataFrame | Non
     return rows.join(narrow, reduce(and_, on)).select(*kept, *outs)
 
 
+def _narrow_delta(spec: LoadSpec) -> dict[str, str] | None:
+    """Where the delta's columns lie in the narrow rows of the latest rule; None if these do not hold them all.
+
+    They do if each column is a key of the rule, a plain one, and one joined back on if it comes from a parent; if what the
+    select list makes of it needs no other column; and if no lookup changes it."""
+    lt = spec.latest
+    if lt is None or lt.stage != "joined" or not _source_keys(spec):
+        return None
+    over, brought = _made(spec.parents if lt.over is None else lt.over), _made(spec.parents)
+    if any(_mentions(m, over) for m in _measures(lt)):
+        return None
+    at = {k.lower(): f"__k{i}" for i, k in enumerate(lt.keys)
+          if _IDENT.match(k) and (k.lower() not in over | brought
+                                  or k.lower() in over & brought and (lt.join_keys is None or k in lt.join_keys))}
+    told = [c for c in spec.columns if any(_mentions(k, {c.lower()}) for k in _source_keys(spec))]
+    names = {c.lower() for c in told}
+    barred = {lk.column.lower() for lk in spec.lookups} | {c.lower() for c in spec.nulls}
+    others = {c.lower() for c in spec.columns} - names
+    if not names <= at.keys() - barred or any(c.lower() in names and _mentions(e, others) for c, e in spec.select):
+        return None
+    return {c: at[c.lower()] for c in told}
+
+
+def _unknown(narrow: DataFrame, spec: LoadSpec, as_of: dt.date, tgt: DataFrame) -> DataFrame:
+    """The narrow rows whose delta key, as the select list and the rules leave it, is not in the target."""
+    at = _narrow_delta(spec)
+    mine = {c.lower() for c in at}
+    df = narrow.withColumns({c: F.col(k) for c, k in at.items()})
+    made = {c: F.expr(e) for c, e in spec.select if c.lower() in mine}
+    df = df.withColumns(made) if made else df
+    for rules in (spec.select_rules, spec.rules):
+        df = _apply_rules(df, [r for r in rules if r.column.lower() in mine], as_of)
+    return _not_loaded(spec, df, tgt).select(*narrow.columns)
+
+
 def _form(spec: LoadSpec, io, as_of: dt.date | None) -> DataFrame:
     df = io.table(spec.source)
     if spec.derived:
@@ -322,16 +370,18 @@ def _form(spec: LoadSpec, io, as_of: dt.date | None) -> DataFrame:
     return df
 
 
-def scan(spec: LoadSpec, io, as_of: dt.date | None = None, marked: DataFrame | None = None) -> DataFrame:
+def scan(spec: LoadSpec, io, as_of: dt.date | None = None, marked: DataFrame | None = None,
+         tgt: DataFrame | None = None) -> DataFrame:
     """Form scan: latest rule, parent joins, filters, scan-level GROUP BY.
 
-    ``marked``: the form with columns for a latest rule over it, which is then left to the caller."""
+    ``marked``: the form with columns for a latest rule over it, which is then left to the caller.
+    ``tgt``: the target, where ``_narrow_delta`` lets the latest rule leave out what it holds."""
     df = _form(spec, io, as_of) if marked is None else marked
     lt = spec.latest
     if marked is None and lt is not None and lt.stage == "form":
         df = _apply_latest(df, lt)
     form = df
-    at_once = _latest_then_parents(form, spec, io) if lt is not None and lt.stage == "joined" else None
+    at_once = _latest_then_parents(form, spec, io, as_of, tgt) if lt is not None and lt.stage == "joined" else None
     if at_once is None:
         for p in spec.parents:
             df = _join_parent(df, p, io)
@@ -426,7 +476,10 @@ def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, pr
     if at_once:
         df, tgt = _distinct_new(spec, io, as_of, tgt), None
     else:
-        df = _selected(spec, scan(spec, io, as_of), as_of)
+        early = (tgt is not None and spec.sample_limit is None and not spec.group_by and audit is None and not split_nulls
+                 and _narrow_delta(spec) is not None)
+        df = _selected(spec, scan(spec, io, as_of, tgt=tgt if early else None), as_of)
+        tgt = None if early else tgt
         if spec.distinct:
             df = df.distinct()
         if spec.sample_limit is not None:
