@@ -256,6 +256,16 @@ def _made(parents) -> set[str]:
     return {out.lower() for p in parents for _, out in p.columns}
 
 
+def _form_keys(parents) -> list[str]:
+    """The form's columns that a chain of parents is joined by."""
+    fks: list[str] = []
+    outs: set[str] = set()
+    for p in parents:
+        fks += [cc for cc, _ in p.on if cc.lower() not in outs and cc not in fks]
+        outs |= {out.lower() for _, out in p.columns}
+    return fks
+
+
 def _measures(lt) -> list[str]:
     grouped = lt.maxes and isinstance(lt.maxes[0], tuple)
     return list(dict.fromkeys(m for group in lt.maxes for m in group)) if grouped else list(lt.maxes)
@@ -276,12 +286,7 @@ def _latest_then_parents(form: DataFrame, spec: LoadSpec, io, as_of: dt.date, tg
     made, maxes = _made(over), _measures(lt)
     if any(_mentions(m, made) for m in maxes):
         return None
-    fks: list[str] = []
-    for chain in (over, spec.parents):
-        outs: set[str] = set()
-        for p in chain:
-            fks += [cc for cc, _ in p.on if cc.lower() not in outs and cc not in fks]
-            outs |= {out.lower() for _, out in p.columns}
+    fks = list(dict.fromkeys([*_form_keys(over), *_form_keys(spec.parents)]))
     mine = [i for i, k in enumerate(lt.keys) if not _mentions(k, made)]
     keys = [f"__k{i}" for i in range(len(lt.keys))]
     joined = keys if lt.join_keys is None else [f"__k{i}" for i, k in enumerate(lt.keys) if k in lt.join_keys]
@@ -402,17 +407,19 @@ def scan(spec: LoadSpec, io, as_of: dt.date | None = None, marked: DataFrame | N
     return df
 
 
-def _selected(spec: LoadSpec, df: DataFrame, as_of: dt.date, beside=()) -> DataFrame:
+def _selected(spec: LoadSpec, df: DataFrame, as_of: dt.date, beside=(), columns=None) -> DataFrame:
     """The output contract first: the DISTINCT of the source text is over its select list.
 
-    Names resolve case-insensitively (EMR / Emr); the contract's spelling wins.  ``beside``: columns kept with it."""
+    Names resolve case-insensitively (EMR / Emr); the contract's spelling wins.  ``beside``: columns kept with it;
+    ``columns``: a part of the contract, with all that the select list changes."""
+    columns = spec.columns if columns is None else columns
     have = {c.lower(): c for c in df.columns}
     null = {c.lower() for c in spec.nulls}
-    lacking = [c for c in spec.columns if c.lower() not in have and c.lower() not in null]
+    lacking = [c for c in columns if c.lower() not in have and c.lower() not in null]
     if lacking:
         raise ValueError(f"{spec.name}: the scan lacks contract columns {lacking}")
     df = df.select(*[(F.lit(None).cast("string") if c.lower() in null else F.col(f"`{have[c.lower()]}`")).alias(c)
-                     for c in spec.columns], *beside)
+                     for c in columns], *beside)
     if spec.select:
         df = df.withColumns({c: F.expr(e) for c, e in spec.select})
     return _apply_rules(df, spec.select_rules, as_of)
@@ -431,11 +438,12 @@ def _not_loaded(spec: LoadSpec, df: DataFrame, tgt: DataFrame, **kw) -> DataFram
 def _distinct_new(spec: LoadSpec, io, as_of: dt.date, tgt: DataFrame | None) -> DataFrame:
     """The distinct select list of new rows, with its wide rows in one shuffle.
 
-    Latest rule, delta and DISTINCT each shuffle whole rows by keys of their own.  Here the first two are
-    decided on narrow rows: keys, measures and a 128-bit hash of the select list.  Equal rows have one hash, so
-    whole rows meet the hashes that passed and their duplicates in one place, by a hash that spreads any hot
-    key.  The DISTINCT compares whole rows.  Like rows are lz4's neighbours, and the join builds on the narrow side, so
-    no whole row is sorted.
+    Parents, latest rule, delta and DISTINCT each would shuffle whole rows by keys of their own.  Here all are
+    decided on narrow rows: foreign keys, keys, measures, two hashes of the form's part of the select list and one
+    (``__e``) of what else tells a row's fate.  These rows bring the parents' columns and one ``__e`` of each row of the
+    select list to the whole rows, which meet them in one place, by a hash that spreads any hot key.  The join
+    builds on the narrow side, so no whole row is sorted; a row that was counted once is passed on as it comes, and
+    only repeated ones are held by the DISTINCT, which compares whole rows.
     """
     lt, marks = spec.latest, []
     form = marked = None
@@ -449,18 +457,59 @@ def _distinct_new(spec: LoadSpec, io, as_of: dt.date, tgt: DataFrame | None) ->
         marks = [*joined, *names.values()]
         # rows that the rule cannot keep
         marked = form.where(reduce(and_, [F.col(c).isNotNull() for c in marks])).drop(*set(keys.values()) - set(joined))
-    df = _selected(spec, scan(spec, io, as_of, marked), as_of, marks)
-    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in spec.columns])
-    row = [nulls, *[F.col(f"`{c}`") for c in spec.columns]]
-    df = df.withColumns({"__d0": F.xxhash64(*row), "__d1": F.xxhash64(F.lit("second"), *row)})
-    told = _apply_rules(df, spec.rules, as_of)
-    if tgt is not None and _source_keys(spec):
-        told = _not_loaded(spec, told, tgt)
-    told = told.select("__d0", "__d1", *marks)
+
+    brought, null = _made(spec.parents), {c.lower() for c in spec.nulls}
+    parents, where = spec.parents, [w for w in spec.where if _mentions(w, brought)]
+    if any(c.lower() in brought or _mentions(e, brought) for c, e in spec.select) or any(r.column.lower() in brought for r in spec.select_rules):
+        df, parents, where, brought = scan(spec, io, as_of, marked), (), [], set()  # the select list is made of both
+    else:
+        df = _form(spec, io, as_of) if marked is None else marked
+        for w in spec.where:
+            df = df if w in where else df.filter(F.expr(w))
+    fks = _form_keys(parents)
+    for c in fks:
+        df = df.where(F.col(c).isNotNull())  # equal to no parent's key
+    told_by = {c.lower(): c for c in [*(c for c in df.columns if c.lower() not in brought and any(_mentions(w, {c.lower()}) for w in where)), *fks]}
+    beside = {f"__b{i}": c for i, c in enumerate(told_by.values())}
+    mine = [c for c in spec.columns if c.lower() in null or c.lower() not in brought]
+    df = _selected(spec, df, as_of, [F.col(c).alias(b) for b, c in beside.items()] + marks, mine)
+
+    def with_nulls(cols) -> list[Column]:
+        return [F.concat(F.lit(""), *[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in cols]), *[F.col(f"`{c}`") for c in cols]]
+
+    row = with_nulls(mine)
+    keyed = [c for c in spec.columns if any(_mentions(k, {c.lower()}) for k in _source_keys(spec))] if tgt is not None else []
+    own_keyed = [c for c in keyed if c in mine]
+    ids = [*marks, "__o0", "__o1", "__e"]
+    # hashes last and no column of theirs beside them: the optimiser restates what it knows of them for each later alias of such a column
+    df = df.select(*[F.col(f"`{c}`").alias(f"__w{c}") for c in mine], *beside, *[F.col(f"`{c}`").alias(f"__c{c}") for c in own_keyed], *marks,
+                   F.xxhash64(*row).alias("__o0"), F.xxhash64(F.lit("second"), *row).alias("__o1"),
+                   F.xxhash64(*with_nulls([*beside, *marks])).alias("__e"))
+    told = df.select(*[F.col(b).alias(c) for b, c in beside.items()], *[f"`__c{c}`" for c in own_keyed], *ids)
+    for p in parents:
+        told = _join_parent(told, p, io)
+    for w in where:
+        told = told.filter(F.expr(w))
+    have = {c.lower(): c for c in told.columns}
+    outs = {f"__p{i}": c for i, c in enumerate(c for c in spec.columns if c not in mine)}
+    told = told.select(*[F.col(f"`{have[c.lower()]}`").alias(p) for p, c in outs.items()],
+                       *[F.col(f"`__c{c}`" if c in mine else f"`{have[c.lower()]}`").alias(c) for c in keyed], *ids)
+    if keyed:
+        told = _not_loaded(spec, _apply_rules(told, [r for r in spec.rules if r.column in keyed], as_of), tgt)
+    told = told.select(*outs, *ids)
     if marks:
         told = latest_joint_max(told, list(keys.values()), list(names.values()), join_keys=joined, over=form)
-    passed = told.select("__d0", "__d1").distinct().hint("shuffle_hash")
-    return df.drop(*marks).join(passed, ["__d0", "__d1"], "left_semi").distinct().select(*spec.columns)
+    hashes = ids[-3:]
+    passed = (told.select(*outs, *hashes).repartition("__o0", "__o1").groupBy("__o0", "__o1", *outs)
+              .agg(F.min("__e").alias("__e"), F.count("*").alias("__n")))
+    passed = passed.withColumnsRenamed({c: f"__n{c}" for c in hashes}).hint("shuffle_hash")
+    # equal __e as a range, which leaves the shuffle to the two hashes that a row of the select list has
+    met = [F.col(c) == F.col(f"__n{c}") for c in hashes[:2]] + [F.col("__e") >= F.col("__n__e"), F.col("__e") <= F.col("__n__e")]
+    rows = df.select(*[f"`__w{c}`" for c in mine], *hashes).join(passed, reduce(and_, met))
+    at = {c: p for p, c in outs.items()}
+    found = [F.col(f"`__w{c}`").alias(c) if c in mine else F.col(at[c]).alias(c) for c in spec.columns]
+    return rows.where("__n = 1").select(*found).unionByName(
+        rows.where("__n > 1").select("__o0", "__o1", *found).distinct().select(*spec.columns))
 
 
 def build_load(spec: LoadSpec, io, as_of: dt.date, split_nulls: bool = False, prune_on=(),
